@@ -5,34 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillstack.functions.text import html_unescape
+from quillstack.functions.text import html_unescape, let
 
-LINK_TAG = r"""(?is)<(?:a|img)\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# Tags with quoted attributes are read to their real end; ones with odd quotes to the first ">".
+LINK_TAG = (
+    r"""(?is)<(?:a|img)\b[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+    r"""|<(?:a|img)\b[^>]*+>"""
+)
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-TOP_LINK = r"""(?is)<a\b(?=[^>]*\shref\s*=\s*(?:"[^"]*#top"|'[^']*#top'|[^\s>"']*#top(?=[\s>])))[^>]*>\s*top\s*</a\s*>"""
+HIDDEN_START = r"<(?:!--|(?i:script|style)\b)"
+TOP_LINK = (
+    r"""(?s)<[aA]\b(?=[^>]*\s(?i:href)\s*=\s*(?:"[^">]*#top"|'[^'>]*#top'|[^\s>"']*#top[\s>]))[^>]*>top</[aA]\s*>"""
+)
 
 
 def attribute_pattern(name: str) -> str:
-    return rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    return rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+
+
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute as written, without its quotes; NULL when absent."""
+    quoted = F.regexp_extract(tag, attribute_pattern(name), 1)
+    return let(
+        quoted,
+        lambda v: F.when(v.startswith('"') | v.startswith("'"), F.substring(v, F.lit(2), F.length(v) - 2)).when(v != "", v),
+    )
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of a tag's attribute with its entities resolved; NULL when absent."""
-    pattern = attribute_pattern(name)
-    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
-    return F.when(tag.rlike(pattern), html_unescape(value))
+    return html_unescape(raw_attribute(tag, name))
 
 
 def tag_name(tag: Column) -> Column:
-    return F.lower(F.regexp_extract(tag, r"^<(\w+)", 1))
+    """Element of a link tag: its names are `a` and `img` only."""
+    return F.when(F.lower(F.substring(tag, 2, 1)) == "a", "a").otherwise("img")
+
+
+def link_target(tag: Column) -> Column:
+    """What a link tag points to: `href` of ``a``, `src` of ``img``; NULL when it has none."""
+    is_a = tag_name(tag) == "a"
+    return html_unescape(F.when(is_a, raw_attribute(tag, "href")).otherwise(raw_attribute(tag, "src")))
 
 
 def with_attribute(tag: Column, name: str, value: Column) -> Column:
     """The tag with one attribute set, its name lower-cased and its value double-quoted."""
-    pattern = attribute_pattern(name)
-    parts = F.split(tag, pattern, 2)
-    lowered = F.concat(F.lit("<"), tag_name(tag), F.regexp_replace(F.get(parts, 0), r"^<\w+", ""))
-    return F.concat(lowered, F.lit(f' {name}="'), value, F.lit('"'), F.get(parts, 1))
+    parts = F.split(tag, attribute_pattern(name), 2)
+    before = F.regexp_replace(F.get(parts, 0), r"(?i)^<(?:a|img)", "")
+    return F.concat(F.lit("<"), tag_name(tag), before, F.lit(f' {name}="'), value, F.lit('"'), F.get(parts, 1))
 
 
 def replace_all(text: Column, pairs: Column) -> Column:
@@ -41,7 +61,8 @@ def replace_all(text: Column, pairs: Column) -> Column:
 
 
 def strip_top_links(html: Column) -> Column:
-    return F.regexp_replace(html, TOP_LINK, "")
+    """The text without its "top" links, at any depth."""
+    return F.when(F.contains(html, F.lit("#top")), F.regexp_replace(html, TOP_LINK, "")).otherwise(html)
 
 
 def link_kind(element: Column, target: Column) -> Column:
@@ -55,5 +76,5 @@ def link_kind(element: Column, target: Column) -> Column:
 
 def link_tags(html: Column) -> Column:
     """All ``a[href]`` and ``img[src]`` tags in document order, as text."""
-    visible = F.when(html.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
+    visible = F.when(html.rlike(HIDDEN_START), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
     return F.regexp_extract_all(visible, F.lit(LINK_TAG), F.lit(0))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 # Characters that file names lose.
 FILENAME_DROPPED = "?[]/\\=<>:;,'\"&$#*()|~`!{}%+\x00"
 
-# Media types by leading bytes (hex), first match wins.
+# Control characters that do not belong in text.
+CONTROL_CHARACTERS = "".join(chr(c) for c in (*range(0x01, 0x08), 0x0B, *range(0x0E, 0x20), 0x7F))
+
+# Media types by leading bytes (hex patterns), first match wins.
 MAGIC_TYPES = (
     ("89504E470D0A1A0A", "image/png"),
     ("474946383761", "image/gif"),
@@ -19,7 +22,7 @@ MAGIC_TYPES = (
     ("1F8B", "application/gzip"),
     ("49492A00", "image/tiff"),
     ("4D4D002A", "image/tiff"),
-    ("424D", "image/x-ms-bmp"),
+    ("424D.{8}00000000", "image/x-ms-bmp"),
     ("25215053", "application/postscript"),
     ("D0CF11E0A1B11AE1", "application/x-ole-storage"),
 )
@@ -123,13 +126,13 @@ def normalise_path(path: Column) -> Column:
 
 def dirname(path: Column) -> Column:
     """Directory part; empty for a bare name, ``/`` for a name in the root."""
-    head = F.regexp_extract(path, r"^((?:.|\n)*/)[^/]*$", 1)
-    trimmed = F.rtrim(head, F.lit("/"))
+    head = F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)))
+    trimmed = F.regexp_replace(head, "/+$", "")
     return F.when(trimmed == "", head).otherwise(trimmed)
 
 
 def basename(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def join_path(directory: Column, path: Column) -> Column:
@@ -141,14 +144,19 @@ def join_path(directory: Column, path: Column) -> Column:
     )
 
 
+def resolve_in(folder: Column, href: Column) -> Column:
+    """Archive path of a link found in a folder: decoded, joined and normalised."""
+    return normalise_path(join_path(folder, percent_decode(href)))
+
+
 def resolve_path(page_path: Column, href: Column) -> Column:
-    """Archive path of a link found on a page: decoded, joined and normalised."""
-    return normalise_path(join_path(dirname(page_path), percent_decode(href)))
+    """Archive path of a link found on a page."""
+    return resolve_in(dirname(page_path), href)
 
 
 def listed_path(root_dir: str, href: Column) -> Column:
     """Archive path of a link found in a contents listing."""
-    return normalise_path(join_path(F.lit(root_dir), percent_decode(href)))
+    return resolve_in(F.lit(root_dir), href)
 
 
 def slug(text: Column) -> Column:
@@ -201,19 +209,18 @@ def decode_bytes(content: Column) -> Column:
 
 
 def is_binary(content: Column) -> Column:
-    """Binary test on the first KiB: a zero byte, or control bytes above a tenth of it."""
-    head = F.hex(F.substring(content, 1, 1024))
-    size = F.length(head) / 2
-    # Pairs are matched two digits at a time, so that no match straddles two bytes.
-    control = F.regexp_replace(head, r"\G(?:(0[1-8]|0[BEF]|1[0-9ACDEF]|7F)|(..))", "$1")
-    zero = F.regexp_replace(head, r"\G(?:(00)|(..))", "$1") != ""
-    return F.coalesce(zero | ((F.length(control) / 2) > size * 0.1), F.lit(False))
+    """Binary test on the first KiB: a zero byte, or no valid UTF-8 and many control bytes."""
+    head = F.substring(content, 1, 1024)
+    as_latin = F.decode(head, "ISO-8859-1")
+    printable = F.length(F.translate(as_latin, CONTROL_CHARACTERS, ""))
+    garbled = ~F.is_valid_utf8(head.cast("string")) & (printable < F.length(as_latin) * 0.7)
+    return F.coalesce(F.contains(head, F.lit(b"\x00")) | garbled, F.lit(False))
 
 
 def media_type(content: Column) -> Column:
-    """Media type by leading bytes; text unless a zero byte says otherwise."""
-    lead = F.hex(F.substring(content, 1, 8))
+    """Media type by leading bytes; text unless a zero byte or control bytes say otherwise."""
+    lead = F.hex(F.substring(content, 1, 16))
     out = F.when(F.length(content) == 0, "inode/x-empty")
     for magic, mime in MAGIC_TYPES:
-        out = out.when(lead.startswith(magic), mime)
+        out = out.when(lead.rlike(f"^{magic}"), mime)
     return out.when(is_binary(content), "application/octet-stream").otherwise("text/plain")

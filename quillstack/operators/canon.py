@@ -9,9 +9,9 @@ from quillstack.operators.skew import global_rank, lookup
 from quillstack.sources.workspace import Workspace
 
 
-def resolve_entries(entries: DataFrame, pages: DataFrame) -> DataFrame:
+def resolve_entries(ws: Workspace, entries: DataFrame, pages: DataFrame) -> DataFrame:
     """Contents entries with the identity of the page they link to."""
-    return lookup(entries, pages.select("path", "page_key"), "path", "inner")
+    return lookup(ws, entries, pages.select("path", "page_key"), "path", "inner")
 
 
 def first_of_identity(copies: DataFrame, order: Column) -> DataFrame:
@@ -57,13 +57,16 @@ def page_order(ws: Workspace, pages: DataFrame) -> DataFrame:
     return global_rank(ws, pages, order, "page_order", "page-order")
 
 
-def response_parents(responses: DataFrame, resolved: DataFrame, canonical: DataFrame) -> DataFrame:
-    """Responses with their parent's identity; `kept` marks those of canonical entries."""
-    marked = resolved.select("entry_key", "page_key").join(
-        canonical.select("entry_key", F.lit(True).alias("kept")), "entry_key", "left"
-    )
-    parents = lookup(responses, marked, "entry_key", "inner")
-    return parents.withColumn("kept", F.coalesce("kept", F.lit(False)))
+def mark_canonical(ws: Workspace, resolved: DataFrame, ordered: DataFrame) -> DataFrame:
+    """Entries with their page's order; `kept` marks the entry that became the page."""
+    pages = ordered.where("not is_orphan").select("page_key", "page_order", F.col("entry_key").alias("first_entry"))
+    marked = lookup(ws, resolved.select("entry_key", "page_key"), pages, "page_key", "inner", staged=True)
+    return marked.select("entry_key", "page_key", "page_order", (F.col("entry_key") == F.col("first_entry")).alias("kept"))
+
+
+def response_parents(ws: Workspace, responses: DataFrame, marked: DataFrame) -> DataFrame:
+    """Responses with their parent's identity and order, duplicates' responses included."""
+    return lookup(ws, responses, marked, "entry_key", "inner")
 
 
 def page_path_map(resolved: DataFrame, parents: DataFrame, unlisted: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def page_path_map(resolved: DataFrame, parents: DataFrame, unlisted: DataFrame)
     return best.select("path", F.col("b.page_key").alias("page_key"))
 
 
-def copies_of(copies: DataFrame, originals: DataFrame) -> DataFrame:
+def copies_of(ws: Workspace, copies: DataFrame, originals: DataFrame) -> DataFrame:
     """Copies with the path of their original (`path` and `original_path`)."""
     firsts = originals.select("page_key", F.col("path").alias("original_path"))
-    return lookup(copies.select("page_key", "path"), firsts, "page_key", "inner")
+    return lookup(ws, copies.select("page_key", "path"), firsts, "page_key", "inner")

@@ -24,7 +24,8 @@ CELL_END = r"(?i)</td\s*>"
 FONT_TAG = r"""(?is)<font\b[^>]*\ssize\s*=\s*["']?2["'\s>].*?</font\s*>"""
 PAGE_NUMBER = r"(?is)</font\s*>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 CREATED_TEXT = r"(?is)</font\s*>.*?</font\s*>\s*<br\s*/?>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
-DOCUMENT_END = r"(?is)\s*(?:</form\s*>)?\s*</body\s*>\s*(?:</html\s*>)?\s*$"
+DOCUMENT_END = r"(?is)(?:</form\s*>\s*)?</body\s*>\s*(?:</html\s*>)?\s*$"
+TABLE_CLOSE = r"(?i)</table\s*>"
 
 
 def decode_documents(files: DataFrame) -> DataFrame:
@@ -37,50 +38,68 @@ def text_of(html: Column) -> Column:
     return T.html_unescape(T.strip_tags(html))
 
 
-def _table_end(rest: Column) -> Column:
-    """Length of `rest` up to the end of the table it starts in; nested tables are skipped."""
-    pieces = F.split(rest, r"(?i)(?=</?table\b)")
+def _table_pieces(pieces: Column) -> Column:
+    """How many of the pieces between closing table tags belong to the first open table.
+
+    Each closing tag ends one level, every nested table opens one; zero if none closes it.
+    """
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
 
     def step(acc: Column, piece: Column) -> Column:
-        head = F.lower(F.substring(piece, 1, 7))
-        change = F.when(head.startswith("<table"), 1).when(head == "</table", -1).otherwise(0)
-        depth = acc["depth"] + change
-        close = F.length(F.regexp_extract(piece, r"(?s)^[^>]*>", 0))
-        end = F.when((acc["end"] == 0) & (depth == 0), acc["seen"] + close).otherwise(acc["end"])
-        return F.struct(depth.alias("depth"), (acc["seen"] + F.length(piece)).alias("seen"), end.alias("end"))
+        seen = acc["seen"] + 1
+        opened = F.regexp_count(piece, F.lit(r"(?i)<table\b"))
+        depth = acc["depth"] + opened - 1
+        closed = (depth == 0) & (seen < F.size(pieces))
+        here = F.struct(
+            depth.alias("depth"), seen.alias("seen"), F.when(closed, seen).otherwise(0).alias("end")
+        )
+        return F.when(acc["end"] > 0, acc).otherwise(here)
 
     return F.aggregate(pieces, start, step, lambda acc: acc["end"])
 
 
+def _without_end(body: Column) -> Column:
+    """A body without the document's closing tags. They are looked for in its last characters
+    first, and in all of it when they are not there."""
+    cut = F.length(F.regexp_extract(F.right(body, F.lit(256)), DOCUMENT_END, 0))
+    return F.when(cut > 0, F.left(body, F.length(body) - cut)).otherwise(F.regexp_replace(body, DOCUMENT_END, ""))
+
+
 def split_document(documents: DataFrame) -> DataFrame:
     """Cut each document into heading, metadata table and body; say why it cannot be cut.
 
-    Adds `reject_reason`, `_meta` and `content` (the body as written).
+    Adds `reject_reason`, `_meta` and `content` (the body as written). Whole texts are split
+    twice and searched no further: at the metadata table, and after it at closing table tags
+    (which come out in lower case).
     """
-    html = F.col("html")
-    heading = F.regexp_extract(html, HEADING_DIV, 0)
-    heading_text = text_of(F.regexp_extract(heading, HEADING_TEXT, 1))
+    cut = documents.withColumn("_parts", F.split("html", META_TABLE, 2))
+    head, rest = F.get("_parts", F.lit(0)), F.get("_parts", F.lit(1))
+    before = F.regexp_extract(head, HEADING_DIV, 0)
+    heading = F.when(before != "", before).otherwise(F.regexp_extract(F.coalesce(rest, F.lit("")), HEADING_DIV, 0))
+    heading_text = text_of(F.regexp_extract("_heading", HEADING_TEXT, 1))
     cut = (
-        documents.withColumn(
+        cut.withColumn("_heading", heading)
+        .withColumn("_heading_text", heading_text)
+        .withColumn(
             "reject_reason",
-            F.when(html.isNull(), "binary file")
-            .when(heading == "", "no centred heading")
-            .when(heading_text == "", "empty heading")
-            .when(heading_text != HEADING, "other heading")
-            .when(~html.rlike(META_TABLE), "no metadata table"),
+            F.when(F.col("html").isNull(), "binary file")
+            .when(F.col("_heading") == "", "no centred heading")
+            .when(F.col("_heading_text") == "", "empty heading")
+            .when(F.col("_heading_text") != HEADING, "other heading")
+            .when(rest.isNull(), "no metadata table"),
         )
-        .withColumn("_rest", F.when(F.col("reject_reason").isNull(), F.get(F.split(html, META_TABLE, 2), 1)))
-        .withColumn("_end", _table_end(F.col("_rest")))
+        .withColumn("_pieces", F.when(F.col("reject_reason").isNull(), F.split(rest, TABLE_CLOSE)))
+        .withColumn("_n", _table_pieces(F.col("_pieces")))
     )
+    body = F.array_join(F.slice("_pieces", F.col("_n") + 1, F.size("_pieces")), "</table>")
     return (
         cut.withColumn(
-            "reject_reason",
-            F.coalesce("reject_reason", F.when(F.col("_end") == 0, "unclosed metadata table")),
+            "reject_reason", F.coalesce("reject_reason", F.when(F.col("_n") == 0, "unclosed metadata table"))
         )
-        .withColumn("_meta", F.expr("substring(_rest, 1, _end)"))
-        .withColumn("content", F.regexp_replace(F.expr("substring(_rest, _end + 1)"), DOCUMENT_END, ""))
-        .drop("_rest", "_end", "html")
+        .withColumn("_meta", F.array_join(F.slice("_pieces", F.lit(1), F.col("_n")), "</table>"))
+        .withColumn("content", F.when(F.col("reject_reason").isNull(), body))
+        .withColumn("content", _without_end(F.col("content")))
+        .drop("_parts", "_heading", "_heading_text", "_pieces", "_n", "html")
     )
 
 
@@ -93,25 +112,24 @@ def page_metadata(documents: DataFrame, config: ArchiveConfig = ArchiveConfig())
     inner = F.get(F.split(F.col("_meta"), FIRST_CELL, 2), 1)
     cells = cut.withColumn("_cells", F.split(inner, CELL_END, 2)).drop("_meta")
     first, second = F.get("_cells", F.lit(0)), F.get("_cells", F.lit(1))
-    fields = (
-        cells.withColumn("_fonts", F.regexp_extract_all(second, F.lit(FONT_TAG), F.lit(0)))
-        .withColumn("page_no", text_of(F.regexp_extract(first, PAGE_NUMBER, 2)))
-        .withColumn("_created", text_of(F.regexp_extract(first, CREATED_TEXT, 2)))
-        .withColumn("title", text_of(F.get("_fonts", F.lit(1))))
-    )
-    names = lambda i: F.transform(
-        T.split_names(text_of(F.get("_fonts", F.lit(i))), config.keep_blank_names), T.percent_decode
-    )
+    fonts = F.regexp_extract_all(second, F.lit(FONT_TAG), F.lit(0))
+    # Number, created text, then the font tags: labels and values of title, authors, categories, date.
+    found = F.array(F.regexp_extract(first, PAGE_NUMBER, 2), F.regexp_extract(first, CREATED_TEXT, 2))
+    fields = cells.withColumn("_f", F.transform(F.concat(found, fonts), text_of))
+    field = lambda i: F.get("_f", F.lit(i))
+    names = lambda i: F.transform(T.split_names(field(i), config.keep_blank_names), T.percent_decode)
     out = (
-        fields.withColumn("authors", names(3))
-        .withColumn("categories", names(5))
-        .withColumn("created", parse_created(text_of(F.get("_fonts", F.lit(7))), F.col("_created")))
+        fields.withColumn("page_no", field(0))
+        .withColumn("title", field(3))
+        .withColumn("authors", names(5))
+        .withColumn("categories", names(7))
+        .withColumn("created", parse_created(field(9), field(1)))
     )
     broken = F.when(F.col("_cells").isNull(), "no number cell").when(
-        F.size("_fonts") < 8, "missing metadata field"
+        F.size("_f") < 10, "missing metadata field"
     ).when(F.col("created").isNull(), "bad creation time")
     return out.withColumn("reject_reason", F.coalesce("reject_reason", broken)).drop(
-        "_cells", "_fonts", "_created"
+        "_cells", "_f"
     )
 
 
@@ -137,12 +155,7 @@ def document_links(path: Column, content: Column) -> Column:
     tags = F.transform(
         H.link_tags(content),
         lambda tag, i: F.struct(
-            i.alias("pos"),
-            H.tag_name(tag).alias("element"),
-            F.when(H.tag_name(tag) == "a", H.attribute(tag, "href"))
-            .otherwise(H.attribute(tag, "src"))
-            .alias("href"),
-            tag.alias("tag"),
+            i.alias("pos"), H.tag_name(tag).alias("element"), H.link_target(tag).alias("href"), tag.alias("tag")
         ),
     )
     kinds = F.transform(
@@ -154,24 +167,41 @@ def document_links(path: Column, content: Column) -> Column:
             t["tag"].alias("tag"),
         ),
     )
-    return F.transform(
-        kinds,
-        lambda t: F.struct(
-            t["pos"].alias("pos"),
-            t["kind"].alias("kind"),
-            t["href"].alias("href"),
-            t["tag"].alias("tag"),
-            F.when(t["kind"] != "other", T.resolve_path(path, t["href"])).alias("ref_path"),
+    return T.let(
+        T.dirname(path),
+        lambda folder: F.transform(
+            kinds,
+            lambda t: F.struct(
+                t["pos"].alias("pos"),
+                t["kind"].alias("kind"),
+                t["href"].alias("href"),
+                t["tag"].alias("tag"),
+                F.when(t["kind"] != "other", T.resolve_in(folder, t["href"])).alias("ref_path"),
+            ),
         ),
     )
 
 
+def document_bodies(documents: DataFrame) -> DataFrame:
+    """The cleaned body of each document: `path, content`, NULL for rejected ones.
+
+    Callers join it to the valid paths. A filter here would repeat the extraction, because
+    the optimizer moves it below the projections by copying them into it.
+    """
+    cut = split_document(documents)
+    return cut.select("path", H.strip_top_links(F.col("content")).alias("content"))
+
+
 def extract_documents(documents: DataFrame, config: ArchiveConfig = ArchiveConfig()) -> DataFrame:
-    """The full extraction: metadata, identity key, cleaned body and its links per document."""
+    """What is known of each document short of its body: metadata, identity key and links."""
     pages = page_metadata(documents, config).withColumn("content", H.strip_top_links(F.col("content")))
-    return pages.withColumn(
-        "page_key", page_key(F.col("title"), F.col("authors"), F.col("categories"), F.col("created"))
-    ).withColumn("links", document_links(F.col("path"), F.col("content")))
+    return (
+        pages.withColumn(
+            "page_key", page_key(F.col("title"), F.col("authors"), F.col("categories"), F.col("created"))
+        )
+        .withColumn("links", document_links(F.col("path"), F.col("content")))
+        .drop("content")
+    )
 
 
 def explode_links(extracted: DataFrame) -> DataFrame:

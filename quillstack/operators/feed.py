@@ -13,11 +13,11 @@ from quillstack.operators.skew import global_rank, lookup
 from quillstack.sources.workspace import Workspace
 
 
-def channel(posts: DataFrame, config: FeedConfig) -> DataFrame:
+def channel(pages: DataFrame, config: FeedConfig) -> DataFrame:
     """The one-row feed header; an unset publication date is the newest post's."""
     newest = F.date_format(F.max("created"), "EEE, dd MMM yyyy HH:mm:ss +0000")
     date = F.lit(config.pub_date) if config.pub_date else newest
-    return posts.agg(date.alias("pub_date"), F.count("*").alias("n_posts")).select(
+    return with_authors(pages).agg(date.alias("pub_date"), F.count("*").alias("n_posts")).select(
         F.lit(config.title).alias("title"),
         F.lit(config.base_url).alias("link"),
         F.lit("Logbook").alias("description"),
@@ -49,12 +49,12 @@ def media_urls(manifest: DataFrame, config: FeedConfig) -> DataFrame:
     return manifest.select(F.col("file_hash").alias("key"), url.alias("url"))
 
 
-def page_urls(targets: DataFrame, ids: DataFrame, config: FeedConfig) -> DataFrame:
+def page_urls(ws: Workspace, targets: DataFrame, ids: DataFrame, config: FeedConfig) -> DataFrame:
     """Link keys with their page's URL. `targets` has one row per key (`key, target_key`)."""
     by_page = ids.select(
         F.col("page_key").alias("target_key"), post_guid(F.col("post_id"), config).alias("url")
     )
-    return lookup(targets, by_page, "target_key", "inner").select("key", "url")
+    return lookup(ws, targets, by_page, "target_key", "inner").select("key", "url")
 
 
 def _item_columns(rows: DataFrame) -> DataFrame:
@@ -80,9 +80,9 @@ def with_authors(pages: DataFrame) -> DataFrame:
     return pages.where(F.size("authors") > 0)
 
 
-def posts(pages: DataFrame, ids: DataFrame, config: FeedConfig) -> DataFrame:
-    """Post rows of all pages with authors; `content` is the rewritten body."""
-    rows = with_authors(pages).join(ids.select("page_key", "post_id"), "page_key")
+def posts(pages: DataFrame, bodies: DataFrame, ids: DataFrame, config: FeedConfig) -> DataFrame:
+    """Post rows of all pages with authors; `bodies` are the rewritten ones, by `body_id`."""
+    rows = with_authors(pages).join(ids.select("page_key", "post_id"), "page_key").join(bodies, "body_id")
     return _item_columns(
         rows.select(
             "page_key",
@@ -121,12 +121,12 @@ def post_terms(pages: DataFrame, ids: DataFrame) -> DataFrame:
     return categories.unionByName(authors)
 
 
-def thread_comments(responses: DataFrame, pages: DataFrame, ids: DataFrame) -> DataFrame:
+def thread_comments(ws: Workspace, responses: DataFrame, pages: DataFrame, ids: DataFrame) -> DataFrame:
     """Responses that become comments: with authors, on a page that became a post."""
     parents = (
         with_authors(pages).select("page_key", "page_order").join(ids.select("page_key", "post_id"), "page_key")
     )
-    return lookup(with_authors(responses), parents, "page_key", "inner")
+    return lookup(ws, with_authors(responses), parents, "page_key", "inner")
 
 
 def number_comments(ws: Workspace, threaded: DataFrame) -> DataFrame:
@@ -135,11 +135,11 @@ def number_comments(ws: Workspace, threaded: DataFrame) -> DataFrame:
     return global_rank(ws, threaded, order, "comment_id", "comment-ids")
 
 
-def comments(numbered: DataFrame, bodies: DataFrame, authors: DataFrame) -> DataFrame:
+def comments(ws: Workspace, numbered: DataFrame, bodies: DataFrame, authors: DataFrame) -> DataFrame:
     """Comment rows. `numbered` has `body_id` and `first_author`; several authors are
     named ahead of the body."""
     dim = authors.select(F.col("display_name").alias("first_author"), "author_id")
-    rows = lookup(numbered, dim, "first_author", "left").join(bodies, "body_id")
+    rows = lookup(ws, numbered, dim, "first_author", "left", staged=True).join(bodies, "body_id")
     names = F.concat(F.lit("[Authors: "), F.array_join("authors", ", "), F.lit("]\n\n"))
     body = F.coalesce("content", F.lit(""))
     return rows.select(
@@ -160,21 +160,16 @@ def comments(numbered: DataFrame, bodies: DataFrame, authors: DataFrame) -> Data
     )
 
 
-def attachment_items(
-    ws: Workspace, media_refs: DataFrame, pages: DataFrame, ids: DataFrame, manifest: DataFrame, config: FeedConfig
-) -> DataFrame:
-    """One item per media file and kind, owned by the first post that shows it.
-
-    Ids continue after the highest post id: by post, attachments before images, then hash.
-    """
+def shown_media(ws: Workspace, media_refs: DataFrame, pages: DataFrame, ids: DataFrame) -> DataFrame:
+    """Each media file and kind with the first post that shows it, and that post's author."""
     owners = (
         with_authors(pages)
         .select("page_key", "page_order", slug(first_author(F.col("authors"))).alias("creator"))
         .join(ids.select("page_key", "post_id"), "page_key")
     )
-    shown = lookup(media_refs.select("page_key", "kind", "kind_rank", "file_hash"), owners, "page_key", "inner")
+    shown = lookup(ws, media_refs, owners, "page_key", "inner", staged=True)
     first = F.min(F.struct("page_order", "kind_rank", "post_id", "creator")).alias("f")
-    firsts = shown.groupBy("kind", "file_hash").agg(first).select(
+    return shown.groupBy("kind", "file_hash").agg(first).select(
         "kind",
         "file_hash",
         F.col("f.page_order").alias("page_order"),
@@ -182,10 +177,19 @@ def attachment_items(
         F.col("f.post_id").alias("post_parent"),
         F.col("f.creator").alias("creator"),
     )
+
+
+def attachment_items(
+    ws: Workspace, shown: DataFrame, ids: DataFrame, manifest: DataFrame, config: FeedConfig
+) -> DataFrame:
+    """One item per media file and kind, owned by the first post that shows it.
+
+    Ids continue after the highest post id: by post, attachments before images, then hash.
+    """
     files = manifest.select("file_hash", "archive_name", "created")
     order = [F.col("page_order"), F.col("kind_rank"), F.col("file_hash")]
     start = F.coalesce(ids.agg(F.max("post_id")).scalar(), F.lit(0)) + 1
-    ranked = global_rank(ws, firsts.join(files, "file_hash"), order, "post_id", "item-ids", start)
+    ranked = global_rank(ws, shown.join(files, "file_hash"), order, "post_id", "item-ids", start)
     name = F.col("archive_name")
     media_url = F.concat(F.lit(config.base_source_media_url), name)
     return _item_columns(

@@ -12,22 +12,23 @@ MEDIA_KINDS = ("attachment", "image")
 KEY_IN_BODY = r"(?:href|src)=\"([0-9a-f]{32})\""
 
 
-def resolve_links(links: DataFrame, path_map: DataFrame) -> DataFrame:
-    """Page links with the page they lead to (`target_key`), NULL when no page has the path."""
-    pages = links.where("kind = 'page'")
-    targets = path_map.select(F.col("path").alias("ref_path"), F.col("page_key").alias("target_key"))
-    return lookup(pages, targets, "ref_path", "left").withColumn("ref_key", F.md5("ref_path"))
+def resolve_links(ws: Workspace, links: DataFrame, path_map: DataFrame) -> DataFrame:
+    """Links with the page they lead to (`target_key`) and their key; NULL when no page has the path."""
+    targets = path_map.select(F.col("path").alias("page_ref"), F.col("page_key").alias("target_key"))
+    asked = links.withColumn("page_ref", F.when(F.col("kind") == "page", F.col("ref_path")))
+    found = lookup(ws, asked, targets, "page_ref", "left")
+    return found.withColumn("link_key", F.md5("page_ref")).drop("page_ref")
 
 
-def resolve_media(links: DataFrame, media: DataFrame) -> DataFrame:
-    """Attachment and image links with their file's hash, NULL when the file is missing."""
-    wanted = links.where(F.col("kind").isin(*MEDIA_KINDS))
-    files = media.select(F.col("path").alias("ref_path"), F.col("file_hash").alias("ref_key"))
-    return lookup(wanted, files, "ref_path", "left")
+def resolve_media(ws: Workspace, links: DataFrame, media: DataFrame) -> DataFrame:
+    """Links with the hash of the file they show (`file_hash`), NULL when the file is missing."""
+    files = media.select(F.col("path").alias("media_ref"), "file_hash")
+    asked = links.withColumn("media_ref", F.when(F.col("kind").isin(*MEDIA_KINDS), F.col("ref_path")))
+    return lookup(ws, asked, files, "media_ref", "left").drop("media_ref")
 
 
 def dangling_links(resolved: DataFrame) -> DataFrame:
-    return resolved.where("target_key is null").select("page_path", "pos", "href", "ref_path")
+    return resolved.where("kind = 'page' and target_key is null").select("page_path", "pos", "href", "ref_path")
 
 
 def merge_links(refs: DataFrame, by: tuple[str, ...] = ("page_key",)) -> DataFrame:
@@ -77,13 +78,17 @@ def page_tag_pairs(links: Column) -> Column:
     )
 
 
-def keyed_bodies(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Bodies with each resolvable link's target replaced by its key."""
-    joined = documents.join(pairs.withColumnRenamed("page_path", "path"), "path", "left")
+def keyed_bodies(bodies: DataFrame, links: DataFrame, media_refs: DataFrame) -> DataFrame:
+    """Bodies with each resolvable link's target replaced by its key.
+
+    `bodies` (path, content) are joined by their unique path, so they are shuffled once.
+    """
+    own = links.select("path", page_tag_pairs(F.col("links")).alias("page_pairs"))
+    media = media_tag_pairs(media_refs).withColumnRenamed("page_path", "path")
+    pairs = own.join(media, "path", "left")
     none = F.expr("cast(array() as array<struct<old string, new string>>)")
-    body = replace_all(F.col("content"), page_tag_pairs(F.col("links")))
-    body = replace_all(body, F.coalesce("media_pairs", none))
-    return joined.withColumn("content", body).drop("links", "media_pairs")
+    all_pairs = F.concat("page_pairs", F.coalesce("media_pairs", none))
+    return bodies.join(pairs, "path").select("path", replace_all(F.col("content"), all_pairs).alias("content"))
 
 
 def body_keys(bodies: DataFrame) -> DataFrame:
@@ -92,25 +97,23 @@ def body_keys(bodies: DataFrame) -> DataFrame:
     return bodies.select("body_id", F.explode(keys).alias("key"))
 
 
-def url_pairs(keys: DataFrame, page_urls: DataFrame, media_urls: DataFrame) -> DataFrame:
-    """Per body, what to replace: page keys only right after ``<a``, media keys anywhere.
+def url_targets(page_urls: DataFrame, media_urls: DataFrame) -> DataFrame:
+    """Keys of pages and files with their URLs: `key, url, is_page`."""
+    pages = page_urls.select("key", "url", F.lit(True).alias("is_page"))
+    return pages.unionByName(media_urls.select("key", "url", F.lit(False).alias("is_page")))
 
-    `page_urls` and `media_urls` map a key to a URL, one row per key.
-    """
+
+def url_pairs(ws: Workspace, keys: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per body, what to replace: page keys only right after ``<a``, media keys anywhere."""
     quoted = lambda lead, value: F.concat(F.lit(f'{lead}="'), value, F.lit('"'))
     key, url = F.col("key"), F.col("url")
     page = F.array(_pairs(quoted("<a href", key), quoted("<a href", url)))
     media = F.array(
         _pairs(quoted("href", key), quoted("href", url)), _pairs(quoted("src", key), quoted("src", url))
     )
-    targets = page_urls.select("key", "url", F.lit(True).alias("is_page")).unionByName(
-        media_urls.select("key", "url", F.lit(False).alias("is_page"))
-    )
-    # A key is a path's hash or a file's hash: one row per key, as a lookup needs.
-    targets = targets.groupBy("key").agg(F.max(F.struct("is_page", "url")).alias("t"))
-    found = lookup(keys, targets.select("key", "t.is_page", "t.url"), "key", "inner")
+    found = lookup(ws, keys, targets, "key", "inner")
     rows = found.select("body_id", F.explode(F.when(F.col("is_page"), page).otherwise(media)).alias("p"))
-    # Bounded: a group is the distinct keys of one body's own text.
+    # Bounded: a group is the distinct keys of one body's own text. Sorted, pages come first.
     return rows.groupBy("body_id").agg(F.array_sort(F.collect_set("p")).alias("pairs"))
 
 

@@ -33,7 +33,7 @@ def listing_links(listings: DataFrame) -> DataFrame:
         F.col("pos").cast("bigint").alias("pos"),
         html_unescape(strip_tags(anchor)).alias("title"),
         attribute(F.regexp_extract(anchor, r"(?s)^<[^>]*>", 0), "href").alias("href"),
-        F.trim(html_unescape(strip_tags(tail))).try_cast("bigint").alias("page_number"),
+        F.trim(strip_tags(tail)).try_cast("bigint").alias("page_number"),
     )
 
 
@@ -68,22 +68,19 @@ def orphan_responses(threaded: DataFrame) -> DataFrame:
     return threaded.where("is_response and entry_key is null").select("contents_file", "pos", "title", "href")
 
 
-def contents_index(threaded: DataFrame, root_dir: str) -> DataFrame:
+def contents_index(links: DataFrame, root_dir: str) -> DataFrame:
     """One entry per (title, number): the first sighting gives its URL and its place."""
-    first = F.struct("contents_file", "pos")
-    entries = (
-        threaded.where("not is_response")
-        .groupBy("entry_key", "title", "page_number")
-        .agg(F.min(F.struct(first.alias("at"), F.col("href"))).alias("f"), F.count("*").alias("n_sightings"))
-    )
+    pages = links.where(~F.col("title").startswith(RESPONSE_MARK))
+    first = F.min(F.struct("contents_file", "pos", "href")).alias("f")
+    entries = pages.groupBy("title", "page_number").agg(first, F.count("*").alias("n_sightings"))
     return entries.select(
-        "entry_key",
+        entry_key(F.col("title"), F.col("page_number")).alias("entry_key"),
         "title",
         "page_number",
         F.col("f.href").alias("href"),
         listed_path(root_dir, F.col("f.href")).alias("path"),
-        F.col("f.at.contents_file").alias("first_file"),
-        F.col("f.at.pos").alias("first_pos"),
+        F.col("f.contents_file").alias("first_file"),
+        F.col("f.pos").alias("first_pos"),
         "n_sightings",
     )
 
@@ -107,9 +104,9 @@ def entry_responses(threaded: DataFrame, root_dir: str) -> DataFrame:
     )
 
 
-def listed_paths(threaded: DataFrame, root_dir: str) -> DataFrame:
+def listed_paths(links: DataFrame, root_dir: str) -> DataFrame:
     """Paths of all listing links, ignored responses included."""
-    return threaded.select(listed_path(root_dir, F.col("href")).alias("path")).distinct()
+    return links.select(listed_path(root_dir, F.col("href")).alias("path")).distinct()
 
 
 def unlisted_documents(documents: DataFrame, listed: DataFrame) -> DataFrame:

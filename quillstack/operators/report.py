@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def count_of(df: DataFrame, value: Column | None = None) -> Column:
-    """A count (or another aggregate) of a table as a scalar subquery."""
-    return df.agg((F.count("*") if value is None else value).alias("n")).scalar()
 
+def one_row(groups: Sequence[DataFrame]) -> DataFrame:
+    """One row from several one-row aggregates, their columns side by side as counts.
 
-def one_row(spark: SparkSession, **values: Column) -> DataFrame:
-    """One row of named metrics; each metric is its own small aggregation."""
-    return spark.range(1).select(
-        *[F.coalesce(v, F.lit(0)).cast("bigint").alias(k) for k, v in values.items()]
-    )
+    The rows are stacked and summed per column, so nothing is joined.
+    """
+    names = [c for g in groups for c in g.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+    return stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names])

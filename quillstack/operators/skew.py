@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,13 +25,32 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     return items.select(F.explode(F.col("top.item")).alias(key))
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+def size_estimate(df: DataFrame) -> int:
+    """The optimizer's size estimate of a table in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a table's size estimate is under the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size_estimate(df) <= limit
+
+
+def lookup(
+    ws: Workspace, facts: DataFrame, dim: DataFrame, key: str, how: str = "left", staged: bool = False
+) -> DataFrame:
     """Join facts of any skew to a table with one row per key (`left` or `inner`).
 
-    Rows of the most frequent keys are joined by broadcasting those keys' dimension rows
-    (at most `HOT_KEYS`, whatever the data's size); all other rows are shuffled by key.
-    Rows without a key never reach the shuffle. Give staged tables: facts are read twice.
+    A dimension under the broadcast limit is joined as it is, without a shuffle. Beyond it,
+    rows of the most frequent keys meet a broadcast of those keys' dimension rows (at most
+    `HOT_KEYS`, whatever the data's size), and all other rows are shuffled by key. Rows
+    without a key never reach the shuffle. That way reads facts more than once, so they are
+    written first unless they are `staged` already.
     """
+    if fits_broadcast(dim):
+        return facts.join(dim, key, how)
+    if not staged:
+        facts = ws.keep(facts, f"facts-{key}")
     hot = heavy_keys(facts, key)
     hot_dim = dim.join(F.broadcast(hot), key, "left_semi")
     by_broadcast = facts.join(F.broadcast(hot_dim), key, "inner")
@@ -46,24 +66,20 @@ def global_rank(
 ) -> DataFrame:
     """Dense numbers `start, start+1, ...` along a unique sort key, without a one-task window.
 
-    A range-partitioned sort numbers each partition's rows; the table is written once, so
-    that the boundaries stay fixed, and the partitions' offsets (one row per partition)
-    are broadcast back.
+    A range-partitioned sort numbers each partition's rows. The table is written once, so
+    that the partitions stay as they are; their offsets, one number per partition, are all
+    that the driver sees.
     """
     numbered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     numbered = ws.keep(numbered, name)
     part = F.shiftright(F.col("_mid"), 33)
     within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    sizes = dict(numbered.groupBy(part.alias("part")).agg(F.max(within) + 1).collect())
+    before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0)
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     start = F.lit(start) if isinstance(start, int) else start
-    return (
-        numbered.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(out, (F.col("_offset") + within + start).cast("bigint"))
-        .drop("_part", "_offset", "_mid")
-    )
+    rank = F.get(offsets, part.cast("int")) + within + start
+    return numbered.withColumn(out, rank.cast("bigint")).drop("_mid")
 
 
 def carry_forward(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillstack.config import ArchiveConfig
 from quillstack.functions.dates import epoch_seconds
 from quillstack.operators import canon, dims, extract, links, listing, media
-from quillstack.operators.report import count_of, one_row
+from quillstack.operators.report import one_row
 from quillstack.operators.skew import lookup
 from quillstack.sources import archive as store
 from quillstack.sources.workspace import Workspace
@@ -23,7 +23,9 @@ class ArchivePlan:
     documents  path, html (NULL for a binary file)
     media      path, content
 
-    Tables that several later steps read are written once to the run's workspace.
+    Narrow tables that several later steps read are written once to the run's workspace.
+    Bodies are never written on the way: they are cut from the documents again where a
+    result needs them, which costs a scan but no second copy of the corpus.
     """
 
     def __init__(
@@ -44,23 +46,27 @@ class ArchivePlan:
 
     # --- listings -------------------------------------------------------------------------
 
+    @cached_property
+    def listing_links(self) -> DataFrame:
+        return self.ws.keep(listing.listing_links(self.listings), "listing-links")
+
     @cached_property
     def threaded(self) -> DataFrame:
-        return self.ws.keep(listing.thread_listing(listing.listing_links(self.listings)), "threaded")
+        return listing.thread_listing(self.listing_links)
 
     @cached_property
     def entries(self) -> DataFrame:
-        return self.ws.keep(listing.contents_index(self.threaded, self.config.root_dir), "entries")
+        return listing.contents_index(self.listing_links, self.config.root_dir)
 
     @cached_property
     def responses(self) -> DataFrame:
-        return self.ws.keep(listing.entry_responses(self.threaded, self.config.root_dir), "responses")
+        return listing.entry_responses(self.threaded, self.config.root_dir)
 
     # --- documents ------------------------------------------------------------------------
 
     @cached_property
     def documents(self) -> DataFrame:
-        """Extracted documents; bodies, metadata and link arrays in one columnar table."""
+        """All documents with their metadata, identity, links and reject reason."""
         return self.ws.keep(extract.extract_documents(self.source_documents, self.config), "documents")
 
     @cached_property
@@ -69,7 +75,7 @@ class ArchivePlan:
 
     @cached_property
     def unlisted(self) -> DataFrame:
-        paths = listing.listed_paths(self.threaded, self.config.root_dir)
+        paths = listing.listed_paths(self.listing_links, self.config.root_dir)
         found = listing.unlisted_documents(self.valid.select("path", "page_key"), paths)
         return self.ws.keep(found, "unlisted")
 
@@ -85,11 +91,12 @@ class ArchivePlan:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return self.ws.keep(canon.resolve_entries(self.entries, self.valid), "resolved")
+        entries = self.entries.select("entry_key", "path", "first_file", "first_pos")
+        return self.ws.keep(canon.resolve_entries(self.ws, entries, self.valid), "resolved")
 
     @cached_property
     def canonical(self) -> DataFrame:
-        return self.ws.keep(canon.canonical_pages(self.resolved), "canonical")
+        return canon.canonical_pages(self.resolved)
 
     @cached_property
     def orphans(self) -> DataFrame:
@@ -102,9 +109,10 @@ class ArchivePlan:
 
     @cached_property
     def parents(self) -> DataFrame:
-        """Responses that have a readable document, with their parent's identity."""
-        threaded = canon.response_parents(self.responses, self.resolved, self.canonical)
-        return self.ws.keep(threaded.join(self.valid.select("path"), "path", "left_semi"), "parents")
+        """Responses that have a readable document, with their parent's identity and order."""
+        marked = canon.mark_canonical(self.ws, self.resolved, self.ordered)
+        found = canon.response_parents(self.ws, self.responses, marked)
+        return self.ws.keep(found.join(self.valid.select("path"), "path", "left_semi"), "parents")
 
     @cached_property
     def path_map(self) -> DataFrame:
@@ -118,92 +126,98 @@ class ArchivePlan:
     def owners(self) -> DataFrame:
         """The documents that reach the archive: canonical pages and their responses."""
         pages = self.ordered.select("path", "page_key", "page_order", "is_orphan", F.lit(0).alias("role"))
-        kept = self.parents.where("kept").select("path", "page_key", "first_file", "first_pos")
-        order = self.ordered.select("page_key", "page_order", "is_orphan")
-        responses = lookup(kept, order, "page_key", "inner").withColumn("role", F.lit(1))
-        return self.ws.keep(pages.unionByName(responses, allowMissingColumns=True), "owners")
+        responses = self.parents.where("kept").select(
+            "path", "page_key", "page_order", F.lit(False).alias("is_orphan"), F.lit(1).alias("role"),
+            "first_file", "first_pos",
+        )
+        return pages.unionByName(responses, allowMissingColumns=True)
 
     # --- links and media ------------------------------------------------------------------
 
     @cached_property
-    def links(self) -> DataFrame:
-        """Links of the archived documents, one row each, with their owner's place."""
-        docs = self.valid.select("path", "created", "links")
-        rows = self.owners.join(docs, "path").withColumnRenamed("path", "page_path")
-        exploded = rows.select(*[c for c in rows.columns if c != "links"], F.explode("links").alias("l"))
-        known = exploded.select(*[c for c in exploded.columns if c != "l"], "l.*").where("kind <> 'other'")
-        return self.ws.keep(known, "links")
+    def details(self) -> DataFrame:
+        """The archived documents with all that is known of them, short of their bodies."""
+        return self.ws.keep(self.owners.join(self.valid.drop("page_key", "reject_reason"), "path"), "details")
 
     @cached_property
-    def page_links(self) -> DataFrame:
-        return self.ws.keep(links.resolve_links(self.links, self.path_map), "page-links")
+    def links(self) -> DataFrame:
+        """Links of the archived documents, one row each, with their owner's place."""
+        place = ["page_key", "page_order", "role", "first_file", "first_pos", "created"]
+        rows = self.details.select(F.col("path").alias("page_path"), *place, F.explode("links").alias("l"))
+        return rows.select("page_path", *place, "l.*").where("kind <> 'other'")
 
     @cached_property
     def hashed_media(self) -> DataFrame:
         return self.ws.keep(media.hash_media(self.media_files), "media")
 
     @cached_property
-    def media_links(self) -> DataFrame:
-        return self.ws.keep(links.resolve_media(self.links, self.hashed_media), "media-links")
+    def refs(self) -> DataFrame:
+        """Links with what they lead to: a page (`target_key`) or a file (`file_hash`)."""
+        pages = links.resolve_links(self.ws, self.links, self.path_map)
+        return self.ws.keep(links.resolve_media(self.ws, pages, self.hashed_media), "refs")
+
+    @cached_property
+    def media_refs(self) -> DataFrame:
+        return self.refs.where(F.col("kind").isin(*links.MEDIA_KINDS)).withColumn("ref_key", F.col("file_hash"))
+
+    @cached_property
+    def page_refs(self) -> DataFrame:
+        return self.refs.where("kind = 'page'").withColumn("ref_key", F.col("link_key"))
 
     @cached_property
     def dangling(self) -> DataFrame:
-        return links.dangling_links(self.page_links)
+        return links.dangling_links(self.refs)
 
     @cached_property
     def unresolved_media(self) -> DataFrame:
-        return self.media_links.where("ref_key is null").select("page_path", "pos", "kind", "href", "ref_path")
+        return self.media_refs.where("ref_key is null").select("page_path", "pos", "kind", "href", "ref_path")
 
     @cached_property
-    def merged_page_links(self) -> DataFrame:
-        return self.ws.keep(
-            links.merge_links(self.page_links.where("target_key is not null")), "merged-page-links"
-        )
+    def merged(self) -> DataFrame:
+        """References of each page with its responses' merged in, one per (page, kind, key)."""
+        key = F.coalesce("file_hash", F.when(F.col("target_key").isNotNull(), F.col("link_key")))
+        return self.ws.keep(links.merge_links(self.refs.withColumn("ref_key", key)), "merged")
 
     @cached_property
-    def merged_media(self) -> DataFrame:
-        return self.ws.keep(media.page_media(links.merge_links(self.media_links)), "merged-media")
+    def merged_page_links(self) -> DataFrame:
+        return self.merged.where("kind = 'page'").select("page_key", "ref_key", "target_key")
 
     @cached_property
-    def merged_links(self) -> DataFrame:
-        """Links, attachments and images of each page, its responses' merged in."""
-        columns = ("page_key", "kind", "ref_key", "ref_path", "owner_path", "from_response", "n_refs")
-        files = self.merged_media.withColumnRenamed("file_hash", "ref_key").withColumnRenamed("src_path", "ref_path")
-        return self.merged_page_links.select(*columns).unionByName(files.select(*columns))
+    def merged_media(self) -> DataFrame:
+        return media.page_media(self.merged.drop("target_key"))
 
     @cached_property
     def manifest(self) -> DataFrame:
         return self.ws.keep(media.media_manifest(self.merged_media), "manifest")
 
-    # --- bodies ---------------------------------------------------------------------------
-
-    @cached_property
-    def keyed(self) -> DataFrame:
-        """Archived documents with keyed bodies, one row per owner."""
-        docs = self.valid.select(
-            "path", "title", "page_no", "authors", "categories", "created", "content", "links"
-        ).join(self.owners.select("path"), "path", "left_semi")
-        bodies = links.keyed_bodies(docs, links.media_tag_pairs(self.media_links))
-        return self.ws.keep(self.owners.join(bodies, "path"), "keyed")
+    # --- pages, responses and bodies ------------------------------------------------------
 
     @cached_property
     def pages(self) -> DataFrame:
-        return self.keyed.where("role = 0").select(
-            "page_key", "page_order", "is_orphan", "path", "title", "page_no", "authors", "categories",
-            "created", "content",
+        return self.details.where("role = 0").select(
+            "page_key", "page_order", "is_orphan", "path", "title", "page_no", "authors", "categories", "created"
         )
 
     @cached_property
     def page_responses(self) -> DataFrame:
-        return self.keyed.where("role = 1").select(
-            "page_key", "path", "first_file", "first_pos", "authors", "created", "content"
+        return self.details.where("role = 1").select(
+            "page_key", "page_order", "path", "first_file", "first_pos", "authors", "created"
         )
 
+    @cached_property
+    def bodies(self) -> DataFrame:
+        """Keyed bodies by document path, for the documents that reach the archive.
+
+        A document that answers several pages has one body.
+        """
+        cut = extract.document_bodies(self.source_documents)
+        return links.keyed_bodies(cut, self.details.select("path", "links").dropDuplicates(["path"]), self.media_refs)
+
     # --- dimensions -----------------------------------------------------------------------
 
     def _names(self, column: str) -> DataFrame:
-        kept = self.owners if self.config.include_orphans else self.owners.where("not is_orphan")
-        return dims.distinct_names(kept.select("path").join(self.valid.select("path", column), "path"), column)
+        kept = self.details if self.config.include_orphans else self.details.where("not is_orphan")
+        return dims.distinct_names(kept, column)
 
     @cached_property
     def authors(self) -> DataFrame:
@@ -215,6 +229,21 @@ class ArchivePlan:
 
     # --- results --------------------------------------------------------------------------
 
+    @cached_property
+    def parts(self) -> DataFrame:
+        """Which stored row each response goes to (`part`): the page's own, '' ...
+
+        unless the page has more than `responses_per_part`; then one per listing stretch.
+        """
+        size = self.config.responses_per_part
+        kept = self.parents.where("kept").select("path", "page_key", "first_file", "first_pos")
+        counts = kept.groupBy("page_key").agg(F.count("*").alias("n"))
+        large = counts.where(F.col("n") > size).select("page_key", F.lit(True).alias("is_large"))
+        place = F.concat("first_file", F.lit(":"), F.floor(F.col("first_pos") / size).cast("string"))
+        placed = lookup(self.ws, kept, large, "page_key", "left", staged=True)
+        rows = placed.select("path", "page_key", F.when(F.col("is_large"), place).otherwise("").alias("part"))
+        return self.ws.keep(rows, "parts")
+
     @cached_property
     def archived(self) -> DataFrame:
         """Nested page rows in the stored form.
@@ -223,15 +252,6 @@ class ArchivePlan:
         further rows of the same key, cut by listing position, so that no row grows without
         bound; every row lists the links its own bodies use.
         """
-        size = self.config.responses_per_part
-        counts = self.page_responses.groupBy("page_key").agg(F.count("*").alias("n"))
-        large = counts.where(F.col("n") > size).select("page_key", F.lit(True).alias("is_large"))
-        place = F.concat("first_file", F.lit(":"), F.floor(F.col("first_pos") / size).cast("string"))
-        placed = lookup(self.owners.where("role = 1").select("path", "page_key", "first_file", "first_pos"),
-                        large, "page_key", "left")
-        parts = placed.select("path", "page_key", F.when(F.col("is_large"), place).otherwise("").alias("part"))
-        parts = self.ws.keep(parts, "parts")
-
         authors = F.struct(F.col("authors").alias("author"))
         response = F.struct(
             "first_file", "first_pos",
@@ -241,39 +261,35 @@ class ArchivePlan:
             ).alias("r"),
         )
         responses = (
-            self.page_responses.join(parts, ["path", "page_key"])
+            self.page_responses.join(self.parts, ["path", "page_key"])
+            .join(self.bodies, "path")
             .groupBy("page_key", "part")
             .agg(F.array_sort(F.collect_list(response)).alias("rs"))
             .select("page_key", "part", F.struct(F.col("rs.r").alias("response")).alias("responses"))
         )
-        refs = self._part_links(parts)
-        own = self.pages.select(
+        own = self.pages.join(self.bodies, "path").select(
             "page_key", F.lit("").alias("part"), "page_order", "is_orphan", "path", "title",
             F.col("page_no").alias("page"), epoch_seconds(F.col("created")).alias("created"),
             authors.alias("authors"), F.struct(F.col("categories").alias("category")).alias("categories"), "content",
         )
-        rows = own.join(responses.join(refs, ["page_key", "part"], "full"), ["page_key", "part"], "full")
-        return rows.select(
+        rest = responses.join(self._part_links(), ["page_key", "part"], "full")
+        return own.join(rest, ["page_key", "part"], "full").select(
             F.col("page_key").alias("_key"), F.col("part").alias("_part"), F.col("page_order").alias("_order"),
             F.col("is_orphan").alias("_orphan"), F.col("path").alias("_path"), "title", "page", "created",
             "authors", "categories", "content", "attachments", "images", "urls", "responses",
         )
 
-    def _part_links(self, parts: DataFrame) -> DataFrame:
+    def _part_links(self) -> DataFrame:
         """Links of each stored row as arrays of (stored name, key)."""
-        keyed = ("page_path", "page_key", "role", "first_file", "first_pos", "pos", "kind", "ref_key")
-        pages = self.page_links.where("target_key is not null").select(
+        keyed = ("page_path", "page_key", "kind", "ref_key")
+        pages = self.page_refs.where("target_key is not null").select(
             *keyed, F.concat("target_key", F.lit(".xml")).alias("target")
         )
-        files = lookup(
-            self.media_links.where("ref_key is not null").select(*keyed),
-            self.manifest.select(F.col("file_hash").alias("ref_key"), F.col("archive_name").alias("target")),
-            "ref_key",
-            "inner",
-        )
-        rows = pages.unionByName(files).join(
-            parts.select(F.col("path").alias("page_path"), "page_key", "part"), ["page_path", "page_key"], "left"
-        )
+        names = self.manifest.select(F.col("file_hash").alias("ref_key"), F.col("archive_name").alias("target"))
+        shown = self.media_refs.where("ref_key is not null").select(*keyed)
+        files = lookup(self.ws, shown, names, "ref_key", "inner", staged=True)
+        place = self.parts.select(F.col("path").alias("page_path"), "page_key", "part")
+        rows = pages.unionByName(files).join(place, ["page_path", "page_key"], "left")
         distinct = rows.select(
             "page_key", F.coalesce("part", F.lit("")).alias("part"), "kind", "ref_key", "target"
         ).distinct()
@@ -289,40 +305,48 @@ class ArchivePlan:
     @cached_property
     def duplicates(self) -> DataFrame:
         """Copies and what they copy: pages by path, media by the file first stored."""
-        entries = self.resolved.join(self.canonical.select("entry_key"), "entry_key", "left_anti")
-        pages = canon.copies_of(entries.unionByName(self.unlisted, allowMissingColumns=True), self.ordered)
-        firsts = self.manifest.select("file_hash", F.col("src_path").alias("original_path"),
-                                      "first_page_key", "first_kind")
-        files = lookup(self.merged_media.select("file_hash", "page_key", "kind", "src_path"), firsts, "file_hash", "inner")
-        copies = files.where("page_key <> first_page_key or kind <> first_kind")
-        return (
-            pages.where("path <> original_path").select(F.lit("page").alias("kind"), "path", "original_path", "page_key")
-            .unionByName(copies.select("kind", F.col("src_path").alias("path"), "original_path", "page_key"))
+        firsts = self.ordered.where("not is_orphan").select("entry_key")
+        entries = self.resolved.join(firsts, "entry_key", "left_anti")
+        copies = entries.unionByName(self.unlisted, allowMissingColumns=True)
+        pages = canon.copies_of(self.ws, copies, self.ordered).where("path <> original_path")
+        originals = self.manifest.select(
+            "file_hash", F.col("src_path").alias("original_path"), "first_page_key", "first_kind"
+        )
+        shown = self.merged_media.select("file_hash", "page_key", "kind", "src_path")
+        files = lookup(self.ws, shown, originals, "file_hash", "inner", staged=True)
+        again = files.where("page_key <> first_page_key or kind <> first_kind")
+        return pages.select(F.lit("page").alias("kind"), "path", "original_path", "page_key").unionByName(
+            again.select("kind", F.col("src_path").alias("path"), "original_path", "page_key")
         )
 
     @cached_property
     def summary(self) -> DataFrame:
-        kinds = lambda k: count_of(self.merged_media.where(F.col("kind") == k))
-        orphan_rows = self.ordered.where("is_orphan").agg(F.sum("n_copies")).scalar()
-        return one_row(
-            self.spark,
-            listing_files=count_of(self.threaded, F.count_distinct("contents_file")),
-            listed_pages=count_of(self.entries),
-            responses=count_of(self.responses),
-            unlisted_documents=count_of(self.unlisted),
-            pages=count_of(self.canonical) + F.coalesce(orphan_rows, F.lit(0)),
-            distinct_pages=count_of(self.ordered),
-            orphans=orphan_rows,
-            media_items=count_of(self.merged_media),
-            images=kinds("image"),
-            attachments=kinds("attachment"),
-            media_files=count_of(self.manifest),
-            internal_urls=count_of(self.merged_page_links),
-            dangling_links=count_of(self.dangling),
-            authors=count_of(self.authors),
-            categories=count_of(self.categories),
-            rejected=count_of(self.rejected),
-        )
+        """The run's counts in one row; `pages` and `orphans` count equal orphans each."""
+        orphan = F.col("is_orphan")
+        kind = lambda k: F.count_if(F.col("kind") == k)
+        groups = [
+            self.listing_links.agg(F.count_distinct("contents_file").alias("listing_files")),
+            self.entries.agg(F.count("*").alias("listed_pages")),
+            self.responses.agg(F.count("*").alias("responses")),
+            self.unlisted.agg(F.count("*").alias("unlisted_documents")),
+            self.ordered.agg(
+                F.sum(F.when(orphan, F.col("n_copies")).otherwise(1)).alias("pages"),
+                F.count("*").alias("distinct_pages"),
+                F.sum(F.when(orphan, F.col("n_copies"))).alias("orphans"),
+            ),
+            self.merged.agg(
+                F.count_if(F.col("kind") != "page").alias("media_items"),
+                kind("image").alias("images"),
+                kind("attachment").alias("attachments"),
+                kind("page").alias("internal_urls"),
+            ),
+            self.manifest.agg(F.count("*").alias("media_files")),
+            self.dangling.agg(F.count("*").alias("dangling_links")),
+            self.authors.agg(F.count("*").alias("authors")),
+            self.categories.agg(F.count("*").alias("categories")),
+            self.rejected.agg(F.count("*").alias("rejected")),
+        ]
+        return one_row(groups)
 
     def verify(self) -> None:
         """In strict mode, fail on anything the lenient mode reports in a table."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstack.config import FeedConfig
 from quillstack.operators import dims, feed, ids, links
-from quillstack.operators.report import count_of, one_row
+from quillstack.operators.report import one_row
 from quillstack.operators.skew import lookup
 from quillstack.plans.archive import ArchivePlan
 from quillstack.sources import archive as store
@@ -19,8 +19,10 @@ from quillstack.sources.workspace import Workspace
 class FeedPlan:
     """The feed's tables, made from an archive plan or from a stored archive.
 
-    pages      page_key, page_order, title, page_no, authors, categories, created, content
-    responses  page_key, path, first_file, first_pos, authors, created, content
+    pages      page_key, body_id, page_order, title, page_no, authors, categories, created
+    responses  page_key, body_id, path, first_file, first_pos, authors, created
+    bodies     body_id, content: keyed bodies of both
+    body_keys  body_id, key: the link keys in each body
     page_refs  page_key, ref_key, target_key: links between pages
     media_refs page_key, kind, kind_rank, file_hash
     manifest   file_hash, archive_name, created
@@ -31,6 +33,8 @@ class FeedPlan:
         spark: SparkSession,
         pages: DataFrame,
         responses: DataFrame,
+        bodies: DataFrame,
+        body_keys: DataFrame,
         page_refs: DataFrame,
         media_refs: DataFrame,
         manifest: DataFrame,
@@ -42,6 +46,8 @@ class FeedPlan:
         self.spark = spark
         self.pages = pages
         self.responses = responses
+        self.bodies = bodies
+        self.body_keys = body_keys
         self.page_refs = page_refs
         self.media_refs = media_refs
         self.manifest = manifest
@@ -68,13 +74,19 @@ class FeedPlan:
             "page_key", "kind", F.when(F.col("kind") == "attachment", 0).otherwise(1).alias("kind_rank"),
             F.col("ref_key").alias("file_hash"),
         )
+        pages = store.stored_pages(stored).withColumn("body_id", F.col("page_key"))
+        response_id = F.concat_ws("|", "page_key", "first_file", "first_pos", "path")
+        responses = store.stored_responses(stored).withColumn("body_id", response_id)
+        bodies = pages.select("body_id", "content").unionByName(responses.select("body_id", "content"))
         return cls(
             spark,
-            ws.keep(store.stored_pages(stored), "stored-pages"),
-            ws.keep(store.stored_responses(stored), "stored-responses"),
+            pages.drop("content"),
+            responses.drop("content"),
+            bodies,
+            links.body_keys(bodies),
             page_refs,
             media_refs,
-            store.scan_manifest(spark, folder),
+            ws.keep(store.scan_manifest(spark, folder), "manifest"),
             store.read_names(spark, f"{folder}/authors", "author"),
             store.read_names(spark, f"{folder}/categories", "category"),
             config,
@@ -85,7 +97,7 @@ class FeedPlan:
 
     @cached_property
     def ids(self) -> DataFrame:
-        return self.ws.keep(ids.post_ids(self.ws, self.pages), "post-ids")
+        return ids.post_ids(self.ws, self.pages)
 
     @cached_property
     def terms(self) -> DataFrame:
@@ -101,39 +113,34 @@ class FeedPlan:
 
     # --- bodies ---------------------------------------------------------------------------
 
-    def _rewritten(self, bodies: DataFrame) -> DataFrame:
-        """Bodies (`body_id, content`) with their keys replaced by URLs."""
-        keys = self.ws.keep(links.body_keys(bodies), "body-keys")
-        return links.rewrite_bodies(bodies, links.url_pairs(keys, self.page_url_map, self.media_url_map))
-
     @cached_property
     def page_url_map(self) -> DataFrame:
+        """Link keys and the URLs of the posts they lead to."""
         targets = self.page_refs.groupBy(F.col("ref_key").alias("key")).agg(
             F.min("target_key").alias("target_key")
         )
-        targets = self.ws.keep(targets, "link-targets")
-        return self.ws.keep(feed.page_urls(targets, self.ids, self.config), "page-urls")
+        return feed.page_urls(self.ws, targets, self.ids, self.config)
 
     @cached_property
     def media_url_map(self) -> DataFrame:
         return feed.media_urls(self.manifest, self.config)
 
     @cached_property
-    def post_bodies(self) -> DataFrame:
-        return self._rewritten(
-            feed.with_authors(self.pages).select(F.col("page_key").alias("body_id"), "content")
-        )
+    def url_targets(self) -> DataFrame:
+        return self.ws.keep(links.url_targets(self.page_url_map, self.media_url_map), "url-targets")
+
+    def rewritten(self, owners: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+        """Bodies of the given pages or responses with their keys replaced by URLs."""
+        targets = self.url_targets if targets is None else targets
+        bodies = self.bodies.join(owners.select("body_id").distinct(), "body_id", "left_semi")
+        return links.rewrite_bodies(bodies, links.url_pairs(self.ws, self.body_keys, targets))
 
     @cached_property
     def threaded_comments(self) -> DataFrame:
         """Comments-to-be without their bodies: post, place, date and authors."""
-        narrow = self.responses.select("page_key", "path", "first_file", "first_pos", "authors", "created")
-        found = feed.thread_comments(narrow, self.pages.select("page_key", "page_order", "authors"), self.ids)
-        body_id = F.md5(F.concat_ws("|", "page_key", "first_file", "first_pos", "path"))
-        return self.ws.keep(
-            found.withColumn("body_id", body_id).withColumn("first_author", feed.first_author(F.col("authors"))),
-            "comments",
-        )
+        parents = self.pages.select("page_key", "page_order", "authors")
+        found = feed.thread_comments(self.ws, self.responses.drop("page_order"), parents, self.ids)
+        return found.withColumn("first_author", feed.first_author(F.col("authors")))
 
     @cached_property
     def numbered_comments(self) -> DataFrame:
@@ -141,19 +148,14 @@ class FeedPlan:
 
     @cached_property
     def comment_bodies(self) -> DataFrame:
-        body_id = F.md5(F.concat_ws("|", "page_key", "first_file", "first_pos", "path"))
-        bodies = self.responses.select(body_id.alias("body_id"), "content").join(
-            self.threaded_comments.select("body_id"), "body_id", "left_semi"
-        )
-        return self._rewritten(self.ws.keep(bodies, "comment-bodies"))
+        return self.rewritten(self.numbered_comments)
 
     # --- result tables --------------------------------------------------------------------
 
     @cached_property
     def posts(self) -> DataFrame:
-        bodies = self.post_bodies.withColumnRenamed("body_id", "page_key")
-        pages = self.pages.drop("content").join(bodies, "page_key")
-        return self.ws.keep(feed.posts(pages, self.ids, self.config), "posts")
+        bodies = self.rewritten(feed.with_authors(self.pages))
+        return feed.posts(self.pages, bodies, self.ids, self.config)
 
     @cached_property
     def post_terms(self) -> DataFrame:
@@ -161,18 +163,21 @@ class FeedPlan:
 
     @cached_property
     def comments(self) -> DataFrame:
-        return feed.comments(self.numbered_comments, self.comment_bodies, self.authors)
+        return feed.comments(self.ws, self.numbered_comments, self.comment_bodies, self.authors)
+
+    @cached_property
+    def shown_media(self) -> DataFrame:
+        """Each media file and kind with the first post that shows it."""
+        owners = self.pages.select("page_key", "page_order", "authors")
+        return feed.shown_media(self.ws, self.media_refs, owners, self.ids)
 
     @cached_property
     def items(self) -> DataFrame:
-        return feed.attachment_items(
-            self.ws, self.media_refs, self.pages.select("page_key", "page_order", "authors"), self.ids,
-            self.manifest, self.config,
-        )
+        return feed.attachment_items(self.ws, self.shown_media, self.ids, self.manifest, self.config)
 
     @cached_property
     def channel(self) -> DataFrame:
-        return feed.channel(self.posts, self.config)
+        return feed.channel(self.pages, self.config)
 
     @cached_property
     def feed_items(self) -> DataFrame:
@@ -182,33 +187,38 @@ class FeedPlan:
     def skipped_targets(self) -> DataFrame:
         """Links to pages that have an id but, for want of an author, no post."""
         bare = self.pages.where(F.size("authors") == 0).select(F.col("page_key").alias("target_key"))
-        flagged = lookup(self.page_refs, bare.withColumn("skipped", F.lit(True)), "target_key", "inner")
+        flagged = lookup(self.ws, self.page_refs, bare, "target_key", "inner", staged=True)
         return flagged.select("page_key", "ref_key", "target_key")
 
     @cached_property
     def summary(self) -> DataFrame:
         """Counts of the feed. `urls_raw` counts a post's links again for each of its comments."""
         kept = feed.with_authors(self.pages).select("page_key")
-        per_post = self.ws.keep(
-            self.page_refs.join(kept, "page_key", "left_semi").groupBy("page_key").agg(F.count("*").alias("n_urls")),
-            "urls-per-post",
+        urls = self.page_refs.groupBy("page_key").agg(F.count("*").alias("n_urls"))
+        comments = self.threaded_comments.groupBy("page_key").agg(F.count("*").alias("n_comments"))
+        none = F.lit(0).cast("bigint")
+        per_post = (
+            kept.join(urls, "page_key", "left")
+            .join(comments, "page_key", "left")
+            .select(F.coalesce("n_urls", none).alias("n_urls"), F.coalesce("n_comments", none).alias("n_comments"))
         )
-        per_comment = self.threaded_comments.groupBy("page_key").agg(F.count("*").alias("n_comments"))
-        raw = per_post.join(per_comment, "page_key", "left").agg(
-            F.sum(F.col("n_urls") * (1 + F.coalesce("n_comments", F.lit(0))))
-        )
-        kinds = lambda k: count_of(self.items.where(F.col("kind") == k))
+        kind = lambda k: F.count_if(F.col("kind") == k)
         return one_row(
-            self.spark,
-            posts=count_of(kept),
-            comments=count_of(self.threaded_comments),
-            media_items=count_of(self.items),
-            images=kinds("image"),
-            attachments=kinds("attachment"),
-            urls_raw=raw.scalar(),
-            urls_distinct=per_post.agg(F.sum("n_urls")).scalar(),
-            authors=count_of(self.authors),
-            categories=count_of(self.category_rows),
+            [
+                per_post.agg(
+                    F.count("*").alias("posts"),
+                    F.sum("n_comments").alias("comments"),
+                    F.sum(F.col("n_urls") * (1 + F.col("n_comments"))).alias("urls_raw"),
+                    F.sum("n_urls").alias("urls_distinct"),
+                ),
+                self.shown_media.agg(
+                    F.count("*").alias("media_items"),
+                    kind("image").alias("images"),
+                    kind("attachment").alias("attachments"),
+                ),
+                self.author_names.agg(F.count("*").alias("authors")),
+                self.category_names.agg(F.count("*").alias("categories")),
+            ]
         )
 
     def write(self, folder: str) -> None:
@@ -229,7 +239,7 @@ class FeedPlan:
 
 
 class _FromPlan(FeedPlan):
-    """A feed plan whose inputs are an archive plan's tables."""
+    """A feed plan whose inputs are an archive plan's tables, each made when first asked for."""
 
     def __init__(self, plan: ArchivePlan, config: FeedConfig):
         self.spark = plan.spark
@@ -237,12 +247,19 @@ class _FromPlan(FeedPlan):
         self.config = config
         self.ws = plan.ws
 
-    pages = property(lambda self: self.plan.pages)
-    responses = property(lambda self: self.plan.page_responses)
-    page_refs = property(lambda self: self.plan.merged_page_links.select("page_key", "ref_key", "target_key"))
+    pages = property(lambda self: self.plan.pages.withColumn("body_id", F.col("path")))
+    responses = property(lambda self: self.plan.page_responses.withColumn("body_id", F.col("path")))
+    bodies = property(lambda self: self.plan.bodies.withColumnRenamed("path", "body_id"))
+    page_refs = property(lambda self: self.plan.merged_page_links)
     media_refs = property(
         lambda self: self.plan.merged_media.select("page_key", "kind", "kind_rank", "file_hash")
     )
     manifest = property(lambda self: self.plan.manifest)
     author_names = property(lambda self: self.plan.authors)
     category_names = property(lambda self: self.plan.categories)
+
+    @property
+    def body_keys(self) -> DataFrame:
+        """Known from the links already, so the bodies are not searched for them."""
+        key = F.coalesce("file_hash", "link_key").alias("key")
+        return self.plan.refs.select(F.col("page_path").alias("body_id"), key).where("key is not null")

@@ -1,7 +1,7 @@
 """A logbook derived from `documents`: its listings, HTML pages and media files.
 
 Every document becomes one entry. Copies of a text are copies of a page (same title,
-names and date); a third of the links lead to one page, a third of the images to one file.
+names and date, all taken from the text's hash); a third of the links lead to one page, a third of the images to one file.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.config import ArchiveConfig
-from quillstack.operators.skew import lookup
+from quillstack.operators.skew import size_estimate
 from quillstack.plans.archive import ArchivePlan
 from quillstack.sources.workspace import Workspace
 
@@ -22,8 +22,16 @@ LISTING_ROWS = 4096
 CONFIG = ArchiveConfig(root_dir=ROOT)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+SMALL_TABLE = 1 << 30
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table. A small file is often a single row group, which one task would read;
+    such a table is spread over the cores by `spread_by` when heavy text work follows."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread_by and size_estimate(df) < SMALL_TABLE:
+        df = df.repartition(spark.sparkContext.defaultParallelism, spread_by)
+    return df
 
 
 def _escape(column: str) -> str:
@@ -37,41 +45,37 @@ class Logbook:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.ws = Workspace(spark)
-        self.documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+        self.source = table(spark, sf_dir, "documents")
+        self.documents = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", "lang")
 
     @cached_property
     def base(self) -> DataFrame:
-        """One row per document with the fields its page is rendered from."""
-        keyed = self.documents.withColumn("_h", F.md5("text"))
-        first = keyed.groupBy("_h").agg(F.min("doc_id").alias("rep"))
-        rows = lookup(keyed, first, "_h", "inner").drop("_h")
-        rows = rows.withColumn("n", self.documents.agg(F.count("*")).scalar())
+        """One row per document with the fields its page is rendered from, a plain projection."""
+        rows = self.documents.withColumn("rep", F.expr("cast(conv(left(md5(text), 7), 16, 10) as bigint)"))
+        rows = rows.withColumn("n", self.source.agg(F.count("*")).scalar())
         one, two = NAME.format("rep % 17"), NAME.format("rep % 5")
-        return self.ws.keep(
-            rows.selectExpr(
-                "doc_id",
-                "rep",
-                "text",
-                "lang",
-                "doc_id % 4 >= 2 as is_response",
-                "regexp_extract(text, '^[^\\n]*', 0) as title",
-                f"""case when rep % 41 = 0 then ''
-                    when rep % 11 = 0 then concat({one}, ', ,', {two}, ',')
-                    when doc_id = rep then concat({one}, ', ', {two})
-                    else concat({two}, ', ', {one}) end as authors""",
-                "concat('Cat ', rep % 7, case when rep % 3 = 0 then ', Misc & more' else '' end) as categories",
-                "timestampadd(MINUTE, cast((rep % 5000000) * 37 as int), timestamp_ntz'2015-01-01 00:00:00') as created",
-                "case when doc_id % 8 = 4 then doc_id - 4 else doc_id end as list_no",
-                """case when doc_id % 50 = 0 then concat(doc_id, '.5')
-                    when doc_id % 8 = 4 then cast(doc_id - 4 as string) else cast(doc_id as string) end as page_no""",
-                "doc_id % 20 <> 9 and not (doc_id < 16 and doc_id % 4 < 2) as is_listed",
-                """doc_id >= 16 and (doc_id - doc_id % 4 + 1) % 20 <> 9 and doc_id % 12 in (1, 2, 3) as is_twice""",
-                """case when doc_id % 20 = 5 then concat('missing', doc_id) when doc_id % 3 = 0 then '17'
-                    else cast((doc_id * 7 + 1) % n as string) end as link_to""",
-                "(doc_id * 3) % n as note_of",
-                "case when doc_id % 3 = 0 then 0 else (doc_id * 5) % n end as image_of",
-            ),
-            "logbook",
+        return rows.selectExpr(
+            "doc_id",
+            "rep",
+            "text",
+            "lang",
+            "doc_id % 4 >= 2 as is_response",
+            "regexp_extract(text, '^[^\\n]*', 0) as title",
+            f"""case when rep % 41 = 0 then ''
+                when rep % 11 = 0 then concat({one}, ', ,', {two}, ',')
+                when doc_id % 2 = 0 then concat({one}, ', ', {two})
+                else concat({two}, ', ', {one}) end as authors""",
+            "concat('Cat ', rep % 7, case when rep % 3 = 0 then ', Misc & more' else '' end) as categories",
+            "timestampadd(MINUTE, cast((rep % 5000000) * 37 as int), timestamp_ntz'2015-01-01 00:00:00') as created",
+            "case when doc_id % 8 = 4 then doc_id - 4 else doc_id end as list_no",
+            """case when doc_id % 50 = 0 then concat(doc_id, '.5')
+                when doc_id % 8 = 4 then cast(doc_id - 4 as string) else cast(doc_id as string) end as page_no""",
+            "doc_id % 20 <> 9 and not (doc_id < 16 and doc_id % 4 < 2) as is_listed",
+            "doc_id >= 16 and (doc_id - doc_id % 4 + 1) % 20 <> 9 and doc_id % 12 in (1, 2, 3) as is_twice",
+            """case when doc_id % 20 = 5 then concat('missing', doc_id) when doc_id % 3 = 0 then '17'
+                else cast((doc_id * 7 + 1) % n as string) end as link_to""",
+            "(doc_id * 3) % n as note_of",
+            "case when doc_id % 3 = 0 then 0 else (doc_id * 5) % n end as image_of",
         )
 
     @cached_property

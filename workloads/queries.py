@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillstack.config import FeedConfig
 from quillstack.functions import text as T
 from quillstack.functions.dates import epoch_seconds, parse_created, post_date
-from quillstack.functions.html import attribute, link_tags, strip_top_links, tag_name
+from quillstack.functions.html import link_tags, link_target, strip_top_links, tag_name
 from quillstack.operators import extract, links, listing, media, urls
 from quillstack.operators.skew import carry_forward, lookup
 from quillstack.plans.feed import FeedPlan
@@ -48,11 +48,9 @@ def scan_documents(spark, sf_dir):
 
 
 def extract_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     tags = pages.select("page_id", F.posexplode(link_tags(F.col("html"))).alias("pos", "tag"))
-    target = F.when(tag_name(F.col("tag")) == "a", attribute(F.col("tag"), "href")).otherwise(
-        attribute(F.col("tag"), "src")
-    )
+    target = link_target(F.col("tag"))
     return tags.select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), tag_name(F.col("tag")).alias("element"), target.alias("href")
     ).where("href is not null")
@@ -60,7 +58,7 @@ def extract_links(spark, sf_dir):
 
 def decode_urls(spark, sf_dir):
     """Every text percent-encoded and decoded back, once intact and once with broken escapes."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     encoded = F.replace(F.url_encode("text"), F.lit("+"), F.lit("%20"))
     return docs.select(
         "doc_id",
@@ -71,7 +69,7 @@ def decode_urls(spark, sf_dir):
 
 def normalise_paths(spark, sf_dir):
     path = F.regexp_extract("url", r"^[a-z]+://[^/]+(/[^?#]*)", 1)
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", path.alias("path"))
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "url", path.alias("path"))
     up = F.concat("path", F.lit("/../../../../y"))
     return pages.select(
         "page_id",
@@ -100,19 +98,19 @@ def filter_urls(spark, sf_dir):
             )
         ],
     ]
-    crawl = table(spark, sf_dir, "pages").select("page_id", F.explode(F.array(*found)).alias("url"))
+    crawl = table(spark, sf_dir, "pages", "page_id").select("page_id", F.explode(F.array(*found)).alias("url"))
     return urls.filter_urls(crawl, ("example.com", "example.org"), "/en/")
 
 
 def slugs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text"))
-    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    docs = table(spark, sf_dir, "documents", "doc_id").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text"))
+    pages = table(spark, sf_dir, "pages", "page_id").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     return docs.unionByName(pages).select("kind", "id", T.slug(F.col("text")).alias("slug"))
 
 
 def decode_text(spark, sf_dir):
     """Texts stored in UTF-8 and in a one-byte charset come back the same."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     wide = F.col("text").rlike(r"[^\x00-\x7f\xa0-\xff]")
     utf8, latin = F.encode("text", "UTF-8"), F.expr("encode(regexp_replace(text, '[^\\\\x00-\\\\xff]', ''), 'ISO-8859-1')")
     return docs.select(
@@ -147,8 +145,7 @@ def thread_pages(spark, sf_dir):
     key = lambda turn: F.concat_ws("/", "conv_id", turn)
     parents = turns.where(is_user).select(key("turn").alias("parent"), F.md5("text").alias("parent_md5"))
     keyed = threaded.withColumn("parent", F.when(F.col("parent_turn").isNotNull(), key("parent_turn")))
-    keyed = Workspace(spark).keep(keyed, "turns")
-    return lookup(keyed, parents, "parent", "left").select("conv_id", "turn", "role", "parent_turn", "parent_md5")
+    return lookup(Workspace(spark), keyed, parents, "parent", "left").select("conv_id", "turn", "role", "parent_turn", "parent_md5")
 
 
 # --- the derived logbook ------------------------------------------------------------------
@@ -203,7 +200,7 @@ def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 5 then replace(html, '<font size="2">Date</font>', '')
             else html end, 'UTF-8') as content""",
     )
-    web = table(spark, sf_dir, "pages").selectExpr("concat('web/', page_id) as path", "encode(html, 'UTF-8') as content")
+    web = table(spark, sf_dir, "pages", "page_id").selectExpr("concat('web/', page_id) as path", "encode(html, 'UTF-8') as content")
     binary = lb.base.selectExpr("concat('bin/', doc_id) as path", "concat(X'0001', encode(text, 'UTF-8')) as content")
     return pages.unionByName(web).unionByName(binary)
 
@@ -296,12 +293,11 @@ def _rewritten(kind: str) -> Callable[[FeedPlan], DataFrame]:
     """Page bodies with only one kind of key replaced."""
 
     def make(feed: FeedPlan) -> DataFrame:
-        bodies = feed.pages.select(F.col("page_key").alias("body_id"), "content")
-        keys = feed.ws.keep(links.body_keys(bodies), "body-keys")
         page, files = feed.page_url_map, feed.media_url_map
         nothing = files.where(F.lit(False))
-        pairs = links.url_pairs(keys, page, nothing) if kind == "page" else links.url_pairs(keys, nothing, files)
-        return links.rewrite_bodies(bodies, pairs).select(F.col("body_id").alias("page_key"), "content")
+        targets = links.url_targets(page, nothing) if kind == "page" else links.url_targets(nothing, files)
+        pages = feed.pages.select("page_key", "body_id")
+        return pages.join(feed.rewritten(pages, targets), "body_id").select("page_key", "content")
 
     return make
 
@@ -363,24 +359,24 @@ def registry() -> dict[str, Query]:
         "duplicate_report": _archive(lambda p: p.duplicates),
         # links, media and stored pages
         "resolve_links": _archive(
-            lambda p: p.page_links.where("target_key is not null").select(
+            lambda p: p.page_refs.where("target_key is not null").select(
                 "page_path", F.col("pos").cast("bigint").alias("pos"), "ref_path", "ref_key", "target_key"
             )
         ),
         "dangling_links": _archive(lambda p: p.dangling.withColumn("pos", F.col("pos").cast("bigint"))),
         "resolve_media": _archive(
-            lambda p: p.media_links.select(
-                "page_path", F.col("pos").cast("bigint").alias("pos"), "kind", "ref_path", F.col("ref_key").alias("file_hash")
+            lambda p: p.media_refs.select(
+                "page_path", F.col("pos").cast("bigint").alias("pos"), "kind", "ref_path", "file_hash"
             )
         ),
-        "merged_links": _archive(lambda p: p.merged_links),
+        "merged_links": _archive(lambda p: p.merged.drop("target_key", "page_order", "created")),
         "page_media": _archive(lambda p: p.merged_media.select("page_key", "kind", "kind_rank", "file_hash", "src_path")),
         "media_manifest": _archive(
             lambda p: p.manifest.select(
                 "file_hash", "src_path", "archive_name", post_date(F.col("created")).alias("created"), "n_refs"
             )
         ),
-        "keyed_body": _archive(lambda p: p.keyed.select("path", "content")),
+        "keyed_body": _archive(lambda p: p.bodies),
         "archive_pages": _logbook(archive_pages),
         "scan_archive": _logbook(scan_archive),
         "run_summary": _archive(lambda p: p.summary),
@@ -393,7 +389,7 @@ def registry() -> dict[str, Query]:
         "post_terms": _feed(lambda f: f.post_terms.withColumn("pos", F.col("pos").cast("bigint"))),
         "comments": _feed(lambda f: f.comments),
         "comment_bodies": _feed(
-            lambda f: f.comment_bodies.join(f.threaded_comments.select("body_id", "path"), "body_id").select("path", "content")
+            lambda f: f.comment_bodies.withColumnRenamed("body_id", "path")
         ),
         "rewrite_links": _feed(_rewritten("page")),
         "rewrite_media": _feed(_rewritten("media")),
