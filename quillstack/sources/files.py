@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.functions.text import basename, decode_bytes, listed_path, percent_decode
+from quillstack.functions.text import basename, decode_bytes, join_path, normalise_path
 
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
 
 
 def file_path(uri: Column) -> Column:
-    """Plain path of a file URI."""
-    return F.regexp_replace(percent_decode(uri), r"^file:/*(?=/)", "")
+    """Path part of a file URI. File names are taken as they are: Spark does not encode them."""
+    return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*(?=/))?", "")
 
 
 def read_files(spark: SparkSession, folder: str, glob: str, recursive: bool = True) -> DataFrame:
@@ -50,4 +50,4 @@ def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 def in_archive(files: DataFrame, folder: str, root_dir: str) -> DataFrame:
     """Rebase file paths from the scanned folder to the archive's root directory."""
     relative = F.expr(f"substring(path, {len(folder.rstrip('/')) + 2})")
-    return files.withColumn("path", listed_path(root_dir, F.replace(relative, F.lit("%"), F.lit("%25"))))
+    return files.withColumn("path", normalise_path(join_path(F.lit(root_dir), relative)))
