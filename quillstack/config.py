@@ -32,7 +32,8 @@ class FeedConfig:
     """Settings of the feed build; the URLs get their trailing slash here.
 
     pub_date is the text of the channel's publication date; unset, it is the
-    date of the newest post, so that a rebuilt feed stays the same.
+    date of the newest post, so that a rebuilt feed stays the same. Stored times carry no
+    zone; the "gmt" dates equal them unless time_zone names the zone they were written in.
     """
 
     title: str = "Logbook"
@@ -41,6 +42,7 @@ class FeedConfig:
     base_url: str = "https://network.example.org/logbook/"
     base_source_media_url: str = "https://media.example.org/"
     pub_date: str | None = None
+    time_zone: str | None = None
     generator: str = "quillstack"
 
     def __post_init__(self) -> None:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstack.functions.text import let
+
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-STAMP = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2})\s+([AaPp][Mm])\s*$"
+# Fixed value: month/day/year hour:minute AM or PM.
+STAMP = r"(?U)^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2})\s+([AaPp][Mm])\s*$"
 
 
 def parse_created(diary_date: Column, created_text: Column) -> Column:
@@ -15,13 +18,17 @@ def parse_created(diary_date: Column, created_text: Column) -> Column:
     Built from its parts, so neither the session's zone nor its daylight-saving gaps
     move it; anything malformed is NULL.
     """
-    words = F.split(F.trim(F.regexp_replace(created_text, r"(?U)\s+", " ")), " ")
-    time = F.array_join(F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), " ")
+    time = F.regexp_replace(created_text, r"(?U)^\s*\S+\s+", "")
     stamp = F.concat(diary_date, F.lit(" "), time)
-    part = lambda i: F.regexp_extract(stamp, STAMP, i).try_cast("int")
-    hour = part(4) % 12 + F.when(F.upper(F.regexp_extract(stamp, STAMP, 6)) == "PM", 12).otherwise(0)
-    value = F.try_make_timestamp_ntz(part(3), part(1), part(2), hour, part(5), F.lit(0))
-    return F.when(part(4).between(1, 12), value)
+    parts = F.split(F.regexp_replace(stamp, STAMP, "$3|$1|$2|$4|$5|$6"), r"\|")
+
+    def build(p: Column) -> Column:
+        part = lambda i: F.get(p, F.lit(i)).try_cast("int")
+        hour = part(3) % 12 + F.when(F.lower(F.get(p, F.lit(5))) == "pm", 12).otherwise(0)
+        value = F.try_make_timestamp_ntz(part(0), part(1), part(2), hour, part(4), F.lit(0))
+        return F.when((F.size(p) == 6) & part(3).between(1, 12), value)
+
+    return let(parts, build)
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -41,5 +48,9 @@ def post_date(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def post_date_gmt(ts: Column, time_zone: str | None) -> Column:
+    return post_date(F.to_utc_timestamp(ts, time_zone) if time_zone else ts)
+
+
 def upload_month(ts: Column) -> Column:
     return F.date_format(ts, "yyyy/MM/")

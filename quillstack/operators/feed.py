@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstack.config import FeedConfig
-from quillstack.functions.dates import post_date, rfc822, upload_month
+from quillstack.functions.dates import post_date, post_date_gmt, rfc822, upload_month
 from quillstack.functions.text import extension, file_stem, slug
 from quillstack.operators.dims import CATEGORY_TAXONOMY, COAUTHOR_SLUG_PREFIX, COAUTHOR_TAXONOMY
 from quillstack.operators.skew import global_rank, lookup
@@ -57,7 +57,7 @@ def page_urls(ws: Workspace, targets: DataFrame, ids: DataFrame, config: FeedCon
     return lookup(ws, targets, by_page, "target_key", "inner").select("key", "url")
 
 
-def _item_columns(rows: DataFrame) -> DataFrame:
+def _item_columns(rows: DataFrame, config: FeedConfig) -> DataFrame:
     """The constants and dates all items share, by item type."""
     is_post = F.col("post_type") == "post"
     return (
@@ -65,7 +65,7 @@ def _item_columns(rows: DataFrame) -> DataFrame:
         .withColumn("description", F.lit(""))
         .withColumn("excerpt", F.lit(""))
         .withColumn("post_date", post_date(F.col("created")))
-        .withColumn("post_date_gmt", post_date(F.col("created")))
+        .withColumn("post_date_gmt", post_date_gmt(F.col("created"), config.time_zone))
         .withColumn("comment_status", F.when(is_post, "open").otherwise("closed"))
         .withColumn("ping_status", F.lit("closed"))
         .withColumn("status", F.when(is_post, "publish").otherwise("inherit"))
@@ -97,7 +97,8 @@ def posts(pages: DataFrame, bodies: DataFrame, ids: DataFrame, config: FeedConfi
             F.lit(0).cast("bigint").alias("post_parent"),
             F.lit("post").alias("post_type"),
             "created",
-        )
+        ),
+        config,
     )
 
 
@@ -135,7 +136,9 @@ def number_comments(ws: Workspace, threaded: DataFrame) -> DataFrame:
     return global_rank(ws, threaded, order, "comment_id", "comment-ids")
 
 
-def comments(ws: Workspace, numbered: DataFrame, bodies: DataFrame, authors: DataFrame) -> DataFrame:
+def comments(
+    ws: Workspace, numbered: DataFrame, bodies: DataFrame, authors: DataFrame, config: FeedConfig
+) -> DataFrame:
     """Comment rows. `numbered` has `body_id` and `first_author`; several authors are
     named ahead of the body."""
     dim = authors.select(F.col("display_name").alias("first_author"), "author_id")
@@ -151,7 +154,7 @@ def comments(ws: Workspace, numbered: DataFrame, bodies: DataFrame, authors: Dat
         F.lit("").alias("author_url"),
         F.lit("").alias("author_ip"),
         post_date(F.col("created")).alias("comment_date"),
-        post_date(F.col("created")).alias("comment_date_gmt"),
+        post_date_gmt(F.col("created"), config.time_zone).alias("comment_date_gmt"),
         F.when(F.size("authors") > 1, F.concat(names, body)).otherwise(body).alias("content"),
         F.lit(1).alias("approved"),
         F.lit("").alias("comment_type"),
@@ -210,7 +213,8 @@ def attachment_items(
             "created",
             media_url.alias("attachment_url"),
             uploaded_path(name, F.col("created")).alias("attached_file"),
-        )
+        ),
+        config,
     )
 
 

@@ -137,7 +137,8 @@ class ArchivePlan:
     @cached_property
     def details(self) -> DataFrame:
         """The archived documents with all that is known of them, short of their bodies."""
-        return self.ws.keep(self.owners.join(self.valid.drop("page_key", "reject_reason"), "path"), "details")
+        docs = self.valid.drop("page_key", "reject_reason")
+        return self.ws.keep(lookup(self.ws, self.owners, docs, "path", "inner", staged=True), "details")
 
     @cached_property
     def links(self) -> DataFrame:

@@ -163,7 +163,7 @@ class FeedPlan:
 
     @cached_property
     def comments(self) -> DataFrame:
-        return feed.comments(self.ws, self.numbered_comments, self.comment_bodies, self.authors)
+        return feed.comments(self.ws, self.numbered_comments, self.comment_bodies, self.authors, self.config)
 
     @cached_property
     def shown_media(self) -> DataFrame:
@@ -235,7 +235,8 @@ class FeedPlan:
         }
         for name, table in tables.items():
             writer = table.write.mode("overwrite").format("xml")
-            writer.option("rootTag", f"{name}s").option("rowTag", name).save(f"{folder}/{name}")
+            writer.option("rootTag", f"{name}s").option("rowTag", name)
+            writer.option("ignoreSurroundingSpaces", "false").save(f"{folder}/{name}")
 
 
 class _FromPlan(FeedPlan):

@@ -397,6 +397,9 @@ FINALS = {
     "skipped_targets": "select * from skips",
     "feed_summary": "select * from feed_counts",
     "feed_from_archive": "select * from feed_counts",
+    "write_feed": """
+        select post_id, title, creator, guid, post_type, content from post
+        union all select post_id, title, creator, guid, post_type, content from item""",
 }
 # These read the source tables only; "pages" is there the given table, not a step.
 PLAIN = {

@@ -122,7 +122,7 @@ def decode_text(spark, sf_dir):
 
 def parse_dates(spark, sf_dir):
     """Event times written the way logbook pages show them, parsed back; odd ones to NULL."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    events = table(spark, sf_dir, "events", "event_id").select("event_id", "ts")
     date = F.date_format("ts", "M/d/yyyy")
     padded = parse_created(F.date_format("ts", "MM/dd/yyyy"), F.date_format("ts", "'Mon 'hh:mm a"))
     short = parse_created(date, F.concat(F.lit("05/04/2013 "), F.lower(F.date_format("ts", "h:mm a"))))
@@ -270,6 +270,16 @@ def feed_from_archive(lb: Logbook) -> DataFrame:
     return FeedPlan.load(lb.spark, folder, FEED).summary
 
 
+def write_feed(feed: FeedPlan) -> DataFrame:
+    """The feed written as XML parts, its items read back."""
+    folder = feed.ws.path("feed")
+    feed.write(folder)
+    reader = feed.spark.read.schema("post_id bigint, title string, creator string, guid string, post_type string, content string")
+    return reader.format("xml").option("rowTag", "item").option("ignoreSurroundingSpaces", "false").load(f"{folder}/item").select(
+        "post_id", "title", "creator", "guid", "post_type", F.coalesce("content", F.lit("")).alias("content")
+    )
+
+
 def archive_pages(lb: Logbook) -> DataFrame:
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     per_part = lb.plan.archived.select(
@@ -399,4 +409,5 @@ def registry() -> dict[str, Query]:
         "skipped_targets": _feed(lambda f: f.skipped_targets),
         "feed_summary": _feed(lambda f: f.summary),
         "feed_from_archive": _logbook(feed_from_archive),
+        "write_feed": _feed(write_feed),
     }
