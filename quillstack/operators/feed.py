@@ -80,16 +80,24 @@ def with_authors(pages: DataFrame) -> DataFrame:
     return pages.where(F.size("authors") > 0)
 
 
-def posts(pages: DataFrame, bodies: DataFrame, ids: DataFrame, config: FeedConfig) -> DataFrame:
+def post_index(pages: DataFrame, ids: DataFrame) -> DataFrame:
+    """What other rows need to know of each post: its page, order, id and creator."""
+    rows = with_authors(pages).select(
+        "page_key", "page_order", slug(first_author(F.col("authors"))).alias("creator")
+    )
+    return rows.join(ids.select("page_key", "post_id"), "page_key")
+
+
+def posts(pages: DataFrame, bodies: DataFrame, index: DataFrame, config: FeedConfig) -> DataFrame:
     """Post rows of all pages with authors; `bodies` are the rewritten ones, by `body_id`."""
-    rows = with_authors(pages).join(ids.select("page_key", "post_id"), "page_key").join(bodies, "body_id")
+    rows = pages.select("page_key", "body_id", "title", "created").join(index, "page_key").join(bodies, "body_id")
     return _item_columns(
         rows.select(
             "page_key",
             "page_order",
             "title",
             F.lit("").alias("link"),
-            slug(first_author(F.col("authors"))).alias("creator"),
+            "creator",
             post_guid(F.col("post_id"), config).alias("guid"),
             F.coalesce("content", F.lit("")).alias("content"),
             "post_id",
@@ -102,9 +110,9 @@ def posts(pages: DataFrame, bodies: DataFrame, ids: DataFrame, config: FeedConfi
     )
 
 
-def post_terms(pages: DataFrame, ids: DataFrame) -> DataFrame:
+def post_terms(pages: DataFrame, index: DataFrame) -> DataFrame:
     """Category and author terms of every post, in the order of its lists."""
-    rows = with_authors(pages).join(ids.select("page_key", "post_id"), "page_key")
+    rows = pages.select("page_key", "categories", "authors").join(index.select("page_key", "post_id"), "page_key")
     categories = rows.select("post_id", F.posexplode("categories").alias("pos", "name")).select(
         "post_id",
         F.lit(CATEGORY_TAXONOMY).alias("domain"),
@@ -122,12 +130,10 @@ def post_terms(pages: DataFrame, ids: DataFrame) -> DataFrame:
     return categories.unionByName(authors)
 
 
-def thread_comments(ws: Workspace, responses: DataFrame, pages: DataFrame, ids: DataFrame) -> DataFrame:
+def thread_comments(ws: Workspace, responses: DataFrame, index: DataFrame) -> DataFrame:
     """Responses that become comments: with authors, on a page that became a post."""
-    parents = (
-        with_authors(pages).select("page_key", "page_order").join(ids.select("page_key", "post_id"), "page_key")
-    )
-    return lookup(ws, with_authors(responses), parents, "page_key", "inner")
+    posts_ = index.select("page_key", "page_order", "post_id")
+    return lookup(ws, with_authors(responses), posts_, "page_key", "inner", staged=True)
 
 
 def number_comments(ws: Workspace, threaded: DataFrame) -> DataFrame:
@@ -163,14 +169,9 @@ def comments(
     )
 
 
-def shown_media(ws: Workspace, media_refs: DataFrame, pages: DataFrame, ids: DataFrame) -> DataFrame:
+def shown_media(ws: Workspace, media_refs: DataFrame, index: DataFrame) -> DataFrame:
     """Each media file and kind with the first post that shows it, and that post's author."""
-    owners = (
-        with_authors(pages)
-        .select("page_key", "page_order", slug(first_author(F.col("authors"))).alias("creator"))
-        .join(ids.select("page_key", "post_id"), "page_key")
-    )
-    shown = lookup(ws, media_refs, owners, "page_key", "inner", staged=True)
+    shown = lookup(ws, media_refs, index, "page_key", "inner", staged=True)
     first = F.min(F.struct("page_order", "kind_rank", "post_id", "creator")).alias("f")
     return shown.groupBy("kind", "file_hash").agg(first).select(
         "kind",

@@ -110,7 +110,7 @@ class ArchivePlan:
     @cached_property
     def parents(self) -> DataFrame:
         """Responses that have a readable document, with their parent's identity and order."""
-        marked = canon.mark_canonical(self.ws, self.resolved, self.ordered)
+        marked = self.ws.keep(canon.mark_canonical(self.ws, self.resolved, self.ordered), "marked")
         found = canon.response_parents(self.ws, self.responses, marked)
         return self.ws.keep(found.join(self.valid.select("path"), "path", "left_semi"), "parents")
 
@@ -205,14 +205,16 @@ class ArchivePlan:
             "page_key", "page_order", "path", "first_file", "first_pos", "authors", "created"
         )
 
-    @cached_property
-    def bodies(self) -> DataFrame:
-        """Keyed bodies by document path, for the documents that reach the archive.
+    def bodies_of(self, documents: DataFrame) -> DataFrame:
+        """Keyed bodies by path for the given documents; no others are searched."""
+        wanted = self.source_documents.join(documents.select("path"), "path", "left_semi")
+        own = self.valid.select("path", "links")
+        return links.keyed_bodies(extract.document_bodies(wanted), own, self.media_refs)
 
-        A document that answers several pages has one body.
-        """
-        cut = extract.document_bodies(self.source_documents)
-        return links.keyed_bodies(cut, self.details.select("path", "links").dropDuplicates(["path"]), self.media_refs)
+    @property
+    def bodies(self) -> DataFrame:
+        """Keyed bodies of all archived documents."""
+        return self.bodies_of(self.details)
 
     # --- dimensions -----------------------------------------------------------------------
 
@@ -263,12 +265,12 @@ class ArchivePlan:
         )
         responses = (
             self.page_responses.join(self.parts, ["path", "page_key"])
-            .join(self.bodies, "path")
+            .join(self.bodies_of(self.page_responses), "path")
             .groupBy("page_key", "part")
             .agg(F.array_sort(F.collect_list(response)).alias("rs"))
             .select("page_key", "part", F.struct(F.col("rs.r").alias("response")).alias("responses"))
         )
-        own = self.pages.join(self.bodies, "path").select(
+        own = self.pages.join(self.bodies_of(self.pages), "path").select(
             "page_key", F.lit("").alias("part"), "page_order", "is_orphan", "path", "title",
             F.col("page_no").alias("page"), epoch_seconds(F.col("created")).alias("created"),
             authors.alias("authors"), F.struct(F.col("categories").alias("category")).alias("categories"), "content",

@@ -99,6 +99,10 @@ class FeedPlan:
     def ids(self) -> DataFrame:
         return ids.post_ids(self.ws, self.pages)
 
+    @cached_property
+    def post_index(self) -> DataFrame:
+        return self.ws.keep(feed.post_index(self.pages, self.ids), "post-index")
+
     @cached_property
     def terms(self) -> DataFrame:
         return dims.terms(self.ws, self.author_names, self.category_names)
@@ -132,14 +136,16 @@ class FeedPlan:
     def rewritten(self, owners: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         """Bodies of the given pages or responses with their keys replaced by URLs."""
         targets = self.url_targets if targets is None else targets
-        bodies = self.bodies.join(owners.select("body_id").distinct(), "body_id", "left_semi")
-        return links.rewrite_bodies(bodies, links.url_pairs(self.ws, self.body_keys, targets))
+        return links.rewrite_bodies(self.bodies_of(owners), links.url_pairs(self.ws, self.body_keys, targets))
+
+    def bodies_of(self, owners: DataFrame) -> DataFrame:
+        """Keyed bodies of the given pages or responses: `body_id, content`."""
+        return self.bodies.join(owners.select("body_id"), "body_id", "left_semi")
 
     @cached_property
     def threaded_comments(self) -> DataFrame:
         """Comments-to-be without their bodies: post, place, date and authors."""
-        parents = self.pages.select("page_key", "page_order", "authors")
-        found = feed.thread_comments(self.ws, self.responses.drop("page_order"), parents, self.ids)
+        found = feed.thread_comments(self.ws, self.responses.drop("page_order"), self.post_index)
         return found.withColumn("first_author", feed.first_author(F.col("authors")))
 
     @cached_property
@@ -155,11 +161,11 @@ class FeedPlan:
     @cached_property
     def posts(self) -> DataFrame:
         bodies = self.rewritten(feed.with_authors(self.pages))
-        return feed.posts(self.pages, bodies, self.ids, self.config)
+        return feed.posts(self.pages, bodies, self.post_index, self.config)
 
     @cached_property
     def post_terms(self) -> DataFrame:
-        return feed.post_terms(self.pages.select("page_key", "authors", "categories"), self.ids)
+        return feed.post_terms(self.pages, self.post_index)
 
     @cached_property
     def comments(self) -> DataFrame:
@@ -168,8 +174,7 @@ class FeedPlan:
     @cached_property
     def shown_media(self) -> DataFrame:
         """Each media file and kind with the first post that shows it."""
-        owners = self.pages.select("page_key", "page_order", "authors")
-        return feed.shown_media(self.ws, self.media_refs, owners, self.ids)
+        return feed.shown_media(self.ws, self.media_refs, self.post_index)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -250,7 +255,6 @@ class _FromPlan(FeedPlan):
 
     pages = property(lambda self: self.plan.pages.withColumn("body_id", F.col("path")))
     responses = property(lambda self: self.plan.page_responses.withColumn("body_id", F.col("path")))
-    bodies = property(lambda self: self.plan.bodies.withColumnRenamed("path", "body_id"))
     page_refs = property(lambda self: self.plan.merged_page_links)
     media_refs = property(
         lambda self: self.plan.merged_media.select("page_key", "kind", "kind_rank", "file_hash")
@@ -259,6 +263,10 @@ class _FromPlan(FeedPlan):
     author_names = property(lambda self: self.plan.authors)
     category_names = property(lambda self: self.plan.categories)
 
+    def bodies_of(self, owners: DataFrame) -> DataFrame:
+        paths = owners.select(F.col("body_id").alias("path"))
+        return self.plan.bodies_of(paths).withColumnRenamed("path", "body_id")
+
     @property
     def body_keys(self) -> DataFrame:
         """Known from the links already, so the bodies are not searched for them."""
