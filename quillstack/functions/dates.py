@@ -32,20 +32,27 @@ def parse_created(diary_date: Column, created_text: Column) -> Column:
 
 
 def epoch_seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(EPOCH), ts)
+    """Seconds since 1970 of a stored time, taken as it stands, from its own parts."""
+    text = ts.cast("string")
+    part = lambda i: F.substring(text, i, 2).cast("int")
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    return days * 86400 + part(12) * 3600 + part(15) * 60 + part(18)
 
 
 def from_epoch(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, F.expr(EPOCH))
 
 
-def rfc822(ts: Column) -> Column:
-    """Publication date; the stored times carry no zone, so the zone part stays empty."""
-    return F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss ")
+def post_date(ts: Column) -> Column:
+    """Date and time as text. Casting keeps the stored time; formatting would go through the
+    session's zone and move times that its summer time skips."""
+    return F.left(ts.cast("string"), F.lit(19))
 
 
-def post_date(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+def rfc822(ts: Column) -> Column:
+    """Publication date; the stored times carry no zone, so the zone part stays empty."""
+    day = F.date_format(F.to_date(ts), "EEE, dd MMM yyyy ")
+    return F.concat(day, F.substring(ts.cast("string"), 12, 8), F.lit(" "))
 
 
 def post_date_gmt(ts: Column, time_zone: str | None) -> Column:
@@ -53,4 +60,4 @@ def post_date_gmt(ts: Column, time_zone: str | None) -> Column:
 
 
 def upload_month(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy/MM/")
+    return F.concat(F.replace(F.left(ts.cast("string"), F.lit(7)), F.lit("-"), F.lit("/")), F.lit("/"))

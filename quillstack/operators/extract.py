@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillstack.config import ArchiveConfig
 from quillstack.functions import html as H
 from quillstack.functions import text as T
-from quillstack.functions.dates import parse_created
+from quillstack.functions.dates import parse_created, post_date
 
 # The layout marks of a logbook page.
 HEADING = "Logbook Entry"
@@ -141,10 +141,8 @@ def page_key(title: Column, authors: Column, categories: Column, created: Column
     as_set = lambda names: F.array_join(
         F.transform(F.array_sort(F.array_distinct(names)), F.md5), ","
     )
-    stamp = F.date_format(created, "yyyy-MM-dd HH:mm:ss")
-    return F.md5(
-        F.concat(F.md5(title), F.lit("|"), as_set(authors), F.lit("|"), as_set(categories), F.lit("|"), stamp)
-    )
+    parts = [F.md5(title), as_set(authors), as_set(categories), post_date(created)]
+    return F.md5(F.concat(*[x for part in parts for x in (part, F.lit("|"))][:-1]))
 
 
 def document_links(path: Column, content: Column) -> Column:

@@ -15,7 +15,7 @@ from quillstack.sources.workspace import Workspace
 
 def channel(pages: DataFrame, config: FeedConfig) -> DataFrame:
     """The one-row feed header; an unset publication date is the newest post's."""
-    newest = F.date_format(F.max("created"), "EEE, dd MMM yyyy HH:mm:ss +0000")
+    newest = F.concat(rfc822(F.max("created")), F.lit("+0000"))
     date = F.lit(config.pub_date) if config.pub_date else newest
     return with_authors(pages).agg(date.alias("pub_date"), F.count("*").alias("n_posts")).select(
         F.lit(config.title).alias("title"),

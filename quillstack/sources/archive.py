@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.functions.dates import from_epoch
+from quillstack.functions.dates import epoch_seconds, from_epoch
 
 NAMES = "struct<{0}:array<string>>"
 REFS = "struct<{0}:array<struct<_path:string,_VALUE:string>>>"
@@ -51,8 +51,7 @@ def write_archive(
     _xml(pages, f"{folder}/pages", "pages", "page")
     write_names(authors, f"{folder}/authors", "author")
     write_names(categories, f"{folder}/categories", "category")
-    seconds = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("created"))
-    _xml(manifest.withColumn("created", seconds), f"{folder}/media", "files", "file")
+    _xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{folder}/media", "files", "file")
 
 
 def scan_archive(spark: SparkSession, folder: str) -> DataFrame:

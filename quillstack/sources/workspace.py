@@ -17,9 +17,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="quillstack-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    return tempfile.mkdtemp(prefix="quillstack-")
 
 
 class Workspace:

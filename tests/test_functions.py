@@ -199,6 +199,25 @@ def test_dates(spark):
     assert (row["r"], row["p"], row["u"]) == ("Wed, 04 Mar 2015 15:45:00 ", "2015-03-04 15:45:00", "2015/03/")
 
 
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist on that day in Berlin; the stored time is kept all the same."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        ts = dates.parse_created(F.lit("03/29/2015"), F.lit("x 02:30 AM"))
+        row = spark.range(1).select(
+            dates.post_date(ts).alias("p"),
+            dates.rfc822(ts).alias("r"),
+            dates.upload_month(ts).alias("u"),
+            dates.epoch_seconds(ts).alias("e"),
+            (dates.from_epoch(dates.epoch_seconds(ts)) == ts).alias("same"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (row["p"], row["r"]) == ("2015-03-29 02:30:00", "Sun, 29 Mar 2015 02:30:00 ")
+    assert (row["u"], row["e"], row["same"]) == ("2015/03/", 1427596200, True)
+
+
 def test_link_tags_and_targets(spark):
     page = (
         """<a href="x?OpenDocument">1</a><!-- <a href="hidden">h</a> --><A class=c HREF='y&amp;z'>2</A>"""

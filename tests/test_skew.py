@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillstack.operators import skew
-from quillstack.sources.workspace import Workspace
+from quillstack.sources.workspace import Workspace, checkpoint_root
 
 
 @pytest.fixture()
@@ -78,3 +78,16 @@ def test_carry_forward(spark, chunk):
 
 def test_workspace_reads_the_session_folder(spark, ws):
     assert ws.root.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class NamelessSession:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = {"spark.master": master}
+
+
+def test_workspace_without_a_folder():
+    assert checkpoint_root(NamelessSession("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(NamelessSession("yarn"))

@@ -17,7 +17,7 @@ from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
 from quillstack.sources.files import scan_contents as read_contents
 from quillstack.sources.workspace import Workspace
-from workloads.logbook import CONFIG, FOLDER, Logbook, table
+from workloads.logbook import CONFIG, Logbook, table
 
 FEED = FeedConfig(title="Derived logbook", site_id=22)
 Query = Callable[[SparkSession, str], DataFrame]
