@@ -1,6 +1,6 @@
 """Near duplicates: ProbMinHash signatures of weighted word shingles, bands, and verified links.
 
-The shingles of a text are its runs of five words, weighted by how often they occur. Every shingle
+The shingles of a text are its runs of five words, weighted by 1 + log of their count. Every shingle
 is a Poisson process of its weight's rate whose points fall into `SIZE` registers; a register keeps
 the shingle that came first, and a shingle stops once its next point is later than all registers of
 its text. Two texts agree in a register with the probability Jaccard similarity of their shingles.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstack.llm.common import body, mapped, mix64
@@ -31,8 +31,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5
 SIZE = BANDS * ROWS
-#: Members of a bucket that are compared with all others in one round.
-SLOTS = 16
+#: Members of a bucket that are compared in one round: 8, 64, then at most this many.
+SLOTS = 512
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,7 +58,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((runs, owner))
     owner, runs = owner[order], runs[order]
     first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])])
-    return owner[first], runs[first], np.diff(np.r_[first, len(runs)]).astype(float)
+    return owner[first], runs[first], 1 + np.log(np.diff(np.r_[first, len(runs)]))
 
 
 def signatures(n: int, owner: np.ndarray, runs: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -91,25 +91,6 @@ def band_keys(value: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> tuple[float, float]:
-    """Plain and probability Jaccard similarity of two weighted sets, by their definitions.
-
-    The latter sums, over shared x, 1 / sum_y max(A(y)/A(x), B(y)/B(x)); the inner sum depends on
-    A(x)/B(x) alone, of which there are few values.
-    """
-    if not len(a) and not len(b):
-        return 1.0, 1.0
-    both, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    union = len(a) + len(b) - len(both)
-    if not len(both):
-        return 0.0, 0.0
-    sa, sb = wa[ia], wb[ib]
-    only_a, only_b = wa.sum() - sa.sum(), wb.sum() - sb.sum()
-    ratios, at = np.unique(sa / sb, return_inverse=True)
-    inner = np.array([only_a + r * only_b + np.maximum(sa, r * sb).sum() for r in ratios])
-    return len(both) / union, float((sa / inner[at]).sum())
-
-
 def signed(texts: DataFrame) -> DataFrame:
     """`digest, keys`: band keys of every row of `texts (digest, text)`; none for texts without words."""
 
@@ -124,38 +105,26 @@ def signed(texts: DataFrame) -> DataFrame:
 
 
 def shingled(texts: DataFrame) -> DataFrame:
-    """`node, runs, weights` of every row of `texts (node, text)`."""
+    """`node, runs` of every row of `texts (node, text)`."""
 
     def work(ids: list, rows: list) -> dict:
-        owner, runs, weight = shingles(rows)
+        owner, runs, _ = shingles(rows)
         cuts = np.searchsorted(owner, np.arange(1, len(rows)))
-        lists = lambda x: [part for part in np.split(x, cuts)]
-        return {"node": ids, "runs": lists(runs.view(np.int64)), "weights": lists(weight.astype(np.int32))}
+        return {"node": ids, "runs": np.split(runs.view(np.int64), cuts)}
 
-    return mapped(texts, work, "node bigint, runs array<bigint>, weights array<int>")
+    return mapped(texts, work, "node bigint, runs array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """`a, b, similarity` of those `pairs (a, b)` whose shingle sets are similar enough."""
-    def side(n: str) -> DataFrame:
-        return sets.select(F.col("node").alias(n), F.col("runs").alias(f"runs_{n}"), F.col("weights").alias(f"weights_{n}"))
-
+    """`a, b, similarity` of those `pairs (a, b)` whose whole shingle sets have that Jaccard similarity."""
+    # Only the sets the pairs name are shuffled.
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets.join(named, "node", "left_semi")
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("runs").alias(f"runs_{n}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            column = {n: batch.column(n) for n in ("runs_a", "weights_a", "runs_b", "weights_b")}
-            value = []
-            for k in range(batch.num_rows):
-                ra, wa, rb, wb = (column[n][k].values.to_numpy(zero_copy_only=False) for n in column)
-                value.append(max(probability_jaccard(ra, wa.astype(float), rb, wb.astype(float))))
-            keep = np.array(value) >= similar
-            out = [batch.column(n).filter(pa.array(keep)) for n in ("a", "b")]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(np.array(value)[keep])], names=["a", "b", "similarity"])
-
-    return joined.mapInArrow(run, "a bigint, b bigint, similarity double")
+    both = F.size(F.array_intersect("runs_a", "runs_b"))
+    value = both / F.greatest(F.size("runs_a") + F.size("runs_b") - both, F.lit(1))
+    return joined.select("a", "b", value.alias("similarity")).where(F.col("similarity") >= similar)
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -170,28 +139,64 @@ def links(ws: Workspace, members: DataFrame, sets: DataFrame, similar: float, sl
     tested = ws.keep(pairs.where("a < b").distinct(), "pairs")
     found = ws.keep(verified(tested, sets, similar), "found")
     comps = components(ws, found)
-    live = members
+    left = mixed(members, comps).select("node").distinct()
+    live = ws.keep(rare_first(sets.join(left, "node", "left_semi"), similar), "rare")
     turn = 0
     while True:
         turn += 1
-        placed = live.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-        placed = ws.keep(placed.join(mixed.select("key"), "key", "left_semi"), "mixed")
+        placed = mixed(live, comps)
+        useful = placed.where("indexed").select("key").distinct()
+        placed = ws.keep(placed.join(useful, "key", "left_semi"), "mixed")
         if placed.isEmpty():
             return found, comps
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(slots))
-        chosen = placed.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("r"))
-        chosen = ws.keep(chosen.select("key", F.col("r.node").alias("rep"), F.col("r.comp").alias("rep_comp")), "reps")
-        fresh = placed.join(chosen, "key").where("comp != rep_comp").select(*ordered(F.col("node"), F.col("rep")))
-        fresh = ws.keep(fresh.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(slots, 8**turn)))
+        chosen = placed.where("indexed").groupBy("key", slot.alias("slot")).agg(
+            F.min(F.struct("node", "comp", "n", "common")).alias("r")
+        )
+        chosen = ws.keep(chosen.select("key", F.col("r").alias("rep")), "reps")
+        # The compared text is the smaller one, and both have enough shingles that other texts have.
+        enough = F.least("common", "rep.common") * (1 + similar) >= similar * (F.col("n") + F.col("rep.n")) - 1e-6
+        after = F.struct(F.col("n"), F.col("node")) > F.struct(F.col("rep.n"), F.col("rep.node"))
+        met = placed.join(chosen, "key").where((F.col("comp") != F.col("rep.comp")) & after & enough)
+        fresh = met.select(*ordered(F.col("node"), F.col("rep.node"))).distinct()
+        fresh = ws.keep(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(fresh)
         more = ws.keep(verified(fresh, sets, similar), "found")
         found = found.union(more)
         if not more.isEmpty():
             comps = components(ws, found)
-        live = placed.select("key", "node").join(
-            chosen.select("key", F.col("rep").alias("node")), ["key", "node"], "left_anti"
-        )
+        done = chosen.select("key", F.col("rep.node").alias("node"), F.lit(False).alias("waits"))
+        live = placed.drop("comp").join(done, ["key", "node"], "left")
+        live = live.withColumn("indexed", F.col("indexed") & F.coalesce("waits", F.lit(True))).drop("waits")
+
+
+def mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """`members` with `comp`, of the buckets whose members are in several classes."""
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+    return placed.join(several.select("key"), "key", "left_semi")
+
+
+def rare_first(sets: DataFrame, similar: float) -> DataFrame:
+    """Finer buckets `key, node, n, common, indexed`: each text under its rarest shingles.
+
+    Order all shingles by how many of the given texts have them. Two texts cannot be similar if the
+    shingles that make up the first 1 - `similar` of each, in this order, are all different: one of
+    them then lacks that share of its shingles in the other. For the smaller text of a pair even the
+    first 1 - 2 `similar` / (1 + `similar`) must meet them; these are `indexed`. Shingles that only one
+    text has come first and meet nothing, so a text with many of its own has no bucket at all.
+    `n` counts a text's shingles, `common` those that several texts have.
+    """
+    tokens = sets.select("node", F.size("runs").alias("n"), F.explode("runs").alias("key"))
+    several = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    shared = tokens.join(several, "key")
+    behind = Window.partitionBy("node").orderBy(F.desc("texts"), F.desc("key")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = shared.withColumn("from", F.count(F.lit(1)).over(behind))
+    ranked = ranked.withColumn("common", F.count(F.lit(1)).over(Window.partitionBy("node")))
+    before = F.col("n") - F.col("from")
+    first = lambda share: before <= (1 - share + 1e-9) * F.col("n")
+    indexed = first(2 * similar / (1 + similar))
+    return ranked.where(first(similar)).select("key", "node", "n", "common", indexed.alias("indexed"))
 
 
 def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR) -> DataFrame:
