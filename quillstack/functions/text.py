@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,33 +29,8 @@ MAGIC_TYPES = (
     ("D0CF11E0A1B11AE1", "application/x-ole-storage"),
 )
 
-# Named HTML entities outside Latin-1.
-NAMED_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&euro;", "€"),
-    ("&trade;", "™"),
-)
-
-# Latin-1 entity names in code order, starting at code 160.
-LATIN1_NAMES = (
-    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr "
-    "deg plusmn sup2 sup3 acute micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest "
-    "Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml "
-    "ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave Uacute Ucirc Uuml Yacute THORN szlig "
-    "agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml igrave iacute icirc iuml "
-    "eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml yacute thorn yuml"
-).split()
+# Named character references of the HTML standard; "&amp;" is resolved apart.
+NAMED_ENTITIES = {f"&{name}": value for name, value in html5.items() if name.endswith(";") and name.lower() != "amp;"}
 
 
 def strip_tags(html: Column) -> Column:
@@ -66,10 +43,9 @@ def let(value: Column, body) -> Column:
 
 
 def html_unescape(text: Column) -> Column:
-    """Resolve named (Latin-1 and common) and numeric character references."""
-    table = "\n".join([f"&{n};\t{chr(160 + i)}" for i, n in enumerate(LATIN1_NAMES)])
-    table += "\n" + "\n".join(f"{name}\t{value}" for name, value in NAMED_ENTITIES)
-    names = F.str_to_map(F.lit(table), F.lit("\n"), F.lit("\t"))
+    """Resolve named and numeric character references; numbers may be of any length."""
+    table = "\x01".join(f"{name}\x02{value}" for name, value in NAMED_ENTITIES.items())
+    names = F.str_to_map(F.lit(table), F.lit("\x01"), F.lit("\x02"))
 
     def char(code: Column) -> Column:
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -85,16 +61,21 @@ def html_unescape(text: Column) -> Column:
         return F.when(ref.startswith("&#"), char(number(ref))).otherwise(named)
 
     def replace_refs(value: Column) -> Column:
-        pattern = r"&(?:[A-Za-z]+[0-9]*|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+        pattern = r"&(?:[A-Za-z][A-Za-z0-9]*|#\d+|#[xX][0-9A-Fa-f]+);"
         refs = F.array_distinct(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)))
         # "&amp;" goes last, so that what it sets free is not resolved again.
-        refs = F.concat(F.array_remove(refs, "&amp;"), F.array(F.lit("&amp;")))
-        new = lambda ref: F.when(ref == "&amp;", "&").otherwise(resolve(ref))
+        refs = F.concat(F.array_remove(F.array_remove(refs, "&AMP;"), "&amp;"), F.array(F.lit("&AMP;"), F.lit("&amp;")))
+        new = lambda ref: F.when(F.lower(ref) == "&amp;", "&").otherwise(resolve(ref))
         return F.aggregate(refs, value, lambda acc, ref: F.replace(acc, ref, new(ref)))
 
     return let(text, lambda v: F.when(F.contains(v, F.lit("&")), replace_refs(v)).otherwise(v))
 
 
+def read_integer(text: Column) -> Column:
+    """A whole number between any white space, no-break spaces included; NULL for all else."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "").try_cast("bigint")
+
+
 def percent_decode(text: Column) -> Column:
     """Percent-decoding that leaves ``+`` and malformed escapes alone."""
     guarded = F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25")

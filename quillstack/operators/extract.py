@@ -59,10 +59,8 @@ def _table_pieces(pieces: Column) -> Column:
 
 
 def _without_end(body: Column) -> Column:
-    """A body without the document's closing tags. They are looked for in its last characters
-    first, and in all of it when they are not there."""
-    cut = F.length(F.regexp_extract(F.right(body, F.lit(256)), DOCUMENT_END, 0))
-    return F.when(cut > 0, F.left(body, F.length(body) - cut)).otherwise(F.regexp_replace(body, DOCUMENT_END, ""))
+    """A body without the document's closing tags, however many blanks stand between and after them."""
+    return F.regexp_replace(body, DOCUMENT_END, "")
 
 
 def split_document(documents: DataFrame) -> DataFrame:

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstack.functions.text import read_integer
 from quillstack.operators.skew import global_rank
 from quillstack.sources.workspace import Workspace
 
+HIGHEST = 1 << 62
+
 
 def post_ids(ws: Workspace, pages: DataFrame) -> DataFrame:
     """One id per page. The first page of a number keeps it; clashes and numbers that are
-    no integers follow above the highest number, in page order."""
-    number = F.trim(F.col("page_no")).try_cast("bigint")
+    no integers follow above the highest number, in page order. Numbers that leave no room
+    above them count as no integers."""
+    number = read_integer(F.col("page_no"))
+    number = F.when(number < HIGHEST, number)
     claims = (
         pages.select("page_key", "page_order", number.alias("number"))
         .where("number is not null")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstack.functions.html import attribute
-from quillstack.functions.text import html_unescape, listed_path, strip_tags
+from quillstack.functions.text import html_unescape, listed_path, read_integer, strip_tags
 from quillstack.operators.skew import carry_forward
 
 # How listing links are marked, and how responses are.
@@ -33,19 +33,23 @@ def listing_links(listings: DataFrame) -> DataFrame:
         F.col("pos").cast("bigint").alias("pos"),
         html_unescape(strip_tags(anchor)).alias("title"),
         attribute(F.regexp_extract(anchor, r"(?s)^<[^>]*>", 0), "href").alias("href"),
-        F.trim(strip_tags(tail)).try_cast("bigint").alias("page_number"),
+        read_integer(html_unescape(strip_tags(tail))).alias("page_number"),
     )
 
 
-def entry_key(title: Column, number: Column) -> Column:
-    """Key of a contents entry: its title and number."""
-    return F.md5(F.concat(F.md5(title), F.lit("|"), F.coalesce(number.cast("string"), F.lit(""))))
+def entry_key(title: Column, number: Column, href: Column) -> Column:
+    """Key of a contents entry: its title and number; without a readable number, its title and link.
+
+    Pages of one title without numbers stay apart that way, and none is lost.
+    """
+    link = F.concat(F.lit("link:"), F.md5(F.coalesce(href, F.lit(""))))
+    return F.md5(F.concat(F.md5(title), F.lit("|"), F.coalesce(number.cast("string"), link)))
 
 
 def thread_listing(links: DataFrame) -> DataFrame:
     """Listing rows with their kind and, for responses, the last page above in the same file."""
     is_response = F.col("title").startswith(RESPONSE_MARK)
-    page = F.struct(F.col("title").alias("title"), F.col("page_number").alias("number"))
+    page = F.struct(F.col("title").alias("title"), F.col("page_number").alias("number"), F.col("href").alias("href"))
     threaded = carry_forward(links, "contents_file", "pos", F.when(~is_response, page), "_page")
     parent = F.when(is_response, F.col("_page"))
     return threaded.select(
@@ -58,7 +62,7 @@ def thread_listing(links: DataFrame) -> DataFrame:
         parent["title"].alias("parent_title"),
         parent["number"].alias("parent_number"),
         F.when(
-            F.col("_page").isNotNull(), entry_key(F.col("_page")["title"], F.col("_page")["number"])
+            F.col("_page").isNotNull(), entry_key(F.col("_page")["title"], F.col("_page")["number"], F.col("_page")["href"])
         ).alias("entry_key"),
     )
 
@@ -69,12 +73,14 @@ def orphan_responses(threaded: DataFrame) -> DataFrame:
 
 
 def contents_index(links: DataFrame, root_dir: str) -> DataFrame:
-    """One entry per (title, number): the first sighting gives its URL and its place."""
-    pages = links.where(~F.col("title").startswith(RESPONSE_MARK))
+    """One entry per (title, number), or per link where there is no number: the first sighting
+    gives its URL and its place."""
+    key = entry_key(F.col("title"), F.col("page_number"), F.col("href"))
+    pages = links.where(~F.col("title").startswith(RESPONSE_MARK)).withColumn("entry_key", key)
     first = F.min(F.struct("contents_file", "pos", "href")).alias("f")
-    entries = pages.groupBy("title", "page_number").agg(first, F.count("*").alias("n_sightings"))
+    entries = pages.groupBy("entry_key", "title", "page_number").agg(first, F.count("*").alias("n_sightings"))
     return entries.select(
-        entry_key(F.col("title"), F.col("page_number")).alias("entry_key"),
+        "entry_key",
         "title",
         "page_number",
         F.col("f.href").alias("href"),

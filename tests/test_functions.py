@@ -253,3 +253,41 @@ def test_strip_top_links(spark):
             ('<a href="#topic">top</a>', '<a href="#topic">top</a>'),
         ],
     )
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("&#00000065;&#x000041;", "AA"),
+        ("&Omega; &alpha; &lambda; &le; &nbsp;|", "Ω α λ ≤  |"),
+        ("&#99999999999999999999;", "�"),
+        ("&amp;lt; &unknown; &AMP;", "&lt; &unknown; &"),
+    ],
+)
+def test_references_of_any_length_and_name(spark, raw, want):
+    frame = spark.createDataFrame([(raw,)], "t string")
+    assert frame.select(text.html_unescape(F.col("t"))).first()[0] == want
+
+
+@pytest.mark.parametrize("raw, want", [(" 14", 14), (" 7\t", 7), ("955.5", None), ("", None), (str(2**64), None)])
+def test_integers_beside_blanks(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "t string").select(text.read_integer(F.col("t"))).first()[0] == want
+
+
+def test_body_tail_needs_no_window(spark):
+    from quillstack.operators.extract import _without_end
+
+    for blanks in (0, 300, 10_000):
+        raw = "body</form>" + " " * blanks + "</body>" + "\n" * blanks + "</html>" + " " * blanks
+        assert spark.createDataFrame([(raw,)], "t string").select(_without_end(F.col("t"))).first()[0] == "body"
+
+
+def test_pages_without_numbers_stay_apart(spark):
+    from quillstack.operators import listing
+
+    rows = [("c", 0, "Daily", "a?OpenDocument", None), ("c", 1, "Daily", "b?OpenDocument", None), ("c", 2, "Daily", "d?OpenDocument", 5)]
+    links = spark.createDataFrame(rows, "contents_file string, pos long, title string, href string, page_number long")
+    entries = listing.contents_index(links, "/r").collect()
+    assert len({r["entry_key"] for r in entries}) == 3
+    keys = {r["entry_key"] for r in listing.thread_listing(links).collect()}
+    assert keys == {r["entry_key"] for r in entries}

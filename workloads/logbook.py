@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.config import ArchiveConfig
-from quillstack.operators.skew import size_estimate
 from quillstack.plans.archive import ArchivePlan
 from quillstack.sources.workspace import Workspace
 
@@ -22,16 +21,11 @@ LISTING_ROWS = 4096
 CONFIG = ArchiveConfig(root_dir=ROOT)
 
 
-SMALL_TABLE = 1 << 30
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A given table. A small file is often a single row group, which one task would read;
-    such a table is spread over the cores by `spread_by` when heavy text work follows."""
+    """A given table. A file may be a single row group, which one task would read; a table that
+    heavy text work follows on is spread by `spread_by`, whatever its size."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread_by and size_estimate(df) < SMALL_TABLE:
-        df = df.repartition(spark.sparkContext.defaultParallelism, spread_by)
-    return df
+    return df.repartition(F.col(spread_by)) if spread_by else df
 
 
 def _escape(column: str) -> str:
