@@ -108,6 +108,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     )
     shards = max(1, -(-docs.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards))).drop("row")
+    # Rows are narrow but packing is work: as many tasks as a shuffle has, not as their bytes would fill.
+    tasks = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, "shard")
     order = [f.split()[0] for f in SCHEMA.split(", ")]
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
