@@ -31,8 +31,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5
 SIZE = BANDS * ROWS
-#: Members of a bucket that are compared in one round: 8, 64, then at most this many.
-SLOTS = 512
+#: Members of a bucket that are compared in one round: 64, 512, then at most this many.
+SLOTS = 4096
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -149,7 +149,7 @@ def links(ws: Workspace, members: DataFrame, sets: DataFrame, similar: float, sl
         placed = ws.keep(placed.join(useful, "key", "left_semi"), "mixed")
         if placed.isEmpty():
             return found, comps
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(slots, 8**turn)))
+        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(slots, 8 ** (turn + 1))))
         chosen = placed.where("indexed").groupBy("key", slot.alias("slot")).agg(
             F.min(F.struct("node", "comp", "n", "common")).alias("r")
         )
