@@ -151,11 +151,12 @@ def links(ws: Workspace, members: DataFrame, sets: DataFrame, similar: float, sl
             return found, comps
         slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(slots, 8 ** (turn + 1))))
         chosen = placed.where("indexed").groupBy("key", slot.alias("slot")).agg(
-            F.min(F.struct("node", "comp", "n", "common")).alias("r")
+            F.min(F.struct("node", "comp", "n", "behind")).alias("r")
         )
         chosen = ws.keep(chosen.select("key", F.col("r").alias("rep")), "reps")
-        # The compared text is the smaller one, and both have enough shingles that other texts have.
-        enough = F.least("common", "rep.common") * (1 + similar) >= similar * (F.col("n") + F.col("rep.n")) - 1e-6
+        # The compared text is the smaller one. A similar pair also meets under the first shingle both have,
+        # and from there on both have as many shingles as they must share.
+        enough = F.least("behind", "rep.behind") * (1 + similar) >= similar * (F.col("n") + F.col("rep.n")) - 1e-6
         after = F.struct(F.col("n"), F.col("node")) > F.struct(F.col("rep.n"), F.col("rep.node"))
         met = placed.join(chosen, "key").where((F.col("comp") != F.col("rep.comp")) & after & enough)
         fresh = met.select(*ordered(F.col("node"), F.col("rep.node"))).distinct()
@@ -178,32 +179,32 @@ def mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def rare_first(sets: DataFrame, similar: float) -> DataFrame:
-    """Finer buckets `key, node, n, common, indexed`: each text under its rarest shingles.
+    """Finer buckets `key, node, n, behind, indexed`: each text under its rarest shingles.
 
     Order all shingles by how many of the given texts have them. Two texts cannot be similar if the
     shingles that make up the first 1 - `similar` of each, in this order, are all different: one of
     them then lacks that share of its shingles in the other. For the smaller text of a pair even the
     first 1 - 2 `similar` / (1 + `similar`) must meet them; these are `indexed`. Shingles that only one
     text has come first and meet nothing, so a text with many of its own has no bucket at all.
-    `n` counts a text's shingles, `common` those that several texts have.
+    `n` counts a text's shingles, `behind` those from `key` on.
     """
     tokens = sets.select("node", F.size("runs").alias("n"), F.explode("runs").alias("key"))
     several = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     shared = tokens.join(several, "key")
     behind = Window.partitionBy("node").orderBy(F.desc("texts"), F.desc("key")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = shared.withColumn("from", F.count(F.lit(1)).over(behind))
-    ranked = ranked.withColumn("common", F.count(F.lit(1)).over(Window.partitionBy("node")))
-    before = F.col("n") - F.col("from")
+    ranked = shared.withColumn("behind", F.count(F.lit(1)).over(behind))
+    before = F.col("n") - F.col("behind")
     first = lambda share: before <= (1 - share + 1e-9) * F.col("n")
     indexed = first(2 * similar / (1 + similar))
-    return ranked.where(first(similar)).select("key", "node", "n", "common", indexed.alias("indexed"))
+    return ranked.where(first(similar)).select("key", "node", "n", "behind", indexed.alias("indexed"))
 
 
 def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR) -> DataFrame:
     """`digest, first, class_id, class_size, n_links` per distinct text of `docs (doc_id, text)`.
 
     `first` is the smallest (doc_id, row) of the class, rows without an id last; `class_size` counts
-    rows; `n_links` counts verified links of the text to other texts.
+    rows; `n_links` counts the text's verified links that joined or tested its class: texts that are
+    already of one class are not compared again, so it is a lower bound that depends on the numbering.
     """
     rows = docs.select("doc_id", body().alias("text"))
     texts = rows.select(F.md5("text").alias("digest"), "text")
