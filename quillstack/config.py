@@ -16,7 +16,7 @@ class ArchiveConfig:
     root_dir            directory that relative listing links start from
     keep_blank_names    keep blank names left by trimming (``"a, ,b"``)
     include_orphans     count authors and categories of unlisted pages too
-    strict              fail on rejected documents, dangling links and path collisions
+    strict              fail on rejected documents, dangling links, missing media and path collisions
     responses_per_part  listing positions per stored part of a page's responses
     """
 

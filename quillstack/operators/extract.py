@@ -21,7 +21,10 @@ FIRST_CELL = (
     r"""(?is)<td\b(?=[^>]*\sbgcolor\s*=\s*["']?#EFEFEF["'\s>])(?=[^>]*\swidth\s*=\s*["']?1%["'\s>])[^>]*>"""
 )
 CELL_END = r"(?i)</td\s*>"
+FONT_OPEN = r"""(?is)<font\b[^>]*\ssize\s*=\s*["']?2["'\s>].*"""
 FONT_TAG = r"""(?is)<font\b[^>]*\ssize\s*=\s*["']?2["'\s>].*?</font\s*>"""
+NESTED_FONT = r"(?is)<font\b(?:(?!</?font\b).)*+<font\b"
+FONT_PIECE = r"(?is)<font\b[^>]*>|</font\s*>|(?:(?!</?font\b).)+|."
 PAGE_NUMBER = r"(?is)</font\s*>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 CREATED_TEXT = r"(?is)</font\s*>.*?</font\s*>\s*<br\s*/?>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 DOCUMENT_END = r"(?is)(?:</form\s*>\s*)?</body\s*>\s*(?:</html\s*>)?\s*$"
@@ -58,6 +61,26 @@ def _table_pieces(pieces: Column) -> Column:
     return F.aggregate(pieces, start, step, lambda acc: acc["end"])
 
 
+def _outer_fonts(cell: Column) -> Column:
+    """Contents of the outermost font tags of size 2, whatever font tags they hold."""
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit("").alias("text"), F.expr("cast(array() as array<string>)").alias("done")
+    )
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<font\b"), piece.rlike(r"(?i)^</font\b")
+        inside = acc["depth"] > 0
+        depth = F.when(inside, acc["depth"] + opens.cast("int") - closes.cast("int")).otherwise(
+            piece.rlike(FONT_OPEN).cast("int")
+        )
+        ends = inside & (depth == 0)
+        text = F.when(inside & ~ends, F.concat(acc["text"], piece)).otherwise("")
+        done = F.when(ends, F.concat(acc["done"], F.array(acc["text"]))).otherwise(acc["done"])
+        return F.struct(depth.alias("depth"), text.alias("text"), done.alias("done"))
+
+    return F.aggregate(F.regexp_extract_all(cell, F.lit(FONT_PIECE), F.lit(0)), start, step, lambda acc: acc["done"])
+
+
 def _without_end(body: Column) -> Column:
     """A body without the document's closing tags, however many blanks stand between and after them."""
     return F.regexp_replace(body, DOCUMENT_END, "")
@@ -110,7 +133,8 @@ def page_metadata(documents: DataFrame, config: ArchiveConfig = ArchiveConfig())
     inner = F.get(F.split(F.col("_meta"), FIRST_CELL, 2), 1)
     cells = cut.withColumn("_cells", F.split(inner, CELL_END, 2)).drop("_meta")
     first, second = F.get("_cells", F.lit(0)), F.get("_cells", F.lit(1))
-    fonts = F.regexp_extract_all(second, F.lit(FONT_TAG), F.lit(0))
+    plain = F.regexp_extract_all(second, F.lit(FONT_TAG), F.lit(0))
+    fonts = F.when(second.rlike(NESTED_FONT), _outer_fonts(second)).otherwise(plain)
     # Number, created text, then the font tags: labels and values of title, authors, categories, date.
     found = F.array(F.regexp_extract(first, PAGE_NUMBER, 2), F.regexp_extract(first, CREATED_TEXT, 2))
     fields = cells.withColumn("_f", F.transform(F.concat(found, fonts), text_of))

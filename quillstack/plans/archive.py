@@ -351,20 +351,32 @@ class ArchivePlan:
         ]
         return one_row(groups)
 
+    @property
+    def problems(self) -> dict[str, DataFrame]:
+        """What the lenient mode leaves out or cannot resolve, by name; stored beside the archive."""
+        return {
+            "rejected": self.rejected,
+            "collisions": self.collisions,
+            "dangling": self.dangling,
+            "unresolved_media": self.unresolved_media,
+            "orphan_responses": listing.orphan_responses(self.threaded),
+        }
+
     def verify(self) -> None:
         """In strict mode, fail on anything the lenient mode reports in a table."""
         if not self.config.strict:
             return
-        problems = {
+        fatal = {
             "rejected documents": self.rejected,
             "path collisions": self.collisions,
             "dangling links": self.dangling,
+            "missing media": self.unresolved_media,
         }
-        for name, table in problems.items():
+        for name, table in fatal.items():
             if not table.isEmpty():
                 raise ValueError(f"the archive has {name}")
 
     def write(self, folder: str) -> None:
         """Replace the stored archive under `folder`."""
         self.verify()
-        store.write_archive(folder, self.archived, self.authors, self.categories, self.manifest)
+        store.write_archive(folder, self.archived, self.authors, self.categories, self.manifest, self.problems)

@@ -227,21 +227,22 @@ class FeedPlan:
         )
 
     def write(self, folder: str) -> None:
-        """Replace the feed under `folder`: one set of XML part files per table."""
+        """Replace the feed under `folder`: one set of XML part files per table.
+
+        Items come in feed order: by `page_order`, `item_rank` and `file_hash`, which are written too.
+        """
         comments = self.comments.drop("path")
         tables = {
             "channel": self.channel.drop("n_posts"),
             "author": self.authors,
             "term": self.terms.where(F.col("taxonomy") == dims.COAUTHOR_TAXONOMY),
             "category": self.category_rows,
-            "item": self.feed_items.drop("page_order", "item_rank", "file_hash", "created"),
+            "item": self.feed_items.drop("created").orderBy("page_order", "item_rank", "file_hash"),
             "post_term": self.post_terms,
             "comment": comments,
         }
         for name, table in tables.items():
-            writer = table.write.mode("overwrite").format("xml")
-            writer.option("rootTag", f"{name}s").option("rowTag", name)
-            writer.option("ignoreSurroundingSpaces", "false").save(f"{folder}/{name}")
+            store.write_xml(table, f"{folder}/{name}", f"{name}s", name)
 
 
 class _FromPlan(FeedPlan):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from quillstack.functions.dates import epoch_seconds, from_epoch
 
+# Characters XML 1.0 has no form for.
+NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
+
 NAMES = "struct<{0}:array<string>>"
 REFS = "struct<{0}:array<struct<_path:string,_VALUE:string>>>"
 RESPONSE = (
@@ -25,8 +29,21 @@ MANIFEST_SCHEMA = (
 )
 
 
-def _xml(df: DataFrame, path: str, root: str, row: str) -> None:
-    writer = df.write.mode("overwrite").format("xml")
+def xml_safe(column: Column, kind: DataType) -> Column:
+    """A column whose texts hold only characters that XML can carry; others become U+FFFD."""
+    if isinstance(kind, StringType):
+        return F.regexp_replace(column, NOT_XML, "\ufffd")
+    if isinstance(kind, ArrayType):
+        return F.transform(column, lambda x: xml_safe(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = F.struct(*[xml_safe(column.getField(f.name), f.dataType).alias(f.name) for f in kind])
+        return F.when(column.isNotNull(), fields)
+    return column
+
+
+def write_xml(df: DataFrame, path: str, root: str, row: str) -> None:
+    safe = df.select(*[xml_safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])
+    writer = safe.write.mode("overwrite").format("xml")
     writer.option("rootTag", root).option("rowTag", row).option("ignoreSurroundingSpaces", "false").save(path)
 
 
@@ -37,7 +54,7 @@ def _read_xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFram
 
 def write_names(names: DataFrame, path: str, row: str) -> None:
     """A dimension list: one element per name."""
-    _xml(names.select(F.col("name").alias("name")), path, f"{row}s", row)
+    write_xml(names.select(F.col("name").alias("name")), path, f"{row}s", row)
 
 
 def read_names(spark: SparkSession, path: str, row: str) -> DataFrame:
@@ -45,13 +62,20 @@ def read_names(spark: SparkSession, path: str, row: str) -> DataFrame:
 
 
 def write_archive(
-    folder: str, pages: DataFrame, authors: DataFrame, categories: DataFrame, manifest: DataFrame
+    folder: str,
+    pages: DataFrame,
+    authors: DataFrame,
+    categories: DataFrame,
+    manifest: DataFrame,
+    problems: dict[str, DataFrame],
 ) -> None:
-    """Replace the stored archive: pages, name lists and manifest."""
-    _xml(pages, f"{folder}/pages", "pages", "page")
+    """Replace the stored archive: pages, name lists, manifest and, as Parquet, the run's problems."""
+    write_xml(pages, f"{folder}/pages", "pages", "page")
     write_names(authors, f"{folder}/authors", "author")
     write_names(categories, f"{folder}/categories", "category")
-    _xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{folder}/media", "files", "file")
+    write_xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{folder}/media", "files", "file")
+    for name, table in problems.items():
+        table.write.mode("overwrite").parquet(f"{folder}/problems/{name}")
 
 
 def scan_archive(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,9 @@ from quillstack.functions.text import basename, decode_bytes, join_path, normali
 
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
+DOCUMENT_NAME = r"(?s).OpenDocument"
+#: Larger files are not read.
+MAX_FILE_BYTES = 1 << 30
 
 
 def file_path(uri: Column) -> Column:
@@ -17,25 +20,31 @@ def file_path(uri: Column) -> Column:
 
 
 def read_files(spark: SparkSession, folder: str, glob: str, recursive: bool = True) -> DataFrame:
-    """Files under a folder: `path, content, n_bytes, modified`. Columns not used are not read."""
+    """Files under a folder: `path, content, n_bytes, modified`. Columns not used are not read.
+
+    Files over `MAX_FILE_BYTES` keep their row but have no content, as one value cannot hold it: such
+    a document is rejected as unreadable and such a media file stays unresolved.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", str(recursive).lower())
         .load(folder)
     )
-    return files.select(
+    rows = files.select(
         file_path(F.col("path")).alias("path"),
         "content",
         F.col("length").alias("n_bytes"),
         F.col("modificationTime").alias("modified"),
     )
+    large = rows.where(F.col("n_bytes") > MAX_FILE_BYTES).withColumn("content", F.lit(None).cast("binary"))
+    return rows.where(F.col("n_bytes") <= MAX_FILE_BYTES).unionByName(large)
 
 
 def scan_contents(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """Contents listings matching a file name pattern: `contents_file, html`."""
+    """Contents listings matching a file name pattern: `contents_file` (the path), `html`."""
     files = read_files(spark, folder, glob, recursive=False)
-    return files.select(basename(F.col("path")).alias("contents_file"), decode_bytes(F.col("content")).alias("html"))
+    return files.select(F.col("path").alias("contents_file"), decode_bytes(F.col("content")).alias("html"))
 
 
 def scan_documents(spark: SparkSession, folder: str, glob: str = DOCUMENT_GLOB) -> DataFrame:
@@ -44,7 +53,9 @@ def scan_documents(spark: SparkSession, folder: str, glob: str = DOCUMENT_GLOB)
 
 
 def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    return read_files(spark, folder, glob).select("path", "content")
+    """Files that pages show: `path, content`. Documents are left out."""
+    files = read_files(spark, folder, glob).select("path", "content")
+    return files.where(~basename(F.col("path")).rlike(DOCUMENT_NAME))
 
 
 def in_archive(files: DataFrame, folder: str, root_dir: str) -> DataFrame:

@@ -293,6 +293,10 @@ FINALS = {
           when 4 then 'no metadata table' when 5 then 'missing metadata field' end as reject_reason from e
         union all select 'web/' || page_id, 'no centred heading' from pages
         union all select 'bin/' || doc_id, 'binary file' from e""",
+    "rejected": """
+        select path, 'binary file' as reject_reason from e where doc_id % 7 <> 3 and doc_id % 13 = 4
+        union all select path, 'missing document' from (select path, doc_id from ent union select path, doc_id from rs)
+        where doc_id % 7 = 3""",
     "page_metadata": f"""
         select path, title, page_no, array_to_string(authors, '|') as authors, array_to_string(categories, '|') as categories,
           {STAMP.format("created")} as created, null::varchar as reject_reason from e""",
@@ -330,6 +334,7 @@ FINALS = {
     "resolve_links": "select page_path, pos, ref_path, ref_key, target_key from plk where target_key is not null",
     "dangling_links": "select page_path, pos, href, ref_path from plk where target_key is null",
     "resolve_media": "select path as page_path, pos, kind, ref_path, file_hash from mlk",
+    "unresolved_media": "select path as page_path, pos, kind, ref_path from mlk where file_hash is null",
     "merged_links": """
         select page_key, kind, ref_key, ref_path, owner_path, from_response, n_refs from mpl
         union all select page_key, kind, file_hash, src_path, owner_path, from_response, n_refs from mm""",
@@ -398,8 +403,8 @@ FINALS = {
     "feed_summary": "select * from feed_counts",
     "feed_from_archive": "select * from feed_counts",
     "write_feed": """
-        select post_id, title, creator, guid, post_type, content from post
-        union all select post_id, title, creator, guid, post_type, content from item""",
+        select post_id, title, creator, guid, post_type, content, page_order from post
+        union all select post_id, title, creator, guid, post_type, content, page_order from item""",
 }
 # These read the source tables only; "pages" is there the given table, not a step.
 PLAIN = {

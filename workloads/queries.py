@@ -13,6 +13,7 @@ from quillstack.functions.dates import epoch_seconds, parse_created, post_date
 from quillstack.functions.html import link_tags, link_target, strip_top_links, tag_name
 from quillstack.operators import extract, links, listing, media, urls
 from quillstack.operators.skew import carry_forward, lookup
+from quillstack.plans.archive import ArchivePlan
 from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
 from quillstack.sources.files import scan_contents as read_contents
@@ -226,6 +227,13 @@ def clean_body(lb: Logbook) -> DataFrame:
     return cut.select("path", strip_top_links(F.col("content")).alias("content"))
 
 
+def rejected(lb: Logbook) -> DataFrame:
+    """The logbook with some documents gone and some binary: what the archive could not take."""
+    doc_id = F.regexp_extract("path", r"/(\d+)\?OpenDocument$", 1).cast("bigint")
+    pages = lb.pages.where(doc_id % 7 != 3).withColumn("html", F.when(doc_id % 13 != 4, F.col("html")))
+    return ArchivePlan(lb.spark, lb.listings, pages, lb.media, CONFIG, lb.ws).rejected
+
+
 def path_collisions(lb: Logbook) -> DataFrame:
     """Entries and responses addressed by their text's hash, so that copies collide."""
     rows = lb.base.select(
@@ -271,12 +279,14 @@ def feed_from_archive(lb: Logbook) -> DataFrame:
 
 
 def write_feed(feed: FeedPlan) -> DataFrame:
-    """The feed written as XML parts, its items read back."""
+    """The feed written as XML parts, its items read back with their place in the feed."""
     folder = feed.ws.path("feed")
     feed.write(folder)
-    reader = feed.spark.read.schema("post_id bigint, title string, creator string, guid string, post_type string, content string")
+    reader = feed.spark.read.schema(
+        "post_id bigint, title string, creator string, guid string, post_type string, content string, page_order bigint"
+    )
     return reader.format("xml").option("rowTag", "item").option("ignoreSurroundingSpaces", "false").load(f"{folder}/item").select(
-        "post_id", "title", "creator", "guid", "post_type", F.coalesce("content", F.lit("")).alias("content")
+        "post_id", "title", "creator", "guid", "post_type", F.coalesce("content", F.lit("")).alias("content"), "page_order"
     )
 
 
@@ -350,6 +360,7 @@ def registry() -> dict[str, Query]:
         "path_collisions": _logbook(path_collisions),
         # extraction
         "validate_pages": validate_pages,
+        "rejected": _logbook(rejected),
         "page_metadata": _logbook(page_metadata),
         "page_body": _logbook(page_body),
         "clean_body": _logbook(clean_body),
@@ -379,6 +390,9 @@ def registry() -> dict[str, Query]:
                 "page_path", F.col("pos").cast("bigint").alias("pos"), "kind", "ref_path", "file_hash"
             )
         ),
+        "unresolved_media": _archive(
+            lambda p: p.unresolved_media.select("page_path", F.col("pos").cast("bigint").alias("pos"), "kind", "ref_path")
+        ),
         "merged_links": _archive(lambda p: p.merged.drop("target_key", "page_order", "created")),
         "page_media": _archive(lambda p: p.merged_media.select("page_key", "kind", "kind_rank", "file_hash", "src_path")),
         "media_manifest": _archive(
