@@ -4,6 +4,9 @@ The shingles of a text are its runs of five words, weighted by 1 + log of their
 is a Poisson process of its weight's rate whose points fall into `SIZE` registers; a register keeps
 the shingle that came first, and a shingle stops once its next point is later than all registers of
 its text. Two texts agree in a register with the probability Jaccard similarity of their shingles.
+A link is a plain Jaccard similarity, which differs from that one where shingles repeat, so a text
+with repeated shingles also has the signature of its shingles at weight 1. Texts without repeats
+have the same signature both ways, and all signatures share one set of bands.
 
 Equal texts are one node. Nodes that agree in all registers of a band share a bucket; each bucket
 compares its members with few of them, never all pairs. Candidates are verified on their whole
@@ -96,10 +99,18 @@ def signed(texts: DataFrame) -> DataFrame:
 
     def work(ids: list, rows: list) -> dict:
         owner, runs, weight = shingles(rows)
-        keys = band_keys(signatures(len(rows), owner, runs, weight))
-        has = np.zeros(len(rows), bool)
+        bands = band_keys(signatures(len(rows), owner, runs, weight))
+        has, repeats = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
         has[owner] = True
-        return {"digest": ids, "keys": [list(k) if h else [] for k, h in zip(keys, has, strict=True)]}
+        repeats[owner[weight > 1]] = True
+        keys = [list(k) if h else [] for k, h in zip(bands, has, strict=True)]
+        again = np.flatnonzero(repeats)
+        held = repeats[owner]
+        place = np.searchsorted(again, owner[held])
+        plain = band_keys(signatures(len(again), place, runs[held], np.ones(len(place))))
+        for k, more in zip(again.tolist(), plain, strict=True):
+            keys[k] = list(dict.fromkeys([*keys[k], *more]))
+        return {"digest": ids, "keys": keys}
 
     return mapped(texts, work, "digest string, keys array<bigint>")
 

@@ -206,6 +206,18 @@ def test_mixed_buckets_lose_no_link(spark):
     assert got == brute_classes(texts)
 
 
+def test_repeated_lines_lose_no_link(spark):
+    texts = {}
+    for k in range(80):
+        words = [f"t{k}w{i}" for i in range(104)]
+        texts[2 * k] = " ".join(words)
+        texts[2 * k + 1] = " ".join(words[:97] + [f"t{k}e{i}" for i in range(7)] + words[:50] * 60)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.query(docs).collect()}
+    assert got == brute_classes(texts)
+    assert got == {i: i - i % 2 for i in texts}
+
+
 def test_one_row_of_each_class_stays(odd):
     kept = neardup.keep_first(odd, Workspace(odd.sparkSession))
     assert kept.columns == odd.columns
