@@ -2,8 +2,9 @@
 
 Spark functions only. One pass over the texts turns every pattern's matches into gap and match
 lengths; everything later works on these lengths. Weak access identifiers, weak secrets and
-endpoints are reported only if their complementary parts lie within a scope of `SCOPE` code points:
-an interval join, done as a range frame over each document's parts, so no pairs are made.
+endpoints are reported only if their complementary parts lie within a scope of `SCOPE` code points,
+from the end of one to the start of the other: an interval join, done as running values over each
+document's parts, so no pairs are made.
 
 Null texts are empty texts; a null doc_id stays null; repeated rows are scanned each for itself;
 other columns are ignored. A text without secrets has empty span lists.
@@ -26,7 +27,8 @@ WEAK = (
     r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?"""
     r"""|(?i:hostname|host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:-]{4,}"""
     r"""|(?i:access_?key(?:_?id)?|client_?id|account|username|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{4,}"""
-    r"""|(?=[A-Za-z+/_-]{0,19}[0-9])[A-Za-z0-9+/_-]{20,}"""
+    # Whole runs with a digit; they are tried only where a run or the rest of one begins, so in one pass.
+    r"""|(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}"""
 )
 KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "weak_endpoint")
 PART = "array<struct<pattern:int,kind:int,gap:int,len:int>>"
@@ -94,8 +96,17 @@ def spans_of(parts: DataFrame) -> DataFrame:
 def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Spans that are reported: a weak access identifier near a secret, a weak secret near an access
     identifier, an endpoint near both. Hexadecimal runs count as secrets."""
-    near = Window.partitionBy("rid").orderBy("start").rangeBetween(-scope, scope)
-    has = lambda *kinds: F.max(F.col("kind").isin(*kinds)).over(near)
+    # The scope is the gap from the end of the earlier span to the start of the later one. Both frames
+    # end at the row itself, so each is one running value.
+    rows = Window.partitionBy("rid")
+    so_far = rows.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    from_end = rows.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = lambda *kinds: F.max(F.when(F.col("kind").isin(*kinds), F.col("stop"))).over(so_far)
+    ahead = lambda *kinds: F.min(F.when(F.col("kind").isin(*kinds), F.col("start"))).over(from_end)
+    has = lambda *kinds: (
+        F.coalesce(F.col("start") - reach(*kinds) <= scope, F.lit(False))
+        | F.coalesce(ahead(*kinds) - F.col("stop") <= scope, F.lit(False))
+    )
     seen = spans.withColumn("access_near", has(1, 3)).withColumn("secret_near", has(0, 2, 4))
     kind = F.col("kind")
     report = (

@@ -345,6 +345,33 @@ def test_masked_texts_hold_no_secret(spark, odd):
     assert credentials.mask(odd, Workspace(spark)).count() == odd.count()
 
 
+def test_weak_secrets_are_whole_and_near_by_their_ends(spark):
+    late = "AbcdEfghIjklMnopQrstUvwxYzAbCdEfGhI7jKlMnOpQ"
+    long = "aB3" + "xY9z" * 100
+    texts = {
+        1: f"client_id = jo-service-1 then {late} end", 2: f"{long} client_id = jo-service-1",
+        3: f"{long} https://api.example.com {'. ' * 100} client_id = jo-service-1",
+        4: f"{long} {'. ' * 150} client_id = jo-service-1", 5: "client_id = jo-service-1 " + "abcdefgh" * 9,
+        6: "client_id = jo-service-1 https://a.example.com/" + late,
+        7: "my_production_database_cluster_hostname = db.example.com client_id = jo-service-1 " + late,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    cut = lambda s, t: (s.split(":")[0], t[int(s.split(":")[1]) : int(s.split(":")[2])])
+    got = {
+        r["doc_id"]: [cut(s, texts[r["doc_id"]]) for s in r["spans"].split(",") if s]
+        for r in credentials.query(docs).collect()
+    }
+    access = ("weak_access", "client_id = jo-service-1")
+    assert got[1] == [access, ("weak_secret", late)]
+    assert got[2] == [("weak_secret", long), access]
+    assert got[3] == [("weak_secret", long), ("weak_endpoint", "https://api.example.com"), access]
+    assert got[4] == [] and got[5] == []
+    assert got[6][-1] == ("weak_secret", "/" + late)
+    assert got[7][0] == ("weak_endpoint", "hostname = db.example.com")
+    out = {r["doc_id"]: r["text"] for r in credentials.mask(docs, Workspace(spark)).collect()}
+    assert out[1] == "[SECRET] then [SECRET] end" and out[2] == "[SECRET] [SECRET]"
+
+
 # --- 10: personal data ---------------------------------------------------------------------------
 
 
