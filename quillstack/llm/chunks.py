@@ -127,31 +127,46 @@ def shared(rows: DataFrame, key: str) -> DataFrame:
 def passages(
     docs: DataFrame, ws: Workspace, min_words: int = MIN_WORDS, core_words: int = CORE_WORDS
 ) -> DataFrame:
-    """`doc_id, start, stop, n_words, n_chunks, first_doc_id, is_first` of every passage that other documents share."""
+    """`doc_id, start, stop, n_words, n_chunks, first_doc_id, is_first` of all shared passages.
+
+    A passage is given in pieces, one row each, so that every piece has one first document: the first
+    that has its chunks side by side. `is_first` tells that no earlier document has the piece, or only
+    a stretch of fewer than `core_words` words.
+    """
     chunks = ws.keep(chunk_table(docs), "chunks")
-    seen = chunks.join(shared(chunks, "digest"), "digest")
+    seen = chunks.join(shared(chunks, "digest"), "digest").repartition("doc")
     # The repeated rows of a document are the same chunks.
-    seen = ws.keep(seen.dropDuplicates(["doc", "place", "digest"]), "shared-chunks")
+    seen = seen.dropDuplicates(["doc", "place", "digest"])
     along = Window.partitionBy("doc").orderBy("place", "digest")
     is_next = F.lead("place").over(along) == F.col("place") + 1
     pair = F.when(is_next, F.xxhash64("digest", F.lead("digest").over(along)))
     paired = ws.keep(seen.withColumn("pair", pair), "pairs")
-    both = shared(paired.where("pair is not null").select("pair", "doc"), "pair").select("pair", F.lit(1).alias("goes_on"))
+    both = shared(paired.where("pair is not null").select("pair", "doc"), "pair").withColumnRenamed("first_doc", "goes_on")
     linked = paired.where("pair is not null").join(both, "pair", "left").unionByName(
-        paired.where("pair is null").withColumn("goes_on", F.lit(None).cast("int"))
+        paired.where("pair is null").withColumn("goes_on", F.lit(None).cast("bigint"))
     )
     # A passage starts at each chunk that the one before does not go on to.
-    starts = F.when(F.lag("goes_on").over(along).isNull(), 1).otherwise(0)
-    run = F.sum("starts").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    runs = linked.withColumn("starts", starts).withColumn("run", run)
-    whole = runs.groupBy("doc", "run").agg(
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda when: F.sum(F.when(when, 1).otherwise(0)).over(so_far)
+    came_from = F.lag("goes_on").over(along)
+    runs = linked.withColumn("starts", came_from.isNull())
+    # A chunk belongs to the first document that has it beside a neighbour.
+    runs = runs.withColumn("first", F.coalesce(F.least(came_from, "goes_on"), "first_doc"))
+    runs = runs.withColumn("earlier", F.col("first") < F.col("doc")).withColumn("run", count(F.col("starts")))
+    turns = F.col("starts") | (F.col("earlier") != F.lag("earlier").over(along))
+    runs = runs.withColumn("stretch", count(turns))
+    short = F.sum("words").over(Window.partitionBy("doc", "stretch")) < core_words
+    runs = runs.withColumn("first", F.when(short, F.col("doc")).otherwise(F.col("first")))
+    breaks = F.col("starts") | (F.col("first") != F.lag("first").over(along))
+    pieces = runs.withColumn("piece", count(breaks)).groupBy("doc", "run", "piece").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"),
-        F.count(F.lit(1)).alias("n_chunks"), F.min("first_doc").alias("first_doc"),
+        F.count(F.lit(1)).alias("n_chunks"), F.min("first").alias("first_doc"),
         F.min_by("before", "place").alias("before"), F.max_by("after", "place").alias("after"),
     )
-    long = whole.where(
-        (F.col("n_words") >= core_words) & (F.col("n_words") + F.col("before") + F.col("after") > min_words)
-    )
+    whole = Window.partitionBy("doc", "run")
+    words = F.sum("n_words").over(whole)
+    reach = words + F.min_by("before", "piece").over(whole) + F.max_by("after", "piece").over(whole)
+    long = pieces.withColumn("long", (words >= core_words) & (reach > min_words)).where("long")
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return long.select(
         named("doc").alias("doc_id"), "start", "stop", "n_words", "n_chunks", named("first_doc").alias("first_doc_id"),

@@ -133,6 +133,24 @@ def test_repeats_are_removed_from_later_documents(spark):
     assert out[2].startswith("second start") and out[2].endswith("second end") and len(out[2]) < len(passage) / 2
 
 
+def passage(name, n=120):
+    return " ".join(f"{name}{i * 7919 % 1009}" for i in range(n))
+
+
+def test_a_longer_passage_stays_where_it_is_first(spark):
+    p, q = passage("p"), passage("q")
+    texts = {1: f"one {p} . one", 5: f"five {p} {q} . five", 9: f"nine {p} {q} . nine"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = Workspace(spark).keep(chunks.query(docs), "found")
+    for r in found.collect():
+        middle = texts[r["doc_id"]][r["start"] : r["stop"]]
+        assert middle in texts[r["first_doc_id"]] and r["is_first"] == (r["doc_id"] == r["first_doc_id"])
+    out = {r["doc_id"]: r["text"] for r in chunks.without_repeats(docs, found).collect()}
+    assert out[1] == texts[1]
+    assert q in out[5] and out[5].endswith("five") and len(out[5]) < len(q) + len(p) / 3
+    assert out[9].startswith("nine") and out[9].endswith("nine") and len(out[9]) < len(p) / 2
+
+
 # --- 3: urls -------------------------------------------------------------------------------------
 
 
