@@ -7,15 +7,15 @@ side. A passage counts once its chunks have `CORE_WORDS` words and, with the two
 which it may reach into, could exceed `MIN_WORDS`.
 
 Offsets are code points, ends exclusive; they are those of the passage's whole chunks. Null texts
-are empty texts. Documents are told apart by doc_id, so repeated rows are one document; rows without
-an id are one document together. Extra columns are ignored; an empty table gives an empty result.
+are empty texts. Documents are told apart by doc_id, so repeated rows are one document; every row
+without an id is a document of its own. Different texts of one doc_id are chunked and cut each for itself. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstack.llm.common import mapped, mix64
@@ -64,11 +64,12 @@ def cut_points(data: np.ndarray) -> list[int]:
 
 
 def chunked(texts: list[str]) -> dict:
-    """Columns of the chunks of all texts: text number, place, start, stop, words, around, digest.
+    """Columns of the chunks of all texts: text number and hash, place, start, stop, words, around, digest.
 
-    `words` counts the words that start in the chunk, `around` those of its two neighbours.
+    `words` counts the words that start in the chunk, `around` those of its two neighbours. The
+    text's hash is Spark's xxhash64.
     """
-    owner, place, start, stop, words, before, after, digest = [], [], [], [], [], [], [], []
+    owner, whole, place, start, stop, words, before, after, digest = [], [], [], [], [], [], [], [], []
     for k, text in enumerate(texts):
         raw = text.encode("utf-8", "replace")
         data = np.frombuffer(raw, np.uint8)
@@ -81,6 +82,7 @@ def chunked(texts: list[str]) -> dict:
         word = np.r_[0, np.cumsum(~space & np.r_[True, space[:-1]])]
         count = word[ends] - word[begins]
         owner.append(np.full(len(ends), k))
+        whole.append(np.full(len(ends), xxhash.xxh64_intdigest(raw, seed=42), np.uint64))
         place.append(np.arange(len(ends)))
         start.append(chars[begins])
         stop.append(chars[ends])
@@ -90,14 +92,14 @@ def chunked(texts: list[str]) -> dict:
         digest.append(np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64))
     join = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
     return {
-        "owner": join(owner, np.int64), "place": join(place, np.int32), "start": join(start, np.int32),
+        "owner": join(owner, np.int64), "text_hash": join(whole, np.uint64).view(np.int64), "place": join(place, np.int32), "start": join(start, np.int32),
         "stop": join(stop, np.int32), "words": join(words, np.int16), "before": join(before, np.int16),
         "after": join(after, np.int16), "digest": join(digest, np.uint64).view(np.int64),
     }
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """`doc, place, start, stop, words, before, after, digest` of all chunks of `docs (doc_id, text)`."""
+    """`doc, text_hash, place, start, stop, words, before, after, digest` of all chunks of `docs (doc_id, text)`."""
 
     def work(ids: list, texts: list) -> dict:
         out = chunked(texts)
@@ -105,17 +107,21 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         return out | {"doc": named[out["owner"]]}
 
     schema = (
-        "doc bigint, place int, start int, stop int, words smallint, before smallint, after smallint, digest bigint"
+        "doc bigint, text_hash bigint, place int, start int, stop int, words smallint, before smallint, after smallint,"
+        " digest bigint"
     )
-    return mapped(docs.select(_named(F.col("doc_id")), "text"), work, schema)
+    return mapped(_named(docs).select("_doc", "text"), work, schema)
 
 
+#: Rows without an id get numbers from here on, which no id has.
 NO_ID = -(2**63)
+NO_ID_END = NO_ID + 2**56
 
 
-def _named(doc_id: Column) -> Column:
-    """Ids as whole numbers; rows without one share a number no id has."""
-    return F.coalesce(doc_id.cast("bigint"), F.lit(NO_ID)).alias("doc")
+def _named(docs: DataFrame) -> DataFrame:
+    """`docs` with `_doc`: ids as whole numbers; rows without one are numbered in the stored rows' order."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    return rows.withColumn("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID) + F.col("_row"))).drop("_row")
 
 
 def shared(rows: DataFrame, key: str) -> DataFrame:
@@ -127,17 +133,17 @@ def shared(rows: DataFrame, key: str) -> DataFrame:
 def passages(
     docs: DataFrame, ws: Workspace, min_words: int = MIN_WORDS, core_words: int = CORE_WORDS
 ) -> DataFrame:
-    """`doc_id, start, stop, n_words, n_chunks, first_doc_id, is_first` of all shared passages.
+    """`doc_id, start, stop, n_words, n_chunks, first_doc_id, is_first, doc, text_hash` of all shared passages.
 
     A passage is given in pieces, one row each, so that every piece has one first document: the first
     that has its chunks side by side. `is_first` tells that no earlier document has the piece, or only
-    a stretch of fewer than `core_words` words.
+    a stretch of fewer than `core_words` words. `doc` and `text_hash` name the text the offsets belong to.
     """
     chunks = ws.keep(chunk_table(docs), "chunks")
-    seen = chunks.join(shared(chunks, "digest"), "digest").repartition("doc")
+    seen = chunks.join(shared(chunks, "digest"), "digest").repartition("doc", "text_hash")
     # The repeated rows of a document are the same chunks.
-    seen = seen.dropDuplicates(["doc", "place", "digest"])
-    along = Window.partitionBy("doc").orderBy("place", "digest")
+    seen = seen.dropDuplicates(["doc", "text_hash", "place"])
+    along = Window.partitionBy("doc", "text_hash").orderBy("place")
     is_next = F.lead("place").over(along) == F.col("place") + 1
     pair = F.when(is_next, F.xxhash64("digest", F.lead("digest").over(along)))
     paired = ws.keep(seen.withColumn("pair", pair), "pairs")
@@ -155,31 +161,35 @@ def passages(
     runs = runs.withColumn("earlier", F.col("first") < F.col("doc")).withColumn("run", count(F.col("starts")))
     turns = F.col("starts") | (F.col("earlier") != F.lag("earlier").over(along))
     runs = runs.withColumn("stretch", count(turns))
-    short = F.sum("words").over(Window.partitionBy("doc", "stretch")) < core_words
+    short = F.sum("words").over(Window.partitionBy("doc", "text_hash", "stretch")) < core_words
     runs = runs.withColumn("first", F.when(short, F.col("doc")).otherwise(F.col("first")))
     breaks = F.col("starts") | (F.col("first") != F.lag("first").over(along))
-    pieces = runs.withColumn("piece", count(breaks)).groupBy("doc", "run", "piece").agg(
+    pieces = runs.withColumn("piece", count(breaks)).groupBy("doc", "text_hash", "run", "piece").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"),
         F.count(F.lit(1)).alias("n_chunks"), F.min("first").alias("first_doc"),
         F.min_by("before", "place").alias("before"), F.max_by("after", "place").alias("after"),
     )
-    whole = Window.partitionBy("doc", "run")
+    whole = Window.partitionBy("doc", "text_hash", "run")
     words = F.sum("n_words").over(whole)
     reach = words + F.min_by("before", "piece").over(whole) + F.max_by("after", "piece").over(whole)
     long = pieces.withColumn("long", (words >= core_words) & (reach > min_words)).where("long")
-    named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    named = lambda c: F.when(~F.col(c).between(NO_ID, NO_ID_END), F.col(c))
     return long.select(
         named("doc").alias("doc_id"), "start", "stop", "n_words", "n_chunks", named("first_doc").alias("first_doc_id"),
-        (F.col("doc") == F.col("first_doc")).alias("is_first"),
+        (F.col("doc") == F.col("first_doc")).alias("is_first"), "doc", "text_hash",
     )
 
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """`docs` whose texts lose the passages that an earlier document has; columns and rows stay."""
-    cuts = found.where("not is_first").groupBy(_named(F.col("doc_id"))).agg(
+    """`docs` whose texts lose the passages that an earlier document has; columns and rows stay.
+
+    `found` are the passages of these very `docs`: rows without an id are told by their order.
+    """
+    cuts = found.where("not is_first").groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_cuts")
     )
-    rows = docs.withColumn("doc", _named(F.col("doc_id"))).join(cuts, "doc", "left").drop("doc")
+    rows = _named(docs).withColumn("_hash", F.xxhash64("text"))
+    rows = rows.join(cuts, ["_doc", "_hash"], "left").drop("_doc", "_hash")
     open_at = lambda i: F.coalesce(F.get("_cuts", i - 1)["stop"], F.lit(0))
     piece = lambda c, i: F.substring("text", open_at(i) + 1, c["start"] - open_at(i))
     tail = F.expr("substring(text, element_at(_cuts, -1).stop + 1)")

@@ -151,6 +151,20 @@ def test_a_longer_passage_stays_where_it_is_first(spark):
     assert out[9].startswith("nine") and out[9].endswith("nine") and len(out[9]) < len(p) / 2
 
 
+def test_rows_without_an_id_are_documents(spark):
+    p, q = passage("p"), passage("q")
+    rows = [(None, f"first {p} end"), (None, f"later {p} over"), (5, f"third {p} done"), (7, f"seven {q} a"), (7, f"apart {q} b")]
+    docs = spark.createDataFrame([*rows, (8, f"eight {q} c")], "doc_id long, text string").coalesce(1)
+    found = Workspace(spark).keep(chunks.query(docs), "found")
+    got = Counter((r["doc_id"], r["is_first"]) for r in found.collect())
+    assert got == Counter({(None, True): 1, (None, False): 1, (5, False): 1, (7, True): 2, (8, False): 1})
+    out = {r["text"] for r in chunks.without_repeats(docs, found).collect()}
+    assert {rows[0][1], rows[3][1], rows[4][1]} <= out and len(out) == 6
+    cut = sorted(t for t in out if len(t) < len(p) / 2)
+    assert [t.split()[0] for t in cut] == ["eight", "later", "third"]
+    assert [t.split()[-1] for t in cut] == ["c", "over", "done"]
+
+
 # --- 3: urls -------------------------------------------------------------------------------------
 
 
