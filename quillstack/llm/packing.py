@@ -4,10 +4,11 @@ Documents are dealt to shards of about `SHARD_ROWS` rows by a hash of their row,
 packed by itself, largest pieces first. Open bins are ordered by residual capacity, and each carries
 a bitmap of its sources and one of its duplicate clusters; the search starts at the tightest bin that
 could hold the piece and goes on to its successors until one has neither the piece's source nor its
-cluster. So no bin holds two documents of a source or two copies of a text.
+cluster. So no bin holds two documents of a source or two of a cluster. `query` takes the classes of
+the near-duplicate operator as clusters; `pack` takes a column, and without one only equal texts.
 
-Texts longer than a bin become full bins and a remainder; nothing is cut off or left out. Only ids,
-lengths and hashes are shuffled, never texts, and a hot source is spread over all shards.
+Texts longer than a bin become full bins and a remainder; nothing is cut off or left out. Packing
+shuffles only ids, lengths and hashes, never texts, and a hot source is spread over all shards.
 
 A null text has no tokens and gets one empty piece; null sources are one source of their own (every
 null conflicts with every other null). Repeated rows are packed each for itself; extra columns are
@@ -22,7 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstack.llm import neardup
 from quillstack.llm.common import body, word_count
+from quillstack.operators.skew import lookup
+from quillstack.sources.workspace import Workspace
 
 CAPACITY = 2048
 SHARD_ROWS = 4096
@@ -70,8 +74,8 @@ def pack_shard(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
     rest = rows["n_tokens"] - full * capacity
     order = rest.sort_values(ascending=False, kind="stable").index
     # Only clusters with several members need bits of their own; others share bit 0 of nobody's bitmap.
-    many = rows["digest"].duplicated(keep=False)
-    cluster = _codes(rows["digest"].where(many))
+    many = rows["cluster"].duplicated(keep=False)
+    cluster = _codes(rows["cluster"].where(many))
     lone = ~many
     source = _codes(rows["source"])
     bits = cluster.where(many, 0)
@@ -97,19 +101,40 @@ def _masked(bits: pd.Series, lone: pd.Series) -> pd.Series:
     return bits.where(~lone, fresh).astype("int64")
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per piece: `shard, bin, slot, doc_id, source, piece, start, n_tokens`; start counts tokens."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def measured(docs: DataFrame, *more: str) -> DataFrame:
+    """`doc_id, source, n_tokens, digest, md5, row` and the columns `more` of every row; texts end here."""
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     text = body()
-    rows = docs.select(
+    return docs.select(
         "doc_id", source.alias("source"), word_count(text).alias("n_tokens"), F.xxhash64(text).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
+        F.md5(text).alias("md5"), F.monotonically_increasing_id().alias("row"), *more,
+    )
+
+
+def pack(
+    docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: str | None = None
+) -> DataFrame:
+    """One row per piece: `shard, bin, slot, doc_id, source, piece, start, n_tokens`; start counts tokens.
+
+    `cluster` names a column of `docs`; rows in which it is null conflict with equal texts only.
+    """
+    rows = measured(docs.withColumn("_cluster", F.col(cluster)) if cluster else docs, *(["_cluster"] if cluster else []))
+    return pack_rows(rows, docs.count(), capacity, shard_rows)
+
+
+def pack_rows(rows: DataFrame, n: int, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Pieces of the `n` rows of `measured`, which may have a column `_cluster`."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    own = F.xxhash64(F.lit("text"), "digest")
+    if "_cluster" in rows.columns:
+        own = F.when(F.col("_cluster").isNull(), own).otherwise(F.xxhash64(F.lit("cluster"), "_cluster"))
+    shards = max(1, -(-n // shard_rows))
+    rows = rows.select(
+        "doc_id", "source", "n_tokens", "digest", own.alias("cluster"),
+        F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)).alias("shard"),
     )
-    shards = max(1, -(-docs.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards))).drop("row")
     # Rows are narrow but packing is work: as many tasks as a shuffle has, not as their bytes would fill.
-    tasks = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = min(shards, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartition(tasks, "shard")
     order = [f.split()[0] for f in SCHEMA.split(", ")]
 
@@ -120,4 +145,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return pack(docs.select("doc_id", "text", "source"))
+    ws = Workspace(docs.sparkSession)
+    found = ws.keep(neardup.classes(docs, ws), "classes")
+    clusters = found.select(F.col("digest").alias("md5"), F.col("first.row").alias("_cluster"))
+    rows = ws.keep(measured(docs), "rows")
+    return pack_rows(lookup(ws, rows, clusters, "md5", staged=True), rows.count())

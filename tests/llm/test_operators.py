@@ -296,6 +296,19 @@ def test_bins_hold_what_they_may(docs):
     assert sum(sizes.values()) / len(sizes) > 0.75 * packing.CAPACITY
 
 
+def test_no_bin_holds_two_of_a_near_duplicate_class(spark, docs):
+    words = [" ".join(f"p{k}w{i}" for i in range(900)) for k in range(12)]
+    texts = {2 * k + n: w + " x" * n for k, w in enumerate(words) for n in range(2)}
+    pairs = spark.createDataFrame([(i, t, f"s{i}", i // 2) for i, t in texts.items()], "doc_id long, text string, source string, k long")
+    bins = lambda rows: [(r["doc_id"], (r["shard"], r["bin"])) for r in rows]
+    for table in (pairs, docs):
+        of = brute_classes({r["doc_id"]: r["text"] for r in table.collect()})
+        got = {(where, of[doc], doc) for doc, where in bins(packing.query(table).collect())}
+        assert len({x[:2] for x in got}) == len(got) >= table.count()
+    got = bins(packing.pack(pairs, cluster="k").collect())
+    assert len({(where, doc // 2) for doc, where in got}) == len(got) == len(texts)
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     placed, used = packing.best_fit([6, 5, 4, 3], [0, 1, 0, 2], [0, 1, 2, 3], 10)
     assert (placed, used) == ([0, 1, 1, 0], 2)
