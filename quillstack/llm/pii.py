@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, plus a linear-chain conditional random field over word shapes.
 
 The field is trained on the driver from a small labelled table (`LABELLED` unless another is given).
-Only words with a digit or an at sign can carry one of its labels; all others are outside by
-definition, so a text splits into short runs of such words that are decoded apart without changing
-the best path. Runs of a whole slice of texts are decoded together, by Viterbi in numpy.
+It decodes all words of the lines that have a digit or an at sign; neighbouring lines of that kind are
+one chain, so an item may go on over a line's end, and over words without digits such as an IBAN's
+bank code. Chains of a whole slice of texts are decoded together, by Viterbi in numpy.
 
 Null texts are empty texts; null ids stay null; repeated rows are scanned each for itself; extra
 columns are ignored; an empty table gives an empty result. Offsets are code points, ends exclusive.
@@ -109,40 +109,61 @@ def _shape(word: str) -> str:
     return "".join(out)
 
 
+def _core(word: str) -> str:
+    return TRIM_RIGHT.sub("", TRIM_LEFT.sub("", word, count=1)) or word[:40]
+
+
+def _of_core(core: str) -> tuple[str, ...]:
+    digits = sum(c in "0123456789" for c in core)
+    return f"s{_shape(core)}", f"d{min(digits, 20)}", f"l{min(len(core), 24) // 3}", f"a{'@' in core}"
+
+
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode("utf-8", "replace")) % BUCKETS
+
+
 def _features(words: list[str], i: int) -> list[int]:
     """Buckets of one word's features: its shape, its length, and its neighbours' shapes and words."""
-    word, n = words[i], len(words)
-    core = TRIM_RIGHT.sub("", TRIM_LEFT.sub("", word, count=1)) or word[:40]
+    core = _core(words[i])
     before = words[i - 1] if i else "<"
-    after = words[i + 1] if i + 1 < n else ">"
-    digits = sum(c in "0123456789" for c in core)
+    after = words[i + 1] if i + 1 < len(words) else ">"
     raw = (
-        f"s{_shape(core)}", f"d{min(digits, 20)}", f"l{min(len(core), 24) // 3}", f"a{'@' in core}",
-        f"p{_shape(before)}", f"n{_shape(after)}", f"w{before.lower()[:20]}",
+        *_of_core(core), f"p{_shape(before)}", f"n{_shape(after)}", f"w{before.lower()[:20]}",
         f"ps{_shape(before)}|{_shape(core)}", f"sn{_shape(core)}|{_shape(after)}", "bias",
     )
-    return [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in raw]
+    return [_bucket(f) for f in raw]
 
 
 def runs(text: str) -> list[tuple[list[str], list[tuple[int, int]], int, int]]:
-    """Runs of words with a digit or an at sign: (all words, their offsets, first, past last)."""
+    """Words of neighbouring lines with a digit or an at sign: (all words, their offsets, first, past last)."""
     if not TRIGGER.search(text):
         return []
-    found = [(m.group(), (m.start(), m.end())) for m in WORD.finditer(text)]
-    words, offsets = [w for w, _ in found], [o for _, o in found]
-    out, first = [], None
-    for i, w in enumerate(words):
-        hot = TRIGGER.search(w) is not None
+    words, offsets, out, first, at = [], [], [], None, 0
+    for line in text.split("\n"):
+        found = [(m.group(), (at + m.start(), at + m.end())) for m in WORD.finditer(line)]
+        at += len(line) + 1
+        if not found:
+            continue
+        hot = TRIGGER.search(line) is not None
         if hot and first is None:
-            first = i
+            first = len(words)
         elif not hot and first is not None:
-            out.append((words, offsets, first, i))
+            out.append((words, offsets, first, len(words)))
             first = None
+        words += [w for w, _ in found]
+        offsets += [o for _, o in found]
     if first is not None:
         out.append((words, offsets, first, len(words)))
     return out
 
 
+def _codes(items: list) -> tuple[list, np.ndarray]:
+    """Distinct items and every item's number among them."""
+    known: dict = {}
+    codes = [known.setdefault(x, len(known)) for x in items]
+    return list(known), np.array(codes, np.int64)
+
+
 @dataclass
 class Field:
     """Emission weights (bucket, tag) and transitions (tag, tag); runs start and end outside."""
@@ -153,6 +174,24 @@ class Field:
     def scores(self, feats: np.ndarray) -> np.ndarray:
         return self.emit[feats].sum(axis=-2)
 
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """Scores of all words of a sequence, the sums over `_features`, each distinct part summed once."""
+        distinct, at = _codes(["<", ">", *words])
+        before, at, after = np.r_[0, at[2:-1]], at[2:], np.r_[at[3:], 1]
+        sums = lambda rows: self.scores(np.array([[_bucket(f) for f in r] for r in rows]))
+        cores = [_core(w) for w in distinct]
+        shapes, core_of = _codes([_shape(w) for w in distinct] + [_shape(c) for c in cores])
+        shape_of, core_of = core_of[: len(distinct)], core_of[len(distinct) :]
+        out = sums([(*_of_core(c), "bias") for c in cores])[at]
+        out += sums([(f"w{w.lower()[:20]}",) for w in distinct])[before]
+        out += sums([(f"p{x}",) for x in shapes])[shape_of[before]]
+        out += sums([(f"n{x}",) for x in shapes])[shape_of[after]]
+        for name, left, right in (("ps", shape_of[before], core_of[at]), ("sn", core_of[at], shape_of[after])):
+            pairs, pair_of = np.unique(left * len(shapes) + right, return_inverse=True)
+            pairs = [(f"{name}{shapes[p // len(shapes)]}|{shapes[p % len(shapes)]}",) for p in pairs.tolist()]
+            out += sums(pairs)[pair_of]
+        return out
+
     def decode(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Best tags of padded runs (run, position, tag), all runs a position at a time."""
         n, size, _ = scores.shape
@@ -183,14 +222,8 @@ def labelled_runs(lines) -> list[tuple[np.ndarray, np.ndarray]]:
             part = (marked[2] if marked else piece).split()
             words += part
             tags += [TAGS.index(f"{'I' if k else 'B'}-{marked[1]}") if marked else 0 for k in range(len(part))]
-        at = 0
-        while at < len(words):
-            end = at
-            while end < len(words) and TRIGGER.search(words[end]):
-                end += 1
-            if end > at:
-                out.append((np.array([_features(words, i) for i in range(at, end)]), np.array(tags[at:end])))
-            at = end + 1
+        if any(TRIGGER.search(w) for w in words):
+            out.append((np.array([_features(words, i) for i in range(len(words))]), np.array(tags)))
     return out
 
 
@@ -231,16 +264,23 @@ def train(lines=LABELLED, sweeps: int = 150, rate: float = 0.2, decay: float = 0
     return Field(emit, step)
 
 
-def learned_spans(model: Field, texts: list[str], batch: int = 256) -> list[list[tuple[int, int, int]]]:
-    """Per text the field's (kind, start, end), kinds numbered after the base ones."""
+def learned_spans(model: Field, texts: list[str], batch: int = 400_000) -> list[list[tuple[int, int, int]]]:
+    """Per text the field's (kind, start, end), kinds numbered after the base ones; `batch` is in padded words."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    todo = sorted(((k, r) for k, t in enumerate(texts) for r in runs(t)), key=lambda x: x[1][3] - x[1][2])
-    for lo in range(0, len(todo), batch):
-        part = todo[lo : lo + batch]
+    todo = sorted(((k, r) for k, t in enumerate(texts) for r in runs(t)), key=lambda x: x[1][2] - x[1][3])
+    lo = 0
+    while lo < len(todo):
+        longest = todo[lo][1][3] - todo[lo][1][2]
+        part = todo[lo : lo + max(1, batch // longest)]
+        lo += len(part)
         lengths = np.array([r[3] - r[2] for _, r in part])
-        scores = np.zeros((len(part), lengths.max(), len(TAGS)))
-        for k, (_, (words, _, a, b)) in enumerate(part):
-            scores[k, : b - a] = model.scores(np.array([_features(words, i) for i in range(a, b)]))
+        # The words of all chains with their outer neighbours, one behind the other.
+        around = [[words[a - 1] if a else "<", *words[a:b], words[b] if b < len(words) else ">"] for _, (words, _, a, b) in part]
+        sums = model.of_words([w for x in around for w in x])
+        scores, at = np.zeros((len(part), longest, len(TAGS))), 0
+        for k, n in enumerate(lengths.tolist()):
+            scores[k, :n] = sums[at + 1 : at + 1 + n]
+            at += n + 2
         for (text_at, (words, offsets, a, _)), tags, size in zip(part, model.decode(scores, lengths), lengths, strict=True):
             open_at = None
             for t in range(size + 1):

@@ -453,6 +453,14 @@ def test_field_learns_shapes():
     assert found("in 1999 with 12 people and 4785380592391130 more") == []
 
 
+def test_items_go_on_over_words_without_digits():
+    model = pii.train()
+    found = lambda t: [(pii.LEARNED[k - 4], t[a:b]) for k, a, b in pii.find(model, [t])[0] if k >= 4]
+    assert found("account GB29 NWBK 6016 1331 9268 19 closed") == [("crf_id", "GB29 NWBK 6016 1331 9268 19")]
+    words = "a (x1) NWBK 60-16, b@c.d --- É 1".split()
+    assert model.of_words(words) == pytest.approx(model.scores([pii._features(words, i) for i in range(len(words))]))
+
+
 def test_viterbi_finds_the_best_path():
     import itertools
 
