@@ -81,11 +81,17 @@ class ArchivePlan:
 
     @cached_property
     def rejected(self) -> DataFrame:
-        """Documents that cannot be read, and listed paths without a document."""
+        """Documents, listings and media files that cannot be read, and listed paths without a document."""
         bad = self.documents.where("reject_reason is not null").select("path", "reject_reason")
         wanted = self.entries.select("path").unionByName(self.responses.select("path")).distinct()
         missing = wanted.join(self.documents.select("path"), "path", "left_anti")
-        return bad.unionByName(missing.withColumn("reject_reason", F.lit("missing document")))
+        listings = self.listings.where("html is null").select(F.col("contents_file").alias("path"))
+        unread = self.hashed_media.where("file_hash is null").select("path")
+        return (
+            bad.unionByName(missing.withColumn("reject_reason", F.lit("missing document")))
+            .unionByName(listings.withColumn("reject_reason", F.lit("unreadable contents listing")))
+            .unionByName(unread.withColumn("reject_reason", F.lit("unreadable media file")))
+        )
 
     # --- canonical pages ------------------------------------------------------------------
 

@@ -10,8 +10,10 @@ from quillstack.functions.text import basename, decode_bytes, join_path, normali
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
 DOCUMENT_NAME = r"(?s).OpenDocument"
-#: Larger files are not read.
-MAX_FILE_BYTES = 1 << 30
+#: Larger files are not read: a row holds 2 GiB less a few bytes, and the path needs room too.
+MAX_FILE_BYTES = (1 << 31) - (1 << 20)
+#: Larger listings and documents are not read, as decoding can double their size.
+MAX_TEXT_BYTES = 1 << 30
 
 
 def file_path(uri: Column) -> Column:
@@ -19,12 +21,15 @@ def file_path(uri: Column) -> Column:
     return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*(?=/))?", "")
 
 
-def read_files(spark: SparkSession, folder: str, glob: str, recursive: bool = True) -> DataFrame:
+def read_files(
+    spark: SparkSession, folder: str, glob: str, recursive: bool = True, max_bytes: int | None = None
+) -> DataFrame:
     """Files under a folder: `path, content, n_bytes, modified`. Columns not used are not read.
 
-    Files over `MAX_FILE_BYTES` keep their row but have no content, as one value cannot hold it: such
-    a document is rejected as unreadable and such a media file stays unresolved.
+    Files over `max_bytes` (`MAX_FILE_BYTES` unless given) keep their row but have no content, as one
+    value cannot hold it: such a document, listing or media file is rejected as unreadable.
     """
+    max_bytes = MAX_FILE_BYTES if max_bytes is None else max_bytes
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -37,19 +42,19 @@ def read_files(spark: SparkSession, folder: str, glob: str, recursive: bool = Tr
         F.col("length").alias("n_bytes"),
         F.col("modificationTime").alias("modified"),
     )
-    large = rows.where(F.col("n_bytes") > MAX_FILE_BYTES).withColumn("content", F.lit(None).cast("binary"))
-    return rows.where(F.col("n_bytes") <= MAX_FILE_BYTES).unionByName(large)
+    large = rows.where(F.col("n_bytes") > max_bytes).withColumn("content", F.lit(None).cast("binary"))
+    return rows.where(F.col("n_bytes") <= max_bytes).unionByName(large)
 
 
 def scan_contents(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """Contents listings matching a file name pattern: `contents_file` (the path), `html`."""
-    files = read_files(spark, folder, glob, recursive=False)
+    files = read_files(spark, folder, glob, recursive=False, max_bytes=MAX_TEXT_BYTES)
     return files.select(F.col("path").alias("contents_file"), decode_bytes(F.col("content")).alias("html"))
 
 
 def scan_documents(spark: SparkSession, folder: str, glob: str = DOCUMENT_GLOB) -> DataFrame:
     """All documents under the root folder: `path, content`."""
-    return read_files(spark, folder, glob).select("path", "content")
+    return read_files(spark, folder, glob, max_bytes=MAX_TEXT_BYTES).select("path", "content")
 
 
 def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:

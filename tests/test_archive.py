@@ -326,3 +326,17 @@ def test_results_hold_under_repartitioning(spark, folder, plan):
     other.source_documents = other.source_documents.repartition(7)
     for name in ("ordered", "path_map", "merged", "manifest"):
         assert rows_of(getattr(other, name)) == rows_of(getattr(plan, name)), name
+
+
+def test_unread_listings_and_media_are_rejected(spark, folder, plan, monkeypatch):
+    before = {(r["path"], r["reject_reason"]) for r in plan.rejected.collect()}
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 0)
+    media = make_plan(spark, folder)
+    found = {(r["path"], r["reject_reason"]) for r in media.rejected.collect()}
+    assert before <= found and {r for _, r in found - before} == {"unreadable media file"}
+    monkeypatch.setattr(files, "MAX_TEXT_BYTES", 0)
+    strict = make_plan(spark, folder, strict=True)
+    reasons = {r["reject_reason"] for r in strict.rejected.collect()}
+    assert {"unreadable contents listing", "unreadable media file"} <= reasons
+    with pytest.raises(ValueError, match="rejected documents"):
+        strict.verify()
