@@ -50,13 +50,13 @@ class Numbers(dict):
         return number
 
 
-def coded(text: str, numbers: Numbers) -> np.ndarray:
-    """The numbers of a text's words, which are split piece by piece."""
+def coded(text: str, numbers: Numbers, change: Callable[[bytes], bytes] = bytes) -> np.ndarray:
+    """The numbers of a text's words, which are split piece by piece; `change` is applied to the pieces."""
     raw, at, parts = text.encode("utf-8", "replace"), 0, [np.empty(0, np.int32)]
     while at < len(raw):
         gap = GAP.search(raw, at + PIECE_BYTES)
         end = gap.start() if gap else len(raw)
-        piece = raw[at:end].split()
+        piece = change(raw[at:end]).split()
         parts.append(np.fromiter(map(numbers.__getitem__, piece), np.int32, len(piece)))
         at = end
     return np.concatenate(parts)

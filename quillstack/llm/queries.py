@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillstack.llm import (
-    chunks, credentials, fingerprint, lines, merkle, mixing, neardup, packing, periods, pii, quality, urltree,
+    chunks, credentials, fingerprint, katz, lines, merkle, mixing, neardup, packing, periods, pii, quality, urltree,
 )
 from quillstack.llm.common import table
 
@@ -22,6 +22,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op8_additive_quality": (quality.query, ("documents", "labels")),
     "op9_linked_secrets": (credentials.query, ("documents",)),
     "op10_shape_crf": (pii.query, ("documents",)),
+    "op11_katz_backoff": (katz.query, ("documents",)),
     "op12_merkle_manifest": (merkle.query, ("documents",)),
     "op13_periodic_runs": (periods.query, ("documents",)),
 }
