@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillstack.functions.text import html_unescape, let
+from quillstack.functions.text import html_unescape, interleave, let
 
 # Tags with quoted attributes are read to their real end; ones with odd quotes to the first ">".
 LINK_TAG = (
@@ -13,6 +13,7 @@ LINK_TAG = (
     r"""|<(?:a|img)\b[^>]*+>"""
 )
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+LINK_TOKEN = HIDDEN + "|" + LINK_TAG.removeprefix("(?is)")
 HIDDEN_START = r"<(?:!--|(?i:script|style)\b)"
 TOP_LINK = (
     r"""(?s)<[aA]\b(?=[^>]*\s(?i:href)\s*=\s*(?:"[^">]*#top"|'[^'>]*#top'|[^\s>"']*#top[\s>]))[^>]*>top</[aA]\s*>"""
@@ -55,11 +56,6 @@ def with_attribute(tag: Column, name: str, value: Column) -> Column:
     return F.concat(F.lit("<"), tag_name(tag), before, F.lit(f' {name}="'), value, F.lit('"'), F.get(parts, 1))
 
 
-def replace_all(text: Column, pairs: Column) -> Column:
-    """Fold an array of (old, new) structs over a text as plain replacements."""
-    return F.aggregate(pairs, text, lambda acc, p: F.replace(acc, p["old"], p["new"]))
-
-
 def strip_top_links(html: Column) -> Column:
     """The text without its "top" links, at any depth."""
     return F.when(F.contains(html, F.lit("#top")), F.regexp_replace(html, TOP_LINK, "")).otherwise(html)
@@ -74,7 +70,24 @@ def link_kind(element: Column, target: Column) -> Column:
     )
 
 
+def link_tokens(html: Column) -> Column:
+    """All ``a`` and ``img`` tags and all hidden parts in document order, as text."""
+    return F.when(html.rlike(HIDDEN_START), F.regexp_extract_all(html, F.lit(LINK_TOKEN), F.lit(0))).otherwise(
+        F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0))
+    )
+
+
+def with_link_tokens(html: Column, tokens: Column) -> Column:
+    """The text with its link tokens replaced, one by one in their order."""
+    gaps = F.when(html.rlike(HIDDEN_START), F.split(html, LINK_TOKEN, -1)).otherwise(F.split(html, LINK_TAG, -1))
+    return interleave(gaps, tokens)
+
+
+def is_link_tag(token: Column) -> Column:
+    """Whether a link token is a tag and no comment, script or style."""
+    return F.lower(F.substring(token, 2, 1)).isin("a", "i")
+
+
 def link_tags(html: Column) -> Column:
-    """All ``a[href]`` and ``img[src]`` tags in document order, as text."""
-    visible = F.when(html.rlike(HIDDEN_START), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
-    return F.regexp_extract_all(visible, F.lit(LINK_TAG), F.lit(0))
+    """All visible ``a`` and ``img`` tags in document order, as text."""
+    return F.filter(link_tokens(html), is_link_tag)

@@ -29,8 +29,9 @@ MAGIC_TYPES = (
     ("D0CF11E0A1B11AE1", "application/x-ole-storage"),
 )
 
-# Named character references of the HTML standard; "&amp;" is resolved apart.
-NAMED_ENTITIES = {f"&{name}": value for name, value in html5.items() if name.endswith(";") and name.lower() != "amp;"}
+# Named character references of the HTML standard.
+NAMED_ENTITIES = {f"&{name}": value for name, value in html5.items() if name.endswith(";")}
+REFERENCE = r"&(?:[A-Za-z][A-Za-z0-9]*|#\d+|#[xX][0-9A-Fa-f]+);"
 
 
 def strip_tags(html: Column) -> Column:
@@ -42,10 +43,37 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _named_references() -> Column:
+    """The named references as maps by their first letter, so that a lookup searches one letter's names."""
+    groups: dict[str, list[str]] = {}
+    for name, value in NAMED_ENTITIES.items():
+        groups.setdefault(name[1], []).append(f"{name}\x02{value}")
+    return F.create_map(*[
+        part
+        for letter, pairs in sorted(groups.items())
+        for part in (F.lit(letter), F.str_to_map(F.lit("\x01".join(pairs)), F.lit("\x01"), F.lit("\x02")))
+    ])
+
+
+def interleave(gaps: Column, parts: Column) -> Column:
+    """The text of n + 1 gaps with n parts between them."""
+    ended = F.concat(parts, F.array(F.lit("")))
+    return F.array_join(F.zip_with(gaps, ended, lambda gap, part: F.concat(gap, part)), "")
+
+
+def dense(size: Column, sparse: Column, kind: str = "string") -> Column:
+    """An array of `size` values from structs (pos, value), each pos once; NULL where no struct has the place."""
+    item = f"struct<pos:int,rest:int,value:{kind}>"
+    given = F.transform(sparse, lambda x: F.struct(x["pos"], F.lit(0), x["value"]).cast(item))
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+    slots = F.transform(places, lambda i: F.struct(i, F.lit(1), F.lit(None)).cast(item))
+    # A place's value sorts before its empty slot, which then goes.
+    first = lambda a: F.filter(a, lambda x, i: (i == 0) | (F.get(a, i - 1)["pos"] != x["pos"]))
+    return F.transform(let(F.array_sort(F.concat(given, slots)), first), lambda x: x["value"])
+
+
 def html_unescape(text: Column) -> Column:
-    """Resolve named and numeric character references; numbers may be of any length."""
-    table = "\x01".join(f"{name}\x02{value}" for name, value in NAMED_ENTITIES.items())
-    names = F.str_to_map(F.lit(table), F.lit("\x01"), F.lit("\x02"))
+    """Resolve named and numeric character references, each once; numbers may be of any length."""
 
     def char(code: Column) -> Column:
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -57,16 +85,13 @@ def html_unescape(text: Column) -> Column:
         return F.coalesce(decimal, F.conv(F.regexp_extract(ref, r"^&#[xX](.+);", 1), 16, 10).try_cast("bigint"))
 
     def resolve(ref: Column) -> Column:
-        named = F.coalesce(F.try_element_at(names, ref), ref)
-        return F.when(ref.startswith("&#"), char(number(ref))).otherwise(named)
+        common = F.when(ref == "&amp;", "&").when(ref == "&lt;", "<").when(ref == "&gt;", ">").when(ref == "&quot;", '"')
+        named = F.try_element_at(F.try_element_at(_named_references(), F.substring(ref, 2, 1)), ref)
+        return common.when(ref.startswith("&#"), char(number(ref))).otherwise(F.coalesce(named, ref))
 
     def replace_refs(value: Column) -> Column:
-        pattern = r"&(?:[A-Za-z][A-Za-z0-9]*|#\d+|#[xX][0-9A-Fa-f]+);"
-        refs = F.array_distinct(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)))
-        # "&amp;" goes last, so that what it sets free is not resolved again.
-        refs = F.concat(F.array_remove(F.array_remove(refs, "&AMP;"), "&amp;"), F.array(F.lit("&AMP;"), F.lit("&amp;")))
-        new = lambda ref: F.when(F.lower(ref) == "&amp;", "&").otherwise(resolve(ref))
-        return F.aggregate(refs, value, lambda acc, ref: F.replace(acc, ref, new(ref)))
+        refs = F.regexp_extract_all(value, F.lit(REFERENCE), F.lit(0))
+        return interleave(F.split(value, REFERENCE, -1), F.transform(refs, resolve))
 
     return let(text, lambda v: F.when(F.contains(v, F.lit("&")), replace_refs(v)).otherwise(v))
 
@@ -185,7 +210,7 @@ def decode_bytes(content: Column) -> Column:
     targets = high.decode("cp1252", errors="replace")
     latin1 = F.decode(content, "ISO-8859-1")
     cp1252 = F.translate(latin1, high.decode("latin-1"), targets)
-    utf8 = F.regexp_replace(content.cast("string"), "^﻿", "")
+    utf8 = F.regexp_replace(content.cast("string"), "^\\ufeff", "")
     return F.when(F.is_valid_utf8(content.cast("string")), utf8).otherwise(cp1252)
 
 

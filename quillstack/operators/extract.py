@@ -168,14 +168,14 @@ def page_key(title: Column, authors: Column, categories: Column, created: Column
 
 
 def document_links(path: Column, content: Column) -> Column:
-    """Links of a body in document order, as an array of structs.
+    """Links of a body in document order, as an array of structs; `pos` counts the body's link tokens.
 
     Page links carry their key (the hash of the resolved path); media get theirs by a join.
     """
     tags = F.transform(
-        H.link_tags(content),
+        H.link_tokens(content),
         lambda tag, i: F.struct(
-            i.alias("pos"), H.tag_name(tag).alias("element"), H.link_target(tag).alias("href"), tag.alias("tag")
+            i.alias("pos"), H.tag_name(tag).alias("element"), F.when(H.is_link_tag(tag), H.link_target(tag)).alias("href")
         ),
     )
     kinds = F.transform(
@@ -184,7 +184,6 @@ def document_links(path: Column, content: Column) -> Column:
             t["pos"].alias("pos"),
             F.coalesce(H.link_kind(t["element"], t["href"]), F.lit("other")).alias("kind"),
             t["href"].alias("href"),
-            t["tag"].alias("tag"),
         ),
     )
     return T.let(
@@ -195,7 +194,6 @@ def document_links(path: Column, content: Column) -> Column:
                 t["pos"].alias("pos"),
                 t["kind"].alias("kind"),
                 t["href"].alias("href"),
-                t["tag"].alias("tag"),
                 F.when(t["kind"] != "other", T.resolve_in(folder, t["href"])).alias("ref_path"),
             ),
         ),
@@ -225,7 +223,7 @@ def extract_documents(documents: DataFrame, config: ArchiveConfig = ArchiveConfi
 
 
 def explode_links(extracted: DataFrame) -> DataFrame:
-    """One row per link: `page_path, pos, kind, href, tag, ref_path, ref_hash`."""
+    """One row per link: `page_path, pos, kind, href, ref_path, ref_hash`."""
     rows = extracted.select(F.col("path").alias("page_path"), F.explode("links").alias("l"))
     return rows.select("page_path", "l.*").withColumn(
         "ref_hash", F.when(F.col("kind") == "page", F.md5("ref_path"))

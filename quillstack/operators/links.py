@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstack.functions.html import replace_all, with_attribute
+from quillstack.functions.html import is_link_tag, link_tokens, tag_name, with_attribute, with_link_tokens
+from quillstack.functions.text import dense, let
 from quillstack.operators.skew import lookup
+from quillstack.sources.workspace import Workspace
 
 MEDIA_KINDS = ("attachment", "image")
 KEY_IN_BODY = r"(?:href|src)=\"([0-9a-f]{32})\""
@@ -56,71 +58,84 @@ def merge_links(refs: DataFrame, by: tuple[str, ...] = ("page_key",)) -> DataFra
     )
 
 
-def _pairs(old: Column, new: Column) -> Column:
-    return F.struct(old.alias("old"), new.alias("new"))
+def _sparse(pos: str, value: Column) -> Column:
+    return F.struct(F.col(pos).cast("int").alias("pos"), value.alias("value"))
 
 
-def media_tag_pairs(media_refs: DataFrame) -> DataFrame:
-    """Per document, its media tags and the same tags with the file's hash as target."""
-    attr = F.when(F.col("kind") == "image", with_attribute(F.col("tag"), "src", F.col("ref_key"))).otherwise(
-        with_attribute(F.col("tag"), "href", F.col("ref_key"))
-    )
-    rows = media_refs.where("ref_key is not null").select("page_path", _pairs(F.col("tag"), attr).alias("p"))
-    # Bounded: a group is the distinct media tags of one document's own text.
-    return rows.groupBy("page_path").agg(F.array_sort(F.collect_set("p")).alias("media_pairs"))
+def _link_attribute(tag: Column, value: Column) -> Column:
+    is_a = tag_name(tag) == "a"
+    return F.when(is_a, with_attribute(tag, "href", value)).otherwise(with_attribute(tag, "src", value))
 
 
-def page_tag_pairs(links: Column) -> Column:
-    """From a document's links array: its page-link tags with the path's hash as target."""
+def page_keys(links: Column) -> Column:
+    """From a document's links array: the places of its page links and their keys."""
     pages = F.filter(links, lambda t: t["kind"] == "page")
-    return F.array_distinct(
-        F.transform(pages, lambda t: _pairs(t["tag"], with_attribute(t["tag"], "href", F.md5(t["ref_path"]))))
-    )
+    return F.transform(pages, lambda t: F.struct(t["pos"].alias("pos"), F.md5(t["ref_path"]).alias("value")))
 
 
 def keyed_bodies(bodies: DataFrame, links: DataFrame, media_refs: DataFrame) -> DataFrame:
     """Bodies with each resolvable link's target replaced by its key.
 
-    `bodies` (path, content) are joined by their unique path, so they are shuffled once.
+    `bodies` (path, content) are joined by their unique path, so they are shuffled once. A body is cut
+    at its link tokens, each tag gets the key of its place, and the parts are joined again.
     """
-    own = links.select("path", page_tag_pairs(F.col("links")).alias("page_pairs"))
-    media = media_tag_pairs(media_refs).withColumnRenamed("page_path", "path")
-    pairs = own.join(media, "path", "left")
-    none = F.expr("cast(array() as array<struct<old string, new string>>)")
-    all_pairs = F.concat("page_pairs", F.coalesce("media_pairs", none))
-    return bodies.join(pairs, "path").select("path", replace_all(F.col("content"), all_pairs).alias("content"))
+    # Bounded: a group is the media tags of one document's own text.
+    media = media_refs.where("ref_key is not null").groupBy(F.col("page_path").alias("path")).agg(
+        F.collect_list(_sparse("pos", F.col("ref_key"))).alias("media_keys")
+    )
+    own = links.select("path", page_keys(F.col("links")).alias("page_keys")).join(media, "path", "left")
+    none = F.expr("cast(array() as array<struct<pos int, value string>>)")
+    keys = F.concat("page_keys", F.coalesce("media_keys", none))
+    keyed = lambda tag, key: F.when(key.isNull(), tag).otherwise(_link_attribute(tag, key))
+    body = F.col("content")
+    tokens = let(link_tokens(body), lambda t: F.zip_with(t, dense(F.size(t), keys), keyed))
+    return bodies.join(own, "path").select("path", with_link_tokens(body, tokens).alias("content"))
 
 
 def body_keys(bodies: DataFrame) -> DataFrame:
-    """The distinct link keys of each body: `body_id, key`."""
-    keys = F.array_distinct(F.regexp_extract_all("content", F.lit(KEY_IN_BODY), F.lit(1)))
-    return bodies.select("body_id", F.explode(keys).alias("key"))
+    """The link keys in each body: `body_id, pos, key`; `pos` counts the body's link tokens."""
+    tags = bodies.select("body_id", F.posexplode(link_tokens(F.col("content"))).alias("pos", "tag"))
+    keys = tags.where(is_link_tag(F.col("tag"))).select("body_id", "pos", F.regexp_extract("tag", KEY_IN_BODY, 1).alias("key"))
+    return keys.where("key <> ''")
 
 
 def url_targets(page_urls: DataFrame, media_urls: DataFrame) -> DataFrame:
-    """Keys of pages and files with their URLs: `key, url, is_page`."""
-    pages = page_urls.select("key", "url", F.lit(True).alias("is_page"))
-    return pages.unionByName(media_urls.select("key", "url", F.lit(False).alias("is_page")))
-
-
-def url_pairs(ws: Workspace, keys: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per body, what to replace: page keys only right after ``<a``, media keys anywhere."""
-    quoted = lambda lead, value: F.concat(F.lit(f'{lead}="'), value, F.lit('"'))
-    key, url = F.col("key"), F.col("url")
-    page = F.array(_pairs(quoted("<a href", key), quoted("<a href", url)))
-    media = F.array(
-        _pairs(quoted("href", key), quoted("href", url)), _pairs(quoted("src", key), quoted("src", url))
-    )
+    """The URLs that link keys stand for, one row per key: `key, page_url, media_url`."""
+    none = F.lit(None).cast("string")
+    pages = page_urls.select("key", F.col("url").alias("page_url"), none.alias("media_url"))
+    both = pages.unionByName(media_urls.select("key", none.alias("page_url"), F.col("url").alias("media_url")))
+    return both.groupBy("key").agg(F.max("page_url").alias("page_url"), F.max("media_url").alias("media_url"))
+
+
+URL = "struct<key:string,page:string,media:string>"
+
+
+def body_urls(ws: Workspace, keys: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per body, the URLs of its keys by their places: `body_id, urls`."""
     found = lookup(ws, keys, targets, "key", "inner")
-    rows = found.select("body_id", F.explode(F.when(F.col("is_page"), page).otherwise(media)).alias("p"))
-    # Bounded: a group is the distinct keys of one body's own text. Sorted, pages come first.
-    return rows.groupBy("body_id").agg(F.array_sort(F.collect_set("p")).alias("pairs"))
+    url = F.struct("key", "page_url", "media_url").cast(URL)
+    # Bounded: a group is the keys of one body's own text.
+    return found.groupBy("body_id").agg(F.collect_list(_sparse("pos", url)).alias("urls"))
 
 
-def rewrite_bodies(bodies: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Bodies with their keys replaced by URLs; bodies without keys pass unchanged."""
-    joined = bodies.join(pairs, "body_id", "left")
-    body = F.when(F.col("pairs").isNull(), F.col("content")).otherwise(
-        replace_all(F.col("content"), F.col("pairs"))
+def _with_url(tag: Column, url: Column) -> Column:
+    """A tag with its key replaced: page keys only right after ``<a``, media keys in any place."""
+    quoted = lambda name, value: F.concat(F.lit(f'{name}="'), value, F.lit('"'))
+    swap = lambda name, new: F.replace(tag, quoted(name, url["key"]), quoted(name, new))
+    is_page = url["page"].isNotNull() & tag.startswith(quoted("<a href", url["key"]))
+    return (
+        F.when(is_page, swap("href", url["page"]))
+        .when(url["media"].isNull(), tag)
+        .when(tag_name(tag) == "a", swap("href", url["media"]))
+        .otherwise(swap("src", url["media"]))
     )
-    return joined.withColumn("content", F.coalesce(body, F.lit(""))).drop("pairs")
+
+
+def rewrite_bodies(bodies: DataFrame, urls: DataFrame) -> DataFrame:
+    """Bodies with their keys replaced by URLs; bodies without keys pass unchanged."""
+    joined = bodies.join(urls, "body_id", "left")
+    new = lambda tag, url: F.when(url.isNull(), tag).otherwise(_with_url(tag, url))
+    body = F.col("content")
+    tokens = let(link_tokens(body), lambda t: F.zip_with(t, dense(F.size(t), F.col("urls"), URL), new))
+    content = F.when(F.col("urls").isNull(), body).otherwise(with_link_tokens(body, tokens))
+    return joined.withColumn("content", F.coalesce(content, F.lit(""))).drop("urls")

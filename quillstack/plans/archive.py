@@ -24,8 +24,8 @@ class ArchivePlan:
     media      path, content
 
     Narrow tables that several later steps read are written once to the run's workspace.
-    Bodies are never written on the way: they are cut from the documents again where a
-    result needs them, which costs a scan but no second copy of the corpus.
+    Bodies are cut from the documents once, when the first result needs them, and stored
+    bucketed by path, so that no later join moves them again.
     """
 
     def __init__(
@@ -211,16 +211,13 @@ class ArchivePlan:
             "page_key", "page_order", "path", "first_file", "first_pos", "authors", "created"
         )
 
-    def bodies_of(self, documents: DataFrame) -> DataFrame:
-        """Keyed bodies by path for the given documents; no others are searched."""
-        wanted = self.source_documents.join(documents.select("path"), "path", "left_semi")
-        own = self.valid.select("path", "links")
-        return links.keyed_bodies(extract.document_bodies(wanted), own, self.media_refs)
-
-    @property
+    @cached_property
     def bodies(self) -> DataFrame:
-        """Keyed bodies of all archived documents."""
-        return self.bodies_of(self.details)
+        """Keyed bodies of all archived documents by path, cut once and stored bucketed by path."""
+        wanted = self.source_documents.join(self.details.select("path"), "path", "left_semi")
+        own = self.valid.select("path", "links")
+        keyed = links.keyed_bodies(extract.document_bodies(wanted), own, self.media_refs)
+        return self.ws.keep_by(keyed, "bodies", "path")
 
     # --- dimensions -----------------------------------------------------------------------
 
@@ -271,12 +268,12 @@ class ArchivePlan:
         )
         responses = (
             self.page_responses.join(self.parts, ["path", "page_key"])
-            .join(self.bodies_of(self.page_responses), "path")
+            .join(self.bodies, "path")
             .groupBy("page_key", "part")
             .agg(F.array_sort(F.collect_list(response)).alias("rs"))
             .select("page_key", "part", F.struct(F.col("rs.r").alias("response")).alias("responses"))
         )
-        own = self.pages.join(self.bodies_of(self.pages), "path").select(
+        own = self.pages.join(self.bodies, "path").select(
             "page_key", F.lit("").alias("part"), "page_order", "is_orphan", "path", "title",
             F.col("page_no").alias("page"), epoch_seconds(F.col("created")).alias("created"),
             authors.alias("authors"), F.struct(F.col("categories").alias("category")).alias("categories"), "content",

@@ -22,7 +22,7 @@ class FeedPlan:
     pages      page_key, body_id, page_order, title, page_no, authors, categories, created
     responses  page_key, body_id, path, first_file, first_pos, authors, created
     bodies     body_id, content: keyed bodies of both
-    body_keys  body_id, key: the link keys in each body
+    body_keys  body_id, pos, key: the link keys in each body and their places
     page_refs  page_key, ref_key, target_key: links between pages
     media_refs page_key, kind, kind_rank, file_hash
     manifest   file_hash, archive_name, created
@@ -78,12 +78,13 @@ class FeedPlan:
         response_id = F.concat_ws("|", "page_key", "first_file", "first_pos", "path")
         responses = store.stored_responses(stored).withColumn("body_id", response_id)
         bodies = pages.select("body_id", "content").unionByName(responses.select("body_id", "content"))
+        bodies = ws.keep_by(bodies, "stored-bodies", "body_id")
         return cls(
             spark,
             pages.drop("content"),
             responses.drop("content"),
             bodies,
-            links.body_keys(bodies),
+            ws.keep(links.body_keys(bodies), "body-keys"),
             page_refs,
             media_refs,
             ws.keep(store.scan_manifest(spark, folder), "manifest"),
@@ -136,11 +137,8 @@ class FeedPlan:
     def rewritten(self, owners: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         """Bodies of the given pages or responses with their keys replaced by URLs."""
         targets = self.url_targets if targets is None else targets
-        return links.rewrite_bodies(self.bodies_of(owners), links.url_pairs(self.ws, self.body_keys, targets))
-
-    def bodies_of(self, owners: DataFrame) -> DataFrame:
-        """Keyed bodies of the given pages or responses: `body_id, content`."""
-        return self.bodies.join(owners.select("body_id"), "body_id", "left_semi")
+        wanted = self.bodies.join(owners.select("body_id"), "body_id", "left_semi")
+        return links.rewrite_bodies(wanted, links.body_urls(self.ws, self.body_keys, targets))
 
     @cached_property
     def threaded_comments(self) -> DataFrame:
@@ -264,12 +262,9 @@ class _FromPlan(FeedPlan):
     author_names = property(lambda self: self.plan.authors)
     category_names = property(lambda self: self.plan.categories)
 
-    def bodies_of(self, owners: DataFrame) -> DataFrame:
-        paths = owners.select(F.col("body_id").alias("path"))
-        return self.plan.bodies_of(paths).withColumnRenamed("path", "body_id")
+    # Renamed columns keep their table's buckets.
+    bodies = property(lambda self: self.plan.bodies.withColumnRenamed("path", "body_id"))
 
-    @property
+    @cached_property
     def body_keys(self) -> DataFrame:
-        """Known from the links already, so the bodies are not searched for them."""
-        key = F.coalesce("file_hash", "link_key").alias("key")
-        return self.plan.refs.select(F.col("page_path").alias("body_id"), key).where("key is not null")
+        return self.ws.keep(links.body_keys(self.bodies), "body-keys")

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Most buckets that Spark allows a table by default.
+MAX_BUCKETS = 100_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -38,3 +40,14 @@ class Workspace:
         path = self.path(name)
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """As `keep`, bucketed by a column: later joins and groups by it leave these rows where they are.
+
+        The table is entered in the session's catalog, as a path alone does not tell of its buckets.
+        """
+        table = f"quillstack_{uuid.uuid4().hex}"
+        buckets = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+        writer.option("path", self.path(name)).saveAsTable(table)
+        return self.spark.table(table)
