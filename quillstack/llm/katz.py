@@ -44,7 +44,7 @@ from quillstack.sources.workspace import Workspace
 ORDER = 2
 FLAT = 5
 SLICE_TOKENS = 1 << 21
-BUCKET_TOKENS = 1 << 23
+BUCKET_TOKENS = 1 << 22
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Digests of the empty context and of the place before a text's first token.
 ROOT, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
