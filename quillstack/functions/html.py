@@ -15,6 +15,11 @@ LINK_TAG = (
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 LINK_TOKEN = HIDDEN + "|" + LINK_TAG.removeprefix("(?is)")
 HIDDEN_START = r"<(?:!--|(?i:script|style)\b)"
+# Tags that decide where tables, rows and cells begin and end, and the parts in which no tag counts.
+TABLE_TOKEN = (
+    HIDDEN + r"""|</?(?:table|tr|td|th)\b[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+    r"""|</?(?:table|tr|td|th)\b[^>]*+>"""
+)
 TOP_LINK = (
     r"""(?s)<[aA]\b(?=[^>]*\s(?i:href)\s*=\s*(?:"[^">]*#top"|'[^'>]*#top'|[^\s>"']*#top[\s>]))[^>]*>top</[aA]\s*>"""
 )
@@ -70,6 +75,27 @@ def link_kind(element: Column, target: Column) -> Column:
     )
 
 
+def visible(html: Column) -> Column:
+    """The text without its comments, scripts and styles."""
+    return F.when(html.rlike(HIDDEN_START), F.regexp_replace(html, HIDDEN, "")).otherwise(html)
+
+
+def table_tokens(html: Column) -> Column:
+    """Table, row and cell tags and all hidden parts in document order, as text."""
+    return F.regexp_extract_all(html, F.lit(TABLE_TOKEN), F.lit(0))
+
+
+def table_gaps(html: Column) -> Column:
+    """The texts before, between and after the table tokens."""
+    return F.split(html, TABLE_TOKEN, -1)
+
+
+def tag_word(token: Column) -> Column:
+    """How a tag begins, in lower case: ``<td``, ``</td``; empty for hidden parts."""
+    word = F.lower(F.regexp_extract(token, r"^</?[A-Za-z]+", 0))
+    return F.when(word.isin("<script", "<style"), "").otherwise(word)
+
+
 def link_tokens(html: Column) -> Column:
     """All ``a`` and ``img`` tags and all hidden parts in document order, as text."""
     return F.when(html.rlike(HIDDEN_START), F.regexp_extract_all(html, F.lit(LINK_TOKEN), F.lit(0))).otherwise(

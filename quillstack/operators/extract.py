@@ -20,7 +20,6 @@ META_TABLE = (
 FIRST_CELL = (
     r"""(?is)<td\b(?=[^>]*\sbgcolor\s*=\s*["']?#EFEFEF["'\s>])(?=[^>]*\swidth\s*=\s*["']?1%["'\s>])[^>]*>"""
 )
-CELL_END = r"(?i)</td\s*>"
 FONT_OPEN = r"""(?is)<font\b[^>]*\ssize\s*=\s*["']?2["'\s>].*"""
 FONT_TAG = r"""(?is)<font\b[^>]*\ssize\s*=\s*["']?2["'\s>].*?</font\s*>"""
 NESTED_FONT = r"(?is)<font\b(?:(?!</?font\b).)*+<font\b"
@@ -28,7 +27,6 @@ FONT_PIECE = r"(?is)<font\b[^>]*>|</font\s*>|(?:(?!</?font\b).)+|."
 PAGE_NUMBER = r"(?is)</font\s*>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 CREATED_TEXT = r"(?is)</font\s*>.*?</font\s*>\s*<br\s*/?>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 DOCUMENT_END = r"(?is)(?:</form\s*>\s*)?</body\s*>\s*(?:</html\s*>)?\s*$"
-TABLE_CLOSE = r"(?i)</table\s*>"
 
 
 def decode_documents(files: DataFrame) -> DataFrame:
@@ -41,24 +39,72 @@ def text_of(html: Column) -> Column:
     return T.html_unescape(T.strip_tags(html))
 
 
-def _table_pieces(pieces: Column) -> Column:
-    """How many of the pieces between closing table tags belong to the first open table.
+def _table_range(kinds: Column) -> Column:
+    """Places of the first metadata table's opening and closing tags among the table tokens.
 
-    Each closing tag ends one level, every nested table opens one; zero if none closes it.
+    The tables in it are counted along, so its own closing tag is the one at which none is open.
+    -1: there is no such table (`start`), or nothing closes it (`end`).
     """
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
+    begin = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.lit(-1).alias("start"), F.lit(-1).alias("end"))
+
+    def step(acc: Column, kind: Column) -> Column:
+        opens = kind.isin("meta", "<table") & ((acc["start"] >= 0) | (kind == "meta"))
+        closes = (kind == "</table") & (acc["start"] >= 0)
+        depth = acc["depth"] + opens.cast("int") - closes.cast("int")
+        return F.struct(
+            (acc["i"] + 1).alias("i"),
+            depth.alias("depth"),
+            F.when((acc["start"] < 0) & opens, acc["i"]).otherwise(acc["start"]).alias("start"),
+            F.when((acc["end"] < 0) & closes & (depth == 0), acc["i"]).otherwise(acc["end"]).alias("end"),
+        )
 
-    def step(acc: Column, piece: Column) -> Column:
-        seen = acc["seen"] + 1
-        opened = F.regexp_count(piece, F.lit(r"(?i)<table\b"))
-        depth = acc["depth"] + opened - 1
-        closed = (depth == 0) & (seen < F.size(pieces))
-        here = F.struct(
-            depth.alias("depth"), seen.alias("seen"), F.when(closed, seen).otherwise(0).alias("end")
+    return F.aggregate(kinds, begin, step)
+
+
+def _cell_ranges(kinds: Column) -> Column:
+    """Places of the number cell (`first` to `first_end`) and of the cell after it, among a table's inner tokens.
+
+    A cell ends at its closing tag, at the next cell or row of its own table, or with the table;
+    what nested tables hold is passed over. `phase`: 0 before the number cell, 1 in it, 2 after it, 3 in
+    the next cell, 4 past both.
+    """
+    names = ("i", "depth", "phase", "first", "first_end", "second", "second_end")
+    begin = F.struct(*[F.lit(0 if n in names[:3] else -1).alias(n) for n in names])
+
+    def step(acc: Column, kind: Column) -> Column:
+        phase, i = acc["phase"], acc["i"]
+        own = acc["depth"] == 0
+        cell, end = own & kind.isin("number", "<td", "<th"), own & kind.isin("</td", "</th")
+        row = own & kind.isin("<tr", "</tr", "</table")
+        table = (phase > 0) & kind.isin("meta", "<table")
+        depth = acc["depth"] + table.cast("int") - ((phase > 0) & ~own & (kind == "</table")).cast("int")
+        new = (
+            F.when(phase == 0, (kind == "number").cast("int"))
+            .when((phase == 1) & cell, 3)
+            .when((phase == 1) & end, 2)
+            .when((phase == 2) & cell, 3)
+            .when((phase == 3) & (cell | end), 4)
+            .when(row, 4)
+            .otherwise(phase)
         )
-        return F.when(acc["end"] > 0, acc).otherwise(here)
+        at = lambda field, when: F.when(when & (acc[field] < 0), i).otherwise(acc[field])
+        return F.struct(
+            (i + 1).alias("i"),
+            depth.alias("depth"),
+            new.alias("phase"),
+            at("first", (phase == 0) & (new == 1)).alias("first"),
+            at("first_end", (phase == 1) & (new > 1)).alias("first_end"),
+            at("second", (phase < 3) & (new == 3)).alias("second"),
+            at("second_end", (phase == 3) & (new == 4)).alias("second_end"),
+        )
+
+    return F.aggregate(kinds, begin, step)
+
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["end"])
+def _between(gaps: Column, tokens: Column, start: Column, end: Column) -> Column:
+    """The text after the token at `start` up to the one at `end`; -1 is the text's begin or end."""
+    last = F.when(end < 0, F.size(tokens)).otherwise(end)
+    return T.interleave(F.slice(gaps, start + 2, last - start), F.slice(tokens, start + 2, last - start - 1))
 
 
 def _outer_fonts(cell: Column) -> Column:
@@ -87,40 +133,52 @@ def _without_end(body: Column) -> Column:
 
 
 def split_document(documents: DataFrame) -> DataFrame:
-    """Cut each document into heading, metadata table and body; say why it cannot be cut.
+    """Cut each document into heading, metadata cells and body; say why it cannot be cut.
 
-    Adds `reject_reason`, `_meta` and `content` (the body as written). Whole texts are split
-    twice and searched no further: at the metadata table, and after it at closing table tags
-    (which come out in lower case).
+    Adds `reject_reason`, `_first` and `_second` (the number cell and the one after it, NULL where they
+    are missing) and `content` (the body as written). Whole texts are cut once, at table tags; tags in
+    comments and scripts do not count. A metadata table that nothing closes holds all that follows.
     """
-    cut = documents.withColumn("_parts", F.split("html", META_TABLE, 2))
-    head, rest = F.get("_parts", F.lit(0)), F.get("_parts", F.lit(1))
-    before = F.regexp_extract(head, HEADING_DIV, 0)
-    heading = F.when(before != "", before).otherwise(F.regexp_extract(F.coalesce(rest, F.lit("")), HEADING_DIV, 0))
+    cut = documents.withColumn("_tokens", H.table_tokens(F.col("html"))).withColumn("_gaps", H.table_gaps(F.col("html")))
+    tokens, gaps = F.col("_tokens"), F.col("_gaps")
+    word = H.tag_word
+    cut = cut.withColumn("_kinds", F.transform(
+        tokens,
+        lambda t: F.when(word(t) == "", "").when(t.rlike(META_TABLE), "meta").when(t.rlike(FIRST_CELL), "number").otherwise(word(t)),
+    )).withColumn("_table", _table_range(F.col("_kinds")))
+    start, end = F.col("_table")["start"], F.col("_table")["end"]
+    shown = F.transform(tokens, lambda t: F.when(word(t) == "", "").otherwise(t))
+    cut = cut.withColumn("_shown", shown)
+    before = F.regexp_extract(_between(gaps, F.col("_shown"), F.lit(-1), start), HEADING_DIV, 0)
+    after = F.regexp_extract(_between(gaps, F.col("_shown"), start, F.lit(-1)), HEADING_DIV, 0)
+    cut = cut.withColumn("_heading", T.let(before, lambda b: F.when((b != "") | (start < 0), b).otherwise(after)))
     heading_text = text_of(F.regexp_extract("_heading", HEADING_TEXT, 1))
+    inner = F.slice("_kinds", start + 2, F.when(end < 0, F.size("_kinds")).otherwise(end) - start - 1)
     cut = (
-        cut.withColumn("_heading", heading)
-        .withColumn("_heading_text", heading_text)
+        cut.withColumn("_heading_text", heading_text)
         .withColumn(
             "reject_reason",
             F.when(F.col("html").isNull(), "binary file")
             .when(F.col("_heading") == "", "no centred heading")
             .when(F.col("_heading_text") == "", "empty heading")
             .when(F.col("_heading_text") != HEADING, "other heading")
-            .when(rest.isNull(), "no metadata table"),
+            .when(start < 0, "no metadata table"),
         )
-        .withColumn("_pieces", F.when(F.col("reject_reason").isNull(), F.split(rest, TABLE_CLOSE)))
-        .withColumn("_n", _table_pieces(F.col("_pieces")))
+        .withColumn("_cells", F.when(F.col("reject_reason").isNull(), _cell_ranges(inner)))
     )
-    body = F.array_join(F.slice("_pieces", F.col("_n") + 1, F.size("_pieces")), "</table>")
+    # Places among the table's inner tokens count from the one after its opening tag.
+    place = lambda name: F.col("_cells")[name] + start + 1
+    stop = lambda name: F.when(F.col("_cells")[name] < 0, end).otherwise(place(name))
+    cell = lambda name: F.when(
+        F.col("_cells")[name] >= 0, _between(gaps, F.col("_shown"), place(name), stop(f"{name}_end"))
+    )
+    body = F.when(end < 0, "").otherwise(_between(gaps, tokens, end, F.lit(-1)))
     return (
-        cut.withColumn(
-            "reject_reason", F.coalesce("reject_reason", F.when(F.col("_n") == 0, "unclosed metadata table"))
-        )
-        .withColumn("_meta", F.array_join(F.slice("_pieces", F.lit(1), F.col("_n")), "</table>"))
+        cut.withColumn("_first", cell("first"))
+        .withColumn("_second", cell("second"))
         .withColumn("content", F.when(F.col("reject_reason").isNull(), body))
         .withColumn("content", _without_end(F.col("content")))
-        .drop("_parts", "_heading", "_heading_text", "_pieces", "_n", "html")
+        .drop("_tokens", "_gaps", "_shown", "_kinds", "_table", "_heading", "_heading_text", "_cells", "html")
     )
 
 
@@ -129,15 +187,14 @@ def page_metadata(documents: DataFrame, config: ArchiveConfig = ArchiveConfig())
 
     Documents whose table lacks a field get a reject reason, never silent NULLs.
     """
-    cut = split_document(documents)
-    inner = F.get(F.split(F.col("_meta"), FIRST_CELL, 2), 1)
-    cells = cut.withColumn("_cells", F.split(inner, CELL_END, 2)).drop("_meta")
-    first, second = F.get("_cells", F.lit(0)), F.get("_cells", F.lit(1))
+    cells = split_document(documents)
+    first, second = F.col("_first"), F.col("_second")
     plain = F.regexp_extract_all(second, F.lit(FONT_TAG), F.lit(0))
     fonts = F.when(second.rlike(NESTED_FONT), _outer_fonts(second)).otherwise(plain)
     # Number, created text, then the font tags: labels and values of title, authors, categories, date.
     found = F.array(F.regexp_extract(first, PAGE_NUMBER, 2), F.regexp_extract(first, CREATED_TEXT, 2))
-    fields = cells.withColumn("_f", F.transform(F.concat(found, fonts), text_of))
+    none = F.expr("cast(array() as array<string>)")
+    fields = cells.withColumn("_f", F.transform(F.concat(found, F.coalesce(fonts, none)), text_of))
     field = lambda i: F.get("_f", F.lit(i))
     names = lambda i: F.transform(T.split_names(field(i), config.keep_blank_names), T.percent_decode)
     out = (
@@ -147,11 +204,11 @@ def page_metadata(documents: DataFrame, config: ArchiveConfig = ArchiveConfig())
         .withColumn("categories", names(7))
         .withColumn("created", parse_created(field(9), field(1)))
     )
-    broken = F.when(F.col("_cells").isNull(), "no number cell").when(
+    broken = F.when(F.col("_first").isNull(), "no number cell").when(
         F.size("_f") < 10, "missing metadata field"
     ).when(F.col("created").isNull(), "bad creation time")
     return out.withColumn("reject_reason", F.coalesce("reject_reason", broken)).drop(
-        "_cells", "_f"
+        "_first", "_second", "_f"
     )
 
 

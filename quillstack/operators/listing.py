@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstack.functions.html import attribute
+from quillstack.functions.html import attribute, visible
 from quillstack.functions.text import html_unescape, listed_path, read_integer, strip_tags
 from quillstack.operators.skew import carry_forward
 
@@ -24,7 +24,7 @@ def listing_links(listings: DataFrame) -> DataFrame:
     """
     links = listings.select(
         "contents_file",
-        F.posexplode(F.regexp_extract_all("html", F.lit(LISTING_LINK), F.lit(0))).alias("pos", "_item"),
+        F.posexplode(F.regexp_extract_all(visible(F.col("html")), F.lit(LISTING_LINK), F.lit(0))).alias("pos", "_item"),
     )
     anchor = F.regexp_extract("_item", r"(?is)^(.*?)</a\s*>", 1)
     tail = F.regexp_extract("_item", r"(?is)</a\s*>(.*)$", 1)

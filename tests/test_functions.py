@@ -291,3 +291,125 @@ def test_pages_without_numbers_stay_apart(spark):
     assert len({r["entry_key"] for r in entries}) == 3
     keys = {r["entry_key"] for r in listing.thread_listing(links).collect()}
     assert keys == {r["entry_key"] for r in entries}
+
+
+def page_html(before="", inside="", meta_end="</table>", body="<p>the body</p>", cell=""):
+    """A logbook page with room for oddities around and in its metadata table."""
+    labels = "".join(
+        f'<font size="2">{k}</font><font size="2">{v}</font>'
+        for k, v in (("Title", "T"), ("Author", "A, B"), ("Category", "C"), ("Date", "03/04/2015"))
+    )
+    return (
+        '<html><body><form><div align="center"><b><font size="4">Logbook Entry</font></b></div>' + before
+        + '<table width="100%" border="1"><tr><td width="1%" bgcolor="#EFEFEF"><font size="2">Page</font><b>12</b><br>'
+        '<font size="2">Created</font><br><i>Mon 03:45 PM</i></td><td>' + cell + labels + inside + "</td></tr>"
+        + meta_end + body + "</form></body></html>"
+    )
+
+
+DECOY = '<table width="100%" border="1"><tr><td width="1%" bgcolor="#EFEFEF">no</td></tr></table>'
+
+
+@pytest.mark.parametrize(
+    "page,body",
+    [
+        (page_html(), "<p>the body</p>"),
+        (page_html(before=f"<!-- {DECOY} -->"), "<p>the body</p>"),
+        (page_html(before=f"<script>var t = '{DECOY}';</script>"), "<p>the body</p>"),
+        (page_html(before=f"<style>/* {DECOY} */</style><!-- <table -->"), "<p>the body</p>"),
+        (page_html(before="<table><tr><td>head</td></tr></table>"), "<p>the body</p>"),
+        (page_html(inside="<!-- </td></tr></table> -->"), "<p>the body</p>"),
+        (page_html(inside="<script>x = '</table>'</script>"), "<p>the body</p>"),
+        (page_html(inside="<table><tr><td>in <table><tr><td>deep</table></td></tr></table>"), "<p>the body</p>"),
+        (page_html(inside='<table title="a > b </table>"><tr><td>in</td></tr></table>'), "<p>the body</p>"),
+        (page_html(inside=DECOY), "<p>the body</p>"),
+        (page_html(cell='<!-- <font size="2">no</font> -->'), "<p>the body</p>"),
+        # What nothing closes holds all that follows, as in a parsed tree.
+        (page_html(meta_end=""), ""),
+        (page_html(inside="<table><tr><td>open"), ""),
+        (page_html(body="<TABLE><tr><td>x</td></tr></TABLE><!-- </table> --> tail"), "<TABLE><tr><td>x</td></tr></TABLE><!-- </table> --> tail"),
+        (page_html(meta_end="</table >", body=""), ""),
+    ],
+)
+def test_metadata_tables_as_a_tree_gives_them(spark, page, body):
+    from quillstack.operators.extract import page_metadata
+
+    row = page_metadata(spark.createDataFrame([("p", page)], "path string, html string")).first()
+    assert row["reject_reason"] is None
+    assert (row["title"], row["page_no"], row["authors"], row["categories"]) == ("T", "12", ["A", "B"], ["C"])
+    assert row["created"] == datetime.datetime(2015, 3, 4, 15, 45) and row["content"] == body
+
+
+@pytest.mark.parametrize(
+    "page,reason",
+    [
+        (page_html().replace("</td><td>", "</td></tr><tr><td>"), "missing metadata field"),
+        (page_html().replace('bgcolor="#EFEFEF"', ""), "no number cell"),
+        (f"<!-- {page_html()} -->", "no centred heading"),
+        (page_html().replace('<table width="100%" border="1">', "<table>"), "no metadata table"),
+        (None, "binary file"),
+    ],
+)
+def test_pages_that_are_rejected(spark, page, reason):
+    from quillstack.operators.extract import page_metadata
+
+    row = page_metadata(spark.createDataFrame([("p", page)], "path string, html string")).first()
+    assert row["reject_reason"] == reason and row["content"] is None or reason in ("missing metadata field", "no number cell")
+
+
+def test_cells_end_with_the_next_cell(spark):
+    from quillstack.operators.extract import page_metadata
+
+    page = page_html().replace("</td>", "").replace("</tr>", "")
+    row = page_metadata(spark.createDataFrame([("p", page)], "path string, html string")).first()
+    assert (row["title"], row["page_no"], row["content"]) == ("T", "12", "<p>the body</p>")
+
+
+@pytest.mark.parametrize(
+    "raw,want",
+    [("&#38;lt; &lt;", "&lt; <"), ("&#x26;gt; and &gt;", "&gt; and >"), ("&AMP;amp;", "&amp;"), ("&lt;&lt;", "<<"), ("&;&#;", "&;&#;")],
+)
+def test_references_are_resolved_once(spark, raw, want):
+    check(spark, text.html_unescape, [(raw, want)])
+
+
+def test_link_tokens_are_replaced_in_place(spark):
+    """Against a replacement by hand: nested, adjacent, repeated and hidden tags."""
+    keys = [f"{i:032x}" for i in range(4)]
+    body = (
+        '<a href="x?OpenDocument">a</a><a href="x?OpenDocument"><img src="i.gif"></a><!-- <a href="x?OpenDocument"> -->'
+        '<a title="<img>" href="n/$FILE/f">f</a><a name="z"></a><script>"<a href=\'x?OpenDocument\'>"</script><img src="i.gif">'
+    )
+    want = (
+        f'<a href="{keys[0]}">a</a><a href="{keys[0]}"><img src="{keys[1]}"></a><!-- <a href="x?OpenDocument"> -->'
+        f'<a title="<img>" href="{keys[2]}">f</a><a name="z"></a><script>"<a href=\'x?OpenDocument\'>"</script><img src="{keys[1]}">'
+    )
+    from quillstack.functions.text import dense
+
+    sparse = [(0, keys[0]), (1, keys[0]), (2, keys[1]), (4, keys[2]), (7, keys[1])]
+    rows = spark.createDataFrame([(body, sparse), ("no tag", []), ("", [])], "b string, k array<struct<pos:int,value:string>>")
+    tokens = html.link_tokens(F.col("b"))
+    new = F.zip_with(tokens, dense(F.size(tokens), F.col("k")), lambda t, k: F.when(k.isNull(), t).when(
+        t.startswith("<a"), html.with_attribute(t, "href", k)).otherwise(html.with_attribute(t, "src", k)))
+    got = [r[0] for r in rows.select(html.with_link_tokens(F.col("b"), new)).collect()]
+    assert got == [want, "no tag", ""]
+
+
+def test_rewriting_is_linear_in_the_links(spark):
+    import time
+
+    from quillstack.operators import links
+
+    def seconds(n):
+        body = "".join(f'<a href="{i:032x}">x</a><img src="{i:032x}">' for i in range(n))
+        bodies = spark.createDataFrame([("b", body)], "body_id string, content string")
+        urls = [("b", [(2 * i + j, (f"{i:032x}", f"http://p/{i}", f"http://m/{i}")) for i in range(n) for j in (0, 1)])]
+        table = spark.createDataFrame(urls, f"body_id string, urls array<struct<pos:int,value:{links.URL}>>").cache()
+        table.count()
+        start = time.perf_counter()
+        got = links.rewrite_bodies(bodies, table).first()["content"]
+        assert got == "".join(f'<a href="http://p/{i}">x</a><img src="http://m/{i}">' for i in range(n))
+        return time.perf_counter() - start
+
+    seconds(2_000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.1)
