@@ -43,8 +43,8 @@ from quillstack.sources.workspace import Workspace
 
 ORDER = 2
 FLAT = 5
-SLICE_TOKENS = 1 << 21
-BUCKET_TOKENS = 1 << 22
+SLICE_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 21
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Digests of the empty context and of the place before a text's first token.
 ROOT, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
@@ -52,13 +52,16 @@ END = b""
 
 
 def pack(values: np.ndarray) -> bytes:
-    raw = values.tobytes()
+    """An array compressed by byte planes: all first bytes, all second bytes and so on."""
+    raw = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", kind)
+    raw = pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 # --- slices ---------------------------------------------------------------------------------------
