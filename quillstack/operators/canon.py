@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,9 @@ def all_pages(canonical: DataFrame, orphans: DataFrame) -> DataFrame:
     return listed.unionByName(orphans.withColumn("is_orphan", F.lit(True)), allowMissingColumns=True)
 
 
-def page_order(ws: Workspace, pages: DataFrame) -> DataFrame:
+def page_order(
+    ws: Workspace, pages: DataFrame, metrics: Mapping[str, Column] | None = None, counts: dict | None = None
+) -> DataFrame:
     """Number pages: listed ones in reverse listing order, then orphans by path."""
     order = [
         F.col("is_orphan"),
@@ -54,7 +58,7 @@ def page_order(ws: Workspace, pages: DataFrame) -> DataFrame:
         F.col("first_pos").desc_nulls_last(),
         F.col("path"),
     ]
-    return global_rank(ws, pages, order, "page_order", "page-order")
+    return global_rank(ws, pages, order, "page_order", "page-order", 1, metrics, counts)
 
 
 def mark_canonical(ws: Workspace, resolved: DataFrame, ordered: DataFrame) -> DataFrame:

@@ -20,12 +20,14 @@ def distinct_names(entries: DataFrame, column: str) -> DataFrame:
     return entries.select(F.explode(column).alias("name")).distinct()
 
 
-def terms(ws: Workspace, authors: DataFrame, categories: DataFrame) -> DataFrame:
+def terms(ws: Workspace, authors: DataFrame, categories: DataFrame, counts: dict | None = None) -> DataFrame:
     """Author terms by name, then category terms: one id sequence over both."""
+    counts = {} if counts is None else counts
     both = authors.select(F.lit(0).alias("kind"), "name").unionByName(
         categories.select(F.lit(1).alias("kind"), "name")
     )
-    ranked = global_rank(ws, both, [F.col("kind"), F.col("name")], "term_id", "terms")
+    metrics = {"authors": F.count_if(F.col("kind") == 0), "categories": F.count_if(F.col("kind") == 1)}
+    ranked = global_rank(ws, both, [F.col("kind"), F.col("name")], "term_id", "terms", 1, metrics, counts)
     author = F.col("kind") == 0
     return ranked.select(
         "term_id",

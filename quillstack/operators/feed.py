@@ -80,12 +80,14 @@ def with_authors(pages: DataFrame) -> DataFrame:
     return pages.where(F.size("authors") > 0)
 
 
-def post_index(pages: DataFrame, ids: DataFrame) -> DataFrame:
-    """What other rows need to know of each post: its page, order, id and creator."""
+def post_index(pages: DataFrame, ids: DataFrame, page_refs: DataFrame) -> DataFrame:
+    """What other rows need to know of each post: its page, order, id, creator and number of page links."""
+    urls = page_refs.groupBy("page_key").agg(F.count(F.lit(1)).alias("n_urls"))
     rows = with_authors(pages).select(
         "page_key", "page_order", slug(first_author(F.col("authors"))).alias("creator")
     )
-    return rows.join(ids.select("page_key", "post_id"), "page_key")
+    found = rows.join(ids.select("page_key", "post_id"), "page_key").join(urls, "page_key", "left")
+    return found.withColumn("n_urls", F.coalesce("n_urls", F.lit(0).cast("bigint")))
 
 
 def posts(pages: DataFrame, bodies: DataFrame, index: DataFrame, config: FeedConfig) -> DataFrame:
@@ -132,14 +134,15 @@ def post_terms(pages: DataFrame, index: DataFrame) -> DataFrame:
 
 def thread_comments(ws: Workspace, responses: DataFrame, index: DataFrame) -> DataFrame:
     """Responses that become comments: with authors, on a page that became a post."""
-    posts_ = index.select("page_key", "page_order", "post_id")
+    posts_ = index.select("page_key", "page_order", "post_id", "n_urls")
     return lookup(ws, with_authors(responses), posts_, "page_key", "inner", staged=True)
 
 
-def number_comments(ws: Workspace, threaded: DataFrame) -> DataFrame:
+def number_comments(ws: Workspace, threaded: DataFrame, counts: dict | None = None) -> DataFrame:
     """Comment ids over all posts in order; narrow rows only, bodies are not sorted."""
+    metrics = {"comments": F.count(F.lit(1)), "comment_urls": F.sum("n_urls")}
     order = [F.col(c) for c in ("page_order", "first_file", "first_pos", "path")]
-    return global_rank(ws, threaded, order, "comment_id", "comment-ids")
+    return global_rank(ws, threaded, order, "comment_id", "comment-ids", 1, metrics, {} if counts is None else counts)
 
 
 def comments(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,16 +62,17 @@ def lookup(
 
 
 def global_rank(
-    ws: Workspace, df: DataFrame, order: Sequence[Column], out: str, name: str, start: Column | int = 1
-) -> DataFrame:
+    ws: Workspace, df: DataFrame, order: Sequence[Column], out: str, name: str, start: Column | int = 1,
+    metrics: Mapping[str, Column] | None = None, counts: dict | None = None,
+) -> DataFrame:
     """Dense numbers `start, start+1, ...` along a unique sort key, without a one-task window.
 
     A range-partitioned sort numbers each partition's rows. The table is written once, so
     that the partitions stay as they are; their offsets, one number per partition, are all
-    that the driver sees.
+    that the driver sees. `metrics` are observed as the table is written and put into `counts`.
     """
     numbered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    numbered = ws.keep(numbered, name)
+    numbered = ws.keep(numbered, name, metrics, counts)
     part = F.shiftright(F.col("_mid"), 33)
     within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = dict(numbered.groupBy(part.alias("part")).agg(F.max(within) + 1).collect())

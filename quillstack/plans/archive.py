@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.config import ArchiveConfig
 from quillstack.functions.dates import epoch_seconds
 from quillstack.operators import canon, dims, extract, links, listing, media
-from quillstack.operators.report import one_row
+from quillstack.operators.report import one_row, rows
 from quillstack.operators.skew import lookup
 from quillstack.sources import archive as store
 from quillstack.sources.workspace import Workspace
 
+SUMMARY = (
+    "listing_files", "listed_pages", "responses", "unlisted_documents", "pages", "distinct_pages", "orphans",
+    "media_items", "images", "attachments", "internal_urls", "media_files", "dangling_links", "authors",
+    "categories", "rejected",
+)
+
 
 class ArchivePlan:
     """The tables of the archive build; each is made when first asked for.
@@ -43,12 +49,18 @@ class ArchivePlan:
         self.media_files = media_files
         self.config = config
         self.ws = ws or Workspace(spark)
+        self.counts: dict[str, int] = {}
+
+    def _keep(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame:
+        """`df` as a written table; `metrics` are counted on the way into `counts`."""
+        return self.ws.keep(df, name, metrics, self.counts)
 
     # --- listings -------------------------------------------------------------------------
 
     @cached_property
     def listing_links(self) -> DataFrame:
-        return self.ws.keep(listing.listing_links(self.listings), "listing-links")
+        found = listing.listing_links(self.listings)
+        return self._keep(found, "listing-links", listing_files=F.count_if(F.col("pos") == 0))
 
     @cached_property
     def threaded(self) -> DataFrame:
@@ -56,11 +68,13 @@ class ArchivePlan:
 
     @cached_property
     def entries(self) -> DataFrame:
-        return listing.contents_index(self.listing_links, self.config.root_dir)
+        found = listing.contents_index(self.listing_links, self.config.root_dir)
+        return self._keep(found, "entries", listed_pages=rows())
 
     @cached_property
     def responses(self) -> DataFrame:
-        return listing.entry_responses(self.threaded, self.config.root_dir)
+        found = listing.entry_responses(self.threaded, self.config.root_dir)
+        return self._keep(found, "responses", responses=rows())
 
     # --- documents ------------------------------------------------------------------------
 
@@ -77,7 +91,7 @@ class ArchivePlan:
     def unlisted(self) -> DataFrame:
         paths = listing.listed_paths(self.listing_links, self.config.root_dir)
         found = listing.unlisted_documents(self.valid.select("path", "page_key"), paths)
-        return self.ws.keep(found, "unlisted")
+        return self._keep(found, "unlisted", unlisted_documents=rows())
 
     @cached_property
     def rejected(self) -> DataFrame:
@@ -87,11 +101,12 @@ class ArchivePlan:
         missing = wanted.join(self.documents.select("path"), "path", "left_anti")
         listings = self.listings.where("html is null").select(F.col("contents_file").alias("path"))
         unread = self.hashed_media.where("file_hash is null").select("path")
-        return (
+        rejected = (
             bad.unionByName(missing.withColumn("reject_reason", F.lit("missing document")))
             .unionByName(listings.withColumn("reject_reason", F.lit("unreadable contents listing")))
             .unionByName(unread.withColumn("reject_reason", F.lit("unreadable media file")))
         )
+        return self._keep(rejected, "rejected", rejected=rows())
 
     # --- canonical pages ------------------------------------------------------------------
 
@@ -111,7 +126,13 @@ class ArchivePlan:
     @cached_property
     def ordered(self) -> DataFrame:
         """Canonical pages and orphans with their order number."""
-        return canon.page_order(self.ws, canon.all_pages(self.canonical, self.orphans))
+        orphan = F.col("is_orphan")
+        metrics = {
+            "pages": F.sum(F.when(orphan, F.col("n_copies")).otherwise(1)),
+            "distinct_pages": rows(),
+            "orphans": F.sum(F.when(orphan, F.col("n_copies"))),
+        }
+        return canon.page_order(self.ws, canon.all_pages(self.canonical, self.orphans), metrics, self.counts)
 
     @cached_property
     def parents(self) -> DataFrame:
@@ -126,7 +147,7 @@ class ArchivePlan:
 
     @cached_property
     def collisions(self) -> DataFrame:
-        return listing.path_collisions(self.resolved, self.responses)
+        return self._keep(listing.path_collisions(self.resolved, self.responses), "collisions", path_collisions=rows())
 
     @cached_property
     def owners(self) -> DataFrame:
@@ -161,7 +182,14 @@ class ArchivePlan:
     def refs(self) -> DataFrame:
         """Links with what they lead to: a page (`target_key`) or a file (`file_hash`)."""
         pages = links.resolve_links(self.ws, self.links, self.path_map)
-        return self.ws.keep(links.resolve_media(self.ws, pages, self.hashed_media), "refs")
+        found = links.resolve_media(self.ws, pages, self.hashed_media)
+        is_page, is_media = F.col("kind") == "page", F.col("kind").isin(*links.MEDIA_KINDS)
+        return self._keep(
+            found,
+            "refs",
+            dangling_links=F.count_if(is_page & F.col("target_key").isNull()),
+            missing_media=F.count_if(is_media & F.col("file_hash").isNull()),
+        )
 
     @cached_property
     def media_refs(self) -> DataFrame:
@@ -183,7 +211,15 @@ class ArchivePlan:
     def merged(self) -> DataFrame:
         """References of each page with its responses' merged in, one per (page, kind, key)."""
         key = F.coalesce("file_hash", F.when(F.col("target_key").isNotNull(), F.col("link_key")))
-        return self.ws.keep(links.merge_links(self.refs.withColumn("ref_key", key)), "merged")
+        of_kind = lambda k: F.count_if(F.col("kind") == k)
+        return self._keep(
+            links.merge_links(self.refs.withColumn("ref_key", key)),
+            "merged",
+            media_items=F.count_if(F.col("kind") != "page"),
+            images=of_kind("image"),
+            attachments=of_kind("attachment"),
+            internal_urls=of_kind("page"),
+        )
 
     @cached_property
     def merged_page_links(self) -> DataFrame:
@@ -195,7 +231,7 @@ class ArchivePlan:
 
     @cached_property
     def manifest(self) -> DataFrame:
-        return self.ws.keep(media.media_manifest(self.merged_media), "manifest")
+        return self._keep(media.media_manifest(self.merged_media), "manifest", media_files=rows())
 
     # --- pages, responses and bodies ------------------------------------------------------
 
@@ -223,7 +259,7 @@ class ArchivePlan:
 
     def _names(self, column: str) -> DataFrame:
         kept = self.details if self.config.include_orphans else self.details.where("not is_orphan")
-        return dims.distinct_names(kept, column)
+        return self._keep(dims.distinct_names(kept, column), column, **{column: rows()})
 
     @cached_property
     def authors(self) -> DataFrame:
@@ -327,32 +363,15 @@ class ArchivePlan:
 
     @cached_property
     def summary(self) -> DataFrame:
-        """The run's counts in one row; `pages` and `orphans` count equal orphans each."""
-        orphan = F.col("is_orphan")
-        kind = lambda k: F.count_if(F.col("kind") == k)
-        groups = [
-            self.listing_links.agg(F.count_distinct("contents_file").alias("listing_files")),
-            self.entries.agg(F.count("*").alias("listed_pages")),
-            self.responses.agg(F.count("*").alias("responses")),
-            self.unlisted.agg(F.count("*").alias("unlisted_documents")),
-            self.ordered.agg(
-                F.sum(F.when(orphan, F.col("n_copies")).otherwise(1)).alias("pages"),
-                F.count("*").alias("distinct_pages"),
-                F.sum(F.when(orphan, F.col("n_copies"))).alias("orphans"),
-            ),
-            self.merged.agg(
-                F.count_if(F.col("kind") != "page").alias("media_items"),
-                kind("image").alias("images"),
-                kind("attachment").alias("attachments"),
-                kind("page").alias("internal_urls"),
-            ),
-            self.manifest.agg(F.count("*").alias("media_files")),
-            self.dangling.agg(F.count("*").alias("dangling_links")),
-            self.authors.agg(F.count("*").alias("authors")),
-            self.categories.agg(F.count("*").alias("categories")),
-            self.rejected.agg(F.count("*").alias("rejected")),
-        ]
-        return one_row(groups)
+        """The run's counts in one row; `pages` and `orphans` count equal orphans each.
+
+        They are counted as the tables are written, so only tables that are not there yet start a job.
+        """
+        for name in ("listing_links", "entries", "responses", "unlisted", "ordered", "refs", "merged", "manifest"):
+            getattr(self, name)
+        for name in ("authors", "categories", "rejected"):
+            getattr(self, name)
+        return one_row(self.spark, self.counts, SUMMARY)
 
     @property
     def problems(self) -> dict[str, DataFrame]:
@@ -366,17 +385,22 @@ class ArchivePlan:
         }
 
     def verify(self) -> None:
-        """In strict mode, fail on anything the lenient mode reports in a table."""
+        """In strict mode, fail on anything the lenient mode reports in a table.
+
+        All of it was counted as those tables were written, which the archive stores as well.
+        """
         if not self.config.strict:
             return
+        for name in ("rejected", "collisions", "refs"):
+            getattr(self, name)
         fatal = {
-            "rejected documents": self.rejected,
-            "path collisions": self.collisions,
-            "dangling links": self.dangling,
-            "missing media": self.unresolved_media,
+            "rejected documents": "rejected",
+            "path collisions": "path_collisions",
+            "dangling links": "dangling_links",
+            "missing media": "missing_media",
         }
-        for name, table in fatal.items():
-            if not table.isEmpty():
+        for name, count in fatal.items():
+            if self.counts[count]:
                 raise ValueError(f"the archive has {name}")
 
     def write(self, folder: str) -> None:

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from quillstack.config import FeedConfig
 from quillstack.operators import dims, feed, ids, links
-from quillstack.operators.report import one_row
+from quillstack.operators.report import one_row, rows
 from quillstack.operators.skew import lookup
 from quillstack.plans.archive import ArchivePlan
 from quillstack.sources import archive as store
+from quillstack.sources import versions
 from quillstack.sources.workspace import Workspace
 
+SUMMARY = (
+    "posts", "comments", "urls_raw", "urls_distinct", "media_items", "images", "attachments", "authors", "categories"
+)
+
 
 class FeedPlan:
     """The feed's tables, made from an archive plan or from a stored archive.
@@ -55,6 +60,7 @@ class FeedPlan:
         self.category_names = categories
         self.config = config
         self.ws = ws or Workspace(spark)
+        self.counts: dict[str, int] = {}
 
     @classmethod
     def of(cls, plan: ArchivePlan, config: FeedConfig = FeedConfig()) -> FeedPlan:
@@ -64,7 +70,7 @@ class FeedPlan:
     @classmethod
     def load(cls, spark: SparkSession, folder: str, config: FeedConfig = FeedConfig()) -> FeedPlan:
         """Continue from a stored archive. The XML is parsed once into a columnar table."""
-        ws = Workspace(spark)
+        ws, archive = Workspace(spark), versions.current(spark, folder)
         stored = ws.keep(store.scan_archive(spark, folder), "stored")
         refs = ws.keep(store.stored_links(stored), "stored-links")
         page_refs = refs.where("kind = 'page'").select(
@@ -88,8 +94,8 @@ class FeedPlan:
             page_refs,
             media_refs,
             ws.keep(store.scan_manifest(spark, folder), "manifest"),
-            store.read_names(spark, f"{folder}/authors", "author"),
-            store.read_names(spark, f"{folder}/categories", "category"),
+            store.read_names(spark, f"{archive}/authors", "author"),
+            store.read_names(spark, f"{archive}/categories", "category"),
             config,
             ws,
         )
@@ -102,11 +108,12 @@ class FeedPlan:
 
     @cached_property
     def post_index(self) -> DataFrame:
-        return self.ws.keep(feed.post_index(self.pages, self.ids), "post-index")
+        index = feed.post_index(self.pages, self.ids, self.page_refs)
+        return self.ws.keep(index, "post-index", {"posts": rows(), "urls_distinct": F.sum("n_urls")}, self.counts)
 
     @cached_property
     def terms(self) -> DataFrame:
-        return dims.terms(self.ws, self.author_names, self.category_names)
+        return dims.terms(self.ws, self.author_names, self.category_names, self.counts)
 
     @cached_property
     def authors(self) -> DataFrame:
@@ -148,7 +155,7 @@ class FeedPlan:
 
     @cached_property
     def numbered_comments(self) -> DataFrame:
-        return feed.number_comments(self.ws, self.threaded_comments)
+        return feed.number_comments(self.ws, self.threaded_comments, self.counts)
 
     @cached_property
     def comment_bodies(self) -> DataFrame:
@@ -172,7 +179,10 @@ class FeedPlan:
     @cached_property
     def shown_media(self) -> DataFrame:
         """Each media file and kind with the first post that shows it."""
-        return feed.shown_media(self.ws, self.media_refs, self.post_index)
+        shown = feed.shown_media(self.ws, self.media_refs, self.post_index)
+        kind = lambda k: F.count_if(F.col("kind") == k)
+        metrics = {"media_items": rows(), "images": kind("image"), "attachments": kind("attachment")}
+        return self.ws.keep(shown, "shown-media", metrics, self.counts)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -195,37 +205,17 @@ class FeedPlan:
 
     @cached_property
     def summary(self) -> DataFrame:
-        """Counts of the feed. `urls_raw` counts a post's links again for each of its comments."""
-        kept = feed.with_authors(self.pages).select("page_key")
-        urls = self.page_refs.groupBy("page_key").agg(F.count("*").alias("n_urls"))
-        comments = self.threaded_comments.groupBy("page_key").agg(F.count("*").alias("n_comments"))
-        none = F.lit(0).cast("bigint")
-        per_post = (
-            kept.join(urls, "page_key", "left")
-            .join(comments, "page_key", "left")
-            .select(F.coalesce("n_urls", none).alias("n_urls"), F.coalesce("n_comments", none).alias("n_comments"))
-        )
-        kind = lambda k: F.count_if(F.col("kind") == k)
-        return one_row(
-            [
-                per_post.agg(
-                    F.count("*").alias("posts"),
-                    F.sum("n_comments").alias("comments"),
-                    F.sum(F.col("n_urls") * (1 + F.col("n_comments"))).alias("urls_raw"),
-                    F.sum("n_urls").alias("urls_distinct"),
-                ),
-                self.shown_media.agg(
-                    F.count("*").alias("media_items"),
-                    kind("image").alias("images"),
-                    kind("attachment").alias("attachments"),
-                ),
-                self.author_names.agg(F.count("*").alias("authors")),
-                self.category_names.agg(F.count("*").alias("categories")),
-            ]
-        )
+        """Counts of the feed. `urls_raw` counts a post's links again for each of its comments.
+
+        They are counted as the tables are written, so only tables that are not there yet start a job.
+        """
+        for name in ("post_index", "numbered_comments", "shown_media", "terms"):
+            getattr(self, name)
+        counts = self.counts | {"urls_raw": self.counts["urls_distinct"] + self.counts["comment_urls"]}
+        return one_row(self.spark, counts, SUMMARY)
 
     def write(self, folder: str) -> None:
-        """Replace the feed under `folder`: one set of XML part files per table.
+        """Replace the feed under `folder` as a whole: one set of XML part files per table.
 
         Items come in feed order: by `page_order`, `item_rank` and `file_hash`, which are written too.
         """
@@ -239,8 +229,12 @@ class FeedPlan:
             "post_term": self.post_terms,
             "comment": comments,
         }
-        for name, table in tables.items():
-            store.write_xml(table, f"{folder}/{name}", f"{name}s", name)
+
+        def write(target: str) -> None:
+            for name, table in tables.items():
+                store.write_xml(table, f"{target}/{name}", f"{name}s", name)
+
+        versions.replace(self.spark, folder, write)
 
 
 class _FromPlan(FeedPlan):
@@ -251,6 +245,7 @@ class _FromPlan(FeedPlan):
         self.plan = plan
         self.config = config
         self.ws = plan.ws
+        self.counts = {}
 
     pages = property(lambda self: self.plan.pages.withColumn("body_id", F.col("path")))
     responses = property(lambda self: self.plan.page_responses.withColumn("body_id", F.col("path")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from quillstack.functions.dates import epoch_seconds, from_epoch
+from quillstack.sources import versions
 
 # Characters XML 1.0 has no form for.
 NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
@@ -69,22 +70,30 @@ def write_archive(
     manifest: DataFrame,
     problems: dict[str, DataFrame],
 ) -> None:
-    """Replace the stored archive: pages, name lists, manifest and, as Parquet, the run's problems."""
-    write_xml(pages, f"{folder}/pages", "pages", "page")
-    write_names(authors, f"{folder}/authors", "author")
-    write_names(categories, f"{folder}/categories", "category")
-    write_xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{folder}/media", "files", "file")
-    for name, table in problems.items():
-        table.write.mode("overwrite").parquet(f"{folder}/problems/{name}")
+    """Replace the stored archive: pages, name lists, manifest and, as Parquet, the run's problems.
+
+    All of it becomes visible at once, when every table is written; until then, and if one fails,
+    readers get the archive that was there before.
+    """
+
+    def write(target: str) -> None:
+        write_xml(pages, f"{target}/pages", "pages", "page")
+        write_names(authors, f"{target}/authors", "author")
+        write_names(categories, f"{target}/categories", "category")
+        write_xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{target}/media", "files", "file")
+        for name, table in problems.items():
+            table.write.mode("overwrite").parquet(f"{target}/problems/{name}")
+
+    versions.replace(pages.sparkSession, folder, write)
 
 
 def scan_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Stored pages, one row per `page` element; a page with very many responses has several."""
-    return _read_xml(spark, f"{folder}/pages", "page", PAGE_SCHEMA)
+    return _read_xml(spark, f"{versions.current(spark, folder)}/pages", "page", PAGE_SCHEMA)
 
 
 def scan_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _read_xml(spark, f"{folder}/media", "file", MANIFEST_SCHEMA)
+    rows = _read_xml(spark, f"{versions.current(spark, folder)}/media", "file", MANIFEST_SCHEMA)
     return rows.withColumn("created", from_epoch(F.col("created")))
 
 

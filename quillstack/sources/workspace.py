@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Most buckets that Spark allows a table by default.
@@ -36,9 +37,15 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.mode("errorifexists").parquet(path)
+    def keep(
+        self, df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None, counts: dict | None = None
+    ) -> DataFrame:
+        """`df` written and read back; `metrics` are observed while it is written and put into `counts`."""
+        path, seen = self.path(name), Observation()
+        written = df.observe(seen, *[m.alias(k) for k, m in metrics.items()]) if metrics else df
+        written.write.mode("errorifexists").parquet(path)
+        if metrics:
+            counts.update({k: seen.get[k] or 0 for k in metrics})
         return self.spark.read.schema(df.schema).parquet(path)
 
     def keep_by(self, df: DataFrame, name: str, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from quillstack.operators.urls import filter_urls
 from quillstack.plans.archive import ArchivePlan
 from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
+from quillstack.sources import versions
 from quillstack.sources import files
 
 LISTING = "By Author?OpenView&Start={}&Count=5000"
@@ -281,12 +282,100 @@ def test_stored_archive_gives_the_same_feed(spark, folder, feed, tmp_path, size)
 
 def test_feed_parts_are_written(spark, feed, tmp_path):
     feed.write(str(tmp_path / "feed"))
-    items = spark.read.format("xml").option("rowTag", "item").load(str(tmp_path / "feed" / "item"))
+    written = versions.current(spark, str(tmp_path / "feed"))
+    items = spark.read.format("xml").option("rowTag", "item").load(f"{written}/item")
     assert items.count() == 8
-    comments = spark.read.format("xml").option("rowTag", "comment").load(str(tmp_path / "feed" / "comment"))
+    comments = spark.read.format("xml").option("rowTag", "comment").load(f"{written}/comment")
     assert comments.count() == 4
 
 
+def test_an_archive_is_replaced_as_a_whole(spark, folder, tmp_path, monkeypatch):
+    """A write that fails between two tables leaves the old archive, the next one leaves nothing of it."""
+    stored = str(tmp_path / "stored")
+    with pytest.raises(FileNotFoundError):
+        store.scan_archive(spark, stored)
+    plan = make_plan(spark, folder)
+    plan.write(stored)
+    first, before = versions.current(spark, stored), rows_of(store.scan_archive(spark, stored))
+    assert (tmp_path / "stored" / first.rsplit("/", 1)[1] / "problems" / "dangling").is_dir()
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "write_names", broken)
+        with pytest.raises(OSError, match="disk full"):
+            plan.write(stored)
+    assert versions.current(spark, stored) == first and rows_of(store.scan_archive(spark, stored)) == before
+    nothing = plan.archived.limit(0)
+    store.write_archive(stored, nothing, plan.authors, plan.categories, plan.manifest, {})
+    second = versions.current(spark, stored)
+    assert second != first and not (tmp_path / "stored" / second.rsplit("/", 1)[1] / "problems").exists()
+    store.write_archive(stored, nothing, plan.authors, plan.categories, plan.manifest, {})
+    kept = {p.name for p in (tmp_path / "stored").iterdir() if p.name.startswith("version-")}
+    assert kept == {v.rsplit("/", 1)[1] for v in (second, versions.current(spark, stored))}
+
+
+def jobs_of(spark, work):
+    """How many jobs some work starts."""
+    tracker, group = spark.sparkContext.statusTracker(), "counted"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        before = len(tracker.getJobIdsForGroup(group))
+        work()
+        return len(tracker.getJobIdsForGroup(group)) - before
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_counts_are_observed_as_tables_are_written(spark, plan, feed):
+    assert plan.summary.count() == feed.summary.count() == 1
+    for made in (plan, feed):
+        made.__dict__.pop("summary")
+        assert jobs_of(spark, lambda made=made: made.summary) == 0
+    plan.collisions
+    assert jobs_of(spark, plan.verify) == 0
+
+
+def test_bodies_stay_where_they_are(spark, folder):
+    """After their one write, no exchange carries bodies."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = FeedPlan.of(make_plan(spark, folder), FeedConfig())
+        for table in (made.posts, made.comments):
+            plan_text = table._jdf.queryExecution().executedPlan().toString()
+            assert "content" in plan_text
+            for line in plan_text.split("\n"):
+                assert not ("Exchange" in line and ("content" in line or "html" in line))
+            tree = table._jdf.queryExecution().executedPlan()
+            assert not _exchanged(tree) & {"content", "html"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def _exchanged(node):
+    """Names of the columns that a plan's exchanges carry."""
+    name, out = node.nodeName(), set()
+    if name.startswith("AdaptiveSparkPlan"):
+        return _exchanged(node.inputPlan())
+    if "Exchange" in name:
+        fields = node.output()
+        out = {fields.apply(i).name() for i in range(fields.size())}
+    for i in range(node.children().size()):
+        out |= _exchanged(node.children().apply(i))
+    return out
+
+
+def test_no_counts_of_nothing(spark):
+    none = spark.createDataFrame([], "path string, html string")
+    listings = spark.createDataFrame([], "contents_file string, html string")
+    media = spark.createDataFrame([], "path string, content binary")
+    plan = ArchivePlan(spark, listings, none, media)
+    assert set(plan.summary.first().asDict().values()) == {0}
+    assert set(FeedPlan.of(plan, FeedConfig()).summary.first().asDict().values()) == {0}
+
+
 def test_strict_mode_fails(spark, folder, tmp_path):
     plan = make_plan(spark, folder, strict=True)
     with pytest.raises(ValueError, match="rejected documents"):

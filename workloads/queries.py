@@ -16,6 +16,7 @@ from quillstack.operators.skew import carry_forward, lookup
 from quillstack.plans.archive import ArchivePlan
 from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
+from quillstack.sources import versions
 from quillstack.sources.files import scan_contents as read_contents
 from quillstack.sources.workspace import Workspace
 from workloads.logbook import CONFIG, Logbook, table
@@ -285,7 +286,7 @@ def write_feed(feed: FeedPlan) -> DataFrame:
     reader = feed.spark.read.schema(
         "post_id bigint, title string, creator string, guid string, post_type string, content string, page_order bigint"
     )
-    return reader.format("xml").option("rowTag", "item").option("ignoreSurroundingSpaces", "false").load(f"{folder}/item").select(
+    return reader.format("xml").option("rowTag", "item").option("ignoreSurroundingSpaces", "false").load(f"{versions.current(feed.spark, folder)}/item").select(
         "post_id", "title", "creator", "guid", "post_type", F.coalesce("content", F.lit("")).alias("content"), "page_order"
     )
 
