@@ -20,7 +20,9 @@ BOILERPLATE = (
     r"(?i)\b(?:all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|enable javascript|"
     r"lorem ipsum|click here|subscribe to our|skip to (?:main )?content|spdx-license-identifier)\b"
 )
-SHOUTED = r"^[^\p{Ll}]*+$"
+#: Lines with upper-case letters and no lower-case ones; scripts without case and numbers are not shouted.
+SHOUTED = r"^[^\p{Ll}]*$"
+LOUD = r"\p{Lu}"
 SYMBOLS = r"[#*$%&|<>]"
 #: Symbols per word from which a line is noise.
 SYMBOL_RATE = 0.5
@@ -32,7 +34,7 @@ def line_fault(line: Column) -> Column:
     return (
         F.when(F.regexp_count(line, F.lit(SYMBOLS)) > SYMBOL_RATE * words, "punctuation")
         .when(line.rlike(NAVIGATION), "navigation")
-        .when(line.rlike(SHOUTED) & (words >= 3), "shouting")
+        .when(line.rlike(LOUD) & line.rlike(SHOUTED) & (words >= 3), "shouting")
         .when(line.rlike(BOILERPLATE), "boilerplate")
     )
 
@@ -116,7 +118,7 @@ good as (
   select rid, list_filter(lines, lambda x: not (
       len(regexp_extract_all(x, '[#*$%&|<>]')) > 0.5 * len(regexp_extract_all(x, '[^ \t-\r]+'))
       or regexp_matches(x, '^([^|]*\|){3}|^([^»]*»){2}|^([^>]* > ){2}')
-      or (regexp_matches(x, '^[^\p{Ll}]*$') and len(regexp_extract_all(x, '[^ \t-\r]+')) >= 3)
+      or (regexp_matches(x, '\p{Lu}') and regexp_matches(x, '^[^\p{Ll}]*$') and len(regexp_extract_all(x, '[^ \t-\r]+')) >= 3)
       or regexp_matches(x, '(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie policy|enable javascript|lorem ipsum|click here|subscribe to our|skip to (main )?content|spdx-license-identifier)\b')
     )) as good
   from w),

@@ -322,6 +322,16 @@ def test_line_rules_match_sql(spark, docs):
     assert difference(lines.query(docs), connect(SF_DIR), lines.SQL) is None
 
 
+def test_scripts_without_case_are_not_shouted(spark):
+    texts = {
+        "arabic": "هذا نص عربي طويل قليلا", "hebrew": "זה טקסט עברי ארוך", "korean": "이것은 조금 긴 문장 입니다",
+        "hindi": "यह एक लंबा वाक्य है", "numbers": "12 34 56 78", "shouted": "BUY NOW AND SAVE", "mixed": "ΑΥΤΟ ΕΙΝΑΙ ΔΥΝΑΤΟ 1",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "name string, line string")
+    got = {r["name"]: r["f"] for r in rows.select("name", lines.line_fault(rows["line"]).alias("f")).collect()}
+    assert got == {n: "shouting" if n in ("shouted", "mixed") else None for n in texts}
+
+
 # --- 8: quality ----------------------------------------------------------------------------------
 
 
