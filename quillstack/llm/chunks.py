@@ -118,8 +118,15 @@ NO_ID = -(2**63)
 NO_ID_END = NO_ID + 2**56
 
 
+def numbered(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """`docs` with `_doc`, written: what one job finds in rows without an id, another can look up by it."""
+    return ws.keep(_named(docs), "numbered")
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """`docs` with `_doc`: ids as whole numbers; rows without one are numbered in the stored rows' order."""
+    if "_doc" in docs.columns:
+        return docs
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     return rows.withColumn("_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID) + F.col("_row"))).drop("_row")
 
@@ -183,13 +190,14 @@ def passages(
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     """`docs` whose texts lose the passages that an earlier document has; columns and rows stay.
 
-    `found` are the passages of these very `docs`: rows without an id are told by their order.
+    `found` are the passages of these very `docs`. If rows may lack an id, both must come from one
+    `numbered` table, as numbers given anew follow the file splits of the job.
     """
     cuts = found.where("not is_first").groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_cuts")
     )
     rows = _named(docs).withColumn("_hash", F.xxhash64("text"))
-    rows = rows.join(cuts, ["_doc", "_hash"], "left").drop("_doc", "_hash")
+    rows = rows.join(cuts, ["_doc", "_hash"], "left").drop("_doc", "_hash")  # `_doc` of `numbered` goes too
     open_at = lambda i: F.coalesce(F.get("_cuts", i - 1)["stop"], F.lit(0))
     piece = lambda c, i: F.substring("text", open_at(i) + 1, c["start"] - open_at(i))
     tail = F.expr("substring(text, element_at(_cuts, -1).stop + 1)")
@@ -197,5 +205,11 @@ def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(text)).drop("_cuts")
 
 
+def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """`docs` without the passages that an earlier document has."""
+    rows = numbered(docs, ws)
+    return without_repeats(rows, ws.keep(passages(rows, ws), "passages"))
+
+
 def query(docs: DataFrame) -> DataFrame:
     return passages(docs, Workspace(docs.sparkSession))

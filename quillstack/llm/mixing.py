@@ -3,11 +3,14 @@
 Spark functions only. Documents are summed into (source, language, topic) cells; one factor per
 source, language and topic is fitted in turn until the cells' weighted tokens meet all three target
 marginals. A document's rate is its cell's weight, scaled so that the expected sample has the wished
-number of tokens and no rate is above 1; a hash of its id then decides. Cells are summed before the
+number of tokens and no rate is above 1; a hash of its id and text then decides. Cells are summed before the
 shuffle, so a hot source is one row per task, and a marginal's factors are one row per value.
 
 Null and missing sources or languages are the value `(none)`; null texts have no tokens. Repeated
-rows draw alike. An empty table gives an empty result. Extra columns are kept by `sample` as they are.
+rows draw alike, rows without an id each by their text. Documents of a value that a given target
+lacks have no weight and are not sampled; target values without documents are passed over, and
+targets that contradict each other are met as far as the last sweeps bring them, which `residuals`
+shows. An empty table gives an empty result. Extra columns are kept by `sample` as they are.
 """
 
 from __future__ import annotations
@@ -102,23 +105,46 @@ def fit(
     )
 
 
-def rates(fitted: DataFrame, share: float, rounds: int = 40) -> DataFrame:
+def residuals(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """How well fitted cells meet the marginals: `dim, value, share, reached`, one row per target value."""
+    total = cells.agg(F.sum("tokens").alias("all"))
+    out = []
+    for d in DIMS:
+        now = cells.groupBy(F.col(f"_{d}").alias("value")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+        met = targets[d].join(now, "value", "left").join(F.broadcast(total))
+        reached = F.coalesce(F.col("now"), F.lit(0.0)) / F.greatest("all", F.lit(1))
+        out.append(met.select(F.lit(d).alias("dim"), "value", "share", reached.alias("reached")))
+    return reduce(DataFrame.union, out)
+
+
+def rates(fitted: DataFrame, share: float, points: int = 40, rounds: int = 4) -> DataFrame:
     """Cells with `rate` = min(1, scale * weight), the scale set so that `share` of all tokens is expected.
 
-    The scale solves a monotone equation in one unknown; one pass sums the tokens and weighted tokens
-    above and below each of a fixed grid of candidate scales, which bounds what the driver sees.
+    The expected tokens grow with the scale, piece by piece linearly. The scale lies between that
+    without the bound 1 and that at which all rates are 1; every pass sums the tokens at a geometric
+    grid of scales between and keeps the two around the goal, so weights of any range are told
+    apart, and at last the line between the two gives the scale. A share that the cells with a
+    weight do not hold keeps all of them.
     """
-    low, high = 0.0, None
-    total, reach = fitted.agg(F.sum("tokens"), F.max(F.when(F.col("weight") > 0, 1 / F.col("weight")))).first()
-    if not total:
+    weight = F.when(F.col("weight") > 0, F.col("weight"))
+    total, plain, reach = fitted.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("weight")), F.max(1 / weight)).first()
+    if not total or not plain:
         return fitted.withColumn("rate", F.lit(0.0))
-    high = reach or 0.0
-    for _ in range(4):
-        grid = [low + (high - low) * k / rounds for k in range(1, rounds + 1)]
-        sums = fitted.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * s)) for s in grid]).first()
-        k = next((k for k, t in enumerate(sums) if t >= share * total), rounds - 1)
-        low, high = (grid[k - 1] if k else low), grid[k]
-    return fitted.withColumn("rate", F.least(F.lit(1.0), F.col("weight") * high))
+    goal = share * total
+    low, high = min(goal / plain, reach), reach
+
+    def expected(scales: list[float]) -> list[float]:
+        return list(fitted.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * s)) for s in scales]).first())
+
+    for _ in range(rounds):
+        grid = [low * (high / low) ** (k / points) for k in range(points)] + [high]
+        sums = expected(grid)
+        k = next((k for k, t in enumerate(sums) if t >= goal), points)
+        low, high, under, over = grid[max(k - 1, 0)], grid[k], sums[max(k - 1, 0)], sums[k]
+        if low >= high:
+            break
+    scale = high if over <= under else low + (high - low) * min(1.0, max(0.0, (goal - under) / (over - under)))
+    return fitted.withColumn("rate", F.least(F.lit(1.0), F.col("weight") * scale))
 
 
 def sample(
@@ -135,7 +161,8 @@ def sample(
     rated = ws.keep(rates(fitted, share), "rates").select(
         *keys, F.col("weight").alias("_weight"), F.col("rate").alias("_rate")
     )
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), 11) / F.lit(float(1 << 53))
+    own = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), body())
+    draw = F.shiftrightunsigned(own, 11) / F.lit(float(1 << 53))
     return marked.join(rated, keys, "left").withColumn("_kept", F.coalesce(draw < F.col("_rate"), F.lit(False)))
 
 

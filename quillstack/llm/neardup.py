@@ -210,16 +210,18 @@ def rare_first(sets: DataFrame, similar: float) -> DataFrame:
     return ranked.where(first(similar)).select("key", "node", "n", "behind", indexed.alias("indexed"))
 
 
-def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR) -> DataFrame:
+def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR, row: Column | None = None) -> DataFrame:
     """`digest, first, class_id, class_size, n_links` per distinct text of `docs (doc_id, text)`.
 
     `first` is the smallest (doc_id, row) of the class, rows without an id last; `class_size` counts
     rows; `n_links` counts the text's verified links that joined or tested its class: texts that are
     already of one class are not compared again, so it is a lower bound that depends on the numbering.
+    `row` are the rows' numbers; callers that join on them pass numbers that are written down.
     """
     rows = docs.select("doc_id", body().alias("text"))
     texts = rows.select(F.md5("text").alias("digest"), "text")
-    named = numbered(docs).select("digest", order_of(F.col("doc_id"), F.col("_row")).alias("first"))
+    number = F.monotonically_increasing_id() if row is None else row
+    named = docs.select(F.md5(body()).alias("digest"), order_of(F.col("doc_id"), number).alias("first"))
     counted = named.groupBy("digest").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("copies"))
     keyed = signed(texts).groupBy("digest").agg(F.first("keys").alias("keys"))
     nodes = keyed.join(counted, "digest").withColumn("node", F.monotonically_increasing_id())
@@ -247,16 +249,19 @@ def order_of(doc_id: Column, row: Column) -> Column:
     return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), row.alias("row"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with `_row` and `digest`; the numbers follow the stored rows' order."""
-    return docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("digest", F.md5(body()))
+#: Name of the row numbers that `keep_first` writes beside the columns of its table.
+ROW = "_quillstack_row"
 
 
 def keep_first(docs: DataFrame, ws: Workspace, similar: float = SIMILAR) -> DataFrame:
-    """`docs` with one row of each class, its smallest; all columns stay."""
-    found = classes(docs, ws, similar).select("first.row").distinct()
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    return rows.join(found.select(F.col("row").alias("_row")), "_row", "left_semi").drop("_row")
+    """`docs` with one row of each class, its smallest; all columns stay.
+
+    The rows are numbered once and written: numbers given anew in a later job follow that job's file
+    splits, which change when executors come or go.
+    """
+    rows = ws.keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = classes(rows, ws, similar, F.col(ROW)).select(F.col("first.row").alias(ROW)).distinct()
+    return rows.join(found, ROW, "left_semi").drop(ROW)
 
 
 def query(docs: DataFrame) -> DataFrame:

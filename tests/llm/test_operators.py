@@ -256,6 +256,45 @@ def test_one_row_of_each_class_stays(odd):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 3, 4, None, 6, 7, 8, 9])
 
 
+def resplit(spark, tmp_path, docs):
+    """A table of many files, and a way to read it in other splits from then on."""
+    path = str(tmp_path / "docs")
+    docs.repartition(16).write.parquet(path)
+
+    def anew():
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+    return spark.read.parquet(path), anew
+
+
+@pytest.fixture
+def splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_one_row_of_each_class_stays_under_other_splits(spark, docs, tmp_path, splits):
+    ws = Workspace(spark)
+    source, anew = resplit(spark, tmp_path, docs.unionByName(docs.limit(20).withColumn("doc_id", docs["doc_id"] + 10**6)))
+    want = {r["class_id"] for r in neardup.query(source).select("class_id").collect()}
+    kept = neardup.keep_first(source, ws)
+    anew()
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(want)
+
+
+def test_rows_without_an_id_are_cut_under_other_splits(spark, tmp_path, splits):
+    rows = [(None, f"start{i} {passage('p')} end{i}") for i in range(40)]
+    source, anew = resplit(spark, tmp_path, spark.createDataFrame(rows, "doc_id long, text string"))
+    out = chunks.deduplicated(source, Workspace(spark))
+    anew()
+    texts = [r["text"] for r in out.collect()]
+    assert len(texts) == 40 and sum(len(t) > 500 for t in texts) == 1
+
+
 # --- 5: mixing -----------------------------------------------------------------------------------
 
 
@@ -276,6 +315,69 @@ def test_weighted_tokens_meet_the_targets(spark, docs):
     assert all(0 <= r["_rate"] <= 1 for r in rows)
 
 
+def raked(cells, goals, sweeps=200):
+    """Plain raking of {(source, lang, topic): tokens}."""
+    weight = dict.fromkeys(cells, 1.0)
+    total = sum(cells.values())
+    for _ in range(sweeps):
+        for d, dim in enumerate(mixing.DIMS):
+            now = Counter()
+            for c, t in cells.items():
+                now[c[d]] += t * weight[c]
+            weight = {c: w * goals[dim].get(c[d], 0) * total / now[c[d]] if now[c[d]] else 0.0 for c, w in weight.items()}
+    return weight
+
+
+def cell_table(spark, cells, weights=None):
+    rows = [(*c, t, float((weights or {}).get(c, 1))) for c, t in cells.items()]
+    return spark.createDataFrame(rows, "_source string, _lang string, _topic string, tokens long, weight double")
+
+
+def target_tables(spark, goals):
+    return {d: spark.createDataFrame(list(g.items()), "value string, share double") for d, g in goals.items()}
+
+
+CELLS = {("a", "x", "p"): 100, ("a", "y", "q"): 300, ("b", "x", "q"): 50, ("b", "y", "p"): 500, ("c", "x", "p"): 50}
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_raking_matches_a_plain_loop(spark, missing):
+    goals = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.4, "y": 0.6}, "topic": {"p": 0.6, "q": 0.4}}
+    if missing:
+        goals["source"] = {"a": 0.6, "b": 0.4, "nobody": 0.0}  # c has no target, nobody no documents
+    cells, tables = cell_table(spark, CELLS).drop("weight"), target_tables(spark, goals)
+    fitted = mixing.fit(cells, Workspace(spark), tables, 1e-3, 20).cache()
+    want = raked(CELLS, goals)
+    got = {(r["_source"], r["_lang"], r["_topic"]): r["weight"] for r in fitted.collect()}
+    assert {c: got.get(c, 0.0) for c in CELLS} == {c: pytest.approx(w, rel=1e-2, abs=1e-9) for c, w in want.items()}
+    if not missing:
+        assert all(r["reached"] == pytest.approx(r["share"], rel=1e-2) for r in mixing.residuals(fitted, tables).collect())
+
+
+def test_targets_that_cannot_be_met_show_in_the_residuals(spark):
+    cells = {("a", "x", "p"): 100, ("b", "y", "q"): 100}  # a goes with x, so their shares cannot differ
+    goals = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.2, "y": 0.8}, "topic": {"p": 0.5, "q": 0.5}}
+    tables = target_tables(spark, goals)
+    fitted = mixing.fit(cell_table(spark, cells).drop("weight"), Workspace(spark), tables, max_sweeps=3)
+    assert max(abs(r["reached"] - r["share"]) for r in mixing.residuals(fitted, tables).collect()) > 0.2
+
+
+@pytest.mark.parametrize(
+    "weights,share", [((1, 1, 1e-8), 0.5), ((1, 1, 1e-8), 0.9), ((1, 2, 3), 0.7), ((1, 1, 1), 0.3), ((5, 1e-6, 0), 0.4)]
+)
+def test_the_scale_gives_the_share_for_weights_of_any_range(spark, weights, share):
+    cells = {("a", "x", "p"): 100, ("b", "x", "p"): 100, ("c", "x", "p"): 100}
+    table = cell_table(spark, cells, dict(zip(cells, weights, strict=True)))
+    got = mixing.rates(table, share).collect()
+    assert sum(r["tokens"] * r["rate"] for r in got) == pytest.approx(share * 300, rel=1e-3)
+
+
+def test_rows_without_an_id_draw_each_for_themselves(spark):
+    rows = [(None, f"text number {i} of some words", "s", "en") for i in range(400)]
+    got = mixing.query(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    assert 0.5 * 400 < sum(r["kept"] for r in got) < 0.9 * 400
+
+
 # --- 6: packing ----------------------------------------------------------------------------------
 
 
