@@ -8,18 +8,15 @@ from pyspark.sql import functions as F
 from quillstack.functions.text import html_unescape, interleave, let
 
 # Tags with quoted attributes are read to their real end; ones with odd quotes to the first ">".
-LINK_TAG = (
-    r"""(?is)<(?:a|img)\b[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
-    r"""|<(?:a|img)\b[^>]*+>"""
-)
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-LINK_TOKEN = HIDDEN + "|" + LINK_TAG.removeprefix("(?is)")
+# All alternatives share their first character, so that a search tries them only where it stands.
+TAG_REST = r"""\b(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
+HIDDEN_REST = r"!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
+LINK_TAG = rf"(?is)<(?:a|img){TAG_REST}"
+HIDDEN = rf"(?is)<(?:{HIDDEN_REST})"
+LINK_TOKEN = rf"(?is)<(?:{HIDDEN_REST}|(?:a|img){TAG_REST})"
 HIDDEN_START = r"<(?:!--|(?i:script|style)\b)"
 # Tags that decide where tables, rows and cells begin and end, and the parts in which no tag counts.
-TABLE_TOKEN = (
-    HIDDEN + r"""|</?(?:table|tr|td|th)\b[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
-    r"""|</?(?:table|tr|td|th)\b[^>]*+>"""
-)
+TABLE_TOKEN = rf"(?is)<(?:{HIDDEN_REST}|/?(?:table|tr|td|th){TAG_REST})"
 TOP_LINK = (
     r"""(?s)<[aA]\b(?=[^>]*\s(?i:href)\s*=\s*(?:"[^">]*#top"|'[^'>]*#top'|[^\s>"']*#top[\s>]))[^>]*>top</[aA]\s*>"""
 )
