@@ -9,7 +9,13 @@ from quillstack.functions.text import clean_filename, extension, media_type
 
 
 def hash_media(media: DataFrame) -> DataFrame:
-    """Content hash, type and size of every file, each read once."""
+    """Content hash, type and size of every file, each read once.
+
+    `media` holds either contents (`path, content`) or what a scan has hashed (`path, uri, file_hash,
+    n_bytes, head`).
+    """
+    if "file_hash" in media.columns:
+        return media.select("path", "file_hash", media_type(F.col("head")).alias("mime"), "n_bytes", "uri")
     return media.select(
         "path",
         F.md5("content").alias("file_hash"),
@@ -48,3 +54,10 @@ def media_manifest(media_refs: DataFrame) -> DataFrame:
         F.col("f.kind").alias("first_kind"),
         "n_refs",
     )
+
+
+def media_sources(manifest: DataFrame, hashed: DataFrame) -> DataFrame:
+    """One stored file for each name of the manifest: `uri, file_hash, name`."""
+    stored = hashed.where("file_hash is not null").groupBy("file_hash").agg(F.min("uri").alias("uri"))
+    names = manifest.select("file_hash", F.col("archive_name").alias("name"))
+    return stored.join(names, "file_hash").select("uri", "file_hash", "name")

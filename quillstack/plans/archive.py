@@ -27,7 +27,7 @@ class ArchivePlan:
 
     listings   contents_file, html
     documents  path, html (NULL for a binary file)
-    media      path, content
+    media      path, content, or path, uri, file_hash, n_bytes, head of a file scan
 
     Narrow tables that several later steps read are written once to the run's workspace.
     Bodies are cut from the documents once, when the first result needs them, and stored
@@ -403,7 +403,13 @@ class ArchivePlan:
             if self.counts[count]:
                 raise ValueError(f"the archive has {name}")
 
-    def write(self, folder: str) -> None:
-        """Replace the stored archive under `folder`."""
+    def write(self, folder: str, copy_media: bool = False) -> None:
+        """Replace the stored archive under `folder`; `copy_media` stores every file of the manifest once as well.
+
+        Copying needs media from a file scan, which knows where they are.
+        """
         self.verify()
-        store.write_archive(folder, self.archived, self.authors, self.categories, self.manifest, self.problems)
+        files = media.media_sources(self.manifest, self.hashed_media) if copy_media else None
+        store.write_archive(
+            folder, self.archived, self.authors, self.categories, self.manifest, self.problems, files
+        )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from quillstack.functions.dates import epoch_seconds, from_epoch
-from quillstack.sources import versions
+from quillstack.sources import ranges, versions
 
 # Characters XML 1.0 has no form for.
 NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
@@ -69,9 +69,13 @@ def write_archive(
     categories: DataFrame,
     manifest: DataFrame,
     problems: dict[str, DataFrame],
+    media: DataFrame | None = None,
 ) -> None:
     """Replace the stored archive: pages, name lists, manifest and, as Parquet, the run's problems.
 
+    With `media` (uri, file_hash, name), the files themselves are copied too, into `files`, and the
+    copies are listed in `copies`.
+
     All of it becomes visible at once, when every table is written; until then, and if one fails,
     readers get the archive that was there before.
     """
@@ -83,8 +87,12 @@ def write_archive(
         write_xml(manifest.withColumn("created", epoch_seconds(F.col("created"))), f"{target}/media", "files", "file")
         for name, table in problems.items():
             table.write.mode("overwrite").parquet(f"{target}/problems/{name}")
+        if media is not None:
+            copies = ranges.copied(media.repartition("file_hash"), versions.make_folder(spark, f"{target}/files"))
+            copies.write.mode("overwrite").parquet(f"{target}/copies")
 
-    versions.replace(pages.sparkSession, folder, write)
+    spark = pages.sparkSession
+    versions.replace(spark, folder, write)
 
 
 def scan_archive(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.functions.text import basename, decode_bytes, join_path, normalise_path
+from quillstack.sources import ranges
 
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
 DOCUMENT_NAME = r"(?s).OpenDocument"
 #: Larger files are not read: a row holds 2 GiB less a few bytes, and the path needs room too.
 MAX_FILE_BYTES = (1 << 31) - (1 << 20)
+#: Larger media files are hashed as streams, so that no task needs the memory for one whole.
+WHOLE_BYTES = 64 << 20
 #: Larger listings and documents are not read, as decoding can double their size.
 MAX_TEXT_BYTES = 1 << 30
 
@@ -21,22 +24,21 @@ def file_path(uri: Column) -> Column:
     return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*(?=/))?", "")
 
 
+def _files(spark: SparkSession, folder: str, glob: str, recursive: bool) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
+
+
 def read_files(
     spark: SparkSession, folder: str, glob: str, recursive: bool = True, max_bytes: int | None = None
 ) -> DataFrame:
     """Files under a folder: `path, content, n_bytes, modified`. Columns not used are not read.
 
     Files over `max_bytes` (`MAX_FILE_BYTES` unless given) keep their row but have no content, as one
-    value cannot hold it: such a document, listing or media file is rejected as unreadable.
+    value cannot hold it: such a document or listing is rejected as unreadable.
     """
     max_bytes = MAX_FILE_BYTES if max_bytes is None else max_bytes
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(folder)
-    )
-    rows = files.select(
+    rows = _files(spark, folder, glob, recursive).select(
         file_path(F.col("path")).alias("path"),
         "content",
         F.col("length").alias("n_bytes"),
@@ -58,9 +60,20 @@ def scan_documents(spark: SparkSession, folder: str, glob: str = DOCUMENT_GLOB)
 
 
 def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Files that pages show: `path, content`. Documents are left out."""
-    files = read_files(spark, folder, glob).select("path", "content")
-    return files.where(~basename(F.col("path")).rlike(DOCUMENT_NAME))
+    """Files that pages show: `path, uri, file_hash, n_bytes, head`. Documents are left out.
+
+    Files up to `WHOLE_BYTES` are hashed as values of one scan; larger ones, of any size, as streams.
+    """
+    files = _files(spark, folder, glob, True)
+    media = files.where(~basename(file_path(F.col("path"))).rlike(DOCUMENT_NAME))
+    small = media.where(F.col("length") <= WHOLE_BYTES).select(
+        F.col("path").alias("uri"), F.md5("content").alias("file_hash"), F.col("length").alias("n_bytes"),
+        F.substring("content", 1, ranges.HEAD_BYTES).alias("head"),
+    )
+    large = media.where(F.col("length") > WHOLE_BYTES).select(F.col("path").alias("uri"))
+    # Few files but long work: as many tasks as a shuffle has.
+    found = small.unionByName(ranges.hashed(large.repartition("uri")))
+    return found.withColumn("path", file_path(F.col("uri")))
 
 
 def in_archive(files: DataFrame, folder: str, root_dir: str) -> DataFrame:

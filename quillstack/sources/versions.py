@@ -24,6 +24,13 @@ def _files(spark: SparkSession, folder: str):
     return _path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def make_folder(spark: SparkSession, folder: str) -> str:
+    """Make a folder; returns its path with its scheme, as tasks need it."""
+    files, path = _files(spark, folder), _path(spark, folder)
+    files.mkdirs(path)
+    return files.makeQualified(path).toString()
+
+
 def current(spark: SparkSession, folder: str) -> str:
     """The folder of the current version."""
     folder = folder.rstrip("/")

@@ -1,10 +1,13 @@
 """Sinks, scans and extraction on input the derived logbook does not show."""
 
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from quillstack.operators import extract
 from quillstack.sources import archive as store
-from quillstack.sources import files
+from quillstack.sources import files, ranges
 
 
 def test_xml_replaces_what_it_cannot_hold(spark, tmp_path):
@@ -32,12 +35,48 @@ def test_listings_of_equal_names_stay_apart(spark, tmp_path):
     assert {r["contents_file"].rsplit("/", 2)[1]: r["html"] for r in found.collect()} == {"one": "first", "two": "second"}
 
 
-def test_media_scan_leaves_documents_out_and_large_files_unread(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "MAX_FILE_BYTES", 4)
-    for name, data in (("1?OpenDocument", b"page"), ("a.txt", b"text"), ("b.bin", b"large")):
+@pytest.mark.parametrize("whole", [0, 4, 64 << 20])
+def test_media_scan_hashes_files_of_any_size(spark, tmp_path, monkeypatch, whole):
+    """Whether as values or as streams of ranges, the same comes out."""
+    monkeypatch.setattr(files, "WHOLE_BYTES", whole)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 3)
+    monkeypatch.setattr(ranges, "HEAD_BYTES", 8)
+    (tmp_path / "in").mkdir()
+    names = {"a b&c%20?x.txt": b"text", "in/b.gz": b"\x1f\x8bnot really packed", "p.png": b"\x89PNG\r\n\x1a\n" * 9}
+    for name, data in {"1?OpenDocument": b"page", **names}.items():
         (tmp_path / name).write_bytes(data)
-    found = {r["path"].rsplit("/", 1)[1]: r["content"] for r in files.scan_media(spark, str(tmp_path)).collect()}
-    assert found == {"a.txt": bytearray(b"text"), "b.bin": None}
+    found = {r["path"].removeprefix(f"{tmp_path}/"): r for r in files.scan_media(spark, str(tmp_path)).collect()}
+    assert {n: (r["file_hash"], r["n_bytes"], bytes(r["head"])) for n, r in found.items()} == {
+        n: (hashlib.md5(d).hexdigest(), len(d), d[:8]) for n, d in names.items()
+    }
+
+
+def test_files_over_two_gib_are_hashed(spark, tmp_path):
+    with open(tmp_path / "large.bin", "wb") as out:
+        out.truncate(3 << 30)
+    want = hashlib.md5()
+    for _ in range(3 << 6):
+        want.update(bytes(1 << 24))
+    (row,) = files.scan_media(spark, str(tmp_path)).collect()
+    assert (row["file_hash"], row["n_bytes"]) == (want.hexdigest(), 3 << 30)
+
+
+def test_files_that_cannot_be_read_have_no_hash(spark, tmp_path):
+    uris = spark.createDataFrame([(f"file:{tmp_path}/missing",), ("nosuch://store/x",)], "uri string")
+    assert [r["file_hash"] for r in ranges.hashed(uris).collect()] == [None, None]
+
+
+def test_copies_are_whole_or_absent(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"first")
+    (tmp_path / "out").mkdir()
+    md5 = hashlib.md5(b"first").hexdigest()
+    rows = spark.createDataFrame([(f"file:{tmp_path}/a", md5, f"{md5}.txt")], "uri string, file_hash string, name string")
+    for _ in range(2):  # a second attempt replaces the first one's file
+        assert [tuple(r) for r in ranges.copied(rows, f"file:{tmp_path}/out").collect()] == [(f"{md5}.txt", md5, 5)]
+    changed = rows.withColumn("file_hash", F.lit("0" * 32)).withColumn("name", F.lit("changed"))
+    with pytest.raises(Exception, match="changed while"):
+        ranges.copied(changed, f"file:{tmp_path}/out").collect()
+    assert [p.name for p in (tmp_path / "out").iterdir()] == [f"{md5}.txt"]
 
 
 def test_nested_font_tags_keep_their_text(spark):
