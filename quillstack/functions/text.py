@@ -13,21 +13,68 @@ FILENAME_DROPPED = "?[]/\\=<>:;,'\"&$#*()|~`!{}%+\x00"
 # Control characters that do not belong in text.
 CONTROL_CHARACTERS = "".join(chr(c) for c in (*range(0x01, 0x08), 0x0B, *range(0x0E, 0x20), 0x7F))
 
-# Media types by leading bytes (hex patterns), first match wins.
-MAGIC_TYPES = (
-    ("89504E470D0A1A0A", "image/png"),
-    ("474946383761", "image/gif"),
-    ("474946383961", "image/gif"),
-    ("FFD8FF", "image/jpeg"),
-    ("255044462D", "application/pdf"),
-    ("504B0304", "application/zip"),
-    ("1F8B", "application/gzip"),
-    ("49492A00", "image/tiff"),
-    ("4D4D002A", "image/tiff"),
-    ("424D.{8}00000000", "image/x-ms-bmp"),
-    ("25215053", "application/postscript"),
-    ("D0CF11E0A1B11AE1", "application/x-ole-storage"),
+# Media types by their bytes at an offset, as hex digits; a dot is any digit.
+SIGNATURES = (
+    (0, "89504E470D0A1A0A", "image/png"),
+    (0, "474946383761", "image/gif"),
+    (0, "474946383961", "image/gif"),
+    (0, "FFD8FF", "image/jpeg"),
+    (0, "49492A00", "image/tiff"),
+    (0, "4D4D002A", "image/tiff"),
+    (0, "424D........00000000", "image/x-ms-bmp"),
+    (0, "00000100", "image/vnd.microsoft.icon"),
+    (0, "38425053", "image/vnd.adobe.photoshop"),
+    (0, "52494646........57454250", "image/webp"),
+    (0, "52494646........57415645", "audio/x-wav"),
+    (0, "52494646........41564920", "video/x-msvideo"),
+    (0, "494433", "audio/mpeg"),
+    (0, "664C6143", "audio/flac"),
+    (0, "4F676753", "application/ogg"),
+    (0, "1A45DFA3", "video/x-matroska"),
+    (4, "66747970", "video/mp4"),
+    (4, "6674797071742020", "video/quicktime"),
+    (4, "667479704D344120", "audio/x-m4a"),
+    (4, "6674797061766966", "image/avif"),
+    (4, "6674797068656963", "image/heic"),
+    (0, "255044462D", "application/pdf"),
+    (0, "25215053", "application/postscript"),
+    (0, "7B5C727466", "text/rtf"),
+    (0, "D0CF11E0A1B11AE1", "application/x-ole-storage"),
+    (0, "504B0304", "application/zip"),
+    (0, "504B0506", "application/zip"),
+    (0, "1F8B", "application/gzip"),
+    (0, "425A68", "application/x-bzip2"),
+    (0, "FD377A585A00", "application/x-xz"),
+    (0, "28B52FFD", "application/zstd"),
+    (0, "377ABCAF271C", "application/x-7z-compressed"),
+    (0, "526172211A07", "application/x-rar"),
+    (257, "7573746172", "application/x-tar"),
+    (0, "53514C69746520666F726D6174203300", "application/vnd.sqlite3"),
+    (0, "7F454C46", "application/x-elf"),
 )
+# What the first entries of a zip archive say it is.
+ZIP_MARKS = (
+    ("word/", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
+    ("xl/", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
+    ("ppt/", "application/vnd.openxmlformats-officedocument.presentationml.presentation"),
+    ("META-INF/", "application/java-archive"),
+)
+# One-byte charsets by the names pages declare; their characters come from the codecs.
+CHARSETS = {
+    **{f"iso-8859-{n}": f"iso8859_{n}" for n in (2, 3, 4, 5, 6, 7, 8, 9, 10, 13, 14, 15, 16)},
+    **{f"windows-{n}": f"cp{n}" for n in (1250, 1251, 1252, 1253, 1254, 1255, 1256, 1257, 1258)},
+    "koi8-r": "koi8_r", "koi8-u": "koi8_u", "ibm866": "cp866", "macintosh": "mac_roman", "windows-874": "cp874",
+}
+# Other names of the same charsets.
+CHARSET_NAMES = {
+    "iso-8859-1": "windows-1252", "latin1": "windows-1252", "us-ascii": "windows-1252", "ascii": "windows-1252",
+    "latin2": "iso-8859-2", "latin5": "iso-8859-9", "latin9": "iso-8859-15", "x-mac-roman": "macintosh", "cp866": "ibm866",
+    **{f"iso8859-{n}": f"iso-8859-{n}" for n in (2, 3, 4, 5, 6, 7, 8, 9, 10, 13, 14, 15, 16)},
+    **{f"cp{n}": f"windows-{n}" for n in (1250, 1251, 1252, 1253, 1254, 1255, 1256, 1257, 1258)},
+}
+#: Where a page declares its charset: in a meta tag among its first KiB.
+DECLARED = r"""(?is)<meta\b[^>]*?\bcharset\s*=\s*["']?\s*([A-Za-z0-9_:.-]+)"""
+BYTE_ORDER_MARK = r"^(?:EFBBBF|FFFE|FEFF)"
 
 # Named character references of the HTML standard.
 NAMED_ENTITIES = {f"&{name}": value for name, value in html5.items() if name.endswith(";")}
@@ -204,29 +251,77 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, r"(?<=[^.])\.[^./]*$", "")
 
 
+def _one_byte(latin1: Column, codec: str) -> Column:
+    """Text of a one-byte charset, given its bytes as ISO-8859-1."""
+    high = bytes(range(0x80, 0x100))
+    return F.translate(latin1, high.decode("latin-1"), high.decode(codec, errors="replace"))
+
+
+def _utf16(content: Column, little: bool) -> Column:
+    """Text of UTF-16 after its byte-order mark; halves of pairs that stand alone become U+FFFD."""
+    any_, high, low = "[0-9A-F]{2}", "D[89AB]", "D[C-F]"
+    first, second, bad = (f"{any_}{high} ", f"{any_}{low} ", "FDFF ") if little else (f"{high}{any_} ", f"{low}{any_} ", "FFFD ")
+    units = F.regexp_replace(F.hex(F.substring(content, 3, 2**31 - 1)), r"([0-9A-F]{4})|[0-9A-F]{2}$", "$1 ")
+    units = F.regexp_replace(units, f"{first}(?!{second})", bad)
+    units = F.regexp_replace(units, f"(?<!{first}){second}", bad)
+    return F.decode(F.unhex(F.replace(units, F.lit(" "), F.lit(""))), "UTF-16LE" if little else "UTF-16BE")
+
+
+def declared_charset(content: Column) -> Column:
+    """The charset a page's first KiB declares, in lower case and by its usual name; empty without one."""
+    head = F.decode(F.substring(content, 1, 1024), "ISO-8859-1")
+    name = F.lower(F.regexp_extract(head, DECLARED, 1))
+    aliases = F.create_map(*[F.lit(x) for pair in CHARSET_NAMES.items() for x in pair])
+    return F.coalesce(F.try_element_at(aliases, name), name)
+
+
 def decode_bytes(content: Column) -> Column:
-    """Text of raw bytes: UTF-8 when valid, else windows-1252; a byte-order mark goes."""
-    high = bytes(range(0x80, 0xA0))
-    targets = high.decode("cp1252", errors="replace")
-    latin1 = F.decode(content, "ISO-8859-1")
-    cp1252 = F.translate(latin1, high.decode("latin-1"), targets)
-    utf8 = F.regexp_replace(content.cast("string"), "^\\ufeff", "")
-    return F.when(F.is_valid_utf8(content.cast("string")), utf8).otherwise(cp1252)
+    """Text of raw bytes: by a byte-order mark, by the charset the page declares, as UTF-8, else as windows-1252."""
+    mark = F.hex(F.substring(content, 1, 3))
+    latin1, utf8 = F.decode(content, "ISO-8859-1"), content.cast("string")
+
+    def by_name(name: Column) -> Column:
+        out = F.when(mark == "EFBBBF", F.regexp_replace(F.make_valid_utf8(utf8), "^\\ufeff", ""))
+        out = out.when(mark.startswith("FFFE"), _utf16(content, True)).when(mark.startswith("FEFF"), _utf16(content, False))
+        for charset, codec in CHARSETS.items():
+            out = out.when(name == charset, _one_byte(latin1, codec))
+        return out.when(F.is_valid_utf8(utf8), utf8).otherwise(_one_byte(latin1, "cp1252"))
+
+    return F.when(content.isNotNull(), let(declared_charset(content), by_name))
 
 
 def is_binary(content: Column) -> Column:
-    """Binary test on the first KiB: a zero byte, or no valid UTF-8 and many control bytes."""
+    """Binary test on the first KiB: a zero byte, or no valid UTF-8 and many control bytes; a byte-order mark says text."""
     head = F.substring(content, 1, 1024)
     as_latin = F.decode(head, "ISO-8859-1")
     printable = F.length(F.translate(as_latin, CONTROL_CHARACTERS, ""))
     garbled = ~F.is_valid_utf8(head.cast("string")) & (printable < F.length(as_latin) * 0.7)
-    return F.coalesce(F.contains(head, F.lit(b"\x00")) | garbled, F.lit(False))
+    marked = F.hex(F.substring(content, 1, 3)).rlike(BYTE_ORDER_MARK)
+    return F.coalesce(~marked & (F.contains(head, F.lit(b"\x00")) | garbled), F.lit(False))
 
 
 def media_type(content: Column) -> Column:
-    """Media type by leading bytes; text unless a zero byte or control bytes say otherwise."""
-    lead = F.hex(F.substring(content, 1, 16))
+    """Media type by a file's first bytes (4 KiB are enough); the signature with most digits wins.
+
+    Zip archives are told apart by their first entries, texts by their markup.
+    """
+    head = F.substring(content, 1, 4096)
+    text = F.decode(head, "ISO-8859-1")
     out = F.when(F.length(content) == 0, "inode/x-empty")
-    for magic, mime in MAGIC_TYPES:
-        out = out.when(lead.rlike(f"^{magic}"), mime)
-    return out.when(is_binary(content), "application/octet-stream").otherwise("text/plain")
+    # A container that names its type in its first entry, uncompressed.
+    stored = F.regexp_extract(text, r"^PK\x03\x04(?s:.{26})mimetype([A-Za-z0-9.+-]+/[A-Za-z0-9.+-]+?)(?=PK|[^A-Za-z0-9.+-]|$)", 1)
+    out = out.when(stored != "", stored)
+    is_zip = F.hex(F.substring(content, 1, 4)) == "504B0304"
+    for mark, mime in ZIP_MARKS:
+        out = out.when(is_zip & F.contains(text, F.lit(mark)), mime)
+    for offset, digits, mime in sorted(SIGNATURES, key=lambda x: -len(x[1].replace(".", ""))):
+        found = F.hex(F.substring(content, offset + 1, len(digits) // 2))
+        out = out.when(found.rlike(f"^{digits}$") if "." in digits else found == digits, mime)
+    markup = F.regexp_replace(text, r"^(?:\xEF\xBB\xBF)?\s+", "")
+    out = out.when(is_binary(content), "application/octet-stream")
+    return (
+        out.when(markup.rlike(r"(?is)^(?:<\?xml[^>]*>\s*)?(?:<!--.*?-->\s*)*(?:<!doctype svg[^>]*>\s*)?<svg\b"), "image/svg+xml")
+        .when(markup.rlike(r"(?i)^<\?xml\b"), "text/xml")
+        .when(markup.rlike(r"(?i)^(?:<!doctype html|<html\b)"), "text/html")
+        .otherwise("text/plain")
+    )

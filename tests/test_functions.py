@@ -413,3 +413,63 @@ def test_rewriting_is_linear_in_the_links(spark):
 
     seconds(2_000)
     assert seconds(40_000) < 40 * max(seconds(4_000), 0.1)
+
+
+PAGE = '<html><head><meta http-equiv="Content-Type" content="text/html; charset={}"></head>{}</html>'
+
+
+@pytest.mark.parametrize(
+    "codec,name,body",
+    [
+        ("iso8859_2", "iso-8859-2", "Žluťoučký kůň"),
+        ("iso8859_15", "ISO-8859-15", "cœur à 5 €"),
+        ("cp1251", "windows-1251", "Съешь же ещё"),
+        ("koi8_r", "koi8-r", "Съешь же ещё"),
+        ("cp1252", "iso-8859-1", "“quoted” – naïve"),
+        ("cp1250", "cp1250", "příliš „žluť“"),
+        ("utf-8", "utf-8", "Grüße Съешь"),
+        ("cp1252", "no-such-charset", "naïve"),
+    ],
+)
+def test_declared_charsets(spark, codec, name, body):
+    page = PAGE.format(name, body)
+    check(spark, text.decode_bytes, [(page.encode(codec), page)], "a binary")
+
+
+@pytest.mark.parametrize("codec,mark", [("utf-16-le", b"\xff\xfe"), ("utf-16-be", b"\xfe\xff"), ("utf-8", b"\xef\xbb\xbf")])
+def test_byte_order_marks(spark, codec, mark):
+    page = PAGE.format("iso-8859-2", "Grüße 😀 Съешь")
+    raw = mark + page.encode(codec)
+    check(spark, text.decode_bytes, [(raw, page), (mark, "")], "a binary")
+    check(spark, text.is_binary, [(raw, False)], "a binary")
+
+
+def test_broken_utf16_is_read(spark):
+    half = "ab".encode("utf-16-le") + b"\x3d\xd8" + "c".encode("utf-16-le") + b"\x00\xde" + b"x"
+    check(spark, text.decode_bytes, [(b"\xff\xfe" + half, "ab\ufffdc\ufffd"), (None, None)], "a binary")
+
+
+def test_media_types_of_containers(spark):
+    entry = b"PK\x03\x04" + bytes(26)
+    types = [
+        (b"RIFF\x10\0\0\0WAVEfmt ", "audio/x-wav"),
+        (b"RIFF\x10\0\0\0WEBPVP8 ", "image/webp"),
+        (b"RIFF\x10\0\0\0AVI LIST", "video/x-msvideo"),
+        (b"\0\0\0\x18ftypmp42", "video/mp4"),
+        (b"\0\0\0\x18ftypqt  ", "video/quicktime"),
+        (b"\0\0\0\x18ftypM4A ", "audio/x-m4a"),
+        (b"name" + bytes(253) + b"ustar\x0000", "application/x-tar"),
+        (entry + b"[Content_Types].xml..." + entry + b"word/document.xml", ZIP_WORD),
+        (entry + b"mimetypeapplication/vnd.oasis.opendocument.textPK\x03\x04", "application/vnd.oasis.opendocument.text"),
+        (entry + b"any.txt", "application/zip"),
+        (b"<!DOCTYPE html><html>", "text/html"),
+        (b"  <html><body>", "text/html"),
+        (b"<?xml version='1.0'?><a/>", "text/xml"),
+        (b"<?xml version='1.0'?><svg/>", "image/svg+xml"),
+        (b"BM" + b"1234" + bytes(4) + b"6", "image/x-ms-bmp"),
+        (b"SQLite format 3\x00", "application/vnd.sqlite3"),
+    ]
+    check(spark, text.media_type, types, "a binary")
+
+
+ZIP_WORD = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"

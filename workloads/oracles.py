@@ -300,6 +300,12 @@ FINALS = {
     "page_metadata": f"""
         select path, title, page_no, array_to_string(authors, '|') as authors, array_to_string(categories, '|') as categories,
           {STAMP.format("created")} as created, null::varchar as reject_reason from e""",
+    "document_files": f"""
+        select title, page_no, array_to_string(authors, '|') as authors, array_to_string(categories, '|') as categories,
+          {STAMP.format("created")} as created, null::varchar as reject_reason, {RAW_BODY} as content from e""",
+    "media_files": """
+        select md5(coalesce(text, '') || chr(10)) as file_hash, octet_length(encode(coalesce(text, ''))) + 1 as n_bytes,
+          'text/plain' as mime from documents""",
     "page_body": f"select path, {RAW_BODY} as content from e",
     "clean_body": f"select path, {CLEAN_BODY} as content from e",
     "split_names": """

@@ -18,6 +18,8 @@ from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
 from quillstack.sources import versions
 from quillstack.sources.files import scan_contents as read_contents
+from quillstack.sources.files import scan_documents as read_documents
+from quillstack.sources.files import scan_media as read_media
 from quillstack.sources.workspace import Workspace
 from workloads.logbook import CONFIG, Logbook, table
 
@@ -252,6 +254,25 @@ def scan_contents(lb: Logbook) -> DataFrame:
     return found.select("pos", "title", "href", "page_number")
 
 
+def document_files(lb: Logbook) -> DataFrame:
+    """Pages written one per file in nested folders, found by a file name pattern and read for their metadata."""
+    folder = lb.ws.path("document-files")
+    part = F.substring(F.md5("path"), 1, 1).alias("part")
+    lb.pages.select(part, "html").write.partitionBy("part").option("maxRecordsPerFile", 1).text(folder)
+    found = extract.decode_documents(read_documents(lb.spark, folder, "part-*.txt"))
+    return extract.page_metadata(found, CONFIG).select(
+        "title", "page_no", _joined("authors"), _joined("categories"), post_date(F.col("created")).alias("created"),
+        "reject_reason", "content",
+    )
+
+
+def media_files(lb: Logbook) -> DataFrame:
+    """Texts written one per file and scanned as media: their hashes, sizes and types."""
+    folder = lb.ws.path("media-files")
+    lb.documents.select(F.coalesce("text", F.lit(""))).write.option("maxRecordsPerFile", 1).text(folder)
+    return media.hash_media(read_media(lb.spark, folder, "part-*.txt")).select("file_hash", "n_bytes", "mime")
+
+
 def scan_archive(lb: Logbook) -> DataFrame:
     """The archive written as XML and read back, one row per stored page."""
     folder = lb.ws.path("stored")
@@ -352,6 +373,8 @@ def registry() -> dict[str, Query]:
         "thread_pages": thread_pages,
         # listings
         "scan_contents": _logbook(scan_contents),
+        "document_files": _logbook(document_files),
+        "media_files": _logbook(media_files),
         "listing_links": _logbook(lambda lb: listing.listing_links(lb.listings)),
         "thread_listing": _archive(lambda p: p.threaded.drop("entry_key")),
         "orphan_responses": _archive(lambda p: listing.orphan_responses(p.threaded)),
