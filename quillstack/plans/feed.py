@@ -68,10 +68,15 @@ class FeedPlan:
         return _FromPlan(plan, config)
 
     @classmethod
-    def load(cls, spark: SparkSession, folder: str, config: FeedConfig = FeedConfig()) -> FeedPlan:
-        """Continue from a stored archive. The XML is parsed once into a columnar table."""
+    def load(
+        cls, spark: SparkSession, folder: str, config: FeedConfig = FeedConfig(), strict: bool = False
+    ) -> FeedPlan:
+        """Continue from a stored archive. The XML is parsed once into a columnar table.
+
+        Damaged page rows are left out (`store.damaged_rows` lists them); `strict` fails on them.
+        """
         ws, archive = Workspace(spark), versions.current(spark, folder)
-        stored = ws.keep(store.scan_archive(spark, folder), "stored")
+        stored = ws.keep(store.scan_archive(spark, folder, strict), "stored")
         refs = ws.keep(store.stored_links(stored), "stored-links")
         page_refs = refs.where("kind = 'page'").select(
             "page_key", "ref_key", F.regexp_replace("target", r"\.xml$", "").alias("target_key")

@@ -12,6 +12,9 @@ from quillstack.sources import ranges, versions
 # Characters XML 1.0 has no form for.
 NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
 
+#: Column with the text of a row that cannot be read.
+DAMAGED = "_damaged"
+
 NAMES = "struct<{0}:array<string>>"
 REFS = "struct<{0}:array<struct<_path:string,_VALUE:string>>>"
 RESPONSE = (
@@ -48,9 +51,12 @@ def write_xml(df: DataFrame, path: str, root: str, row: str) -> None:
     writer.option("rootTag", root).option("rowTag", row).option("ignoreSurroundingSpaces", "false").save(path)
 
 
-def _read_xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
+def _read_xml(spark: SparkSession, path: str, row: str, schema: str, strict: bool = True) -> DataFrame:
+    """Rows of XML files. A row that is no sound XML fails a strict read; else its text is in `DAMAGED`."""
+    schema = schema if strict else f"{schema}, {DAMAGED} string"
     reader = spark.read.schema(schema).format("xml").option("rowTag", row)
-    return reader.option("ignoreSurroundingSpaces", "false").option("mode", "FAILFAST").load(path)
+    reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
+    return reader.option("ignoreSurroundingSpaces", "false").load(path)
 
 
 def write_names(names: DataFrame, path: str, row: str) -> None:
@@ -95,9 +101,21 @@ def write_archive(
     versions.replace(spark, folder, write)
 
 
-def scan_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored pages, one row per `page` element; a page with very many responses has several."""
-    return _read_xml(spark, f"{versions.current(spark, folder)}/pages", "page", PAGE_SCHEMA)
+def scan_archive(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
+    """Stored pages, one row per `page` element; a page with very many responses has several.
+
+    Rows of damaged files that cannot be read are left out (see `damaged_rows`); `strict` fails on them.
+    """
+    rows = _read_xml(spark, f"{versions.current(spark, folder)}/pages", "page", PAGE_SCHEMA, strict)
+    # The reader wants a second column beside the record, also where none is asked for; every page has a key.
+    return rows if strict else rows.where(F.col(DAMAGED).isNull() & F.col("_key").isNotNull()).drop(DAMAGED)
+
+
+def damaged_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What a scan of the stored pages leaves out: `file, record`."""
+    rows = _read_xml(spark, f"{versions.current(spark, folder)}/pages", "page", PAGE_SCHEMA, False)
+    found = rows.withColumn("file", F.input_file_name()).where(F.col(DAMAGED).isNotNull() | F.col("_key").isNull())
+    return found.select("file", F.coalesce(DAMAGED, F.lit("")).alias("record"))
 
 
 def scan_manifest(spark: SparkSession, folder: str) -> DataFrame:

@@ -319,6 +319,23 @@ def test_an_archive_is_replaced_as_a_whole(spark, folder, tmp_path, monkeypatch)
     assert kept == {v.rsplit("/", 1)[1] for v in (second, versions.current(spark, stored))}
 
 
+def test_a_damaged_row_costs_one_page(spark, folder, plan, tmp_path):
+    stored = tmp_path / "stored"
+    plan.write(str(stored))
+    whole = store.scan_archive(spark, str(stored)).count()
+    for part in (stored / versions.current(spark, str(stored)).rsplit("/", 1)[1] / "pages").glob("part-*"):
+        text = part.read_text()
+        if "<title>Second</title>" in text:
+            part.write_text(text.replace("<title>Second</title>", "<title>Second</titel>"))
+            (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    rows = store.scan_archive(spark, str(stored))
+    assert rows.count() == whole - 1 and "Second" not in column(rows, "title")
+    (lost,) = store.damaged_rows(spark, str(stored)).collect()
+    assert "Second" in lost["record"] and "/pages/part-" in lost["file"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.scan_archive(spark, str(stored), strict=True).collect()
+
+
 def jobs_of(spark, work):
     """How many jobs some work starts."""
     tracker, group = spark.sparkContext.statusTracker(), "counted"

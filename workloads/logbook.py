@@ -22,10 +22,11 @@ CONFIG = ArchiveConfig(root_dir=ROOT)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A given table. A file may be a single row group, which one task would read; a table that
-    heavy text work follows on is spread by `spread_by`, whatever its size."""
+    """A given table. A file may be a single row group, which one task would read; a table that heavy
+    text work follows on is spread by `spread_by` if its scan has fewer tasks than there are cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.repartition(F.col(spread_by)) if spread_by else df
+    few = spread_by and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    return df.repartition(F.col(spread_by)) if few else df
 
 
 def _escape(column: str) -> str:
