@@ -34,6 +34,7 @@ class FeedConfig:
     pub_date is the text of the channel's publication date; unset, it is the
     date of the newest post, so that a rebuilt feed stays the same. Stored times carry no
     zone; the "gmt" dates equal them unless time_zone names the zone they were written in.
+    Items are written in parts of at most max_part_bytes, as importers take long files badly.
     """
 
     title: str = "Logbook"
@@ -44,6 +45,7 @@ class FeedConfig:
     pub_date: str | None = None
     time_zone: str | None = None
     generator: str = "quillstack"
+    max_part_bytes: int = 64 << 20
 
     def __post_init__(self) -> None:
         for name in ("base_network_url", "base_url", "base_source_media_url"):

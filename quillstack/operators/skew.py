@@ -83,6 +83,25 @@ def global_rank(
     return numbered.withColumn(out, rank.cast("bigint")).drop("_mid")
 
 
+def running_total(
+    ws: Workspace, df: DataFrame, order: Sequence[Column], amount: Column, out: str, name: str
+) -> DataFrame:
+    """Sums of a whole-number `amount` over all rows before each row along a unique sort key.
+
+    As `global_rank`: the sorted table is written once, sums run inside its partitions, and one number
+    per partition goes through the driver.
+    """
+    sorted_rows = df.withColumn("_amount", amount).orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    kept = ws.keep(sorted_rows, name)
+    part = F.shiftright(F.col("_mid"), 33)
+    sizes = dict(kept.groupBy(part.alias("part")).agg(F.sum("_amount")).collect())
+    before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0)
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    inside = Window.partitionBy(part).orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    above = F.coalesce(F.sum("_amount").over(inside), F.lit(0))
+    return kept.withColumn(out, F.get(offsets, part.cast("int")) + above).drop("_mid", "_amount")
+
+
 def carry_forward(
     df: DataFrame, group: str, pos: str, value: Column, out: str, chunk_rows: int = 4096
 ) -> DataFrame:

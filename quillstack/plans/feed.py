@@ -222,7 +222,8 @@ class FeedPlan:
     def write(self, folder: str) -> None:
         """Replace the feed under `folder` as a whole: one set of XML part files per table.
 
-        Items come in feed order: by `page_order`, `item_rank` and `file_hash`, which are written too.
+        Items come in feed order, by `page_order`, `item_rank` and `file_hash`, which are written too,
+        in numbered parts of at most `max_part_bytes`.
         """
         comments = self.comments.drop("path")
         tables = {
@@ -230,12 +231,15 @@ class FeedPlan:
             "author": self.authors,
             "term": self.terms.where(F.col("taxonomy") == dims.COAUTHOR_TAXONOMY),
             "category": self.category_rows,
-            "item": self.feed_items.drop("created").orderBy("page_order", "item_rank", "file_hash"),
             "post_term": self.post_terms,
             "comment": comments,
         }
 
+        order = ("page_order", "item_rank", "file_hash")
+        items = self.ws.keep(self.feed_items.drop("created"), "items")
+
         def write(target: str) -> None:
+            store.write_xml_parts(self.ws, items, f"{target}/item", "items", "item", order, self.config.max_part_bytes)
             for name, table in tables.items():
                 store.write_xml(table, f"{target}/{name}", f"{name}s", name)
 

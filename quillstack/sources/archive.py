@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from quillstack.functions.dates import epoch_seconds, from_epoch
+from quillstack.operators.skew import running_total
 from quillstack.sources import ranges, versions
+from quillstack.sources.workspace import Workspace
 
 # Characters XML 1.0 has no form for.
 NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
@@ -45,12 +50,53 @@ def xml_safe(column: Column, kind: DataType) -> Column:
     return column
 
 
-def write_xml(df: DataFrame, path: str, root: str, row: str) -> None:
-    safe = df.select(*[xml_safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])
-    writer = safe.write.mode("overwrite").format("xml")
+def write_xml(df: DataFrame, path: str, root: str, row: str, *folders: str) -> None:
+    """Write rows as XML parts; `folders` are columns that name folders. Sorted tasks keep their order."""
+    texts = [f for f in df.schema if f.name not in folders]
+    safe = df.select(*folders, *[xml_safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in texts])
+    writer = safe.write.mode("overwrite").format("xml").partitionBy(*folders)
     writer.option("rootTag", root).option("rowTag", row).option("ignoreSurroundingSpaces", "false").save(path)
 
 
+#: Bytes of an XML part beside its rows: the declaration and the root tags.
+PART_FRAME = 256
+#: Most bytes that a column adds to its row beside its text and twice its name: tag signs, indent, line end.
+COLUMN_FRAME = 16
+
+
+def xml_bytes(df: DataFrame) -> Column:
+    """At least the bytes that each row of flat columns takes in an XML part."""
+    sizes = []
+    for f in df.schema:
+        text = F.col(f"`{f.name}`").cast("string")
+        # A character that is written as a reference takes up to six bytes instead of one.
+        escaped = F.octet_length(text) + 5 * F.regexp_count(text, F.lit("[&<>\"'\r]"))
+        # What XML cannot carry becomes a character of three bytes.
+        replaced = 2 * F.regexp_count(text, F.lit(NOT_XML))
+        sizes.append(F.coalesce(escaped + replaced, F.lit(0)) + 2 * len(f.name) + COLUMN_FRAME)
+    return sum(sizes, F.lit(0)).cast("bigint")
+
+
+def write_xml_parts(
+    ws: Workspace, df: DataFrame, path: str, root: str, row: str, order: Sequence[str], max_bytes: int
+) -> None:
+    """Write rows in order as XML parts of at most `max_bytes` each, or of one row that is larger.
+
+    Parts are the folders `part=<number>`, each with one file. Half the limit cuts the running total of
+    the rows' sizes into stretches; rows of more than half are parts of their own, and each is the last
+    of its stretch, so no part is over the limit and their numbers follow the rows' order.
+    """
+    half = max(1, (max_bytes - PART_FRAME) // 2)
+    keys = [F.col(c) for c in order]
+    sized = df.select(*order, xml_bytes(df).alias("_size"))
+    placed = running_total(ws, sized, keys, F.col("_size"), "_before", "part-sizes")
+    part = 2 * F.floor(F.col("_before") / half) + (F.col("_size") > half).cast("bigint")
+    numbered = placed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], F.lpad(part.cast("string"), 12, "0").alias("part"))
+    same = reduce(lambda a, b: a & b, [F.col(f"_k{i}").eqNullSafe(F.col(c)) for i, c in enumerate(order)])
+    rows = df.join(numbered, same).drop(*[f"_k{i}" for i in range(len(order))])
+    write_xml(rows.repartition("part").sortWithinPartitions("part", *order), path, root, row, "part")
+
+
 def _read_xml(spark: SparkSession, path: str, row: str, schema: str, strict: bool = True) -> DataFrame:
     """Rows of XML files. A row that is no sound XML fails a strict read; else its text is in `DAMAGED`."""
     schema = schema if strict else f"{schema}, {DAMAGED} string"

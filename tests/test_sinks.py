@@ -1,6 +1,7 @@
 """Sinks, scans and extraction on input the derived logbook does not show."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from quillstack.operators import extract
 from quillstack.sources import archive as store
 from quillstack.sources import files, ranges
+from quillstack.sources.workspace import Workspace
 
 
 def test_xml_replaces_what_it_cannot_hold(spark, tmp_path):
@@ -51,6 +53,22 @@ def test_media_scan_hashes_files_of_any_size(spark, tmp_path, monkeypatch, whole
     }
 
 
+@pytest.mark.parametrize("limit", [700, 2_000, 1 << 20])
+def test_parts_are_bounded_and_in_order(spark, tmp_path, limit):
+    sizes = [0, 5, 300, 40, 2_500, 10, 10, 900, 700, 0, 1, 350, 349]
+    rows = [(i, None if i % 3 else "h", ("&<\r" if i % 2 else "é\x01") * (n // 3)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "n long, k string, body string").repartition(4)
+    store.write_xml_parts(Workspace(spark), df, str(tmp_path / "out"), "rows", "row", ("n", "k"), limit)
+    parts = sorted((tmp_path / "out").glob("part=*"))
+    read = []
+    for part in parts:
+        (file,) = [p for p in part.iterdir() if p.name.startswith("part-")]
+        numbers = [int(x) for x in re.findall("<n>(\\d+)</n>", file.read_text())]
+        assert file.stat().st_size <= limit or len(numbers) == 1
+        read += numbers
+    assert read == list(range(len(sizes))) and len(parts) == (1 if limit > 10_000 else len(parts))
+
+
 def test_files_over_two_gib_are_hashed(spark, tmp_path):
     with open(tmp_path / "large.bin", "wb") as out:
         out.truncate(3 << 30)
