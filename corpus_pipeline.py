@@ -3,6 +3,12 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all that its predecessor kept. All
 but the last return the columns of `documents`; `run` writes every stage's result as Parquet and
 reads it again.
+
+Null and empty texts go through as texts without words: the classifier scores them like others, equal
+texts are one class, and packing gives each of those left one empty piece. Rows without a doc_id and
+repeated rows are rows like others until near-dedup, which keeps the smallest of each class. Missing
+languages and sources are values of their own. Extra columns stay until packing, whatever their names.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
