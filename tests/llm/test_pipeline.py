@@ -8,6 +8,32 @@ from quillstack.sources.workspace import Workspace
 SF_DIR = "/root/testdata/sf0.01"
 
 
+def stages(spark, docs):
+    """Every stage's result on a table, the last one's last."""
+    ws, out = Workspace(spark), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out[name] = docs = ws.keep(stage(spark, docs, SF_DIR), name)
+    return out
+
+
+def test_odd_rows(spark, odd):
+    out = stages(spark, odd)
+    rows = lambda name: [tuple(r) for r in out[name].select("doc_id", "text").collect()]
+    given = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    assert all(out[name].columns == odd.columns for name in list(out)[:-1])
+    assert set(rows("quality")) <= set(given)
+    kept = rows("near_duplicates")
+    assert len({t or "" for _, t in kept}) == len(kept) and set(kept) <= set(rows("quality"))
+    assert len(rows("secrets")) == len(kept) and set(rows("mixing")) <= set(rows("secrets"))
+    packed = out["packing"].groupBy("doc_id").sum("n_tokens").collect()
+    tokens = {d: len((t or "").encode().split()) for d, t in rows("mixing")}
+    assert {r["doc_id"]: r["sum(n_tokens)"] for r in packed} == tokens
+
+
+def test_empty_tables(spark, empty):
+    assert [df.count() for df in stages(spark, empty).values()] == [0] * 5
+
+
 def test_stages(spark):
     ws = Workspace(spark)
     docs = table(spark, SF_DIR, "documents")
