@@ -19,6 +19,7 @@ from quillstack.llm.common import body
 from quillstack.sources.workspace import Workspace
 
 SCOPE = 300
+BLOCK_CHARS = 512
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
@@ -85,10 +86,13 @@ def spans_of(parts: DataFrame) -> DataFrame:
     spans = rows.withColumn("stop", stop).where("kind >= 0").select(
         "rid", "kind", (F.col("stop") - F.col("len")).alias("start"), "stop"
     )
-    order = Window.partitionBy("rid").orderBy("start", F.col("kind").desc())
+    # One order and its reverse: both frames end at the row before, so each is one running value.
+    rows = Window.partitionBy("rid")
+    before = rows.orderBy("start", F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    behind = rows.orderBy(F.col("start").desc(), "kind").rowsBetween(Window.unboundedPreceding, -1)
     base = F.col("kind") <= 2
-    left = F.max(F.when(base, F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    right = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    left = F.max(F.when(base, F.col("stop"))).over(before)
+    right = F.min(F.when(base, F.col("start"))).over(behind)
     clear = (F.coalesce(left, F.lit(-1)) <= F.col("start")) & (F.coalesce(right, F.col("stop")) >= F.col("stop"))
     return spans.withColumn("clear", base | clear).where("clear").drop("clear")
 
@@ -118,15 +122,19 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     return seen.where(report).select("rid", "kind", "start", "stop")
 
 
-def scan(ws: Workspace, docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """`rid, doc_id, found`: per row its reported spans, an array of (start, kind, stop) in this order.
+def reported(ws: Workspace, docs: DataFrame, scope: int = SCOPE) -> tuple[DataFrame, DataFrame]:
+    """`rid, doc_id, parts` of all rows and `rid, kind, start, stop` of their reported spans.
 
     The lengths are written once: row numbers then stay what they are if executors are lost.
     """
     parts = ws.keep(parts_of(docs), "secret-parts")
-    found = linked(spans_of(parts), scope).groupBy("rid").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "stop"))).alias("found")
-    )
+    return parts, linked(spans_of(parts), scope)
+
+
+def scan(ws: Workspace, docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """`rid, doc_id, found`: per row its reported spans, an array of (start, kind, stop) in this order."""
+    parts, spans = reported(ws, docs, scope)
+    found = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "stop"))).alias("found"))
     none = F.expr("cast(array() as array<struct<start:bigint,kind:int,stop:bigint>>)")
     all_rows = parts.select("rid", "doc_id").join(found, "rid", "left")
     return all_rows.withColumn("found", F.coalesce("found", none))
@@ -151,6 +159,19 @@ def query(docs: DataFrame) -> DataFrame:
     )
 
 
+def blocks(text: Column) -> Column:
+    """A text in blocks of `BLOCK_CHARS` code points, so that a place in it is reached without reading up to it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+
+def between(parts: Column, start: Column, stop: Column) -> Column:
+    """The code points from `start` to `stop`, exclusive, of a text in `blocks`."""
+    first = F.floor(start / BLOCK_CHARS).cast("int")
+    count = F.ceil(stop / BLOCK_CHARS).cast("int") - first
+    near = F.array_join(F.slice(parts, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.substring(near, F.pmod(start, F.lit(BLOCK_CHARS)).cast("int") + 1, (stop - start).cast("int"))
+
+
 def mask(docs: DataFrame, ws: Workspace, scope: int = SCOPE, sign: str = "[SECRET]") -> DataFrame:
     """`docs` with every reported span replaced by `sign`; columns and row count stay.
 
@@ -158,19 +179,22 @@ def mask(docs: DataFrame, ws: Workspace, scope: int = SCOPE, sign: str = "[SECRE
     """
     numbered = ws.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "secret-docs")
     keyed = numbered.select(F.col("_row").alias("doc_id"), "text")
-    found = scan(ws, keyed, scope).where(F.size("found") > 0).select(F.col("doc_id").alias("_row"), "found")
-    hit = numbered.join(found, "_row")
-    clean = numbered.join(found.select("_row"), "_row", "left_anti").drop("_row")
-    # Gaps between what the earlier spans cover and the next span's start.
-    reach = lambda i: F.coalesce(
-        F.array_max(F.transform(F.slice(F.col("found"), 1, i), lambda s: s["stop"])), F.lit(0)
+    parts, spans = reported(ws, keyed, scope)
+    # A span begins a new sign if it starts at or after the end of all spans before it.
+    before = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("after", F.coalesce(F.max("stop").over(before), F.lit(0).cast("bigint")))
+    cuts = spans.groupBy("rid").agg(
+        F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "after"))).alias("_cuts"),
+        F.max("stop").alias("_last"),
     )
-    piece = lambda s, i: F.when(
-        s["start"] >= reach(i),
-        F.concat(F.substring("text", (reach(i) + 1).cast("int"), (s["start"] - reach(i)).cast("int")), F.lit(sign)),
+    found = parts.select("rid", F.col("doc_id").alias("_row")).join(cuts, "rid").drop("rid")
+    hit = numbered.join(found, "_row").withColumn("_blocks", blocks(F.col("text")))
+    clean = numbered.join(found.select("_row"), "_row", "left_anti").drop("_row")
+    piece = lambda s: F.when(
+        s["start"] >= s["after"], F.concat(between(F.col("_blocks"), s["after"], s["start"]), F.lit(sign))
     ).otherwise("")
-    rest = F.expr("substring(text, cast(array_max(transform(found, s -> s.stop)) + 1 as int))")
-    text = F.concat(F.array_join(F.transform("found", piece), ""), rest)
+    rest = between(F.col("_blocks"), F.col("_last"), F.length("text").cast("bigint"))
+    text = F.concat(F.array_join(F.transform("_cuts", piece), ""), rest)
     hit = hit.withColumn("text", text)
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -502,6 +503,42 @@ def test_masked_texts_hold_no_secret(spark, odd):
     assert credentials.mask(odd, Workspace(spark)).count() == odd.count()
 
 
+def test_linking_matches_all_pairs(spark):
+    rng = random.Random(9)
+    rows = []
+    for rid in range(40):
+        for _ in range(rng.randrange(1, 40)):
+            start = rng.randrange(4000)
+            rows.append((rid, rng.randrange(6), start, start + rng.randrange(1, 500)))
+    rows = sorted(set(rows))
+    gap = lambda a, b: max(a[2], b[2]) - min(a, b, key=lambda s: s[2])[3]
+    near = lambda a, kinds: any(b[0] == a[0] and b[1] in kinds and gap(a, b) <= 300 for b in rows)
+    want = set()
+    for a in rows:
+        access, secret = near(a, (1, 3)), near(a, (0, 2, 4))
+        if a[1] <= 2 or (a[1] == 3 and secret) or (a[1] == 4 and access) or (a[1] == 5 and access and secret):
+            want.add(a)
+    spans = spark.createDataFrame(rows, "rid long, kind int, start long, stop long")
+    assert {tuple(r) for r in credentials.linked(spans).collect()} == want and len(want) < len(rows)
+
+
+def test_dense_texts_are_masked_as_by_hand(spark):
+    unit = 'é client_id = jo-service-%d then aB3xY9zxY9zxY9zxY9z%d 😀 password: "hunter%dhunter" at https://api.example.com/v1\n'
+    texts = {k: "".join(unit % (i, i, i) for i in range(n)) for k, n in enumerate((1, 7, 150, 1500))}
+    texts[9] = "token=" + "0f" * 400 + " " + "0f" * 700
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in credentials.query(docs).collect()}
+    out = {r["doc_id"]: r["text"] for r in credentials.mask(docs, Workspace(spark)).collect()}
+    for doc, text in texts.items():
+        want, at = [], 0
+        for _, a, b in (s.split(":") for s in spans[doc].split(",")):
+            if int(a) >= at:
+                want += [text[at : int(a)], "[SECRET]"]
+            at = max(at, int(b))
+        assert out[doc] == "".join(want) + text[at:], doc
+    assert out[2].count("[SECRET]") == 600
+
+
 def test_weak_secrets_are_whole_and_near_by_their_ends(spark):
     late = "AbcdEfghIjklMnopQrstUvwxYzAbCdEfGhI7jKlMnOpQ"
     long = "aB3" + "xY9z" * 100
