@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.functions.text import basename, decode_bytes, join_path, normalise_path
-from quillstack.sources import ranges
+from quillstack.sources import ranges, versions
 
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
@@ -17,6 +17,8 @@ MAX_FILE_BYTES = (1 << 31) - (1 << 20)
 WHOLE_BYTES = 64 << 20
 #: Larger listings and documents are not read, as decoding can double their size.
 MAX_TEXT_BYTES = 1 << 30
+#: A file's size by the listing: a scan that asks for some sizes opens no other file.
+SIZE = "_metadata.file_size"
 
 
 def file_path(uri: Column) -> Column:
@@ -38,14 +40,16 @@ def read_files(
     value cannot hold it: such a document or listing is rejected as unreadable.
     """
     max_bytes = MAX_FILE_BYTES if max_bytes is None else max_bytes
-    rows = _files(spark, folder, glob, recursive).select(
-        file_path(F.col("path")).alias("path"),
-        "content",
-        F.col("length").alias("n_bytes"),
-        F.col("modificationTime").alias("modified"),
-    )
-    large = rows.where(F.col("n_bytes") > max_bytes).withColumn("content", F.lit(None).cast("binary"))
-    return rows.where(F.col("n_bytes") <= max_bytes).unionByName(large)
+    files = _files(spark, folder, glob, recursive)
+    columns = {
+        "path": file_path(F.col("path")),
+        "content": F.col("content"),
+        "n_bytes": F.col("length"),
+        "modified": F.col("modificationTime"),
+    }
+    rows = lambda df, **other: df.select(*[c.alias(k) for k, c in (columns | other).items()])
+    large = rows(files.where(F.col(SIZE) > max_bytes), content=F.lit(None).cast("binary"))
+    return rows(files.where(F.col(SIZE) <= max_bytes)).unionByName(large)
 
 
 def scan_contents(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -66,11 +70,11 @@ def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """
     files = _files(spark, folder, glob, True)
     media = files.where(~basename(file_path(F.col("path"))).rlike(DOCUMENT_NAME))
-    small = media.where(F.col("length") <= WHOLE_BYTES).select(
+    small = media.where(F.col(SIZE) <= WHOLE_BYTES).select(
         F.col("path").alias("uri"), F.md5("content").alias("file_hash"), F.col("length").alias("n_bytes"),
         F.substring("content", 1, ranges.HEAD_BYTES).alias("head"),
     )
-    large = media.where(F.col("length") > WHOLE_BYTES).select(F.col("path").alias("uri"))
+    large = media.where(F.col(SIZE) > WHOLE_BYTES).select(F.col("path").alias("uri"))
     # Few files but long work: as many tasks as a shuffle has.
     found = small.unionByName(ranges.hashed(large.repartition("uri")))
     return found.withColumn("path", file_path(F.col("uri")))
@@ -80,3 +84,20 @@ def in_archive(files: DataFrame, folder: str, root_dir: str) -> DataFrame:
     """Rebase file paths from the scanned folder to the archive's root directory."""
     relative = F.expr(f"substring(path, {len(folder.rstrip('/')) + 2})")
     return files.withColumn("path", normalise_path(join_path(F.lit(root_dir), relative)))
+
+
+def write_texts(spark: SparkSession, texts: DataFrame, folder: str) -> None:
+    """Write every text of the one column `texts` as a file `part-*.txt` with a line end, in folders below a new one.
+
+    NULL is an empty text. Spark's own writer starts a `chmod` process for every local file and moves the
+    files one by one in the driver, so in local and mounted folders the tasks write them as streams.
+    """
+    name = texts.columns[0]
+    target = versions.make_folder(spark, folder)
+    if target.startswith("file:"):
+        lines = texts.select(F.concat(F.coalesce(name, F.lit("")).cast("binary"), F.lit(b"\n")).alias("line"))
+        ranges.written(lines, target).write.format("noop").mode("overwrite").save()
+    else:
+        part = F.substring(F.md5(name), 1, 2).alias("part")
+        writer = texts.select(part, name).write.mode("append").partitionBy("part")
+        writer.option("maxRecordsPerFile", 1).text(target)

@@ -1,4 +1,4 @@
-"""Files of any size, read and copied as streams of bounded ranges inside the tasks.
+"""Files of any size, read and copied as streams of bounded ranges inside the tasks; many small ones written.
 
 A file is never one value: a task holds `RANGE_BYTES` of it at a time. Local and mounted files and the
 stores that Arrow's file systems know can be read so; a file in another store has no hash and is
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 RANGE_BYTES = 1 << 20
 #: Leading bytes that are kept of each file, for its media type.
 HEAD_BYTES = 1 << 12
+#: Most files that `written` puts into one folder.
+FOLDER_FILES = 1000
 
 
 def _tools():
@@ -23,7 +25,7 @@ def _tools():
     import hashlib
     import re
 
-    range_bytes, head_bytes = RANGE_BYTES, HEAD_BYTES
+    range_bytes, head_bytes, folder_files = RANGE_BYTES, HEAD_BYTES, FOLDER_FILES
 
     def located(uri: str):
         """File system and path of a URI as Spark gives it, with its file name not encoded."""
@@ -73,13 +75,40 @@ def _tools():
             raise
         return size
 
-    return digest, copy
+    def write(values, target: str, scratch: str) -> int:
+        """Every value as a file `<number>/part-<number>.txt` of the folder `target`, which appears in one move.
+
+        Returns their number. Without values there is no folder; one that is there already stays.
+        """
+        system, final = located(target)
+        _, partial = located(scratch)
+        n = 0
+        try:
+            for n, value in enumerate(values, 1):
+                folder = f"{partial}/{(n - 1) // folder_files:06d}"
+                if (n - 1) % folder_files == 0:
+                    system.create_dir(folder)
+                with system.open_output_stream(f"{folder}/part-{n:09d}.txt", compression=None) as out:
+                    out.write(value)
+            if n and system.get_file_info(final).type.name == "NotFound":
+                try:
+                    system.move(partial, final)
+                except OSError:
+                    # Another attempt of the same task was first: its files are the same.
+                    if system.get_file_info(final).type.name != "Directory":
+                        raise
+        finally:
+            if system.get_file_info(partial).type.name == "Directory":
+                system.delete_dir(partial)
+        return n
+
+    return digest, copy, write
 
 
 def hashed(files: DataFrame) -> DataFrame:
     """`uri, file_hash, n_bytes, head` of `files (uri)`; the hash is NULL where a file cannot be read."""
     schema = "uri string, file_hash string, n_bytes bigint, head binary"
-    digest, _ = _tools()
+    digest, _, _ = _tools()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
@@ -98,7 +127,7 @@ def copied(files: DataFrame, folder: str) -> DataFrame:
     Each copy is written under a name of its task's attempt and moved when it is whole and has its hash,
     so a task that is tried again, or twice at a time, leaves one whole file.
     """
-    _, copy = _tools()
+    _, copy, _ = _tools()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -117,3 +146,22 @@ def copied(files: DataFrame, folder: str) -> DataFrame:
 
     rows = files.select("uri", "file_hash", F.col("name"))
     return rows.mapInArrow(run, "name string, file_hash string, n_bytes bigint")
+
+
+def written(texts: DataFrame, folder: str) -> DataFrame:
+    """Write every value of the one binary column `texts` as a file below an existing `folder`: `n_files` per task.
+
+    A task's files are written to a hidden folder of its attempt, which is moved to the task's own when all
+    are there, so a task that is tried again, or twice at a time, leaves each file once.
+    """
+    _, _, write = _tools()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        values = (v for batch in batches for v in batch.column(0).to_pylist())
+        n = write(values, f"{folder}/task-{task.partitionId():06d}", f"{folder}/.attempt-{task.taskAttemptId()}")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n_files"])
+
+    return texts.mapInArrow(run, "n_files bigint")

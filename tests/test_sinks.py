@@ -1,6 +1,7 @@
 """Sinks, scans and extraction on input the derived logbook does not show."""
 
 import hashlib
+import os
 import re
 
 import pytest
@@ -108,3 +109,38 @@ def test_nested_font_tags_keep_their_text(spark):
         (True, ["Title", 'A <font color="red">b</font> tail', "x < y"]),
         (False, ["p", "q"]),
     ]
+
+
+def test_texts_become_one_file_each_in_bounded_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranges, "FOLDER_FILES", 2)
+    texts = [None, "", "a\nb", "same", "same", "ü"]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    files.write_texts(spark, table, f"{tmp_path}/out")
+    found = files.read_files(spark, f"{tmp_path}/out", "part-*.txt").collect()
+    assert sorted(bytes(r["content"]).decode() for r in found) == sorted(f"{t or ''}\n" for t in texts)
+    assert len({os.path.dirname(r["path"]) for r in found}) == 3
+    # No checksum files, no other attempts' folders.
+    assert sum(len(names) for _, _, names in os.walk(tmp_path)) == len(texts)
+    assert [n for n in os.listdir(f"{tmp_path}/out") if n.startswith(".")] == []
+
+
+def test_no_texts_become_no_files(spark, tmp_path):
+    files.write_texts(spark, spark.createDataFrame([], "text string"), f"{tmp_path}/out")
+    assert files.scan_media(spark, f"{tmp_path}/out", "part-*.txt").count() == 0
+
+
+def test_second_attempt_of_a_task_leaves_each_file_once(tmp_path):
+    _, _, write = ranges._tools()
+    for attempt in (1, 2):
+        assert write(iter([b"x", b"y"]), f"{tmp_path}/task", f"{tmp_path}/.attempt-{attempt}") == 2
+    assert os.listdir(tmp_path) == ["task"]
+    assert sum(len(names) for _, _, names in os.walk(tmp_path)) == 2
+
+
+def test_sizes_are_asked_of_the_listing_alone(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"part-{i}.txt").write_text("x" * i + "y")
+    one_scan = spark.read.format("binaryFile").load(str(tmp_path)).rdd.getNumPartitions()
+    assert files.read_files(spark, str(tmp_path), "*.txt").rdd.getNumPartitions() == one_scan
+    found = files.read_files(spark, str(tmp_path), "*.txt", max_bytes=50).collect()
+    assert sorted(r["n_bytes"] for r in found if r["content"] is None) == list(range(51, 101))

@@ -20,6 +20,7 @@ from quillstack.sources import versions
 from quillstack.sources.files import scan_contents as read_contents
 from quillstack.sources.files import scan_documents as read_documents
 from quillstack.sources.files import scan_media as read_media
+from quillstack.sources.files import write_texts
 from quillstack.sources.workspace import Workspace
 from workloads.logbook import CONFIG, Logbook, table
 
@@ -257,8 +258,7 @@ def scan_contents(lb: Logbook) -> DataFrame:
 def document_files(lb: Logbook) -> DataFrame:
     """Pages written one per file in nested folders, found by a file name pattern and read for their metadata."""
     folder = lb.ws.path("document-files")
-    part = F.substring(F.md5("path"), 1, 1).alias("part")
-    lb.pages.select(part, "html").write.partitionBy("part").option("maxRecordsPerFile", 1).text(folder)
+    write_texts(lb.spark, lb.pages.select("html"), folder)
     found = extract.decode_documents(read_documents(lb.spark, folder, "part-*.txt"))
     return extract.page_metadata(found, CONFIG).select(
         "title", "page_no", _joined("authors"), _joined("categories"), post_date(F.col("created")).alias("created"),
