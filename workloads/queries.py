@@ -269,7 +269,7 @@ def document_files(lb: Logbook) -> DataFrame:
 def media_files(lb: Logbook) -> DataFrame:
     """Texts written one per file and scanned as media: their hashes, sizes and types."""
     folder = lb.ws.path("media-files")
-    lb.documents.select(F.coalesce("text", F.lit(""))).write.option("maxRecordsPerFile", 1).text(folder)
+    write_texts(lb.spark, lb.documents.select("text"), folder)
     return media.hash_media(read_media(lb.spark, folder, "part-*.txt")).select("file_hash", "n_bytes", "mime")
 
 
