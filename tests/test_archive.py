@@ -14,6 +14,7 @@ from quillstack.plans.feed import FeedPlan
 from quillstack.sources import archive as store
 from quillstack.sources import versions
 from quillstack.sources import files
+from quillstack.sources.workspace import Workspace
 
 LISTING = "By Author?OpenView&Start={}&Count=5000"
 GIF = b"GIF89a-picture"
@@ -458,3 +459,9 @@ def test_the_media_set_is_stored_once(spark, folder, plan, tmp_path):
     written = next(p for p in stored.iterdir() if p.name.startswith("version-")) / "files"
     got = {p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in written.iterdir()}
     assert got == names and len(names) == len(set(names.values())) > 1
+
+
+def test_kept_tables_are_compressed_by_codec(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    ws.keep(spark.range(5).withColumn("text", F.lit("body")), "rows")
+    assert list(tmp_path.rglob("*.zstd.parquet"))
