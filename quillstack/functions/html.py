@@ -11,7 +11,6 @@ from quillstack.functions.text import html_unescape, interleave, let
 # All alternatives share their first character, so that a search tries them only where it stands.
 TAG_REST = r"""\b(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
 HIDDEN_REST = r"!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
-LINK_TAG = rf"(?is)<(?:a|img){TAG_REST}"
 HIDDEN = rf"(?is)<(?:{HIDDEN_REST})"
 LINK_TOKEN = rf"(?is)<(?:{HIDDEN_REST}|(?:a|img){TAG_REST})"
 HIDDEN_START = r"<(?:!--|(?i:script|style)\b)"
@@ -89,21 +88,18 @@ def table_gaps(html: Column) -> Column:
 
 def tag_word(token: Column) -> Column:
     """How a tag begins, in lower case: ``<td``, ``</td``; empty for hidden parts."""
-    word = F.lower(F.regexp_extract(token, r"^</?[A-Za-z]+", 0))
-    return F.when(word.isin("<script", "<style"), "").otherwise(word)
+    first = F.lower(F.regexp_extract(token, r"^</?[A-Za-z]+", 0))
+    return let(first, lambda word: F.when(word.isin("<script", "<style"), "").otherwise(word))
 
 
 def link_tokens(html: Column) -> Column:
     """All ``a`` and ``img`` tags and all hidden parts in document order, as text."""
-    return F.when(html.rlike(HIDDEN_START), F.regexp_extract_all(html, F.lit(LINK_TOKEN), F.lit(0))).otherwise(
-        F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0))
-    )
+    return F.regexp_extract_all(html, F.lit(LINK_TOKEN), F.lit(0))
 
 
 def with_link_tokens(html: Column, tokens: Column) -> Column:
     """The text with its link tokens replaced, one by one in their order."""
-    gaps = F.when(html.rlike(HIDDEN_START), F.split(html, LINK_TOKEN, -1)).otherwise(F.split(html, LINK_TAG, -1))
-    return interleave(gaps, tokens)
+    return interleave(F.split(html, LINK_TOKEN, -1), tokens)
 
 
 def is_link_tag(token: Column) -> Column:

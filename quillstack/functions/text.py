@@ -199,7 +199,7 @@ def join_path(directory: Column, path: Column) -> Column:
 
 def resolve_in(folder: Column, href: Column) -> Column:
     """Archive path of a link found in a folder: decoded, joined and normalised."""
-    return normalise_path(join_path(folder, percent_decode(href)))
+    return let(let(percent_decode(href), lambda decoded: join_path(folder, decoded)), normalise_path)
 
 
 def resolve_path(page_path: Column, href: Column) -> Column:

@@ -26,7 +26,8 @@ NESTED_FONT = r"(?is)<font\b(?:(?!</?font\b).)*+<font\b"
 FONT_PIECE = r"(?is)<font\b[^>]*>|</font\s*>|(?:(?!</?font\b).)+|."
 PAGE_NUMBER = r"(?is)</font\s*>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
 CREATED_TEXT = r"(?is)</font\s*>.*?</font\s*>\s*<br\s*/?>\s*<(\w+)\b[^>]*>(.*?)</\1\s*>"
-DOCUMENT_END = r"(?is)(?:</form\s*>\s*)?</body\s*>\s*(?:</html\s*>)?\s*$"
+# The pattern begins with its one fixed character, so that a search tries it only where that stands.
+DOCUMENT_END = r"(?is)<(?:/form\s*>\s*<)?/body\s*>\s*(?:</html\s*>)?\s*$"
 
 
 def decode_documents(files: DataFrame) -> DataFrame:
@@ -39,6 +40,18 @@ def text_of(html: Column) -> Column:
     return T.html_unescape(T.strip_tags(html))
 
 
+def _kind(token: Column) -> Column:
+    """What a table token is: a metadata table, a number cell, how its tag begins, or empty for hidden parts."""
+    names = lambda word: F.contains(F.lower(token), F.lit(word))
+    return T.let(
+        H.tag_word(token),
+        lambda word: F.when(word == "", "")
+        .when(names("<table") & token.rlike(META_TABLE), "meta")
+        .when(names("<td") & token.rlike(FIRST_CELL), "number")
+        .otherwise(word),
+    )
+
+
 def _table_range(kinds: Column) -> Column:
     """Places of the first metadata table's opening and closing tags among the table tokens.
 
@@ -141,13 +154,10 @@ def split_document(documents: DataFrame) -> DataFrame:
     """
     cut = documents.withColumn("_tokens", H.table_tokens(F.col("html"))).withColumn("_gaps", H.table_gaps(F.col("html")))
     tokens, gaps = F.col("_tokens"), F.col("_gaps")
-    word = H.tag_word
-    cut = cut.withColumn("_kinds", F.transform(
-        tokens,
-        lambda t: F.when(word(t) == "", "").when(t.rlike(META_TABLE), "meta").when(t.rlike(FIRST_CELL), "number").otherwise(word(t)),
-    )).withColumn("_table", _table_range(F.col("_kinds")))
+    cut = cut.withColumn("_kinds", F.transform(tokens, _kind)).withColumn("_table", _table_range(F.col("_kinds")))
     start, end = F.col("_table")["start"], F.col("_table")["end"]
-    shown = F.transform(tokens, lambda t: F.when(word(t) == "", "").otherwise(t))
+    # Hidden parts are the tokens without a kind.
+    shown = F.zip_with(tokens, "_kinds", lambda t, kind: F.when(kind == "", "").otherwise(t))
     cut = cut.withColumn("_shown", shown)
     before = F.regexp_extract(_between(gaps, F.col("_shown"), F.lit(-1), start), HEADING_DIV, 0)
     after = F.regexp_extract(_between(gaps, F.col("_shown"), start, F.lit(-1)), HEADING_DIV, 0)

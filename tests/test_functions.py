@@ -473,3 +473,29 @@ def test_media_types_of_containers(spark):
 
 
 ZIP_WORD = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
+
+
+def test_a_link_is_decoded_once(spark):
+    """Each use of a value by name would compute it again, link by link."""
+    assert str(text.resolve_in(F.col("a"), F.col("b"))).count("url_decode") == 1
+
+
+def test_a_token_is_read_once(spark):
+    assert str(html.tag_word(F.col("a"))).count("regexp_extract") == 1
+
+
+def test_link_tokens_look_for_hidden_parts_on_the_way(spark):
+    """Texts with and without hidden parts are searched once, by one pattern."""
+    column = html.link_tokens(F.col("a"))
+    assert "RLIKE" not in str(column).upper()
+    check(
+        spark,
+        lambda c: F.array_join(html.link_tokens(c), "|"),
+        [
+            ('x<A href="a>b">y<img src=c>', '<A href="a>b">|<img src=c>'),
+            ('<!-- <a href="n"> --><a href="y"><script><img></script>', '<!-- <a href="n"> -->|<a href="y">|<script><img></script>'),
+            ('<!-- open <a href="y">', '<a href="y">'),
+            ("<abbr><b>", ""),
+            (None, None),
+        ],
+    )

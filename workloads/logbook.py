@@ -55,7 +55,7 @@ class Logbook:
             "text",
             "lang",
             "doc_id % 4 >= 2 as is_response",
-            "regexp_extract(text, '^[^\\n]*', 0) as title",
+            "substring_index(text, '\\n', 1) as title",
             f"""case when rep % 41 = 0 then ''
                 when rep % 11 = 0 then concat({one}, ', ,', {two}, ',')
                 when doc_id % 2 = 0 then concat({one}, ', ', {two})
