@@ -70,17 +70,20 @@ def fit(
 ) -> DataFrame:
     """Cells with `weight`: the factor their tokens are multiplied with.
 
-    A sweep refits each marginal's factors against the other two and writes them; the driver sees
-    one number a sweep, the largest relative change of a factor.
+    A sweep refits each marginal's factors against the other two and writes them with their goals, so a
+    refit joins three small tables; the largest relative change of a factor is observed as they are written.
     """
-    factors = {d: ws.keep(targets[d].select(F.col("value").alias(f"_{d}"), F.lit(1.0).alias(f"f_{d}")), d) for d in DIMS}
     total = cells.agg(F.sum("tokens").cast("double").alias("all"))
+    goals = {d: targets[d].join(F.broadcast(total)).withColumn("goal", F.col("share") * F.col("all")) for d in DIMS}
+    factors = {
+        d: ws.keep(goals[d].select(F.col("value").alias(f"_{d}"), "goal", F.lit(1.0).alias(f"f_{d}")), d) for d in DIMS
+    }
 
     def weighted(skip: str | None = None) -> DataFrame:
         out = cells
         for d in DIMS:
             if d != skip:
-                out = out.join(factors[d], f"_{d}")
+                out = out.join(factors[d].drop("goal"), f"_{d}")
         return out
 
     for _ in range(max_sweeps):
@@ -88,16 +91,14 @@ def fit(
         for d in DIMS:
             others = [F.col(f"f_{o}") for o in DIMS if o != d]
             now = weighted(d).groupBy(f"_{d}").agg(F.sum(F.col("tokens") * others[0] * others[1]).alias("now"))
-            goal = targets[d].select(F.col("value").alias(f"_{d}"), "share").join(F.broadcast(total))
-            ratio = F.when(F.col("now") > 0, F.col("share") * F.col("all") / F.col("now")).otherwise(0.0)
+            ratio = F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0)
             old = factors[d].withColumnRenamed(f"f_{d}", "old")
-            fresh = now.join(goal, f"_{d}").join(old, f"_{d}").select(
-                f"_{d}", ratio.alias(f"f_{d}"), (F.abs(ratio - F.col("old")) / F.greatest("old", F.lit(1e-300))).alias("move")
-            )
-            fresh = ws.keep(fresh, d)
-            moves.append(fresh.select("move"))
-            factors[d] = fresh.drop("move")
-        change = reduce(DataFrame.union, moves).agg(F.max("move")).first()[0] or 0.0
+            fresh = now.join(old, f"_{d}").select(f"_{d}", "goal", ratio.alias(f"f_{d}"), "old")
+            seen: dict[str, float] = {}
+            move = F.max(F.abs(F.col(f"f_{d}") - F.col("old")) / F.greatest("old", F.lit(1e-300)))
+            factors[d] = ws.keep(fresh, d, {"move": move}, seen).drop("old")
+            moves.append(seen["move"])
+        change = max(moves)
         if change <= tolerance:
             break
     return weighted().withColumn("weight", F.col("f_source") * F.col("f_lang") * F.col("f_topic")).drop(

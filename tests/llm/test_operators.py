@@ -355,6 +355,22 @@ def test_raking_matches_a_plain_loop(spark, missing):
         assert all(r["reached"] == pytest.approx(r["share"], rel=1e-2) for r in mixing.residuals(fitted, tables).collect())
 
 
+def test_a_refit_joins_three_tables(spark, monkeypatch):
+    """A sweep runs three of them, and each broadcast stays in the driver's memory for a while."""
+    joins = []
+    keep = Workspace.keep
+
+    def counted(ws, df, name, *rest):
+        joins.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return keep(ws, df, name, *rest)
+
+    monkeypatch.setattr(Workspace, "keep", counted)
+    goals = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.4, "y": 0.6}, "topic": {"p": 0.6, "q": 0.4}}
+    cells, tables = cell_table(spark, CELLS).drop("weight"), target_tables(spark, goals)
+    mixing.fit(cells, Workspace(spark), tables, max_sweeps=2)
+    assert len(joins) == 9 and all(n <= 3 for _, n in joins)
+
+
 def test_targets_that_cannot_be_met_show_in_the_residuals(spark):
     cells = {("a", "x", "p"): 100, ("b", "y", "q"): 100}  # a goes with x, so their shares cannot differ
     goals = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.2, "y": 0.8}, "topic": {"p": 0.5, "q": 0.5}}
