@@ -28,6 +28,9 @@ DIMS = ("source", "lang", "topic")
 FLATTENING = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 TOLERANCE = 1e-4
 MAX_SWEEPS = 60
+#: Cells a task works on: tables of the fit are written in as few files as that makes, since every file costs a process
+#: on a local or mounted folder, and a fit writes some dozens of tables.
+CELLS_PER_TASK = 100_000
 #: Expected share of all tokens that the sample holds.
 SAMPLE_SHARE = 0.7
 
@@ -64,6 +67,11 @@ def flattened(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return sums.join(F.broadcast(total)).select("value", (F.pow("t", F.lit(power)) / F.col("all")).alias("share"))
 
 
+def tasks_for(cells: DataFrame) -> int:
+    """Tasks for a table with at most as many rows as there are cells."""
+    return max(1, -(-cells.count() // CELLS_PER_TASK))
+
+
 def fit(
     cells: DataFrame, ws: Workspace, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
     max_sweeps: int = MAX_SWEEPS,
@@ -73,6 +81,7 @@ def fit(
     A sweep refits each marginal's factors against the other two and writes them with their goals, so a
     refit joins three small tables; the largest relative change of a factor is observed as they are written.
     """
+    tasks = tasks_for(cells)
     total = cells.agg(F.sum("tokens").cast("double").alias("all"))
     goals = {d: targets[d].join(F.broadcast(total)).withColumn("goal", F.col("share") * F.col("all")) for d in DIMS}
     factors = {
@@ -96,7 +105,7 @@ def fit(
             fresh = now.join(old, f"_{d}").select(f"_{d}", "goal", ratio.alias(f"f_{d}"), "old")
             seen: dict[str, float] = {}
             move = F.max(F.abs(F.col(f"f_{d}") - F.col("old")) / F.greatest("old", F.lit(1e-300)))
-            factors[d] = ws.keep(fresh, d, {"move": move}, seen).drop("old")
+            factors[d] = ws.keep(fresh.coalesce(tasks), d, {"move": move}, seen).drop("old")
             moves.append(seen["move"])
         change = max(moves)
         if change <= tolerance:
@@ -155,11 +164,12 @@ def sample(
     """`docs` with `_source, _lang, _topic, _tokens, _weight, _rate, _kept`."""
     marked = labelled(docs)
     keys = [f"_{d}" for d in DIMS]
-    cells = ws.keep(marked.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "cells")
-    given = targets or {}
-    goals = {d: ws.keep(given.get(d, flattened(cells, d, FLATTENING[d])), f"target-{d}") for d in DIMS}
-    fitted = ws.keep(fit(cells, ws, goals), "weights")
-    rated = ws.keep(rates(fitted, share), "rates").select(
+    cells = marked.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    cells = ws.keep(cells.coalesce(docs.sparkSession.sparkContext.defaultParallelism), "cells")
+    given, tasks = targets or {}, tasks_for(cells)
+    goals = {d: ws.keep(given.get(d, flattened(cells, d, FLATTENING[d]).coalesce(tasks)), f"target-{d}") for d in DIMS}
+    fitted = ws.keep(fit(cells, ws, goals).coalesce(tasks), "weights")
+    rated = ws.keep(rates(fitted, share).coalesce(tasks), "rates").select(
         *keys, F.col("weight").alias("_weight"), F.col("rate").alias("_rate")
     )
     own = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), body())

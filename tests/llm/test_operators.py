@@ -371,6 +371,29 @@ def test_a_refit_joins_three_tables(spark, monkeypatch):
     assert len(joins) == 9 and all(n <= 3 for _, n in joins)
 
 
+def test_tables_of_the_fit_are_few_files(spark, monkeypatch):
+    """Every written file starts a process on a local folder, which counts with all memory of its executor for a moment."""
+    files = {}
+    keep = Workspace.keep
+
+    def counted(ws, df, name, *rest):
+        out = keep(ws, df, name, *rest)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(Workspace, "keep", counted)
+    rows = [(i, f"word {i} " * (i % 7 + 1) * 20, f"s{i % 40}", f"l{i % 9}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        assert mixing.sample(docs, Workspace(spark)).count() == 400
+    finally:
+        spark.conf.unset(name)
+    assert files.pop("cells") <= spark.sparkContext.defaultParallelism
+    assert set(files) >= {"source", "lang", "topic", "weights", "rates"} and set(files.values()) == {1}
+
+
 def test_targets_that_cannot_be_met_show_in_the_residuals(spark):
     cells = {("a", "x", "p"): 100, ("b", "y", "q"): 100}  # a goes with x, so their shares cannot differ
     goals = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.2, "y": 0.8}, "topic": {"p": 0.5, "q": 0.5}}
