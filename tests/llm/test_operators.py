@@ -116,6 +116,37 @@ def test_passages_are_found_where_words_repeat(docs):
             assert middle in other or r["n_chunks"] > 1
 
 
+def test_passages_are_told_apart_at_51_words(spark):
+    """Of 50 shared words, whole chunks have as many as of 51; only the texts tell."""
+    draw = random.Random(3)
+    fresh = lambda n: " ".join("".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 9))) for _ in range(n))
+    rows, size = [], {}
+    for k in range(300):
+        size[k] = 51 + k % 9 if k % 2 else 50 - k % 16
+        middle = fresh(size[k])
+        rows += [(2 * k + n, f"{fresh(draw.randint(20, 90))} {middle} {fresh(draw.randint(20, 90))}") for n in range(2)]
+    rows.append((1000, f"{fresh(30)} {rows[4][1]} {rows[8][1]}"))
+    found = {r["doc_id"]: r for r in chunks.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    long = {2 * k + n for k in size for n in range(2) if size[k] > 50} | {1000}
+    assert len(long & set(found)) >= 0.97 * len(long)
+    assert set(found) - long == {4, 8}  # document 1000 has the whole texts of these
+
+
+def test_word_windows_match_brute_force():
+    text = " é one\ttwo  three\nfour five six seven eight nine ten"
+    begin = [m.start() for m in re.finditer(r"\S+", text)]
+    end = [m.end() for m in re.finditer(r"\S+", text)]
+    for a in range(len(text)):
+        for b in range(a + 2, len(text) + 1):
+            win, start, stop = chunks.word_windows(text, [(a, a + 1, b)], 4)
+            inside = [i for i in range(len(begin)) if end[i] > a and begin[i] < b]
+            if 0 < len(inside) <= 4:
+                want = [i for i in range(len(begin) - 3) if i <= inside[0] and i + 3 >= inside[-1]]
+                assert [(begin[i], end[i + 3]) for i in want] == list(zip(start.tolist(), stop.tolist(), strict=True))
+    same = [chunks.word_windows(t, [(0, 1, len(t))], 3)[0].tolist() for t in ("a b c d e", "x y  a b\nc d e z")]
+    assert set(same[0]) <= set(same[1]) and len(set(same[1])) == 6
+
+
 def test_chunks_resist_shifts():
     text = " ".join(f"word{i * 7919 % 1000}" for i in range(400))
     a = {d for d in chunks.chunked([text])["digest"].tolist()}
