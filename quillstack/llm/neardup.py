@@ -10,9 +10,9 @@ have the same signature both ways, and all signatures share one set of bands.
 
 Equal texts are one node. Nodes that agree in all registers of a band share a bucket; each bucket
 compares its members with few of them, never all pairs. Candidates are verified on their whole
-shingle sets. Buckets that then still hold several classes are worked off in rounds: some members
-are compared with all others of the bucket and leave it, until every two members of a bucket are in
-one class or were compared. So no link between texts that share a bucket is lost.
+shingle sets. Buckets of four and more members that then still hold several classes are worked off in
+rounds: some members are compared with all others of the bucket and leave it, until every two members
+of a bucket are in one class or were compared. So no link between texts that share a bucket is lost.
 
 A text of one to four words is one shingle; texts without words are near only to equal texts. Null
 texts are empty texts. A class is named by its smallest doc_id (null if it has none); repeated rows
@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstack.llm.common import body, mapped, mix64
+from quillstack.llm.common import body, mapped_batches, mix64
 from quillstack.llm.components import components
 from quillstack.sources.workspace import Workspace
 
@@ -38,49 +40,89 @@ SIZE = BANDS * ROWS
 SLOTS = 4096
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: About as many points of shingles are drawn at a time at least.
+POINTS = 4096
+#: Which bytes stand between words.
+IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text number, shingle hash, weight) of all texts, by text, then hash."""
-    parts = [t.encode("utf-8", "replace").split() for t in texts]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    words = np.array([w for p in parts for w in p], dtype=object)
-    if not len(words):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0)
-    hashed = pd.util.hash_array(words)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    left = np.repeat(sizes, sizes) - place  # words from here to the text's end
-    runs = np.zeros(len(words), np.uint64)
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts one after another, and every text's number of words.
+
+    The words are cut out of the column's bytes as a whole; only distinct ones become Python values.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, ends, letters = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    letters = np.frombuffer(letters, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.empty(0, np.uint8)
+    cuts = ends - ends[0]
+    inside = ~IS_SPACE[letters]
+    edges = np.zeros(len(letters) + 1, bool)  # the beginning of a text
+    edges[cuts] = True
+    starts = inside & (edges[:-1] | np.r_[True, ~inside[:-1]])
+    stops = inside & (edges[1:] | np.r_[~inside[1:], True])
+    first = np.flatnonzero(starts)
+    sizes = np.diff(np.searchsorted(first, cuts))
+    offsets = np.r_[0, np.cumsum(np.flatnonzero(stops) + 1 - first)]
+    whole = [None, pa.py_buffer(offsets), pa.py_buffer(letters[inside])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(first), whole).dictionary_encode()
+    hashed = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+    return hashed[coded.indices.to_numpy()], sizes
+
+
+def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text number, shingle hash, weight) of all texts, by text, then hash, and the texts' numbers of words."""
+    hashed, sizes = words(texts)
+    if not len(hashed):
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0), sizes
+    ends = np.cumsum(sizes)
+    whole = max(len(hashed) - SHINGLE + 1, 0)
+    runs = np.zeros(whole, np.uint64)
     for k in range(SHINGLE):
-        word = np.zeros(len(words), np.uint64)
-        word[: len(words) - k] = hashed[k:]
-        runs = np.where(left > k, mix64(runs * STEP + word), runs)
-    starts = (left >= SHINGLE) | (place == 0)
-    owner, runs = owner[starts], runs[starts]
-    order = np.lexsort((runs, owner))
-    owner, runs = owner[order], runs[order]
+        runs = mix64(runs * STEP + hashed[k : k + whole])
+    parts = []
+    for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
+        if size >= SHINGLE:
+            parts.append(runs[end - size : end - SHINGLE + 1])
+            parts[-1].sort()  # places of one text; `runs` of others are not touched
+        elif size:
+            short = np.zeros(1, np.uint64)
+            for k in range(end - size, end):
+                short = mix64(short * STEP + hashed[k : k + 1])
+            parts.append(short)
+    runs = np.concatenate(parts)
+    owner = np.repeat(np.flatnonzero(sizes), [len(part) for part in parts])
     first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])])
-    return owner[first], runs[first], 1 + np.log(np.diff(np.r_[first, len(runs)]))
+    return owner[first], runs[first], 1 + np.log(np.diff(np.r_[first, len(runs)])), sizes
 
 
 def signatures(n: int, owner: np.ndarray, runs: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """ProbMinHash of `n` texts: the first shingle to arrive in every register, as (n, SIZE)."""
+    """ProbMinHash of `n` texts: the first shingle to arrive in every register, as (n, SIZE).
+
+    `owner` ascends. When few shingles are left, several of their points are drawn at a time; a point
+    later than all registers of its text changes none.
+    """
     first = np.full(n * SIZE, np.inf)
     value = np.zeros(n * SIZE, np.uint64)
+    last = np.full(n, np.inf)
     time, turn = np.zeros(len(runs)), 0
     while len(runs):
-        turn += 1
-        draw = mix64(runs + np.uint64(turn * int(STEP) % 2**64))
-        time = time - np.log(((draw >> np.uint64(11)) + np.uint64(1)) * 2.0**-53) / weight
-        register = owner * SIZE + (mix64(draw) % np.uint64(SIZE)).astype(np.int64)
-        np.minimum.at(first, register, time)
-        won = first[register] == time
-        value[register[won]] = runs[won]
-        texts = np.unique(owner)
-        last = np.full(n, np.inf)
+        turns = np.arange(turn + 1, turn + 1 + min(max(POINTS // len(runs), 1), 64), dtype=np.uint64)
+        turn += len(turns)
+        draw = mix64(runs + (turns * STEP)[:, None])
+        gaps = np.log(((draw >> np.uint64(11)) + np.uint64(1)) * 2.0**-53) / weight
+        gaps[0] = time - gaps[0]
+        times = np.subtract.accumulate(gaps, axis=0)
+        time = times[-1]
+        row, column = np.nonzero(times < last[owner])
+        when, text = times[row, column], owner[column]
+        register = text * SIZE + (mix64(draw[row, column]) % np.uint64(SIZE)).view(np.int64)
+        np.minimum.at(first, register, when)
+        won = np.flatnonzero(first[register] == when)
+        value[register[won]] = runs[column[won]]
+        texts = owner[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])]
         last[texts] = first.reshape(n, SIZE)[texts].max(axis=1)
-        live = time < last[owner]
+        live = np.flatnonzero(time < last[owner])
         owner, runs, weight, time = owner[live], runs[live], weight[live], time[live]
     return value.reshape(n, SIZE)
 
@@ -95,35 +137,38 @@ def band_keys(value: np.ndarray) -> np.ndarray:
 
 
 def signed(texts: DataFrame) -> DataFrame:
-    """`digest, keys`: band keys of every row of `texts (digest, text)`; none for texts without words."""
-
-    def work(ids: list, rows: list) -> dict:
-        owner, runs, weight = shingles(rows)
-        bands = band_keys(signatures(len(rows), owner, runs, weight))
-        has, repeats = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
-        has[owner] = True
+    """`texts` with `n_words` and band `keys` of every row instead of `text`; no keys for texts without words."""
+
+    def work(part: pa.RecordBatch) -> dict:
+        owner, runs, weight, sizes = shingles(part["text"])
+        n = len(sizes)
+        bands = band_keys(signatures(n, owner, runs, weight))
+        keys, kept = np.zeros((n, 2 * BANDS), np.int64), np.zeros((n, 2 * BANDS), bool)
+        keys[:, :BANDS], kept[:, :BANDS] = bands, (sizes > 0)[:, None]
+        repeats = np.zeros(n, bool)
         repeats[owner[weight > 1]] = True
-        keys = [list(k) if h else [] for k, h in zip(bands, has, strict=True)]
         again = np.flatnonzero(repeats)
         held = repeats[owner]
         place = np.searchsorted(again, owner[held])
         plain = band_keys(signatures(len(again), place, runs[held], np.ones(len(place))))
-        for k, more in zip(again.tolist(), plain, strict=True):
-            keys[k] = list(dict.fromkeys([*keys[k], *more]))
-        return {"digest": ids, "keys": keys}
+        keys[again, BANDS:], kept[again, BANDS:] = plain, plain != bands[again]
+        return {"n_words": pa.array(sizes), "keys": listed(kept.sum(axis=1), keys[kept])}
+
+    return mapped_batches(texts, work, "n_words bigint, keys array<bigint>")
+
 
-    return mapped(texts, work, "digest string, keys array<bigint>")
+def listed(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), values)
 
 
 def shingled(texts: DataFrame) -> DataFrame:
-    """`node, runs` of every row of `texts (node, text)`."""
+    """`texts` with the shingles `runs` of every row instead of `text`."""
 
-    def work(ids: list, rows: list) -> dict:
-        owner, runs, _ = shingles(rows)
-        cuts = np.searchsorted(owner, np.arange(1, len(rows)))
-        return {"node": ids, "runs": np.split(runs.view(np.int64), cuts)}
+    def work(part: pa.RecordBatch) -> dict:
+        owner, runs, _, sizes = shingles(part["text"])
+        return {"runs": listed(np.bincount(owner, minlength=len(sizes)), runs.view(np.int64))}
 
-    return mapped(texts, work, "node bigint, runs array<bigint>")
+    return mapped_batches(texts, work, "runs array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
@@ -133,9 +178,11 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     sets = sets.join(named, "node", "left_semi")
     side = lambda n: sets.select(F.col("node").alias(n), F.col("runs").alias(f"runs_{n}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = F.size(F.array_intersect("runs_a", "runs_b"))
-    value = both / F.greatest(F.size("runs_a") + F.size("runs_b") - both, F.lit(1))
-    return joined.select("a", "b", value.alias("similarity")).where(F.col("similarity") >= similar)
+    n_a, n_b, both = F.size("runs_a"), F.size("runs_b"), F.size(F.array_intersect("runs_a", "runs_b"))
+    # The same bound as on the similarity below, in a form that intersects the sets once and only those of like size.
+    like = F.least(n_a, n_b) >= similar * F.greatest(n_a, n_b) - 1e-6
+    joined = joined.where(like & (both * (1 + similar) >= similar * (n_a + n_b) - 1e-6))
+    return joined.select("a", "b", (both / F.greatest(n_a + n_b - both, F.lit(1))).alias("similarity"))
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -150,7 +197,8 @@ def links(ws: Workspace, members: DataFrame, sets: DataFrame, similar: float, sl
     tested = ws.keep(pairs.where("a < b").distinct(), "pairs")
     found = ws.keep(verified(tested, sets, similar), "found")
     comps = components(ws, found)
-    left = mixed(members, comps).select("node").distinct()
+    # Of at most three members every two have been compared as a pair with the smallest or the largest.
+    left = mixed(members, comps, least=4).select("node").distinct()
     live = ws.keep(rare_first(sets.join(left, "node", "left_semi"), similar), "rare")
     turn = 0
     while True:
@@ -182,10 +230,11 @@ def links(ws: Workspace, members: DataFrame, sets: DataFrame, similar: float, sl
         live = live.withColumn("indexed", F.col("indexed") & F.coalesce("waits", F.lit(True))).drop("waits")
 
 
-def mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """`members` with `comp`, of the buckets whose members are in several classes."""
+def mixed(members: DataFrame, comps: DataFrame, least: int = 2) -> DataFrame:
+    """`members` with `comp`, of the buckets of at least that many members, who are in several classes."""
     placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+    ends = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"))
+    several = ends.where((F.col("x") < F.col("y")) & (F.col("n") >= least))
     return placed.join(several.select("key"), "key", "left_semi")
 
 
@@ -211,20 +260,20 @@ def rare_first(sets: DataFrame, similar: float) -> DataFrame:
 
 
 def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR, row: Column | None = None) -> DataFrame:
-    """`digest, first, class_id, class_size, n_links` per distinct text of `docs (doc_id, text)`.
+    """`digest, n_words, first, class_id, class_size, n_links` per distinct text of `docs (doc_id, text)`.
 
     `first` is the smallest (doc_id, row) of the class, rows without an id last; `class_size` counts
-    rows; `n_links` counts the text's verified links that joined or tested its class: texts that are
+    rows; `n_words` are the text's words; `n_links` counts the text's verified links that joined or tested its class: texts that are
     already of one class are not compared again, so it is a lower bound that depends on the numbering.
     `row` are the rows' numbers; callers that join on them pass numbers that are written down.
     """
-    rows = docs.select("doc_id", body().alias("text"))
-    texts = rows.select(F.md5("text").alias("digest"), "text")
+    texts = docs.select(F.md5(body()).alias("digest"), body().alias("text"))
     number = F.monotonically_increasing_id() if row is None else row
-    named = docs.select(F.md5(body()).alias("digest"), order_of(F.col("doc_id"), number).alias("first"))
-    counted = named.groupBy("digest").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("copies"))
-    keyed = signed(texts).groupBy("digest").agg(F.first("keys").alias("keys"))
-    nodes = keyed.join(counted, "digest").withColumn("node", F.monotonically_increasing_id())
+    rows = docs.select(F.md5(body()).alias("digest"), "doc_id", number.alias("row"), body().alias("text"))
+    nodes = signed(rows).groupBy("digest").agg(
+        F.first("keys").alias("keys"), F.first("n_words").alias("n_words"),
+        F.min(order_of(F.col("doc_id"), F.col("row"))).alias("first"), F.count(F.lit(1)).alias("copies"),
+    ).withColumn("node", F.monotonically_increasing_id())
     nodes = ws.keep(nodes, "nodes")
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
@@ -235,13 +284,13 @@ def classes(docs: DataFrame, ws: Workspace, similar: float = SIMILAR, row: Colum
     found, comps = links(ws, members, sets, similar)
     ends = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    of_node = nodes.select("node", "digest", "first", "copies").join(comps, "node", "left").join(degree, "node", "left")
+    of_node = nodes.select("node", "digest", "n_words", "first", "copies").join(comps, "node", "left").join(degree, "node", "left")
     of_node = of_node.select(
-        "digest", "first", "copies", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "digest", "n_words", "first", "copies", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     whole = of_node.groupBy("comp").agg(F.min("first").alias("first"), F.sum("copies").alias("class_size"))
     return of_node.drop("first", "copies").join(whole, "comp").select(
-        "digest", "first", F.col("first.doc_id").alias("class_id"), "class_size", "n_links"
+        "digest", "n_words", "first", F.col("first.doc_id").alias("class_id"), "class_size", "n_links"
     )
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstack.llm import neardup
@@ -101,16 +101,21 @@ def _masked(bits: pd.Series, lone: pd.Series) -> pd.Series:
     return bits.where(~lone, fresh).astype("int64")
 
 
-def measured(docs: DataFrame, *more: str) -> DataFrame:
-    """`doc_id, source, n_tokens, digest, md5, row` and the columns `more` of every row; texts end here."""
+def hashed(docs: DataFrame, *more: str | Column) -> DataFrame:
+    """`doc_id, source, digest, md5, row` and the columns `more` of every row; texts end here."""
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     text = body()
     return docs.select(
-        "doc_id", source.alias("source"), word_count(text).alias("n_tokens"), F.xxhash64(text).alias("digest"),
-        F.md5(text).alias("md5"), F.monotonically_increasing_id().alias("row"), *more,
+        "doc_id", source.alias("source"), F.xxhash64(text).alias("digest"), F.md5(text).alias("md5"),
+        F.monotonically_increasing_id().alias("row"), *more,
     )
 
 
+def measured(docs: DataFrame, *more: str) -> DataFrame:
+    """The columns of `hashed` and `n_tokens`."""
+    return hashed(docs, word_count(body()).alias("n_tokens"), *more)
+
+
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: str | None = None
 ) -> DataFrame:
@@ -147,6 +152,9 @@ def pack_rows(rows: DataFrame, n: int, capacity: int = CAPACITY, shard_rows: int
 def query(docs: DataFrame) -> DataFrame:
     ws = Workspace(docs.sparkSession)
     found = ws.keep(neardup.classes(docs, ws), "classes")
-    clusters = found.select(F.col("digest").alias("md5"), F.col("first.row").alias("_cluster"))
-    rows = ws.keep(measured(docs), "rows")
-    return pack_rows(lookup(ws, rows, clusters, "md5", staged=True), rows.count())
+    # The near-duplicate operator has cut every text into words, so its lengths are taken with its classes.
+    texts = found.select(
+        F.col("digest").alias("md5"), F.col("first.row").alias("_cluster"), F.col("n_words").alias("n_tokens")
+    )
+    rows = ws.keep(hashed(docs), "rows")
+    return pack_rows(lookup(ws, rows, texts, "md5", staged=True), rows.count())

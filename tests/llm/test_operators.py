@@ -7,6 +7,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from compare import connect, difference
@@ -282,6 +285,82 @@ def test_repeated_lines_lose_no_link(spark):
     assert got == {i: i - i % 2 for i in texts}
 
 
+def plain_signature(text):
+    """One text's registers, point by point and without numpy's tables."""
+    parts = text.split()
+    hashes = [int(h) for h in pd.util.hash_array(np.array([w.encode() for w in parts], dtype=object))]
+    full, step = 2**64 - 1, int(neardup.STEP)
+    mix = lambda x: int(neardup.mix64(np.array([x & full], np.uint64))[0])
+    count = Counter()
+    for k in range(max(1, len(parts) - 4)):
+        run = 0
+        for h in hashes[k : k + 5]:
+            run = mix(run * step + h)
+        count[run] += 1
+    best = {r: (np.inf, 0) for r in range(neardup.SIZE)}
+    for run, times in count.items():
+        time, turn = 0.0, 0
+        while time < max(best.values())[0]:
+            turn += 1
+            draw = mix(run + turn * step)
+            time = time - np.log(((draw >> 11) + 1) * 2.0**-53) / (1 + np.log(times))
+            r = mix(draw) % neardup.SIZE
+            best[r] = min(best[r], (time, run))
+    return [best[r][1] for r in range(neardup.SIZE)]
+
+
+def test_signatures_are_those_of_a_plain_loop():
+    texts = ["one", "a b c", "p q r s t", "x y " * 9, " ".join(f"w{i % 37}" for i in range(90)), "ä\u3000ö\x85 ü\x1f\nz"]
+    owner, runs, weight, sizes = neardup.shingles(pa.array(["left out", *texts])[1:])
+    assert sizes.tolist() == [len(t.encode().split()) for t in texts]
+    got = neardup.signatures(len(texts), owner, runs, weight)
+    assert got[:5].tolist() == [plain_signature(t) for t in texts[:5]]
+
+
+def test_texts_are_cut_into_words_as_bytes_are_split():
+    texts = ["", " \t\n", "a", None, "b\x0bc\x0cd\re", "é\xa0è  \u2003x", "\x1c y\x00z ", "ab", "cd", "a" * 300]
+    for column in (pa.array(texts), pa.array(["x x", *texts, "y"])[1:-1], pa.array(texts, pa.large_string())):
+        hashes, sizes = neardup.words(column)
+        parts = [(t or "").encode().split() for t in texts]
+        assert sizes.tolist() == [len(p) for p in parts]
+        assert hashes.tolist() == pd.util.hash_array(np.array([w for p in parts for w in p], dtype=object)).tolist()
+    for texts in ([], [None], ["", " "]):
+        assert [len(x) for x in neardup.shingles(pa.array(texts, pa.string()))] == [0, 0, 0, len(texts)]
+
+
+class Watched(Workspace):
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.kept = defaultdict(list)
+
+    def keep(self, df, name, *more):
+        out = super().keep(df, name, *more)
+        self.kept[name].append(out)
+        return out
+
+
+def test_buckets_whose_pairs_were_all_compared_are_done(spark):
+    # Nodes 1 to 3 have 86 of 100 shingles in common and are not similar; of 11 to 14 only 12 and 13 are.
+    sets = {n: [*range(86), *range(100 * n, 100 * n + 14)] for n in (1, 2, 3)}
+    sets |= {n: [*range(1000, 1040), *range(100 * n, 100 * n + 6)] for n in (11, 14)}
+    sets |= {n: [*range(1000, 1020), *range(2000, 2040), 100 * n] for n in (12, 13)}
+    members = [(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), *((3, n) for n in (11, 12, 13, 14))]
+    ws = Watched(spark)
+    found, comps = neardup.links(
+        ws, spark.createDataFrame(members, "key long, node long"),
+        spark.createDataFrame(list(sets.items()), "node long, runs array<long>"), 0.8,
+    )
+    assert [(r["a"], r["b"]) for r in found.collect()] == [(12, 13)]
+    assert {r["node"] for r in ws.kept["rare"][0].collect()} == {11, 12, 13, 14}
+
+
+def test_classes_count_the_words_of_their_texts(odd, docs):
+    for table in (odd, docs):
+        texts = {hashlib.md5((r["text"] or "").encode()).hexdigest(): r["text"] or "" for r in table.collect()}
+        got = {r["digest"]: r["n_words"] for r in neardup.classes(table, Workspace(table.sparkSession)).collect()}
+        assert got == {k: len(WORD.findall(t)) for k, t in texts.items()}
+
+
 def test_one_row_of_each_class_stays(odd):
     kept = neardup.keep_first(odd, Workspace(odd.sparkSession))
     assert kept.columns == odd.columns
@@ -469,6 +548,14 @@ def test_bins_hold_what_they_may(docs):
     assert sum(sizes.values()) / len(sizes) > 0.75 * packing.CAPACITY
 
 
+def test_the_query_cuts_no_text_into_words_again(odd, monkeypatch):
+    want = Counter((r["doc_id"], len(WORD.findall(r["text"] or ""))) for r in odd.collect())
+    monkeypatch.setattr(packing, "word_count", None)
+    got = packing.query(odd).groupBy("shard", "doc_id").agg({"n_tokens": "sum", "start": "count"}).collect()
+    assert sum(r["sum(n_tokens)"] for r in got) == sum(n * k for (_, n), k in want.items())
+    assert {r["doc_id"] for r in got} == {i for i, _ in want}
+
+
 def test_no_bin_holds_two_of_a_near_duplicate_class(spark, docs):
     words = [" ".join(f"p{k}w{i}" for i in range(900)) for k in range(12)]
     texts = {2 * k + n: w + " x" * n for k, w in enumerate(words) for n in range(2)}
