@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.functions.text import basename, decode_bytes, join_path, normalise_path
 from quillstack.sources import ranges, versions
+from quillstack.sources.workspace import Workspace
 
 # Fixed value: how mirrored document files are named.
 DOCUMENT_GLOB = "*?OpenDocument*"
@@ -19,6 +22,9 @@ WHOLE_BYTES = 64 << 20
 MAX_TEXT_BYTES = 1 << 30
 #: A file's size by the listing: a scan that asks for some sizes opens no other file.
 SIZE = "_metadata.file_size"
+#: Most folders that a task lists, and most files that a task reads, before dealing them by hash makes that uneven.
+TASK_FOLDERS = 1000
+TASK_FILES = 4096
 
 
 def file_path(uri: Column) -> Column:
@@ -31,6 +37,52 @@ def _files(spark: SparkSession, folder: str, glob: str, recursive: bool) -> Data
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
 
 
+class Listing(NamedTuple):
+    """Files of local or mounted folders as a kept table `uri, n_bytes, modified`, with what its tasks have counted."""
+
+    files: DataFrame
+    n_files: int
+    total_bytes: int
+
+    def dealt(self, files: DataFrame) -> DataFrame:
+        """Some of the files, over as many tasks as reading all of them needs."""
+        spark = files.sparkSession
+        split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        least = min(self.n_files, spark.sparkContext.defaultParallelism)
+        return files.repartition(max(1, least, -(-self.n_files // TASK_FILES), -(-self.total_bytes // split)), "uri")
+
+
+def _listed(spark: SparkSession, folder: str, glob: str) -> Listing | None:
+    """What Spark's own recursive scan of a folder finds; None if that is no local or mounted folder or the session skips bad files.
+
+    Spark's scan holds every file's status and its place in a task in the driver. Here the tasks list one level
+    of folders after another, each into a kept table, and the driver gets their counts only.
+    """
+    folders = versions.local_folders(spark, folder)
+    if not folders or "true" in [spark.conf.get(f"spark.sql.files.ignore{kind}Files") for kind in ("Missing", "Corrupt")]:
+        return None
+    ws = Workspace(spark)
+    pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    wanted = ~F.col("is_folder") & (F.col("n_bytes") > 0) & basename(F.col("uri")).rlike(rf"(?s)\A(?:{pattern})\z")
+    metrics = {
+        "folders": F.count_if("is_folder"),
+        "files": F.count_if(wanted),
+        "bytes": F.sum(F.when(wanted, F.col("n_bytes"))),
+    }
+    level, n_folders = spark.createDataFrame([(f.rstrip("/"),) for f in folders], "uri string"), len(folders)
+    files, sums = None, dict.fromkeys(metrics, 0)
+    while n_folders:
+        counts: dict[str, int] = {}
+        tasks = max(min(n_folders, spark.sparkContext.defaultParallelism), -(-n_folders // TASK_FOLDERS))
+        found = ws.keep(ranges.entries(level.repartition(tasks, "uri")), "listing", metrics, counts)
+        if counts["files"] or files is None:
+            own = found.where(wanted).select("uri", "n_bytes", "modified")
+            files = own if not sums["files"] else files.unionByName(own)
+        sums = {k: n + counts[k] for k, n in sums.items()}
+        level, n_folders = found.where("is_folder").select("uri"), counts["folders"]
+    return Listing(files, sums["files"], sums["bytes"])
+
+
 def read_files(
     spark: SparkSession, folder: str, glob: str, recursive: bool = True, max_bytes: int | None = None
 ) -> DataFrame:
@@ -40,7 +92,6 @@ def read_files(
     value cannot hold it: such a document or listing is rejected as unreadable.
     """
     max_bytes = MAX_FILE_BYTES if max_bytes is None else max_bytes
-    files = _files(spark, folder, glob, recursive)
     columns = {
         "path": file_path(F.col("path")),
         "content": F.col("content"),
@@ -48,8 +99,12 @@ def read_files(
         "modified": F.col("modificationTime"),
     }
     rows = lambda df, **other: df.select(*[c.alias(k) for k, c in (columns | other).items()])
-    large = rows(files.where(F.col(SIZE) > max_bytes), content=F.lit(None).cast("binary"))
-    return rows(files.where(F.col(SIZE) <= max_bytes)).unionByName(large)
+    if not recursive or not (listing := _listed(spark, folder, glob)):
+        files = _files(spark, folder, glob, recursive)
+        large = rows(files.where(F.col(SIZE) > max_bytes), content=F.lit(None).cast("binary"))
+        return rows(files.where(F.col(SIZE) <= max_bytes)).unionByName(large)
+    content = ranges.reader()(F.when(F.col("n_bytes") <= max_bytes, F.col("uri")))
+    return listing.dealt(listing.files).select(file_path(F.col("uri")).alias("path"), content.alias("content"), "n_bytes", "modified")
 
 
 def scan_contents(spark: SparkSession, folder: str, glob: str) -> DataFrame:

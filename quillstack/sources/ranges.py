@@ -1,16 +1,16 @@
-"""Files of any size, read and copied as streams of bounded ranges inside the tasks; many small ones written.
+"""Files of any size, read and copied as streams of bounded ranges inside the tasks; many small ones listed, read and written.
 
-A file is never one value: a task holds `RANGE_BYTES` of it at a time. Local and mounted files and the
-stores that Arrow's file systems know can be read so; a file in another store has no hash and is
+A streamed file is never one value: a task holds `RANGE_BYTES` of it at a time. Local and mounted files and
+the stores that Arrow's file systems know can be read so; a file in another store has no hash and is
 reported as unreadable.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RANGE_BYTES = 1 << 20
@@ -18,6 +18,9 @@ RANGE_BYTES = 1 << 20
 HEAD_BYTES = 1 << 12
 #: Most files that `written` puts into one folder.
 FOLDER_FILES = 1000
+#: Rows of a batch that holds names or leading bytes, and bytes of one that holds whole files, unless one file has more.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def _tools():
@@ -43,8 +46,8 @@ def _tools():
             while piece := stream.read(range_bytes):
                 yield piece
 
-    def digest(uri: str):
-        """Hash, size and leading bytes of a file; nothing if it cannot be read."""
+    def digest(uri: str, strict: bool = False):
+        """Hash, size and leading bytes of a file; nothing if it cannot be read, unless `strict`."""
         seen, size, head = hashlib.md5(usedforsecurity=False), 0, b""
         try:
             for piece in pieces(uri):
@@ -52,6 +55,8 @@ def _tools():
                 size += len(piece)
                 head += piece[: head_bytes - len(head)]
         except (OSError, pa.ArrowException):
+            if strict:
+                raise
             return None, None, None
         return seen.hexdigest(), size, head
 
@@ -105,18 +110,93 @@ def _tools():
     return digest, copy, write
 
 
-def hashed(files: DataFrame) -> DataFrame:
-    """`uri, file_hash, n_bytes, head` of `files (uri)`; the hash is NULL where a file cannot be read."""
+def entries(folders: DataFrame) -> DataFrame:
+    """What local or mounted `folders (uri)` hold: `uri, is_folder, n_bytes, modified`.
+
+    As in Spark's own listing, links are followed, and hidden names, names that are not UTF-8 and what is
+    gone or may not be looked at are left out.
+    """
+    batch_rows = BATCH_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import errno
+        import itertools
+        import os
+
+        names, types = ["uri", "is_folder", "n_bytes", "modified"], [pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC")]
+
+        def hidden(name: str, is_folder: bool) -> bool:
+            if is_folder and name.startswith(("_metadata", "_common_metadata")):
+                return False
+            return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+        def rows():
+            for uri in (u for batch in batches for u in batch.column(0).to_pylist()):
+                with os.scandir(uri.removeprefix("file:") or "/") as found:
+                    for entry in found:
+                        try:
+                            entry.name.encode()
+                            is_folder, stat = entry.is_dir(), entry.stat()
+                        except (UnicodeEncodeError, FileNotFoundError, PermissionError):
+                            continue
+                        except OSError as error:
+                            if error.errno == errno.ELOOP:
+                                continue
+                            raise
+                        if not hidden(entry.name, is_folder):
+                            yield f"{uri}/{entry.name}", is_folder, stat.st_size, stat.st_mtime_ns // 1_000_000 * 1000
+
+        for some in itertools.batched(rows(), batch_rows):
+            arrays = [pa.array(values, kind) for values, kind in zip(zip(*some, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return folders.select("uri").mapInArrow(run, "uri string, is_folder boolean, n_bytes bigint, modified timestamp")
+
+
+def reader() -> Callable[[Column], Column]:
+    """Function of the URI of a local or mounted file that gives its bytes; of NULL, NULL. Not asked for, nothing is read."""
+    batch_bytes = BATCH_BYTES
+
+    def read(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def array(values):
+            if len(values) > 1 or values[0] is None:
+                return pa.array(values, pa.binary())
+            ends = pa.array([0, len(values[0])], pa.int32()).buffers()[1]
+            return pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(values[0])])  # a large one is not copied
+
+        for uris in columns:
+            values, size = [], 0
+            for uri in uris.to_pylist():
+                value = None
+                if uri is not None:
+                    with open(uri.removeprefix("file:"), "rb") as file:
+                        value = file.read()
+                if values and size + len(value or b"") > batch_bytes:
+                    yield array(values)
+                    values, size = [], 0
+                values.append(value)
+                size += len(value or b"")
+            if values:
+                yield array(values)
+
+    # So that no filter on the bytes reads each file once more.
+    return F.arrow_udf(read, "binary").asNondeterministic()
+
+
+def hashed(files: DataFrame, strict: bool = False) -> DataFrame:
+    """`uri, file_hash, n_bytes, head` of `files (uri)`; the hash is NULL where a file cannot be read, unless `strict`."""
     schema = "uri string, file_hash string, n_bytes bigint, head binary"
     digest, _, _ = _tools()
+    batch_rows = BATCH_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import itertools
+
         types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                row = (uri, *digest(uri))
-                arrays = [pa.array([v], t) for v, t in zip(row, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["uri", "file_hash", "n_bytes", "head"])
+        uris = (u for batch in batches for u in batch.column(0).to_pylist())
+        for some in itertools.batched(((u, *digest(u, strict)) for u in uris), batch_rows):
+            arrays = [pa.array(values, kind) for values, kind in zip(zip(*some, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["uri", "file_hash", "n_bytes", "head"])
 
     return files.select("uri").mapInArrow(run, schema)
 

@@ -31,6 +31,16 @@ def make_folder(spark: SparkSession, folder: str) -> str:
     return files.makeQualified(path).toString()
 
 
+def local_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders a path or pattern names, with their scheme and none twice; empty if one is no local or mounted folder."""
+    found = _files(spark, pattern).globStatus(_path(spark, pattern)) or []
+    names = [status.getPath().toString() for status in found if status.isDirectory()]
+    if len(names) < len(found) or not all(name.startswith("file:") for name in names):
+        return []
+    # A pattern may name a folder and one in it.
+    return [name for name in names if not any(name.startswith(f"{other.rstrip('/')}/") for other in names if other != name)]
+
+
 def current(spark: SparkSession, folder: str) -> str:
     """The folder of the current version."""
     folder = folder.rstrip("/")

@@ -144,3 +144,60 @@ def test_sizes_are_asked_of_the_listing_alone(spark, tmp_path):
     assert files.read_files(spark, str(tmp_path), "*.txt").rdd.getNumPartitions() == one_scan
     found = files.read_files(spark, str(tmp_path), "*.txt", max_bytes=50).collect()
     assert sorted(r["n_bytes"] for r in found if r["content"] is None) == list(range(51, 101))
+
+
+def test_tasks_list_what_a_scan_of_spark_lists(spark, tmp_path, monkeypatch):
+    """Odd names, links, hidden and empty files; no other test folder has such."""
+    monkeypatch.setattr(ranges, "BATCH_ROWS", 2)
+    monkeypatch.setattr(ranges, "BATCH_BYTES", 5)
+    root = tmp_path / "in a%20b"
+    names = [
+        "1?OpenDocument", "a&b?OpenDocument&x=ü", "_hid?OpenDocument", "_k=1?OpenDocument", ".dot?OpenDocument", "new\nline?OpenDocument",
+        "deep/er/2?OpenDocument", "_metadata/3?OpenDocument", "_metadata?OpenDocument", ".git/4?OpenDocument", "_tmp/5?OpenDocument",
+        "k=v/6?OpenDocument", "x._COPYING_/7?OpenDocument", "8?OpenDocument._COPYING_", "other.txt", "back\\slash?OpenDocument", "?OpenDocument",
+    ]
+    for i, name in enumerate(names):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"x" * (i + 1))
+    (root / "empty?OpenDocument").touch()
+    (root / "bare").mkdir()
+    (root / "link?OpenDocument").symlink_to(root / "other.txt")
+    (root / "linked").symlink_to(root / "deep")
+    (root / "gone?OpenDocument").symlink_to(root / "nowhere")
+    with open(os.fsencode(root) + b"/\xff?OpenDocument", "wb") as out:
+        out.write(b"not UTF-8")
+    for glob in (files.DOCUMENT_GLOB, "*", "[0-5]*", "{1,a&b}*"):
+        own = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(str(root))
+        own = own.select(files.file_path(F.col("path")), "content", "length", "modificationTime").collect()
+        found = files.read_files(spark, str(root), glob)
+        assert found.columns == ["path", "content", "n_bytes", "modified"]
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, own)) != []
+
+
+def test_driver_holds_no_list_of_documents(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"in/{i % 7}/{i % 3}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/{i % 7}/{i % 3}/{i}?OpenDocument").write_text(f"text {i}")
+    found = files.scan_documents(spark, f"file://{tmp_path}/in")
+    assert [f for f in found.inputFiles() if "OpenDocument" in f] == []
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(bytes(r["content"]).decode() for r in found.collect()) == sorted(f"text {i}" for i in range(300))
+
+
+def test_large_documents_are_read_whole(spark, tmp_path):
+    data = {"1?OpenDocument": bytes(range(256)) * (1 << 19), "2?OpenDocument": b"x", "3?OpenDocument": b"y" * 50}
+    for name, value in data.items():
+        (tmp_path / name).write_bytes(value)
+    found = files.read_files(spark, str(tmp_path), "*", max_bytes=1 << 30).select("path", F.md5("content"))
+    assert {(p.rsplit("/", 1)[1], h) for p, h in found.collect()} == {(n, hashlib.md5(v).hexdigest()) for n, v in data.items()}
+
+
+def test_documents_not_asked_for_are_not_read(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}?OpenDocument").write_text(f"text {i}")
+    found = files.scan_documents(spark, str(tmp_path))
+    for i in range(3):
+        (tmp_path / f"{i}?OpenDocument").unlink()
+    assert found.select("path").count() == 3
+    with pytest.raises(Exception, match="No such file"):
+        found.collect()
