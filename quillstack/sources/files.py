@@ -121,15 +121,21 @@ def scan_documents(spark: SparkSession, folder: str, glob: str = DOCUMENT_GLOB)
 def scan_media(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Files that pages show: `path, uri, file_hash, n_bytes, head`. Documents are left out.
 
-    Files up to `WHOLE_BYTES` are hashed as values of one scan; larger ones, of any size, as streams.
+    All are hashed as streams in local and mounted folders; in other stores those up to `WHOLE_BYTES` as values of
+    one scan. A larger file that cannot be read has no hash, a smaller one ends the run.
     """
-    files = _files(spark, folder, glob, True)
-    media = files.where(~basename(file_path(F.col("path"))).rlike(DOCUMENT_NAME))
-    small = media.where(F.col(SIZE) <= WHOLE_BYTES).select(
-        F.col("path").alias("uri"), F.md5("content").alias("file_hash"), F.col("length").alias("n_bytes"),
-        F.substring("content", 1, ranges.HEAD_BYTES).alias("head"),
-    )
-    large = media.where(F.col(SIZE) > WHOLE_BYTES).select(F.col("path").alias("uri"))
+    named = lambda column: ~basename(file_path(F.col(column))).rlike(DOCUMENT_NAME)
+    if listing := _listed(spark, folder, glob):
+        media = listing.files.where(named("uri"))
+        small = ranges.hashed(listing.dealt(media.where(F.col("n_bytes") <= WHOLE_BYTES)), strict=True)
+        large = media.where(F.col("n_bytes") > WHOLE_BYTES).select("uri")
+    else:
+        media = _files(spark, folder, glob, True).where(named("path"))
+        small = media.where(F.col(SIZE) <= WHOLE_BYTES).select(
+            F.col("path").alias("uri"), F.md5("content").alias("file_hash"), F.col("length").alias("n_bytes"),
+            F.substring("content", 1, ranges.HEAD_BYTES).alias("head"),
+        )
+        large = media.where(F.col(SIZE) > WHOLE_BYTES).select(F.col("path").alias("uri"))
     # Few files but long work: as many tasks as a shuffle has.
     found = small.unionByName(ranges.hashed(large.repartition("uri")))
     return found.withColumn("path", file_path(F.col("uri")))

@@ -201,3 +201,24 @@ def test_documents_not_asked_for_are_not_read(spark, tmp_path):
     assert found.select("path").count() == 3
     with pytest.raises(Exception, match="No such file"):
         found.collect()
+
+
+def test_driver_holds_no_list_of_media(spark, tmp_path):
+    data = {f"{i % 7}/{i % 3}/{i}.txt": f"text {i}".encode() for i in range(300)}
+    for name, value in {**data, "0/1?OpenDocument": b"page", "1/.hidden.txt": b"x"}.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(value)
+    found = files.scan_media(spark, f"{tmp_path}/in")
+    assert [f for f in found.inputFiles() if f.endswith(".txt")] == []
+    # Those over the whole-file limit, of which there are none here, have tasks of their own.
+    assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    want = {(f"{tmp_path}/in/{n}", hashlib.md5(v).hexdigest(), len(v), v) for n, v in data.items()}
+    assert {(r["path"], r["file_hash"], r["n_bytes"], bytes(r["head"])) for r in found.collect()} == want
+
+
+def test_small_media_that_cannot_be_read_end_the_run(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x")
+    found = files.scan_media(spark, str(tmp_path))
+    (tmp_path / "a").unlink()
+    with pytest.raises(Exception, match="No such file"):
+        found.collect()
